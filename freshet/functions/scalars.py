@@ -62,7 +62,7 @@ def iso_duration_seconds(value: Column | str) -> Column:
 
 
 def coerce_bigint(value: Column | str) -> Column:
-    """Lenient text to BIGINT: unusable is 0, decimals truncate toward zero, blanks are trimmed."""
+    """Lenient text to BIGINT: missing or unusable is 0, decimals truncate toward zero, blanks are trimmed."""
     text = _col(value).cast("string")
     exact = text.try_cast("decimal(38,18)").try_cast("bigint")
     return F.coalesce(text.try_cast("bigint"), exact, F.lit(0).cast("bigint"))

@@ -20,7 +20,6 @@ from freshet.operators.selection import (
     enrich,
     incremental_filter,
     late_items,
-    lookup,
     one_per_key,
     seen_among,
 )
@@ -32,7 +31,6 @@ from freshet.sinks.writers import SAVE_FORMATS, write_csv
 from freshet.sources.files import empty, read_channel_list
 from freshet.sources.landing import (
     ITEMS,
-    accepted,
     blocking,
     channel_rows,
     channel_stats,
@@ -209,9 +207,9 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     asked = None if refresh is None else driven_by(refresh.select(*ID).distinct(), active, "channel_id")
     candidates = frozen(_candidates(found, backlog, asked, conf.incremental))
     selected = frozen(cap_per_key(candidates, "channel_id", "video_id", _order(), conf.cap).drop("rn"))
-    pending = beyond_cap(candidates.where("turn != 1"), selected, ID)
+    pending = beyond_cap(candidates, selected, ID)
 
-    details, _ = lookup(one_per_key(video_details(rows["videos"]), ["video_id"], []), selected, "video_id")
+    details = one_per_key(video_details(rows["videos"]), ["video_id"], [])
     owned = details.join(selected.select(*ID), "video_id")
     videos = enrich(owned, channels, "channel_id", ["channel_name"])
     store.write(videos, "video_details", conf.run_ts)

@@ -30,6 +30,7 @@ from freshet.schemas import (
     RUN_AUDIT,
     VIDEO_DETAILS,
     WATERMARK,
+    extended,
 )
 from freshet.sinks.writers import write_table
 from freshet.sources.files import read_or_empty
@@ -73,7 +74,7 @@ class RunStore:
         return f"{self.root}/done/epoch={epoch}"
 
     def _read(self, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-        return read_or_empty(spark, path, T.StructType(schema.fields).add("run", T.StringType()), self.fmt)
+        return read_or_empty(spark, path, extended(schema, ("run", T.StringType())), self.fmt)
 
     def write(self, df: DataFrame, table: str, run_ts: datetime) -> None:
         ordered = df.select(*self.TABLES[table].names)
@@ -100,7 +101,7 @@ class RunStore:
     def load(self, spark: SparkSession, before: datetime) -> State:
         """State as of the last commit before ``before``."""
         commits = self._read(spark, f"{self.root}/commits", COMMIT).where(F.col("run") < stamp_of(before))
-        last = commits.agg(F.max(F.struct("run", "epoch")).alias("last")).first()["last"]
+        last = commits.agg(F.max(F.struct(F.col("run"), F.col("epoch"))).alias("last")).first()["last"]
         if last is None:
             return State(
                 0, spark.createDataFrame([], WATERMARK), spark.createDataFrame([], LEDGER), spark.createDataFrame([], LEDGER)

@@ -11,6 +11,11 @@ def _struct(*fields: tuple) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
+def extended(schema: T.StructType, *fields: tuple) -> T.StructType:
+    """``schema`` with further columns; the original is left alone."""
+    return T.StructType([*schema.fields, *_struct(*fields).fields])
+
+
 # Names and order of the flat tables' columns.
 CHANNEL_LIST = _struct(("channel_name", _S), ("channel_id", _S))
 

@@ -37,12 +37,19 @@ def write_table(df: DataFrame, path: str, mode: str = "append", fmt: str = "parq
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
-    """Replace exactly the partitions present in ``df``; writing the same run twice changes nothing."""
+def overwrite_partitions(
+    df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet", options: dict | None = None
+) -> None:
+    """Replace exactly the partitions present in ``df``; writing the same run twice changes nothing.
+
+    Rows are rebalanced by partition first: small partitions share a task and become one file each,
+    a partition holding much of the data is split over several.
+    """
     (
-        df.write.format(fmt)
+        df.hint("rebalance", *[F.col(c) for c in partition_by])
+        .write.format(fmt)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", **(options or {}))
         .partitionBy(*partition_by)
         .save(path)
     )
@@ -54,7 +61,8 @@ def hour_columns(ts: Column) -> dict[str, Column]:
     return {name: F.date_format(ts, pattern) for name, pattern in patterns.items()}
 
 
-def write_lake(df: DataFrame, path: str, ts: Column, fmt: str = "parquet", extra: tuple = ()) -> None:
+def write_lake(df: DataFrame, path: str, ts: Column, fmt: str = "parquet") -> None:
     """``year=/month=/day=/hour=`` layout, so a range of hours prunes to its folders."""
     parts = hour_columns(ts)
-    overwrite_partitions(df.withColumns(parts), path, [*parts, *extra], fmt)
+    options = {**CSV_WRITE, "maxRecordsPerFile": str(CSV_FILE_ROWS)} if fmt == "csv" else None
+    overwrite_partitions(df.withColumns(parts), path, list(parts), fmt, options)

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.functions.scalars import stamp_ts
-from freshet.schemas import CHANNEL_LIST, CORRUPT, STATE_DOCUMENT
+from freshet.functions.scalars import empty_if_missing, stamp_ts
+from freshet.schemas import CHANNEL_LIST, CORRUPT, STATE_DOCUMENT, extended
 
 # Reader settings for CSV written with minimal quoting and doubled quotes.
 CSV_READ = {
@@ -56,16 +56,20 @@ def read_channel_list(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def read_bronze(spark: SparkSession, root: str, table: str, schema: T.StructType, text_default: str = "") -> DataFrame:
-    """Every CSV snapshot of ``table`` below ``root`` whatever the folder depth.
+def read_lake(spark: SparkSession, path: str, schema: T.StructType, parts: tuple, fmt: str = "parquet") -> DataFrame:
+    """A ``key=value`` layout; partition values stay text, so ``month=01`` is not read as 1."""
+    full = extended(schema, *[(name, T.StringType()) for name in parts])
+    return spark.read.schema(full).options(**(CSV_READ if fmt == "csv" else {})).format(fmt).load(path)
 
-    Empty text fields come back as ``text_default``; ``file_name`` and the stamp in it are added.
+
+def read_bronze(spark: SparkSession, root: str, schema: T.StructType, glob: str = "*.csv") -> DataFrame:
+    """Every CSV snapshot below ``root`` whatever the folder depth.
+
+    Empty text fields come back as ''; ``file_name`` and the stamp in it are added.
     """
-    raw = read_csv(spark, root, schema, recursiveFileLookup="true", pathGlobFilter=f"{table}_*.csv")
+    raw = read_csv(spark, root, schema, recursiveFileLookup="true", pathGlobFilter=glob)
     columns = [
-        F.coalesce(F.col(f.name), F.lit(text_default)).alias(f.name)
-        if isinstance(f.dataType, T.StringType)
-        else F.col(f.name)
+        empty_if_missing(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
         for f in schema.fields
     ]
     name = F.col("_metadata.file_name")

@@ -21,7 +21,6 @@ from freshet.functions.scalars import (
     first_present,
     iso_duration_seconds,
     tags_joined,
-    zero_if_missing,
 )
 from freshet.operators.selection import is_kind, one_per_key
 from freshet.schemas import CHANNEL_ITEM, CHANNEL_STATS, CORRUPT, SEARCH_ITEM, VIDEO_ITEM, envelope
@@ -97,7 +96,7 @@ def _all_present(*paths: str) -> Column:
 
 
 def _stat(path: str) -> Column:
-    return coerce_bigint(zero_if_missing(F.col(path)))
+    return coerce_bigint(path)
 
 
 def channel_rows(pages: DataFrame) -> DataFrame:

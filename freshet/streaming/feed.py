@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.operators.selection import anti_seen, one_per_key
+from freshet.schemas import extended
 from freshet.sinks.writers import write_table
 from freshet.sources.files import read_or_empty
 
@@ -43,7 +44,7 @@ def drain_new(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[st
     the same rows again and an id re-delivered at any later time stays out. State-store dedup would
     forget ids once a watermark passes them.
     """
-    schema = T.StructType(stream.schema.fields).add("feed", T.StringType()).add("batch", T.LongType())
+    schema = extended(stream.schema, ("feed", T.StringType()), ("batch", T.LongType()))
 
     def take(batch: DataFrame, batch_id: int) -> None:
         taken = read_or_empty(batch.sparkSession, target, schema)
