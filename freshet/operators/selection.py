@@ -56,13 +56,15 @@ def with_bound(
     return df.join(bounds, key, "left")
 
 
+def after_bound(ts: str) -> Column:
+    return F.col("bound").isNull() | F.col(ts).isNull() | (F.col(ts) > F.col("bound"))
+
+
 def incremental_filter(
     df: DataFrame, watermark: DataFrame, key: str, ts: str, fetched: str, minutes: int = LOOKBACK_MINUTES
 ) -> DataFrame:
     """Rows published after their key's bound; no bound or no publish time keeps the row."""
-    bounded = with_bound(df, watermark, key, fetched, minutes)
-    keep = F.col("bound").isNull() | F.col(ts).isNull() | (F.col(ts) > F.col("bound"))
-    return bounded.where(keep).drop("bound")
+    return with_bound(df, watermark, key, fetched, minutes).where(after_bound(ts)).drop("bound")
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -73,17 +75,17 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return df.withColumn("__rn", F.row_number().over(window)).where("__rn = 1").drop("__rn")
 
 
-def seen_among(df: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The ledger keys that can matter for ``df``.
+def seen_among(df: DataFrame, ledger: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The ledger keys (and ``keep`` columns) that can matter for ``df``.
 
     A small increment is broadcast against the large ledger, which is then only scanned and never
     shuffled. For a larger one this is the whole ledger, left to a shuffled join.
     """
     names = list(keys)
-    wanted = df.select(*names).distinct()
+    wanted = df.select(*names)
     if fits_broadcast(wanted):
-        return ledger.select(*names).join(F.broadcast(wanted), names, "left_semi")
-    return ledger.select(*names)
+        return ledger.select(*names, *keep).join(F.broadcast(wanted.distinct()), names, "left_semi")
+    return ledger.select(*names, *keep)
 
 
 def anti_seen(df: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:

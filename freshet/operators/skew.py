@@ -25,6 +25,8 @@ from freshet.session import frozen
 HOT_ROWS = 1_000_000
 # Groups are hot only above 1/MAX_HOT_KEYS of all rows, so there are at most that many.
 MAX_HOT_KEYS = 10_000
+# Bounds the range partitions of one shuffle, and with them the broadcast segment table.
+MAX_SEGMENTS = 20_000
 # Broadcast checks: a side may be broadcast below both.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -64,14 +66,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (counting at most ``max_rows + 1`` rows) before anyone broadcasts it."""
+    """Measure ``df`` before anyone broadcasts it: partial sums only, no rows move."""
     width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
-    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
 def _segments(df: DataFrame, hot: HotKeys, order: Sequence[Column], segment_rows: int) -> DataFrame:
-    count = max(2, math.ceil(hot.rows / segment_rows))
+    count = min(MAX_SEGMENTS, max(2, math.ceil(hot.rows / segment_rows)))
     ranged = df.repartitionByRange(count, *[F.col(k).asc() for k in hot.keys], *order)
     # The segment id is only stable once written: it depends on sampled range bounds.
     return frozen(ranged.withColumn(_SEGMENT, F.spark_partition_id()))

@@ -12,21 +12,20 @@ from pyspark.sql import functions as F
 from freshet.functions.scalars import LOOKBACK_MINUTES
 from freshet.operators.counters import flagged, upload_status
 from freshet.operators.selection import (
+    after_bound,
     anti_seen,
     beyond_cap,
     cap_per_key,
-    distinct_ids,
     driven_by,
     enrich,
-    incremental_filter,
-    late_items,
     one_per_key,
     seen_among,
+    with_bound,
 )
 from freshet.operators.state import FETCHED, MISSING, PENDING
 from freshet.plans.store import RunStore, State, stamp_of
 from freshet.schemas import CHANNEL_STATS, LEDGER, QUARANTINE, RUN_AUDIT, VIDEO_DETAILS
-from freshet.session import frozen, tune
+from freshet.session import tune
 from freshet.sinks.writers import SAVE_FORMATS, write_csv
 from freshet.sources.files import empty, read_channel_list
 from freshet.sources.landing import (
@@ -84,40 +83,59 @@ def _no_run(spark: SparkSession) -> RunResult:
     return RunResult(*[empty(spark, s) for s in schemas], ran=False, export="skipped")
 
 
-def _candidates(marked: DataFrame, backlog: DataFrame, refresh: DataFrame | None, incremental: bool) -> DataFrame:
+def _turn(df: DataFrame, turn: int, **known) -> DataFrame:
+    """Candidate rows of one source; columns the source does not know are NULL or defaults."""
+    columns = {
+        "published_ts": F.lit(None).cast("timestamp"),
+        "place": F.lit(None).cast("bigint"),
+        "first_seen_run": F.lit(None).cast("timestamp"),
+        "status": F.lit(PENDING),
+        "attempts": F.lit(0).cast("bigint"),
+        **known,
+    }
+    return df.select(*ID, F.lit(turn).alias("turn"), *[c.alias(name) for name, c in columns.items()])
+
+
+def _candidates(found: DataFrame, backlog: DataFrame, refresh: DataFrame | None, incremental: bool) -> DataFrame:
     """Ids this run may take, one row each: backlog first, then asked-for refreshes, then new ids."""
-    none = F.lit(None)
-    fresh = marked.where(~F.col("waiting") & (~F.col("cached") if incremental else F.lit(True)))
+    fresh = found.where("not waiting and not cached" if incremental else "not waiting")
+    carried = {name: F.col(name) for name in ("published_ts", "first_seen_run", "status", "attempts")}
     parts = [
-        backlog.select(*ID, "published_ts", F.lit(0).alias("turn"), none.cast("bigint").alias("place"), "first_seen_run", "status", "attempts"),
-        fresh.select(*ID, "published_ts", F.lit(2).alias("turn"), "place", none.cast("timestamp").alias("first_seen_run"), F.lit(PENDING).alias("status"), F.lit(0).cast("bigint").alias("attempts")),
+        _turn(backlog, 0, **carried),
+        _turn(fresh, 2, published_ts=F.col("published_ts"), place=F.col("place")),
     ]
-    if refresh is not None:
-        parts.append(
-            refresh.select(*ID, none.cast("timestamp").alias("published_ts"), F.lit(1).alias("turn"), none.cast("bigint").alias("place"), none.cast("timestamp").alias("first_seen_run"), F.lit(PENDING).alias("status"), F.lit(0).cast("bigint").alias("attempts"))
-        )
-    both = reduce(DataFrame.unionByName, parts)
-    return both if refresh is None else one_per_key(both, ID, [F.col("turn")])
+    if refresh is None:
+        return reduce(DataFrame.unionByName, parts)
+    parts.append(_turn(refresh, 1))
+    return one_per_key(reduce(DataFrame.unionByName, parts), ID, [F.col("turn")])
 
 
 def _order() -> list:
     return [F.col("turn"), F.col("published_ts").desc_nulls_last(), F.col("place").asc_nulls_last(), F.col("video_id")]
 
 
-def _found(items: DataFrame, state: State, conf: RunConf) -> DataFrame:
-    """Distinct search results within the bound, marked as cached (taken) or waiting (open)."""
-    within = (
-        incremental_filter(items, state.watermark, "channel_id", "published_ts", "last_fetch_ts", conf.lookback_minutes)
-        if conf.incremental
-        else items
+def _offered(store: RunStore, items: DataFrame, state: State, conf: RunConf) -> DataFrame:
+    """Distinct search results: ``inside`` the bound, already ``cached`` (taken) or ``waiting`` (open).
+
+    One pass and one look at the ledger serve the new ids, the counters and the late report.
+    """
+    bounded = with_bound(items, state.watermark, "channel_id", "last_fetch_ts", conf.lookback_minutes)
+    inside = after_bound("published_ts") if conf.incremental else F.lit(True)
+    placed = bounded.withColumn("place", F.col("page_no") * 1_000_000 + F.col("pos")).withColumn("inside", inside)
+    unique = placed.groupBy(*ID).agg(
+        F.min("published_ts").alias("published_ts"), F.min("place").alias("place"), F.max("inside").alias("inside")
+    )
+    ids = store.stage(unique, "ids")
+    taken = state.done.select(*ID, F.lit(True).alias("taken"))
+    known = taken.unionByName(state.open.select(*ID, F.lit(False).alias("taken")))
+    marks = seen_among(ids, known, ID, keep=["taken"]).groupBy(*ID).agg(
+        F.bool_or("taken").alias("cached"), F.bool_or(~F.col("taken")).alias("waiting")
     )
-    placed = within.withColumn("place", F.col("page_no") * 1_000_000 + F.col("pos"))
-    unique = frozen(distinct_ids(placed, ID, ["published_ts", "place"]))
-    marked = flagged(unique, seen_among(unique, state.done, ID), ID, "cached")
-    return frozen(flagged(marked, seen_among(unique, state.open, ID), ID, "waiting"))
+    absent = {name: F.coalesce(name, F.lit(False)) for name in ("cached", "waiting")}
+    return store.stage(ids.join(marks, ID, "left").withColumns(absent), "offered")
 
 
-def _write_state(spark, store, conf, state, active, selected, retrieved, pending) -> None:
+def _write_state(store, conf, state, active, selected, retrieved, pending, only_new) -> None:
     run = F.lit(conf.run_ts).cast("timestamp")
     taken = flagged(selected, retrieved, ID, "retrieved").withColumn("attempts", F.col("attempts") + 1)
     outcome = taken.withColumn("status", F.when(F.col("retrieved"), FETCHED).otherwise(MISSING))
@@ -125,8 +143,9 @@ def _write_state(spark, store, conf, state, active, selected, retrieved, pending
     seen_first = F.coalesce("first_seen_run", run).alias("first_seen_run")
     ledger_columns = [*ID, "published_ts", seen_first, "status", "attempts"]
     finished = outcome.where(closed).select(*ledger_columns)
-    # A full or refreshing run retrieves ids again; the ledger keeps one row per id.
-    store.write_done(anti_seen(finished, state.done, ID), state.epoch, conf.run_ts)
+    # Only full and refreshing runs take ids the ledger already has.
+    new = finished if only_new else anti_seen(finished, state.done, ID)
+    store.write_done(new, state.epoch, conf.run_ts)
     waiting = outcome.where(~closed).select(*ledger_columns).unionByName(pending.select(*ledger_columns))
     untouched = state.open.join(active, "channel_id", "left_anti")
     store.write(waiting.unionByName(untouched), "open", conf.run_ts)
@@ -187,9 +206,9 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
 
     pages = {name: read_envelopes(spark, f"{conf.landing}/{name}", item, conf.multi_line) for name, item in ITEMS.items()}
     rows = {
-        "channels": frozen(channel_rows(pages["channels"])),
-        "search": frozen(search_rows(pages["search"])),
-        "videos": frozen(video_rows(pages["videos"])),
+        "channels": store.stage(channel_rows(pages["channels"]), "channel_rows"),
+        "search": store.stage(search_rows(pages["search"]), "search_rows"),
+        "videos": store.stage(video_rows(pages["videos"]), "video_rows"),
     }
     rejects = reduce(DataFrame.unionByName, [rejected(frame, name) for name, frame in rows.items()])
     blocked = blocking(rejects)
@@ -198,15 +217,13 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     channels = store.run(spark, "channel_stats", conf.run_ts)
     active = channels.select("channel_id")
 
-    items = driven_by(search_items(rows["search"]), active, "channel_id")
-    late = late_items(
-        items, state.watermark, state.ledger, "channel_id", "video_id", "published_ts", "last_fetch_ts", conf.lookback_minutes
-    )
-    found = _found(items, state, conf)
+    offered = _offered(store, driven_by(search_items(rows["search"]), active, "channel_id"), state, conf)
+    found = offered.where("inside")
+    late = offered.where("not inside and not cached and not waiting")
     backlog = driven_by(state.open, active, "channel_id")
     asked = None if refresh is None else driven_by(refresh.select(*ID).distinct(), active, "channel_id")
-    candidates = frozen(_candidates(found, backlog, asked, conf.incremental))
-    selected = frozen(cap_per_key(candidates, "channel_id", "video_id", _order(), conf.cap).drop("rn"))
+    candidates = store.stage(_candidates(found, backlog, asked, conf.incremental), "candidates")
+    selected = store.stage(cap_per_key(candidates, "channel_id", "video_id", _order(), conf.cap).drop("rn"), "selected")
     pending = beyond_cap(candidates, selected, ID)
 
     details = one_per_key(video_details(rows["videos"]), ["video_id"], [])
@@ -218,7 +235,8 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     store.write(rejects, "quarantine", conf.run_ts)
     store.write(_late_rows(late), "late", conf.run_ts)
     exported = _export(store, spark, conf)
-    _write_state(spark, store, conf, state, active, selected, retrieved, pending)
+    only_new = conf.incremental and refresh is None
+    _write_state(store, conf, state, active, selected, retrieved, pending, only_new)
     store.write(_audit(listed, active, blocked, found, selected, retrieved, conf), "audit", conf.run_ts)
     store.commit(spark, state.epoch, conf.run_ts)
 
@@ -229,8 +247,7 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
 
 
 def _late_rows(late: DataFrame) -> DataFrame:
-    unique = distinct_ids(late, ID, ["published_ts"])
-    return unique.select(
+    return late.select(
         *ID,
         "published_ts",
         F.lit(None).cast("timestamp").alias("first_seen_run"),

@@ -4,7 +4,7 @@ Every run writes its own ``run=<stamp>`` folders and, last of all, a commit row.
 runs with a commit row, so a run that died half-way is invisible and re-running a stamp replaces
 exactly what it wrote before.
 
-* ``done``: ids that need no further work. Append-only, one row per id ever, never rewritten.
+* ``done``: ids that need no further work. Append-only, never rewritten; every reader treats it as a set.
 * ``open``: capped or unanswered ids. A full snapshot per run, so the backlog is read without
   touching the large ``done`` table.
 * ``watermark``: one row per channel, a full snapshot per run.
@@ -84,6 +84,14 @@ class RunStore:
         ordered = df.select(*LEDGER.names)
         write_table(ordered, f"{self._done_path(epoch)}/run={stamp_of(run_ts)}", "overwrite", self.fmt)
 
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate result of the current run and read it back: later steps scan only
+        the columns they need, and a lost executor costs no recomputation. Each run replaces the
+        staging tables of the run before it."""
+        path = f"{self.root}/staging/{name}"
+        write_table(df, path, "overwrite", self.fmt)
+        return df.sparkSession.read.schema(df.schema).format(self.fmt).load(path)
+
     def commit(self, spark: SparkSession, epoch: int, run_ts: datetime) -> None:
         self.write(spark.createDataFrame([(run_ts, epoch)], COMMIT), "commits", run_ts)
 
