@@ -115,7 +115,9 @@ class RunStore:
                 0, spark.createDataFrame([], WATERMARK), spark.createDataFrame([], LEDGER), spark.createDataFrame([], LEDGER)
             )
         of_epoch = commits.where(F.col("epoch") == last["epoch"]).select("run")
-        done = self._read(spark, self._done_path(last["epoch"]), LEDGER).join(of_epoch, "run", "left_semi").drop("run")
+        # The plain filter prunes folders before the plan runs: a repeated run may replace its own.
+        earlier = self._read(spark, self._done_path(last["epoch"]), LEDGER).where(F.col("run") <= last["run"])
+        done = earlier.join(of_epoch, "run", "left_semi").drop("run")
 
         def snapshot(table: str) -> DataFrame:
             rows = self._read(spark, f"{self.root}/{table}", self.TABLES[table])
