@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from freshet.catalog.base import CUTOFF_SQL, cutoff, earlier, events, newest, prop, query, table, watermark
 from freshet.operators import counters as C
 from freshet.operators import selection as Sel
+from freshet.operators.skew import fits_broadcast, hot_keys
 
 CAP = 20
 
@@ -76,7 +77,8 @@ def mode_full(spark, sf):
 @query("anti_seen", f"select e.event_id, e.user_id from events e where not exists ({_SEEN})")
 def anti_seen(spark, sf):
     df = events(spark, sf).select("event_id", "user_id", "ts")
-    return Sel.anti_seen(df, earlier(df), ["user_id", "event_id"]).select("event_id", "user_id")
+    small = fits_broadcast(df.select("user_id", "event_id"))
+    return Sel.anti_seen(df, earlier(df), ["user_id", "event_id"], small).select("event_id", "user_id")
 
 
 @query(
@@ -239,7 +241,8 @@ _AUDIT = f"""with c as ({_COUNTERS}),
 def _audit(spark, sf):
     """Only purchases are answered; a channel with nothing answered has failed."""
     marked = _marked(spark, sf)
-    picked = Sel.cap_per_key(marked.where(~F.col("cached")), "user_id", "event_id", newest(), CAP)
+    hot = hot_keys(events(spark, sf), ["user_id"])
+    picked = Sel.cap_per_key(marked.where(~F.col("cached")), "user_id", "event_id", newest(), CAP, hot)
     answered = picked.groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("retrieved"))
     rows = C.run_counters(marked, "user_id", CAP).join(answered, "user_id", "left")
     rows = rows.withColumn("retrieved", F.coalesce("retrieved", F.lit(0)))
@@ -282,7 +285,7 @@ def incremental_enrich(spark, sf):
     slim = df.select("event_id", "user_id", "ts", "props")
     within = Sel.incremental_filter(slim, watermark(df), "user_id", "ts", "last_fetch_ts")
     fresh = Sel.anti_seen(within, earlier(df), ["user_id", "event_id"])
-    selected = Sel.cap_per_key(fresh, "user_id", "event_id", newest(), CAP)
+    selected = Sel.cap_per_key(fresh, "user_id", "event_id", newest(), CAP, hot_keys(df, ["user_id"]))
     channels = table(spark, sf, "customer").withColumnRenamed("c_custkey", "user_id")
     named = Sel.enrich(selected, channels, "user_id", ["c_name"])
     return named.select("event_id", "user_id", "c_name", "ts", F.coalesce(prop("k"), F.lit(0)).alias("k"))

@@ -10,7 +10,7 @@ LAKE_PREFIX = "youtube-raw-data"
 LOOKBACK_MINUTES = 10
 BATCH_SIZE = 50
 DURATION_PATTERN = (
-    r"^P(?=.)(?:(\d+)W)?(?:(\d+)D)?(?:T(?=\d)(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:[.,]\d+)?)S)?)?$"
+    r"^P(?=.)(?:(\d+)W)?(?:(\d+)D)?(?:T(?=\d)(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)(?:[.,]\d+)?S)?)?$"
 )
 DURATION_WEIGHTS = (604800, 86400, 3600, 60, 1)
 STAMP_PATTERN = r"^.*_(\d{8}_\d{6})\.csv$"
@@ -39,7 +39,7 @@ def tags_joined(tags: Column | str) -> Column:
 
 
 def _duration_fields(text: Column) -> Column:
-    # One regex pass: a match is rewritten to five ';'-separated amounts.
+    # One regex pass: a match is rewritten to five ';'-separated whole amounts.
     return F.split(F.regexp_replace(text, F.lit(DURATION_PATTERN), F.lit("$1;$2;$3;$4;$5")), ";")
 
 
@@ -54,11 +54,12 @@ def iso_duration_seconds(value: Column | str) -> Column:
     fields = _duration_fields(text)
     # A rewritten match starts with an amount or ';', so a remaining leading 'P' is a mismatch.
     matched = text.startswith("P") & ~F.element_at(fields, 1).startswith("P")
-    total = F.lit(0).cast("decimal(30,6)")
-    for place, weight in enumerate(DURATION_WEIGHTS, start=1):
-        amount = F.replace(F.try_element_at(fields, F.lit(place)), F.lit(","), F.lit("."))
-        total = total + F.coalesce(amount.try_cast("decimal(20,6)"), F.lit(0)) * F.lit(weight)
-    return F.coalesce(F.when(matched, total.try_cast("bigint")), F.lit(0).cast("bigint"))
+    total = F.lit(0).cast("bigint")
+    for place, weight in enumerate(DURATION_WEIGHTS):
+        amount = F.get(fields, F.lit(place))
+        given = F.when(amount != "", F.try_multiply(amount.try_cast("bigint"), F.lit(weight))).otherwise(F.lit(0))
+        total = F.try_add(total, given)
+    return F.coalesce(F.when(matched, total), F.lit(0).cast("bigint"))
 
 
 def coerce_bigint(value: Column | str) -> Column:

@@ -1,7 +1,7 @@
 """Choosing what a run works on: driving join, bound, dedup, cap, batches, lookup, enrichment.
 
-Joins carry no broadcast hint unless the side's size was measured here. Elsewhere Catalyst and AQE
-pick the strategy from table and shuffle sizes and split skewed partitions; the right-hand sides
+Joins carry no broadcast hint unless the side's size was measured. Elsewhere Catalyst and AQE pick
+the strategy from table and shuffle sizes and split skewed partitions; the right-hand sides
 (channels, watermarks, distinct ids) have one row per key, so only the left side can be hot.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.scalars import BATCH_SIZE, LOOKBACK_MINUTES, lookback
-from freshet.operators.skew import HotKeys, first_per_key, fits_broadcast, sequence_number
+from freshet.operators.skew import HotKeys, first_per_key, sequence_number
 
 
 def is_kind(kind: Column, wanted: str = "video") -> Column:
@@ -75,23 +75,30 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return df.withColumn("__rn", F.row_number().over(window)).where("__rn = 1").drop("__rn")
 
 
-def seen_among(df: DataFrame, ledger: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def seen_among(
+    df: DataFrame, ledger: DataFrame, keys: Sequence[str], small: bool, keep: Sequence[str] = ()
+) -> DataFrame:
     """The ledger keys (and ``keep`` columns) that can matter for ``df``.
 
     A small increment is broadcast against the large ledger, which is then only scanned and never
-    shuffled. For a larger one this is the whole ledger, left to a shuffled join.
+    shuffled. Callers pass ``small = fits_broadcast(df)`` once ``df`` is a written table, so that
+    measuring it costs a scan of the key columns and not its whole lineage. Otherwise this is the
+    whole ledger, left to a shuffled join.
     """
     names = list(keys)
-    wanted = df.select(*names)
-    if fits_broadcast(wanted):
-        return ledger.select(*names, *keep).join(F.broadcast(wanted.distinct()), names, "left_semi")
-    return ledger.select(*names, *keep)
+    known = ledger.select(*names, *keep)
+    if not small:
+        return known
+    return known.join(F.broadcast(df.select(*names).distinct()), names, "left_semi")
+
 
+def anti_seen(df: DataFrame, ledger: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
+    """Rows whose key is not in the ledger. Duplicates stay; NULL keys are rejected.
 
-def anti_seen(df: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the ledger. Duplicates stay; NULL keys are rejected."""
+    ``small`` is for an increment that was measured, see ``seen_among``.
+    """
     usable = df.where(_all_present(keys))
-    return usable.join(seen_among(usable, ledger, keys), list(keys), "left_anti")
+    return usable.join(seen_among(usable, ledger, keys, small), list(keys), "left_anti")
 
 
 def late_items(
@@ -123,11 +130,12 @@ def lookup(details: DataFrame, ids: DataFrame, item: str) -> tuple[DataFrame, Da
 
 
 def enrich(df: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Many-to-one inner join; the dimension must hold one row per key."""
-    side = dimension.select(key, *columns)
-    if fits_broadcast(side):
-        side = F.broadcast(side)
-    return df.join(side, key)
+    """Many-to-one inner join; the dimension must hold one row per key.
+
+    No hint: Catalyst broadcasts a dimension its statistics show to be small, AQE one that turns out
+    small, and beyond that the sort-merge join splits the partitions of hot keys.
+    """
+    return df.join(dimension.select(key, *columns), key)
 
 
 def cap_per_key(

@@ -36,7 +36,11 @@ _SEGMENT = "__segment"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys too large for one task; ``frame`` is None when there are none."""
+    """Keys too large for one task; ``frame`` is None when there are none.
+
+    Found on a plain table and reused for whatever is derived from it by filters and joins that add
+    no rows: a key that is ordinary in the table stays ordinary.
+    """
 
     keys: tuple[str, ...]
     frame: DataFrame | None

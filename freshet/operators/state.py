@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.scalars import parse_iso_lenient
 from freshet.operators.selection import page_numbers
-from freshet.operators.skew import HotKeys
+from freshet.operators.skew import HotKeys, hot_keys
 
 PENDING, MISSING, FETCHED = "pending", "missing", "fetched"
 _RANK = {PENDING: 0, MISSING: 1, FETCHED: 2}
@@ -69,6 +69,7 @@ def collect_ids(
     df: DataFrame, key: str, item: str, size: int = DOCUMENT_IDS, hot: HotKeys | None = None
 ) -> DataFrame:
     """Sorted ids per key in numbered documents of at most ``size`` ids."""
+    hot = hot or hot_keys(df, [key])
     paged = page_numbers(df.select(key, item).distinct(), key, [F.col(item).asc()], size, hot)
     return paged.groupBy(key, F.col("batch_no").alias("chunk_no")).agg(
         F.array_sort(F.collect_list(item)).alias("video_ids")

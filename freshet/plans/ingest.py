@@ -22,6 +22,7 @@ from freshet.operators.selection import (
     seen_among,
     with_bound,
 )
+from freshet.operators.skew import fits_broadcast
 from freshet.operators.state import FETCHED, MISSING, PENDING
 from freshet.plans.store import RunStore, State, stamp_of
 from freshet.schemas import CHANNEL_STATS, LEDGER, QUARANTINE, RUN_AUDIT, VIDEO_DETAILS
@@ -128,7 +129,7 @@ def _offered(store: RunStore, items: DataFrame, state: State, conf: RunConf) ->
     ids = store.stage(unique, "ids")
     taken = state.done.select(*ID, F.lit(True).alias("taken"))
     known = taken.unionByName(state.open.select(*ID, F.lit(False).alias("taken")))
-    marks = seen_among(ids, known, ID, keep=["taken"]).groupBy(*ID).agg(
+    marks = seen_among(ids, known, ID, fits_broadcast(ids.select(*ID)), keep=["taken"]).groupBy(*ID).agg(
         F.bool_or("taken").alias("cached"), F.bool_or(~F.col("taken")).alias("waiting")
     )
     absent = {name: F.coalesce(name, F.lit(False)) for name in ("cached", "waiting")}
@@ -144,7 +145,7 @@ def _write_state(store, conf, state, active, selected, retrieved, pending, only_
     ledger_columns = [*ID, "published_ts", seen_first, "status", "attempts"]
     finished = outcome.where(closed).select(*ledger_columns)
     # Only full and refreshing runs take ids the ledger already has.
-    new = finished if only_new else anti_seen(finished, state.done, ID)
+    new = finished if only_new else anti_seen(finished, state.done, ID, fits_broadcast(selected.select(*ID)))
     store.write_done(new, state.epoch, conf.run_ts)
     waiting = outcome.where(~closed).select(*ledger_columns).unionByName(pending.select(*ledger_columns))
     untouched = state.open.join(active, "channel_id", "left_anti")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.operators.selection import anti_seen, one_per_key
+from freshet.operators.skew import fits_broadcast
 from freshet.schemas import extended
 from freshet.sinks.writers import write_table
 from freshet.sources.files import read_or_empty
@@ -49,7 +50,8 @@ def drain_new(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[st
     def take(batch: DataFrame, batch_id: int) -> None:
         taken = read_or_empty(batch.sparkSession, target, schema)
         others = taken.where((F.col("feed") != feed) | (F.col("batch") != batch_id))
-        fresh = anti_seen(one_per_key(batch, keys, []), others, keys)
+        small = fits_broadcast(batch.select(*keys))
+        fresh = anti_seen(one_per_key(batch, keys, []), others, keys, small)
         write_table(fresh, f"{target}/feed={feed}/batch={batch_id}", "overwrite")
 
     query = (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from freshet.catalog import QUERIES
 from freshet.catalog.base import events
 from freshet.operators.selection import anti_seen, enrich, one_per_key
-from freshet.operators import selection, skew
+from freshet.operators import skew
 
 
 def physical(df) -> str:
@@ -55,12 +55,11 @@ def test_copies_are_dropped_before_the_shuffle(spark):
 
 def test_small_increment_does_not_shuffle_the_ledger(spark):
     df = events(spark, SF).select("user_id", "event_id")
-    plan = physical(anti_seen(df, df, ["user_id", "event_id"]))
+    plan = physical(anti_seen(df, df, ["user_id", "event_id"], small=True))
     assert "LeftSemi, BuildRight" in plan
 
 
-def test_large_sides_are_not_broadcast_by_us(spark, monkeypatch):
-    monkeypatch.setattr(selection, "fits_broadcast", lambda df: False)
+def test_large_sides_are_not_broadcast_by_us(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = events(spark, SF).select("user_id", "event_id")
