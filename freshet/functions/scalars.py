@@ -10,7 +10,7 @@ LAKE_PREFIX = "youtube-raw-data"
 LOOKBACK_MINUTES = 10
 BATCH_SIZE = 50
 DURATION_PATTERN = (
-    r"^P(?=.)(?:(\d+)W)?(?:(\d+)D)?(?:T(?=\d)(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)(?:[.,]\d+)?S)?)?$"
+    r"^P(?=.)(?:\d+W)?(?:\d+D)?(?:T(?=\d)(?:\d+H)?(?:\d+M)?(?:\d+(?:[.,]\d+)?S)?)?$"
 )
 DURATION_WEIGHTS = (604800, 86400, 3600, 60, 1)
 STAMP_PATTERN = r"^.*_(\d{8}_\d{6})\.csv$"
@@ -38,9 +38,10 @@ def tags_joined(tags: Column | str) -> Column:
     return F.array_join(F.coalesce(_col(tags), F.array().cast("array<string>")), ",")
 
 
-def _duration_fields(text: Column) -> Column:
-    # One regex pass: a match is rewritten to five ';'-separated whole amounts.
-    return F.split(F.regexp_replace(text, F.lit(DURATION_PATTERN), F.lit("$1;$2;$3;$4;$5")), ";")
+def _amount(text: Column, unit: str) -> Column:
+    """Whole number in front of ``unit``, 0 where the unit is absent."""
+    number = F.substring_index(text, unit, 1).try_cast("bigint")
+    return F.when(F.contains(text, F.lit(unit)), number).otherwise(F.lit(0).cast("bigint"))
 
 
 def is_iso_duration(value: Column | str) -> Column:
@@ -49,30 +50,44 @@ def is_iso_duration(value: Column | str) -> Column:
 
 
 def iso_duration_seconds(value: Column | str) -> Column:
-    """ISO-8601 duration to whole seconds; missing or unusable text is 0."""
+    """ISO-8601 duration to whole seconds; missing or unusable text is 0.
+
+    The pattern only decides; the amounts are then cut out by cheap string functions, because one
+    regex group extraction per unit costs several times the whole expression.
+    """
     text = _col(value)
-    fields = _duration_fields(text)
-    # A rewritten match starts with an amount or ';', so a remaining leading 'P' is a mismatch.
-    matched = text.startswith("P") & ~F.element_at(fields, 1).startswith("P")
+    date = F.substring_index(F.substr(text, F.lit(2)), "T", 1)
+    clock = F.when(F.contains(text, F.lit("T")), F.substring_index(text, "T", -1)).otherwise(F.lit(""))
+    after_hours = F.substring_index(clock, "H", -1)
+    after_minutes = F.substring_index(after_hours, "M", -1)
+    whole_seconds = F.regexp_replace(after_minutes, r"[.,]\d+", "")
+    amounts = (
+        _amount(date, "W"),
+        _amount(F.substring_index(date, "W", -1), "D"),
+        _amount(clock, "H"),
+        _amount(after_hours, "M"),
+        _amount(whole_seconds, "S"),
+    )
     total = F.lit(0).cast("bigint")
-    for place, weight in enumerate(DURATION_WEIGHTS):
-        amount = F.get(fields, F.lit(place))
-        given = F.when(amount != "", F.try_multiply(amount.try_cast("bigint"), F.lit(weight))).otherwise(F.lit(0))
-        total = F.try_add(total, given)
-    return F.coalesce(F.when(matched, total), F.lit(0).cast("bigint"))
+    for amount, weight in zip(amounts, DURATION_WEIGHTS):
+        total = F.try_add(total, F.try_multiply(amount, F.lit(weight)))
+    return F.coalesce(F.when(is_iso_duration(text), total), F.lit(0).cast("bigint"))
+
+
+def _exact_bigint(value: Column | str) -> Column:
+    # By way of DECIMAL(38,18), which holds every BIGINT. Casting text to BIGINT directly would
+    # reject decimals, and builds an exception per unusable value.
+    return _col(value).cast("string").try_cast("decimal(38,18)").try_cast("bigint")
 
 
 def coerce_bigint(value: Column | str) -> Column:
     """Lenient text to BIGINT: missing or unusable is 0, decimals truncate toward zero, blanks are trimmed."""
-    text = _col(value).cast("string")
-    exact = text.try_cast("decimal(38,18)").try_cast("bigint")
-    return F.coalesce(text.try_cast("bigint"), exact, F.lit(0).cast("bigint"))
+    return F.coalesce(_exact_bigint(value), F.lit(0).cast("bigint"))
 
 
 def is_bigint_text(value: Column | str) -> Column:
     """True when ``coerce_bigint`` keeps a value rather than falling back to 0."""
-    text = _col(value).cast("string")
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,18)").try_cast("bigint")).isNotNull()
+    return _exact_bigint(value).isNotNull()
 
 
 def basename(path: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from freshet.operators.skew import fits_broadcast
 from freshet.operators.state import FETCHED, MISSING, PENDING
 from freshet.plans.store import RunStore, State, stamp_of
 from freshet.schemas import CHANNEL_STATS, LEDGER, QUARANTINE, RUN_AUDIT, VIDEO_DETAILS
-from freshet.session import tune
+from freshet.session import together, tune
 from freshet.sinks.writers import SAVE_FORMATS, write_csv
 from freshet.sources.files import empty, read_channel_list
 from freshet.sources.landing import (
@@ -136,23 +136,23 @@ def _offered(store: RunStore, items: DataFrame, state: State, conf: RunConf) ->
     return store.stage(ids.join(marks, ID, "left").withColumns(absent), "offered")
 
 
-def _write_state(store, conf, state, active, selected, retrieved, pending, only_new) -> None:
+def _state(conf, state, active, selected, retrieved, pending) -> dict[str, DataFrame]:
+    """The state tables after this run."""
     run = F.lit(conf.run_ts).cast("timestamp")
     taken = flagged(selected, retrieved, ID, "retrieved").withColumn("attempts", F.col("attempts") + 1)
     outcome = taken.withColumn("status", F.when(F.col("retrieved"), FETCHED).otherwise(MISSING))
     closed = F.col("retrieved") | (F.col("attempts") >= conf.max_attempts)
     seen_first = F.coalesce("first_seen_run", run).alias("first_seen_run")
-    ledger_columns = [*ID, "published_ts", seen_first, "status", "attempts"]
-    finished = outcome.where(closed).select(*ledger_columns)
-    # Only full and refreshing runs take ids the ledger already has.
-    new = finished if only_new else anti_seen(finished, state.done, ID, fits_broadcast(selected.select(*ID)))
-    store.write_done(new, state.epoch, conf.run_ts)
-    waiting = outcome.where(~closed).select(*ledger_columns).unionByName(pending.select(*ledger_columns))
+    columns = [*ID, "published_ts", seen_first, "status", "attempts"]
+    waiting = outcome.where(~closed).select(*columns).unionByName(pending.select(*columns))
     untouched = state.open.join(active, "channel_id", "left_anti")
-    store.write(waiting.unionByName(untouched), "open", conf.run_ts)
     advanced = active.select("channel_id", run.alias("last_fetch_ts"), run.alias("updated_at"))
     kept = state.watermark.join(active, "channel_id", "left_anti")
-    store.write(advanced.unionByName(kept), "watermark", conf.run_ts)
+    return {
+        "done": outcome.where(closed).select(*columns),
+        "open": waiting.unionByName(untouched),
+        "watermark": advanced.unionByName(kept),
+    }
 
 
 def _audit(listed, active, blocked, found, selected, retrieved, conf) -> DataFrame:
@@ -196,7 +196,7 @@ def _export(store: RunStore, spark: SparkSession, conf: RunConf) -> str:
 
 
 def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None) -> RunResult:
-    """Data tables first, state next, the commit row last."""
+    """Videos first, state and reports next, the commit row last: until then the run is invisible."""
     tune(spark)
     listing = read_channel_list(spark, conf.channel_list)
     if listing is None:
@@ -204,13 +204,12 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     listed = listing.where(F.col("channel_id").isNotNull()).select("channel_id").distinct()
     store = RunStore(conf.root, conf.fmt)
     state = store.load(spark, conf.run_ts)
+    store.withdraw(spark, conf.run_ts)
 
     pages = {name: read_envelopes(spark, f"{conf.landing}/{name}", item, conf.multi_line) for name, item in ITEMS.items()}
-    rows = {
-        "channels": store.stage(channel_rows(pages["channels"]), "channel_rows"),
-        "search": store.stage(search_rows(pages["search"]), "search_rows"),
-        "videos": store.stage(video_rows(pages["videos"]), "video_rows"),
-    }
+    flatten = {"channels": channel_rows, "search": search_rows, "videos": video_rows}
+    staged = together(*[partial(store.stage, flatten[kind](pages[kind]), f"{kind}_rows") for kind in flatten])
+    rows = dict(zip(flatten, staged))
     rejects = reduce(DataFrame.unionByName, [rejected(frame, name) for name, frame in rows.items()])
     blocked = blocking(rejects)
     stats = channel_stats(rows["channels"]).join(blocked, "channel_id", "left_anti")
@@ -233,12 +232,20 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     store.write(videos, "video_details", conf.run_ts)
     retrieved = store.run(spark, "video_details", conf.run_ts).select(*ID)
 
-    store.write(rejects, "quarantine", conf.run_ts)
-    store.write(_late_rows(late), "late", conf.run_ts)
     exported = _export(store, spark, conf)
+
     only_new = conf.incremental and refresh is None
-    _write_state(store, conf, state, active, selected, retrieved, pending, only_new)
-    store.write(_audit(listed, active, blocked, found, selected, retrieved, conf), "audit", conf.run_ts)
+    tables = _state(conf, state, active, selected, retrieved, pending)
+    finished = tables.pop("done")
+    if not only_new:
+        finished = anti_seen(finished, state.done, ID, fits_broadcast(selected.select(*ID)))
+    tables["quarantine"] = rejects
+    tables["late"] = _late_rows(late)
+    tables["audit"] = _audit(listed, active, blocked, found, selected, retrieved, conf)
+    together(
+        partial(store.write_done, finished, state.epoch, conf.run_ts),
+        *[partial(store.write, df, table, conf.run_ts) for table, df in tables.items()],
+    )
     store.commit(spark, state.epoch, conf.run_ts)
 
     written = {t: store.run(spark, t, conf.run_ts) for t in ("video_details", "audit", "quarantine", "late")}

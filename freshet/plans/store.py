@@ -95,6 +95,12 @@ class RunStore:
     def commit(self, spark: SparkSession, epoch: int, run_ts: datetime) -> None:
         self.write(spark.createDataFrame([(run_ts, epoch)], COMMIT), "commits", run_ts)
 
+    def withdraw(self, spark: SparkSession, run_ts: datetime) -> None:
+        """Before a committed run is repeated: hide it until it is whole again."""
+        commits = self._read(spark, f"{self.root}/commits", COMMIT)
+        if not commits.where(F.col("run") == stamp_of(run_ts)).isEmpty():
+            self.write(spark.createDataFrame([], COMMIT), "commits", run_ts)
+
     def run(self, spark: SparkSession, table: str, run_ts: datetime) -> DataFrame:
         """Rows one run wrote, committed or not."""
         return self._read(spark, f"{self.root}/{table}", self.TABLES[table]).where(

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every plan in this package relies on.
@@ -73,3 +76,10 @@ def frozen(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def together(*actions: Callable[[], object]) -> list:
+    """Submit independent Spark jobs at once, so that one job's tail does not idle the cluster."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        futures = [pool.submit(inheritable_thread_target(action)) for action in actions]
+        return [future.result() for future in futures]
