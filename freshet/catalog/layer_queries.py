@@ -21,14 +21,14 @@ from freshet.plans.quality import rule_report, unstable_names
 def silver_latest(spark, sf):
     """Videos are users here, each event one run's row for them; views lack tags and language."""
     has_text = F.col("event_type") != "view"
-    raw = events(spark, sf).select(
+    raw = events(spark, sf).withColumn("text", duration_text()).select(
         F.col("user_id").cast("string").alias("video_id"),
         F.col("event_type").alias("title"),
         iso().alias("published_date"),
         prop("k").alias("view_count"),
         F.lit(None).cast("bigint").alias("like_count"),
         F.lit(None).cast("bigint").alias("comment_count"),
-        S.iso_duration_seconds(duration_text()).alias("duration"),
+        S.iso_duration_seconds("text").alias("duration"),
         F.when(has_text, F.concat("event_type", F.lit(",y"))).alias("tags"),
         F.lit(None).cast("string").alias("category_id"),
         F.when(has_text, F.lit("en")).alias("language"),
@@ -51,28 +51,24 @@ def silver_latest(spark, sf):
 _VIDEOS = f"""select user_id, event_type, ts, {K_SQL} as views, cast(trunc(value) as bigint) as likes,
     hour(ts) as comments, {DURATION_SQL} as duration from events"""
 
-_GOLD = """count(*) as videos, cast(sum(views) as bigint) as views, round(avg(duration), 4) as avg_duration,
-    round(case when sum(views) > 0 then (sum(likes) + sum(comments)) / sum(views) else 0 end, 6) as engagement"""
+_GOLD = """count(*) as videos, cast(sum(views) as bigint) as views, avg(duration) as avg_duration,
+    case when sum(views) > 0 then (sum(likes) + sum(comments)) / sum(views) else 0.0 end as engagement"""
 
 
 def _videos(spark, sf):
-    return events(spark, sf).select(
+    return events(spark, sf).withColumn("text", duration_text()).select(
         "user_id",
         "event_type",
         F.date_format("ts", "yyyy-MM-dd").alias("published_day"),
         prop("k").alias("views"),
         F.col("value").cast("bigint").alias("likes"),
         F.hour("ts").alias("comments"),
-        S.iso_duration_seconds(duration_text()).alias("duration"),
+        S.iso_duration_seconds("text").alias("duration"),
     )
 
 
-def _rounded(gold):
-    return gold.withColumn("avg_duration", F.round("avg_duration", 4)).withColumn("engagement", F.round("engagement", 6))
-
-
 def _gold(spark, sf, key):
-    return _rounded(gold_by(_videos(spark, sf), [key], "views", "likes", "comments", "duration"))
+    return gold_by(_videos(spark, sf), [key], "views", "likes", "comments", "duration")
 
 
 @query("gold_by_channel", f"with v as ({_VIDEOS}) select user_id, {_GOLD} from v group by 1")
@@ -105,7 +101,7 @@ def gold_by_language(spark, sf):
         S.zero_if_missing("toxic").alias("comments"),
         F.length("text").alias("duration"),
     )
-    return _rounded(gold_by(rated, ["lang"], "views", "likes", "comments", "duration"))
+    return gold_by(rated, ["lang"], "views", "likes", "comments", "duration")
 
 
 def _in_order():
@@ -116,13 +112,12 @@ def _in_order():
     "channel_growth",
     f"""with s as (select user_id, event_id, ts, value, {K_SQL} as k from events)
         select user_id, event_id, value, k,
-               round(value - lag(value) over (partition by user_id order by ts, event_id), 6) as value_delta,
+               value - lag(value) over (partition by user_id order by ts, event_id) as value_delta,
                k - lag(k) over (partition by user_id order by ts, event_id) as k_delta from s""",
 )
 def channel_growth(spark, sf):
     snapshots = events(spark, sf).select("user_id", "event_id", "ts", "value", prop("k").alias("k"))
-    changes = growth(snapshots, "user_id", _in_order(), ["value", "k"])
-    return changes.withColumn("value_delta", F.round("value_delta", 6)).drop("ts")
+    return growth(snapshots, "user_id", _in_order(), ["value", "k"]).drop("ts")
 
 
 @query(
@@ -147,12 +142,12 @@ def channel_name_history(spark, sf):
        union all select 'name stable', count(*) from (select user_id from events group by 1 having min(event_type) != max(event_type))""",
 )
 def dq_report(spark, sf):
-    df = events(spark, sf)
+    df = events(spark, sf).withColumn("duration", duration_text()).withColumn("number", number_text())
     rules = {
         "key present": F.col("event_id").isNotNull(),
         "value above one": F.col("value") > 1,
-        "duration parses": S.is_iso_duration(duration_text()),
-        "number parses": S.is_bigint_text(number_text()),
+        "duration parses": S.is_iso_duration("duration"),
+        "number parses": S.is_bigint_text("number"),
     }
     renamed = unstable_names(df, "user_id", "event_type")
     stable = renamed.agg(F.lit("name stable").alias("rule"), F.count(F.lit(1)).alias("violations"))

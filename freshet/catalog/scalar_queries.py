@@ -77,12 +77,14 @@ def tags_join(spark, sf):
 
 @query("iso_duration_seconds", f"select event_id, cast({DURATION_SQL} as bigint) as seconds from events")
 def iso_duration_seconds(spark, sf):
-    return events(spark, sf).select("event_id", S.iso_duration_seconds(duration_text()).alias("seconds"))
+    texts = events(spark, sf).select("event_id", duration_text().alias("text"))
+    return texts.select("event_id", S.iso_duration_seconds("text").alias("seconds"))
 
 
 @query("numeric_coerce", f"select event_id, cast({NUMBER_SQL} as bigint) as n from events")
 def numeric_coerce(spark, sf):
-    return events(spark, sf).select("event_id", S.coerce_bigint(number_text()).alias("n"))
+    texts = events(spark, sf).select("event_id", number_text().alias("text"))
+    return texts.select("event_id", S.coerce_bigint("text").alias("n"))
 
 
 def _part_sql(part: str, pattern: str) -> str:
@@ -122,7 +124,7 @@ def quarantine_names(spark, sf):
         select event_id, key, 's3://lake/' || key as uri from keyed""",
 )
 def lake_path(spark, sf):
-    keyed = events(spark, sf).select("event_id", S.lake_path(file_name()).alias("key"))
+    keyed = events(spark, sf).select("event_id", file_name().alias("name")).select("event_id", S.lake_path("name").alias("key"))
     return keyed.withColumn("uri", S.object_uri("lake", "key"))
 
 

@@ -2,8 +2,9 @@
 
 A plain ``Window.partitionBy(key)`` puts a whole key into one task. Here only the keys whose group
 is too large for one task (found by a pre-aggregated count) leave that path: their rows are
-range-partitioned by (key, order) into segments, each segment is numbered on its own, and a small
-table with one row per (key, segment) carries the totals or the last row over to the next segment.
+range-partitioned and sorted by (key, order) into segments, which gives every row its place in its
+segment, and a small table with one row per (key, segment) carries the totals or the last row over
+to the next segment.
 
 The segment table has at most ``segments + hot keys`` rows, because range partitions hold
 contiguous keys; the hot-key table has at most ``MAX_HOT_KEYS`` rows. Both bounds hold for any
@@ -31,7 +32,7 @@ MAX_SEGMENTS = 20_000
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-_SEGMENT = "__segment"
+_SEGMENT, _PLACE = "__segment", "__place"
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,10 @@ class HotKeys:
     frame: DataFrame | None
     rows: int
 
+    def settled(self, df: DataFrame) -> DataFrame:
+        """``df`` written out if it is about to be split again, so that its lineage runs once."""
+        return df if self.frame is None else frozen(df)
+
     def split(self, df: DataFrame) -> tuple[DataFrame | None, DataFrame]:
         """(rows of hot keys or None, all other rows)"""
         if self.frame is None:
@@ -78,17 +83,26 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 def _segments(df: DataFrame, hot: HotKeys, order: Sequence[Column], segment_rows: int) -> DataFrame:
     count = min(MAX_SEGMENTS, max(2, math.ceil(hot.rows / segment_rows)))
-    ranged = df.repartitionByRange(count, *[F.col(k).asc() for k in hot.keys], *order)
-    # The segment id is only stable once written: it depends on sampled range bounds.
-    return frozen(ranged.withColumn(_SEGMENT, F.spark_partition_id()))
+    by = [*[F.col(k).asc() for k in hot.keys], *order]
+    ranged = df.repartitionByRange(count, *by).sortWithinPartitions(*by)
+    # The row id counts up within a partition, so it holds the segment and the place in it. Both are
+    # only stable once written: they depend on sampled range bounds.
+    row = F.monotonically_increasing_id()
+    return frozen(
+        ranged.withColumn("__row", row)
+        .withColumn(_SEGMENT, F.shiftright("__row", 33))
+        .withColumn(_PLACE, F.col("__row").bitwiseAND(F.lit((1 << 33) - 1)))
+        .drop("__row"),
+        "segments",
+    )
 
 
 def _by_key(hot: HotKeys, order: Sequence[Column]):
     return Window.partitionBy(*hot.keys).orderBy(*order)
 
 
-def _by_segment(hot: HotKeys, order: Sequence[Column]):
-    return Window.partitionBy(*hot.keys, _SEGMENT).orderBy(*order)
+def _by_segment(hot: HotKeys):
+    return Window.partitionBy(*hot.keys, _SEGMENT).orderBy(_PLACE)
 
 
 def sequence_number(
@@ -106,13 +120,11 @@ def sequence_number(
     if large is None:
         return numbered
     cut = _segments(large, hot, order, segment_rows)
-    sizes = cut.groupBy(*keys, _SEGMENT).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = cut.groupBy(*keys, _SEGMENT).agg(F.count(F.lit(1)).alias("__n"), F.min(_PLACE).alias("__low"))
     before = Window.partitionBy(*keys).orderBy(_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, _SEGMENT, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    local = cut.withColumn(name, F.row_number().over(_by_segment(hot, order)))
-    placed = local.join(F.broadcast(starts), [*keys, _SEGMENT]).withColumn(
-        name, (F.col(name) + F.col("__start")).cast("bigint")
-    )
+    earlier = F.coalesce(F.sum("__n").over(before), F.lit(0))
+    starts = sizes.select(*keys, _SEGMENT, (earlier - F.col("__low") + 1).alias("__start"))
+    placed = cut.join(F.broadcast(starts), [*keys, _SEGMENT]).withColumn(name, F.col(_PLACE) + F.col("__start"))
     return numbered.unionByName(placed.select(*numbered.columns))
 
 
@@ -133,7 +145,7 @@ def with_previous(
     if large is None:
         return out
     cut = _segments(large, hot, order, segment_rows)
-    window = _by_segment(hot, order)
+    window = _by_segment(hot)
     local = cut.withColumn("__first", F.row_number().over(window) == 1).withColumn(
         "__last", F.lead(F.lit(1)).over(window).isNull()
     )

@@ -67,8 +67,8 @@ def name_history(
     descending = [F.col(c).desc() for c in (ts, *tie)]
     marked = with_previous(snapshots, [key], ascending, {"__name": name}, hot)
     starts = marked.where(F.col("__name").isNull() | (F.col("__name") != F.col(name))).drop("__name")
-    ended = with_previous(starts, [key], descending, {"valid_to": ts}, hot)
-    numbered = sequence_number(ended, [key], ascending, "version", hot)
+    ended = with_previous(hot.settled(starts), [key], descending, {"valid_to": ts}, hot)
+    numbered = sequence_number(hot.settled(ended), [key], ascending, "version", hot)
     return numbered.select(key, "version", name, F.col(ts).alias("valid_from"), "valid_to")
 
 

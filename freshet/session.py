@@ -8,7 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every plan in this package relies on.
 RUNTIME_CONF = {
@@ -70,12 +70,12 @@ def working_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/freshet/{label}-{uuid.uuid4().hex}"
 
 
-def frozen(df):
-    """Materialise ``df`` reliably so that a lost executor cannot change or replay its lineage."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+def frozen(df: DataFrame, label: str = "frozen") -> DataFrame:
+    """``df`` as a table below the shared folder: computed once, and a lost executor can neither
+    change nor replay it. (A checkpoint would compute it twice and keep every column as rows.)"""
+    path = working_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def together(*actions: Callable[[], object]) -> list:
