@@ -15,6 +15,7 @@ DURATION_PATTERN = (
 DURATION_WEIGHTS = (604800, 86400, 3600, 60, 1)
 STAMP_PATTERN = r"^.*_(\d{8}_\d{6})\.csv$"
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
+DATE_STAMP_PATTERN = r"^.*_(\d{8})\.csv$"
 
 
 def _col(value: Column | str) -> Column:
@@ -104,6 +105,12 @@ def stamp_ts(filename: Column | str) -> Column:
     return F.try_to_timestamp(stamp_text(filename), F.lit(STAMP_FORMAT))
 
 
+def date_stamp_ts(filename: Column | str) -> Column:
+    """Midnight of a name that carries only a date; such names are otherwise rejected."""
+    text = F.nullif(F.regexp_extract(_col(filename), DATE_STAMP_PATTERN, 1), F.lit(""))
+    return F.try_to_timestamp(text, F.lit("yyyyMMdd"))
+
+
 def stamp_parts(filename: Column | str) -> dict[str, Column]:
     """The six zero-padded parts of a file-name stamp, NULL when the name is rejected."""
     text = F.when(stamp_ts(filename).isNotNull(), stamp_text(filename))

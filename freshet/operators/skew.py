@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freshet.session import frozen
 
@@ -75,8 +76,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` before anyone broadcasts it: partial sums only, no rows move."""
-    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    """Measure ``df`` before anyone broadcasts it: partial sums only, no rows move. Flat rows only."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for f in df.schema.fields):
+        return False
+    width = F.lit(16 * len(df.columns))
+    for name in texts:
+        width = width + F.coalesce(F.octet_length(name), F.lit(0))
     size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 

@@ -115,7 +115,7 @@ def _order() -> list:
     return [F.col("turn"), F.col("published_ts").desc_nulls_last(), F.col("place").asc_nulls_last(), F.col("video_id")]
 
 
-def _offered(store: RunStore, items: DataFrame, state: State, conf: RunConf) -> DataFrame:
+def _offered(store: RunStore, items: DataFrame, small: bool, state: State, conf: RunConf) -> DataFrame:
     """Distinct search results: ``inside`` the bound, already ``cached`` (taken) or ``waiting`` (open).
 
     One pass and one look at the ledger serve the new ids, the counters and the late report.
@@ -123,13 +123,12 @@ def _offered(store: RunStore, items: DataFrame, state: State, conf: RunConf) ->
     bounded = with_bound(items, state.watermark, "channel_id", "last_fetch_ts", conf.lookback_minutes)
     inside = after_bound("published_ts") if conf.incremental else F.lit(True)
     placed = bounded.withColumn("place", F.col("page_no") * 1_000_000 + F.col("pos")).withColumn("inside", inside)
-    unique = placed.groupBy(*ID).agg(
+    ids = placed.groupBy(*ID).agg(
         F.min("published_ts").alias("published_ts"), F.min("place").alias("place"), F.max("inside").alias("inside")
     )
-    ids = store.stage(unique, "ids")
     taken = state.done.select(*ID, F.lit(True).alias("taken"))
     known = taken.unionByName(state.open.select(*ID, F.lit(False).alias("taken")))
-    marks = seen_among(ids, known, ID, fits_broadcast(ids.select(*ID)), keep=["taken"]).groupBy(*ID).agg(
+    marks = seen_among(items, known, ID, small, keep=["taken"]).groupBy(*ID).agg(
         F.bool_or("taken").alias("cached"), F.bool_or(~F.col("taken")).alias("waiting")
     )
     absent = {name: F.coalesce(name, F.lit(False)) for name in ("cached", "waiting")}
@@ -204,11 +203,12 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     listed = listing.where(F.col("channel_id").isNotNull()).select("channel_id").distinct()
     store = RunStore(conf.root, conf.fmt)
     state = store.load(spark, conf.run_ts)
-    store.withdraw(spark, conf.run_ts)
+    if state.repeated:
+        store.withdraw(spark, conf.run_ts)
 
     pages = {name: read_envelopes(spark, f"{conf.landing}/{name}", item, conf.multi_line) for name, item in ITEMS.items()}
     flatten = {"channels": channel_rows, "search": search_rows, "videos": video_rows}
-    staged = together(*[partial(store.stage, flatten[kind](pages[kind]), f"{kind}_rows") for kind in flatten])
+    staged = together(spark, *[partial(store.stage, flatten[kind](pages[kind]), f"{kind}_rows") for kind in flatten])
     rows = dict(zip(flatten, staged))
     rejects = reduce(DataFrame.unionByName, [rejected(frame, name) for name, frame in rows.items()])
     blocked = blocking(rejects)
@@ -217,12 +217,15 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     channels = store.run(spark, "channel_stats", conf.run_ts)
     active = channels.select("channel_id")
 
-    offered = _offered(store, driven_by(search_items(rows["search"]), active, "channel_id"), state, conf)
+    items = driven_by(search_items(rows["search"]), active, "channel_id")
+    offered = _offered(store, items, fits_broadcast(rows["search"].select(*ID)), state, conf)
     found = offered.where("inside")
     late = offered.where("not inside and not cached and not waiting")
     backlog = driven_by(state.open, active, "channel_id")
     asked = None if refresh is None else driven_by(refresh.select(*ID).distinct(), active, "channel_id")
-    candidates = store.stage(_candidates(found, backlog, asked, conf.incremental), "candidates")
+    # Filters over written tables, unless refreshes had to be merged in.
+    candidates = _candidates(found, backlog, asked, conf.incremental)
+    candidates = candidates if asked is None else store.stage(candidates, "candidates")
     selected = store.stage(cap_per_key(candidates, "channel_id", "video_id", _order(), conf.cap).drop("rn"), "selected")
     pending = beyond_cap(candidates, selected, ID)
 
@@ -243,6 +246,7 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     tables["late"] = _late_rows(late)
     tables["audit"] = _audit(listed, active, blocked, found, selected, retrieved, conf)
     together(
+        spark,
         partial(store.write_done, finished, state.epoch, conf.run_ts),
         *[partial(store.write, df, table, conf.run_ts) for table, df in tables.items()],
     )

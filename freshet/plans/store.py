@@ -33,7 +33,7 @@ from freshet.schemas import (
     extended,
 )
 from freshet.sinks.writers import write_table
-from freshet.sources.files import read_or_empty
+from freshet.sources.files import empty, read_or_empty
 
 
 def stamp_of(run_ts: datetime) -> str:
@@ -45,6 +45,7 @@ class State:
     """What the runs before this one left behind."""
 
     epoch: int
+    repeated: bool
     watermark: DataFrame
     done: DataFrame
     open: DataFrame
@@ -97,9 +98,7 @@ class RunStore:
 
     def withdraw(self, spark: SparkSession, run_ts: datetime) -> None:
         """Before a committed run is repeated: hide it until it is whole again."""
-        commits = self._read(spark, f"{self.root}/commits", COMMIT)
-        if not commits.where(F.col("run") == stamp_of(run_ts)).isEmpty():
-            self.write(spark.createDataFrame([], COMMIT), "commits", run_ts)
+        self.write(empty(spark, COMMIT), "commits", run_ts)
 
     def run(self, spark: SparkSession, table: str, run_ts: datetime) -> DataFrame:
         """Rows one run wrote, committed or not."""
@@ -114,12 +113,15 @@ class RunStore:
 
     def load(self, spark: SparkSession, before: datetime) -> State:
         """State as of the last commit before ``before``."""
-        commits = self._read(spark, f"{self.root}/commits", COMMIT).where(F.col("run") < stamp_of(before))
-        last = commits.agg(F.max(F.struct(F.col("run"), F.col("epoch"))).alias("last")).first()["last"]
+        every = self._read(spark, f"{self.root}/commits", COMMIT)
+        commits = every.where(F.col("run") < stamp_of(before))
+        is_before, is_this = F.col("run") < stamp_of(before), F.col("run") == stamp_of(before)
+        found = every.agg(
+            F.max(F.when(is_before, F.struct("run", "epoch"))).alias("last"), F.bool_or(is_this).alias("repeated")
+        ).first()
+        last, repeated = found["last"], bool(found["repeated"])
         if last is None:
-            return State(
-                0, spark.createDataFrame([], WATERMARK), spark.createDataFrame([], LEDGER), spark.createDataFrame([], LEDGER)
-            )
+            return State(0, repeated, *[empty(spark, schema) for schema in (WATERMARK, LEDGER, LEDGER)])
         of_epoch = commits.where(F.col("epoch") == last["epoch"]).select("run")
         # The plain filter prunes folders before the plan runs: a repeated run may replace its own.
         earlier = self._read(spark, self._done_path(last["epoch"]), LEDGER).where(F.col("run") <= last["run"])
@@ -129,7 +131,7 @@ class RunStore:
             rows = self._read(spark, f"{self.root}/{table}", self.TABLES[table])
             return rows.where(F.col("run") == last["run"]).drop("run")
 
-        return State(last["epoch"], snapshot("watermark"), done, snapshot("open"))
+        return State(last["epoch"], repeated, snapshot("watermark"), done, snapshot("open"))
 
     def clear(self, spark: SparkSession, run_ts: datetime, channels: DataFrame | None = None) -> bool:
         """Forget the listed channels, or everything; False when there is no state to clear."""
@@ -155,6 +157,6 @@ class RunStore:
         )
         state = self.load(spark, run_ts)
         self.write_done(ledger, state.epoch + 1, run_ts)
-        self.write(spark.createDataFrame([], LEDGER), "open", run_ts)
+        self.write(empty(spark, LEDGER), "open", run_ts)
         self.write(watermark, "watermark", run_ts)
         self.commit(spark, state.epoch + 1, run_ts)

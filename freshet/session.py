@@ -78,8 +78,8 @@ def frozen(df: DataFrame, label: str = "frozen") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def together(*actions: Callable[[], object]) -> list:
+def together(spark: SparkSession, *actions: Callable[[], object]) -> list:
     """Submit independent Spark jobs at once, so that one job's tail does not idle the cluster."""
     with ThreadPoolExecutor(len(actions)) as pool:
-        futures = [pool.submit(inheritable_thread_target(action)) for action in actions]
+        futures = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
         return [future.result() for future in futures]

@@ -37,6 +37,13 @@ def write_table(df: DataFrame, path: str, mode: str = "append", fmt: str = "parq
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
+def save_table(df: DataFrame, name: str, mode: str = "append", fmt: str = "parquet") -> None:
+    """The same four modes for a table of the session's catalog."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    df.write.format(fmt).mode(mode).saveAsTable(name)
+
+
 def overwrite_partitions(
     df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet", options: dict | None = None
 ) -> None:

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
-    session = local_session(4, "tests", 4, **{"spark.checkpoint.dir": str(shared)})
+    session = local_session(4, "tests", 4, **{"spark.checkpoint.dir": str(shared / "checkpoints"), "spark.sql.warehouse.dir": str(shared / "tables")})
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

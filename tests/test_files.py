@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from freshet.operators.state import ids_of_documents, state_documents, watermark_of_documents
 from freshet.plans.layers import in_hours, since_month
 from freshet.schemas import CHANNEL_STATS, VIDEO_DETAILS
-from freshet.sinks.writers import overwrite_partitions, write_csv, write_lake, write_table
+from freshet.sinks.writers import overwrite_partitions, save_table, write_csv, write_lake, write_table
 from freshet.sources.files import read_bronze, read_channel_list, read_csv, read_lake, read_state_documents
 from freshet.sources.landing import (
     ITEMS,
@@ -100,6 +100,17 @@ def test_modes(spark, tmp_path):
         write_table(df, path, "replace")
 
 
+def test_catalog_table_modes(spark):
+    df = spark.range(3)
+    save_table(df, "modes_under_test", "overwrite")
+    save_table(df, "modes_under_test")
+    save_table(df, "modes_under_test", "ignore")
+    assert spark.table("modes_under_test").count() == 6
+    with pytest.raises(AnalysisException):
+        save_table(df, "modes_under_test", "error")
+    spark.sql("drop table modes_under_test")
+
+
 def test_hour_lake_prunes(spark, tmp_path):
     path = str(tmp_path / "lake")
     df = spark.range(50).select("id", F.expr("timestamp '2026-01-19 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int))").alias("ts"))

@@ -65,6 +65,11 @@ def test_stamp(spark, name, stamp):
     assert value(spark, S.stamp_parts("n")["month"], n=name) == (stamp and f"{stamp:%m}")
 
 
+def test_date_only_stamp(spark):
+    assert value(spark, S.date_stamp_ts("n"), n="channel_stats_20260115.csv") == datetime(2026, 1, 15)
+    assert value(spark, S.date_stamp_ts("n"), n="channel_stats_20260119_213221.csv") is None
+
+
 def test_lake_path(spark):
     name = "channel_stats_20260119_213221.csv"
     key = "youtube-raw-data/2026/01/19/21/" + name

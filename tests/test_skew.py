@@ -97,6 +97,7 @@ def test_fits_broadcast(spark):
     df = skewed(spark)
     assert fits_broadcast(df) and not fits_broadcast(df, max_rows=399) and not fits_broadcast(df, max_bytes=100)
     assert fits_broadcast(df.where("false"))
+    assert not fits_broadcast(df.groupBy("k").agg(F.collect_list("id")))
 
 
 def test_size_check_moves_no_rows(spark):
