@@ -72,3 +72,8 @@ def test_large_sides_are_not_broadcast_by_us(spark):
 
 def test_hot_path_is_off_for_ordinary_keys(spark):
     assert skew.hot_keys(events(spark, SF), ["event_type"]).frame is None
+
+
+def test_partitioned_writes_are_rebalanced(spark):
+    plan = events(spark, SF).hint("rebalance", F.col("event_type"))._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan

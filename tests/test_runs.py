@@ -6,6 +6,8 @@ from pathlib import Path
 
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from freshet.plans.ingest import RunConf, run_job
 from freshet.plans.layers import silver_videos
@@ -266,3 +268,34 @@ def test_duplicate_results_count_once(world):
     (page.parent / "search__A__p1.json").write_text(page.read_text())
     result = world.run(R1, landing=landing)
     assert ids(result) == ["v1", "v2"] and audit(result)["found"] == 2
+
+
+@settings(max_examples=3, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from("AB"), st.integers(0, 2), st.integers(-20, 150), st.booleans()), min_size=3, max_size=12),
+    st.integers(1, 4),
+)
+def test_no_id_is_lost_or_taken_twice(spark, tmp_path_factory, plan, cap):
+    """Videos appear before random runs at random publish times, some without details."""
+    world = World(spark, tmp_path_factory.mktemp("world"))
+    world.names = {"A": "a", "B": "b"}
+    runs, fetched, offered = (R1, R2, R3), set(), set()
+    for step, run_ts in enumerate(runs):
+        for n, (channel, appears, minutes, hidden) in enumerate(plan):
+            if appears == step:
+                published = R1 + timedelta(hours=3 * (step - 1), minutes=minutes)
+                world.videos.setdefault(channel, {})[f"{channel}{n}"] = published
+                offered |= {f"{channel}{n}"} if step == 0 or published > runs[step - 1] - timedelta(minutes=10) else set()
+                if hidden:
+                    world.hidden.add(f"{channel}{n}")
+        result = world.run(run_ts, cap=cap)
+        got = ids(result)
+        assert len(got) == len(set(got)) and not fetched & set(got) and not world.hidden & set(got)
+        fetched |= set(got)
+        for row in result.audit.collect():
+            assert row["found"] == row["cached"] + row["new"] and row["retrieved"] <= row["selected"] <= cap
+        state = world.store.load(spark, datetime(2027, 1, 1))
+        done, waiting = ([v for (v,) in rows(part, "video_id")] for part in (state.done, state.open))
+        assert len(done + waiting) == len(set(done + waiting))
+        # Everything ever offered inside its bound is either taken or waiting; nothing else is.
+        assert set(done + waiting) == offered and fetched == set(done) - world.hidden
