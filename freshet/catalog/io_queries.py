@@ -14,7 +14,7 @@ from freshet.catalog.base import DURATION_SQL, EVENTS, K_SQL, by_type, events, q
 from freshet.catalog.landed import channel_envelopes, land, search_envelopes, video_envelopes
 from freshet.plans.layers import in_hours, since_month
 from freshet.plans.quality import violations, with_corrupt
-from freshet.session import working_dir
+from freshet.session import frozen, working_dir
 from freshet.sinks.writers import hour_columns, overwrite_partitions, write_csv, write_lake, write_table
 from freshet.sources.files import read_bronze, read_channel_list, read_csv, read_lake
 from freshet.sources.landing import (
@@ -122,7 +122,7 @@ def quarantine_channels(spark, sf):
     lines = events(spark, sf).select(body.alias("body"), cut.alias("cut"))
     whole = F.col("body")
     lines.select(F.when(F.col("cut"), F.substring(whole, F.lit(1), F.length(whole) - 2)).otherwise(whole)).write.text(path)
-    rows = search_rows(read_envelopes(spark, path, ITEMS["search"]))
+    rows = frozen(search_rows(read_envelopes(spark, path, ITEMS["search"])))
     rejects = rejected(rows, "search")
     blocked = blocking(rejects)
     nothing = F.lit("").alias("video_id")

@@ -50,12 +50,12 @@ def local_session(cores: str | int = "*", app: str = "freshet", partitions: int
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or what the context was given.
 
     Only a local session may fall back to a temporary folder of this machine.
     """
     global _local_root
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

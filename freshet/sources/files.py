@@ -47,13 +47,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, **options) ->
 
 
 def read_channel_list(spark: SparkSession, path: str) -> DataFrame | None:
-    """The driving list, or None when the file does not exist (which means: no run)."""
+    """The driving list, or None when the file does not exist (which means: no run).
+
+    Columns are found by the header, in any order and next to others; all of them are read as text.
+    """
     try:
-        return read_csv(spark, path, CHANNEL_LIST)
+        listed = spark.read.options(**CSV_READ).csv(path)
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
         return None
+    for name in CHANNEL_LIST.names:
+        if name not in listed.columns and name != "channel_id":
+            listed = listed.withColumn(name, F.lit(None).cast("string"))
+    return listed.select(*CHANNEL_LIST.names)
 
 
 def read_lake(spark: SparkSession, path: str, schema: T.StructType, parts: tuple, fmt: str = "parquet") -> DataFrame:

@@ -38,6 +38,14 @@ def test_channel_list(spark, tmp_path):
     assert rows(read_channel_list(spark, path)) == [("!c", "UC2"), ("À b", "UC_1-x")]
 
 
+def test_channel_list_goes_by_header(spark, tmp_path):
+    path = put(tmp_path / "list.csv", "extra,channel_id,channel_name\n1,UC1,n\n")
+    assert rows(read_channel_list(spark, path)) == [("n", "UC1")]
+    assert rows(read_channel_list(spark, put(tmp_path / "ids.csv", "channel_id\nUC1\n"))) == [(None, "UC1")]
+    with pytest.raises(AnalysisException):
+        read_channel_list(spark, put(tmp_path / "other.csv", "name\nUC1\n"))
+
+
 def test_missing_channel_list(spark, tmp_path):
     assert read_channel_list(spark, str(tmp_path / "none.csv")) is None
 
