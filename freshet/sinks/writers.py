@@ -68,8 +68,11 @@ def hour_columns(ts: Column) -> dict[str, Column]:
     return {name: F.date_format(ts, pattern) for name, pattern in patterns.items()}
 
 
-def write_lake(df: DataFrame, path: str, ts: Column, fmt: str = "parquet") -> None:
-    """``year=/month=/day=/hour=`` layout, so a range of hours prunes to its folders."""
+def write_lake(df: DataFrame, path: str, ts: Column, fmt: str = "parquet", extra: tuple = ()) -> None:
+    """``year=/month=/day=/hour=`` layout, so a range of hours prunes to its folders.
+
+    ``extra`` columns split an hour further, for instance by run.
+    """
     parts = hour_columns(ts)
     options = {**CSV_WRITE, "maxRecordsPerFile": str(CSV_FILE_ROWS)} if fmt == "csv" else None
-    overwrite_partitions(df.withColumns(parts), path, list(parts), fmt, options)
+    overwrite_partitions(df.withColumns(parts), path, [*parts, *extra], fmt, options)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from freshet.operators.state import ids_of_documents, state_documents, watermark_of_documents
 from freshet.plans.layers import in_hours, since_month
+from freshet.plans.migrate import migrate_snapshots
 from freshet.schemas import CHANNEL_STATS, VIDEO_DETAILS
 from freshet.sinks.writers import overwrite_partitions, save_table, write_csv, write_lake, write_table
 from freshet.sources.files import read_bronze, read_channel_list, read_csv, read_lake, read_state_documents
@@ -61,6 +62,21 @@ def test_legacy_csv(spark, tmp_path):
     ]
 
 
+def test_migrate_snapshots(spark, tmp_path):
+    text = "channel_id,channel_name,subscribers,total_views,video_count\nUC1,n,{},3000000000,3\n"
+    for name, value in {"20260115": 1, "20260119_213221": 2, "20260119_215755": 3, "20269999_999999": 4}.items():
+        put(tmp_path / "in" / f"channel_stats_{name}.csv", text.format(value))
+    parts = ("year", "month", "day", "hour", "run")
+    for _ in range(2):
+        rejected_files = migrate_snapshots(spark, str(tmp_path / "in"), str(tmp_path / "lake"), "channel_stats", CHANNEL_STATS)
+        assert rows(rejected_files) == [("channel_stats_20260115.csv", 1), ("channel_stats_20269999_999999.csv", 1)]
+        lake = read_lake(spark, str(tmp_path / "lake/channel_stats"), CHANNEL_STATS, parts)
+        assert rows(lake, "subscribers", "day", "hour", "run") == [(2, "19", "21", "20260119_213221"), (3, "19", "21", "20260119_215755")]
+    migrate_snapshots(spark, str(tmp_path / "in"), str(tmp_path / "lake"), "channel_stats", CHANNEL_STATS, admit_dates=True)
+    lake = read_lake(spark, str(tmp_path / "lake/channel_stats"), CHANNEL_STATS, parts)
+    assert rows(lake, "subscribers") == [(1,), (2,), (3,)]
+
+
 def test_snapshot_without_stamp_is_kept_apart(spark, tmp_path):
     text = "channel_id,channel_name,subscribers,total_views,video_count\nUC1,n,1,3000000000,3\n"
     put(tmp_path / "channel_stats_20260115.csv", text)

@@ -11,6 +11,8 @@ from hypothesis import strategies as st
 
 from freshet.plans.ingest import RunConf, run_job
 from freshet.plans.layers import silver_videos
+from freshet.plans.migrate import import_state
+from freshet.plans.publish import publish
 from freshet.plans.store import RunStore
 from freshet.schemas import CHANNEL_STATS, VIDEO_DETAILS
 
@@ -226,6 +228,44 @@ def test_clear_state(world):
     assert ids(world.run(R4 + timedelta(hours=3))) == ["A0", "A1", "B0", "B1"]
 
 
+def test_imported_documents(world, tmp_path):
+    world.publish("A", ["v1"])
+    world.publish("A", ["v2"], start=R1 + timedelta(minutes=1))
+    folder = tmp_path / "cache"
+    folder.mkdir()
+    state = {"last_fetch_time": "2026-01-02T00:00:00.000001+00:00Z", "video_ids": ["v1"], "updated_at": "x"}
+    (folder / "channel_A_cache.json").write_text(json.dumps(state, indent=2))
+    (folder / "channel_B_cache.json").write_text("{oops")
+    assert rows(import_state(world.spark, str(folder), world.store, R1)) == [("B",)]
+    assert ids(world.run(R2)) == ["v2"]
+
+
+def test_published_tables(world, tmp_path):
+    world.publish("A", ["v1", "v2"])
+    world.publish("B", ["w1"])
+    world.run(R1)
+    world.names["A"] = "renamed"
+    world.publish("A", ["v3"], start=R1 + timedelta(days=1))
+    world.run(R2)
+    publish(world.spark, world.store, str(tmp_path / "out"))
+
+    def table(name):
+        return world.spark.read.parquet(str(tmp_path / "out" / name))
+
+    assert rows(table("silver_videos"), "video_id", "channel_name") == [
+        ("v1", "name of A"), ("v2", "name of A"), ("v3", "renamed"), ("w1", "name of B")
+    ]
+    assert rows(table("gold_by_channel"), "channel_id", "videos", "views") == [("A", 3, 3), ("B", 1, 1)]
+    assert rows(table("gold_by_day"), "videos") == [(1,), (3,)]
+    assert rows(table("channel_growth"), "channel_id", "run", "subscribers") == [
+        (c, r, 7) for c in "AB" for r in ("20260102_000000", "20260102_030000")
+    ]
+    assert rows(table("channel_names"), "channel_id", "version", "channel_name") == [
+        ("A", 1, "name of A"), ("A", 2, "renamed"), ("B", 1, "name of B")
+    ]
+    assert {r["violations"] for r in table("dq_report").collect()} == {0}
+
+
 def test_imported_state(world):
     world.publish("A", ["v1"])
     world.publish("A", ["v2"], start=R1 + timedelta(minutes=1))
