@@ -150,7 +150,7 @@ def last_item_wins(spark, sf):
 def cap_per_channel(spark, sf):
     df = events(spark, sf).select("event_id", "event_type", "ts")
     capped = Sel.cap_per_key(df, "event_type", "event_id", newest(), 200)
-    return capped.select("event_id", "event_type", F.col("rn").cast("bigint").alias("rn"))
+    return capped.select("event_id", "event_type", "rn")
 
 
 @query(

@@ -27,6 +27,8 @@ from freshet.session import frozen
 HOT_ROWS = 1_000_000
 # Groups are hot only above 1/MAX_HOT_KEYS of all rows, so there are at most that many.
 MAX_HOT_KEYS = 10_000
+# Spark limits groups before the shuffle only up to this rank (its default setting).
+GROUP_LIMIT = 1_000
 # Bounds the range partitions of one shuffle, and with them the broadcast segment table.
 MAX_SEGMENTS = 20_000
 # Broadcast checks: a side may be broadcast below both.
@@ -177,9 +179,12 @@ def first_per_key(
     hot: HotKeys | None = None,
     salts: int = 64,
 ) -> DataFrame:
-    """The first ``n`` rows per key. Each map task keeps only its own first ``n`` (group limit);
-    a hot key is narrowed per salt of the ``spread`` columns before its rows meet in one task."""
+    """The first ``n`` rows per key, ranked in ``rn``. Each map task keeps only its own first ``n``
+    (group limit); a hot key is narrowed per salt of the ``spread`` columns before its rows meet in
+    one task. Beyond the group limit hot keys are numbered in segments instead."""
     hot = hot or hot_keys(df, keys)
+    if hot.frame is not None and n > GROUP_LIMIT:
+        return sequence_number(df, keys, order, "rn", hot).where(F.col("rn") <= n)
     large, rest = hot.split(df)
     if large is not None:
         salted = large.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
@@ -187,4 +192,5 @@ def first_per_key(
         kept = salted.withColumn("__rn", F.row_number().over(narrow)).where(F.col("__rn") <= n)
         rest = rest.unionByName(kept.drop("__salt", "__rn"))
     window = Window.partitionBy(*keys).orderBy(*order)
-    return rest.withColumn("rn", F.row_number().over(window)).where(F.col("rn") <= n)
+    ranked = rest.withColumn("rn", F.row_number().over(window)).where(F.col("rn") <= n)
+    return ranked.withColumn("rn", F.col("rn").cast("bigint"))

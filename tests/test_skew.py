@@ -68,6 +68,14 @@ def test_first_per_key_hot(spark):
     assert rows(got, "k", "id", "rn") == rows(plain, "k", "id", "rn")
 
 
+def test_first_per_key_beyond_the_group_limit(spark, monkeypatch):
+    monkeypatch.setattr(skew, "GROUP_LIMIT", 3)
+    df = skewed(spark)
+    hot = hot_keys(df, ["k"], hot_rows=100)
+    got = first_per_key(df, ["k"], order(), 5, ["id"], hot=hot)
+    assert rows(got, "k", "id", "rn") == rows(first_per_key(df, ["k"], order(), 5, ["id"]), "k", "id", "rn")
+
+
 def test_history_and_growth_hot(spark):
     df = skewed(spark).withColumn("t", F.col("id"))
     hot = hot_keys(df, ["k"], hot_rows=100)
