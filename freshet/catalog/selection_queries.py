@@ -11,6 +11,7 @@ from freshet.catalog.base import CUTOFF_SQL, cutoff, earlier, events, newest, pr
 from freshet.operators import counters as C
 from freshet.operators import selection as Sel
 from freshet.operators.skew import fits_broadcast, hot_keys
+from freshet.session import frozen
 
 CAP = 20
 
@@ -240,7 +241,8 @@ _AUDIT = f"""with c as ({_COUNTERS}),
 
 def _audit(spark, sf):
     """Only purchases are answered; a channel with nothing answered has failed."""
-    marked = _marked(spark, sf)
+    # Counters and picks both need it: written once rather than joined to the ledger twice.
+    marked = frozen(_marked(spark, sf))
     hot = hot_keys(events(spark, sf), ["user_id"])
     picked = Sel.cap_per_key(marked.where(~F.col("cached")), "user_id", "event_id", newest(), CAP, hot)
     answered = picked.groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("retrieved"))

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.catalog.base import CUTOFF_SQL, cutoff, earlier, events, query, table, watermark
-from freshet.operators import selection as Sel
 from freshet.operators import state as St
 from freshet.session import working_dir
 from freshet.sources.files import read_state_documents
@@ -39,7 +35,7 @@ def union_channels(spark, sf):
     df = events(spark, sf).select("event_id", "user_id", "event_type", "value")
     views = df.where("event_type = 'view'").drop("value")
     others = df.where("event_type != 'view'")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [views, others])
+    return views.unionByName(others, allowMissingColumns=True)
 
 
 @query("ledger_union", "select distinct user_id, event_id from events")

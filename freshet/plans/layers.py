@@ -30,10 +30,6 @@ def silver_videos(videos: DataFrame, run: str = "run") -> DataFrame:
     )
 
 
-def latest_by(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    return one_per_key(df, [key], order)
-
-
 def engagement(likes: Column, comments: Column, views: Column) -> Column:
     """(likes + comments) / views, 0 without views."""
     return F.when(views > 0, (likes + comments) / views).otherwise(F.lit(0.0))

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from freshet.operators.state import without_channels
 from freshet.schemas import (
+    CHANNEL_LIST,
     CHANNEL_STATS,
     COMMIT,
     LEDGER,
@@ -135,7 +136,7 @@ class RunStore:
 
     def clear(self, spark: SparkSession, run_ts: datetime, channels: DataFrame | None = None) -> bool:
         """Forget the listed channels, or everything; False when there is no state to clear."""
-        state = self.load(spark, run_ts)
+        state = self._load_unused(spark, run_ts)
         if state.watermark.isEmpty() and state.ledger.isEmpty():
             return False
         epoch = state.epoch + 1
@@ -145,6 +146,16 @@ class RunStore:
         self.commit(spark, epoch, run_ts)
         return True
 
+    def compact(self, spark: SparkSession, run_ts: datetime) -> bool:
+        """Rewrite ``done`` as one folder once many runs have appended to it; earlier epochs may go."""
+        return self.clear(spark, run_ts, empty(spark, CHANNEL_LIST))
+
+    def _load_unused(self, spark: SparkSession, run_ts: datetime) -> State:
+        state = self.load(spark, run_ts)
+        if state.repeated:
+            raise ValueError(f"a committed run already has the stamp {stamp_of(run_ts)}")
+        return state
+
     def seed(self, spark: SparkSession, run_ts: datetime, ids: DataFrame, watermark: DataFrame) -> None:
         """Start from imported state documents: every id counts as fetched."""
         ledger = ids.select(
@@ -155,7 +166,7 @@ class RunStore:
             F.lit("fetched").alias("status"),
             F.lit(1).cast("bigint").alias("attempts"),
         )
-        state = self.load(spark, run_ts)
+        state = self._load_unused(spark, run_ts)
         self.write_done(ledger, state.epoch + 1, run_ts)
         self.write(empty(spark, LEDGER), "open", run_ts)
         self.write(watermark, "watermark", run_ts)

@@ -228,6 +228,21 @@ def test_clear_state(world):
     assert ids(world.run(R4 + timedelta(hours=3))) == ["A0", "A1", "B0", "B1"]
 
 
+def test_compacted_state_is_the_same_state(world):
+    world.publish("A", [f"v{i}" for i in range(4)])
+    world.run(R1, cap=2)
+    world.run(R2, cap=1)
+    before = world.store.load(world.spark, R3)
+    expected = [rows(before.done, "video_id"), rows(before.open, "video_id"), rows(before.watermark, "last_fetch_ts")]
+    assert world.store.compact(world.spark, R3) is True
+    after = world.store.load(world.spark, R4)
+    assert after.epoch == before.epoch + 1
+    assert [rows(after.done, "video_id"), rows(after.open, "video_id"), rows(after.watermark, "last_fetch_ts")] == expected
+    with pytest.raises(ValueError):
+        world.store.clear(world.spark, R3)
+    assert ids(world.run(R4)) == ["v0"]
+
+
 def test_imported_documents(world, tmp_path):
     world.publish("A", ["v1"])
     world.publish("A", ["v2"], start=R1 + timedelta(minutes=1))
