@@ -36,12 +36,13 @@ ITEMS = {"channels": CHANNEL_ITEM, "search": SEARCH_ITEM, "videos": VIDEO_ITEM}
 
 
 def read_envelopes(spark: SparkSession, path: str, item: T.StructType, multi_line: bool = False) -> DataFrame:
-    """All responses below ``path`` with the channel, page and file they belong to."""
+    """All responses below ``path``, at any depth, with the channel, page and file they belong to."""
     schema = envelope(item)
     try:
         raw = (
             spark.read.schema(schema)
             .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, multiLine=str(multi_line).lower())
+            .option("recursiveFileLookup", "true")
             .json(path)
         ).withColumn("source_file", F.col("_metadata.file_name"))
     except AnalysisException as error:

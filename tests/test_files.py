@@ -225,7 +225,7 @@ def test_search_pages(spark, tmp_path):
         '{"items":[{"id":{"kind":"s#video","videoId":"v3"}},{"id":{"kind":"s#playlist","playlistId":"p"}},{"id":{"kind":"s#video"}}]}',
     )
     put(tmp_path / "search__UC1__p1.json", '{"items":[{"id":{"videoId":"v1"},"publishedAt":"2026-01-01T00:00:00Z"}],"nextPageToken":"T"}')
-    put(tmp_path / "search__UC2__p1.json", '{"items":[]}')
+    put(tmp_path / "2026/01/search__UC2__p1.json", '{"items":[]}')
     flat = search_rows(read_envelopes(spark, str(tmp_path), ITEMS["search"], multi_line=True))
     assert rows(search_items(flat), "channel_id", "page_no", "pos", "video_id") == [("UC1", 1, 0, "v1"), ("UC1", 2, 0, "v3")]
     assert rows(rejected(flat, "search"), "channel_id", "reason") == [("UC1", "incomplete item")]
