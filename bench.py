@@ -11,6 +11,7 @@ import os
 import time
 
 from freshet.catalog import QUERIES
+from freshet.catalog.base import earlier, events
 from freshet.session import local_session
 
 HEADLINE = (
@@ -58,17 +59,18 @@ def main() -> None:
     spark.sparkContext.setLogLevel("OFF")
     seconds(spark, sf_dir, "incremental_enrich")  # starts the JVM's compiler, not measured
     times = {name: min(seconds(spark, sf_dir, name) for _ in range(2)) for name in names}
-    videos = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    # What the first run finds: the events before the cut-off.
+    videos = earlier(events(spark, sf_dir)).count()
     result = {
         "metric": "total wall clock of headline queries",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")),
-        "landed_videos": videos,
+        "first_run_videos": videos,
     }
     if times.get("ingest_first_run"):
-        result["run_videos_per_sec"] = round(videos / times["ingest_first_run"], 1)
+        result["first_run_videos_per_sec"] = round(videos / times["ingest_first_run"], 1)
     print(json.dumps(result))
     spark.stop()
 
