@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -21,9 +21,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_root: str | None = None
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
@@ -52,17 +49,14 @@ def local_session(cores: str | int = "*", app: str = "freshet", partitions: int
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or what the context was given.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session may leave it unset; it then uses its warehouse folder.
     """
-    global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="freshet-")
-    return _local_root
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def working_dir(spark: SparkSession, label: str) -> str:
