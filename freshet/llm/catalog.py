@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import secrets, sharding
+from freshet.llm import fingerprints, secrets, sharding
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of equal weight. DuckDB has no CRC-32; held against brute force in the tests."""
