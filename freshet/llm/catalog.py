@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import fingerprints, secrets, sharding
+from freshet.llm import bpe, fingerprints, secrets, sharding
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,18 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.report(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The place of an installed vocabulary file; any other path may be passed to the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.tokenizer(spark, tokenizer_path()))
+
+
 @query()
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of equal weight. DuckDB has no CRC-32; held against brute force in the tests."""
