@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import bpe, fingerprints, secrets, sharding
+from freshet.llm import bpe, fingerprints, secrets, sharding, warc
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.tokenizer(spark, tokenizer_path()))
 
 
+@query()
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DuckDB has no SHA-1; held against brute force in the tests."""
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of equal weight. DuckDB has no CRC-32; held against brute force in the tests."""
