@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,11 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    # Python workers must be able to import this package wherever the session was started from.
+    here, environment = str(Path(__file__).resolve().parent.parent), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, known]))
     return spark
 
 
