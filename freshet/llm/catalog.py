@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import bpe, fingerprints, secrets, sharding, warc
+from freshet.llm import bpe, fingerprints, secrets, sharding, toxicity, warc
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,11 @@ from bodies left join spans using (doc_id)
 """
 
 
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(SECRETS_SQL)
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
