@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import bpe, fingerprints, secrets, sharding, toxicity, warc
+from freshet.llm import bpe, fingerprints, secrets, setjoin, sharding, toxicity, warc
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of equal weight. DuckDB has no CRC-32; held against brute force in the tests."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), [1.0] * 8)
+
+
+@query()
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.jaccard_components(table(spark, sf_dir, "documents"))
