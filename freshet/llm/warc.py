@@ -170,7 +170,8 @@ def write_archives(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, sh
     both = revisits.select(shard_of("id").alias("shard"), "id", F.lit(0).alias("kind"), "digest", none.cast("string").alias("url"), none.cast("string").alias("html"), "owner").unionByName(
         rows.select(shard_of("id").alias("shard"), "id", F.lit(1).alias("kind"), F.sha1("html").alias("digest"), "url", "html", none.cast("bigint").alias("owner"))
     )
-    dealt = both.repartition(len(starts) + 1, "shard").sortWithinPartitions("shard", "id", "kind", "digest", "url")
+    tasks = min(len(starts) + 1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = both.repartition(tasks, "shard").sortWithinPartitions("shard", "id", "kind", "digest", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def listed(entries: list[tuple]) -> pa.RecordBatch:
@@ -197,7 +198,8 @@ def write_archives(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, sh
         if out is not None and out.out:
             yield listed([out.close()])
 
-    dealt.mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(f"{root}/manifest")
+    # A row per file: the list itself needs few files.
+    dealt.mapInArrow(run, MANIFEST).repartition(1 + len(starts) // 1000).write.mode("overwrite").parquet(f"{root}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
@@ -233,7 +235,7 @@ def read_archives(spark: SparkSession, root: str, payloads: bool = True) -> Data
     carry none themselves.
     """
     manifest = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
-    tasks = max(1, min(manifest.count(), MOST_SHARDS))
+    tasks = max(1, min(manifest.count(), 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = _place(root)
