@@ -203,7 +203,7 @@ def write_archives(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, sh
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
-def _members(stream, size: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
+def _members(stream, size: int = 1 << 15) -> Iterator[tuple[int, bytes]]:
     """Offset and content of each gzip member, read as a stream."""
     rest, at, start, inflate, parts = b"", 0, 0, zlib.decompressobj(31), []
     while data := rest or stream.read(size):
