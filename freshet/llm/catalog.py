@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import bpe, fingerprints, secrets, setjoin, sharding, toxicity, warc
+from freshet.llm import bpe, fingerprints, lines, secrets, setjoin, sharding, toxicity, warc
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated lines, and how many it lost."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.deduplicated(docs, counts=True)
