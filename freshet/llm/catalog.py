@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import bpe, fingerprints, lines, secrets, setjoin, sharding, toxicity, warc
+from freshet.llm import bpe, fingerprints, lines, passages, secrets, setjoin, sharding, toxicity, warc
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated lines, and how many it lost."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.deduplicated(docs, counts=True)
+
+
+@query()
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a paragraph or passage that several documents have."""
+    return passages.repeated(table(spark, sf_dir, "documents"))

@@ -174,7 +174,7 @@ def _possible(size_a, size_b, place_a, place_b, percent: int):
 
 
 def _lists(index: DataFrame, partitions: int, percent: int) -> DataFrame:
-    """Postings of the lists in which some set can have a partner, sorted by shingle and set size."""
+    """Postings of the lists in which some set can have a partner."""
     unpack = lambda data: _unpack(zstandard.ZstdDecompressor().decompress(data))
 
     def finished(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -317,28 +317,15 @@ def _measured(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return beside.mapInArrow(run, "u bigint, v bigint, distance double, linked boolean")
 
 
-def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
-    return documents.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-
-
-def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``key, n_shingles, component_id`` for every row."""
-    spark = documents.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = _keyed(documents, key, text)
-    table = frozen(_sets(docs, shingle), "sets")
-    sets = table.where("kind = 0").select("key", "set", "n")
-    classes = sets.where("n > 0").groupBy("set", "n").agg(F.min("key").alias("key"))
-    postings = classes.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
-    buckets = max(4 * partitions, int(postings / BUCKET_POSTINGS))
-    index = _index(docs, _frequent(table.where("kind = 1"), FREQUENT), buckets, shingle, percent)
-    lists = frozen(_lists(index, partitions, percent), "lists")
+def links_between(lists: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Verified links ``u, v`` that connect all similar sets which meet in some list.
 
-    # One row of each class that is in some list carries its text on.
-    wanted = lists.select("set").distinct().join(classes.select("set", "key"), "set")
-    texts = frozen(docs.join(wanted, docs["key"].eqNullSafe(wanted["key"])).groupBy("set").agg(F.first("text").alias("text")), "texts")
-
-    first = frozen(_first_pairs(lists, percent), "first-pairs")
+    ``lists`` has ``shingle, set, size, place``, where size and place only serve to rule pairs out;
+    ``texts`` has the text of every ``set`` in them.
+    """
+    partitions = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = lists.repartition(partitions, "shingle").sortWithinPartitions("shingle", "size", "set")
+    first = frozen(_first_pairs(ordered, percent), "first-pairs")
     # A set is compared with the partner that most lists suggest; ties go to the smaller.
     suggested = first.select("u", "v", "shared").union(first.select("v", "u", "shared").toDF("u", "v", "shared"))
     best = suggested.groupBy("u").agg(F.max_by("v", F.struct("shared", -F.col("v"))).alias("v"))
@@ -359,7 +346,31 @@ def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "t
     left_open = placed.join(split, "shingle", "left_semi").repartition(partitions, "shingle").sortWithinPartitions("shingle", "size")
     open_pairs = _open_pairs(left_open, percent)
     more = frozen(_measured(open_pairs.join(answers.select("u", "v"), ["u", "v"], "left_anti"), texts, shingle, percent), "more-answers")
-    found = components(near.union(more.where("linked").select("u", "v")))
+    return near.union(more.where("linked").select("u", "v"))
+
+
+def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
+    return documents.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+
+
+def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``key, n_shingles, component_id`` for every row."""
+    spark = documents.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = _keyed(documents, key, text)
+    table = frozen(_sets(docs, shingle), "sets")
+    sets = table.where("kind = 0").select("key", "set", "n")
+    classes = sets.where("n > 0").groupBy("set", "n").agg(F.min("key").alias("key"))
+    postings = classes.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
+    buckets = max(4 * partitions, int(postings / BUCKET_POSTINGS))
+    index = _index(docs, _frequent(table.where("kind = 1"), FREQUENT), buckets, shingle, percent)
+    lists = frozen(_lists(index, partitions, percent), "lists")
+
+    # One row of each class that is in some list carries its text on.
+    wanted = lists.select("set").distinct().join(classes.select("set", "key"), "set")
+    texts = frozen(docs.join(wanted, docs["key"].eqNullSafe(wanted["key"])).groupBy("set").agg(F.first("text").alias("text")), "texts")
+
+    found = components(links_between(lists, texts, shingle, percent))
 
     member = sets.join(found.withColumnRenamed("node", "set"), "set", "left").select("key", "n", F.coalesce("component", "set").alias("group"))
     names = member.where("n > 0").groupBy("group").agg(F.min("key").alias("least"))
