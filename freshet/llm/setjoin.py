@@ -8,9 +8,9 @@ are skipped by block. Relations between sets save the rest:
 * equal sets are one class, found before the index is built;
 * of each list's block only links to the block's leader and to the next set are tried first. These
   exact answers make clusters of highly similar sets;
-* what the clusters answer is not asked again: in a second round a list yields only pairs of sets
-  from different clusters, and of those only the ones that the triangle inequality of the Jaccard
-  distance to a shared leader leaves open.
+* what the clusters answer is not asked again: only sets of different clusters are still compared, and
+  of those only the ones that the triangle inequality of the Jaccard distance to a shared leader leaves
+  open. They are compared in blocks, so that no row is made per pair.
 
 So every pair of similar texts ends up in one component, without all pairs of a group being made.
 Lists are bounded work for most shingles because the frequent ones, counted over all texts, come last
@@ -42,6 +42,10 @@ PERCENT = 80
 FREQUENT = 200_000
 #: A shingle's count in one Arrow batch from which the batch reports it.
 REPORTED = 4
+#: Rounds in which each set is compared with one more partner before all open questions are settled.
+SINGLE_ROUNDS = 1
+#: Sets in a block when open questions are settled.
+BLOCK = 256
 #: Postings in one bucket of the index, about.
 BUCKET_POSTINGS = 150_000
 
@@ -167,10 +171,35 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _possible(size_a, size_b, place_a, place_b, percent: int):
-    """Whether sets that share the shingle at these places of their order can be similar."""
+    """Whether two sets can be similar whose first common shingle stands at these places of their orders.
+
+    The rest of each set must be long enough for the overlap. And of two prefixes, one holds all common
+    shingles up to its end, so that those common in the prefixes are at least the overlap less the
+    longer rest behind a prefix: so many must still fit in from these places on.
+    """
     a, b = size_a.astype(np.int64), size_b.astype(np.int64)
+    need = least_overlap(a, b, percent)
     most = 1 + np.minimum(a - place_a - 1, b - place_b - 1)
-    return (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (most >= least_overlap(a, b, percent))
+    behind_a, behind_b = -(-percent * a // 100) - 1, -(-percent * b // 100) - 1
+    inside = np.maximum(need - np.maximum(behind_a, behind_b), 1)
+    fits = (place_a + inside <= a - behind_a) & (place_b + inside <= b - behind_b)
+    return (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (most >= need) & fits
+
+
+def _with_partner(shingle: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Which postings may have a partner in their list. Long lists are only looked at for sizes."""
+    near = (shingle[1:] == shingle[:-1]) & (100 * size[:-1].astype(np.int64) >= percent * size[1:].astype(np.int64))
+    kept = np.append(near, False) | np.append(False, near) if len(shingle) else np.zeros(0, bool)
+    starts, lengths = runs(shingle)
+    for many in range(2, 17):
+        at = starts[lengths == many]
+        for part in np.array_split(at, 1 + len(at) * many * many // 2_000_000):
+            rows = part[:, None] + np.arange(many)
+            n, i = size[rows], place[rows]
+            fit = _possible(n[:, :, None], n[:, None, :], i[:, :, None], i[:, None, :], percent)
+            fit[:, np.arange(many), np.arange(many)] = False
+            kept[rows] = fit.any(axis=2)
+    return kept
 
 
 def _lists(index: DataFrame, partitions: int, percent: int) -> DataFrame:
@@ -184,9 +213,7 @@ def _lists(index: DataFrame, partitions: int, percent: int) -> DataFrame:
         # A set that several batches hold has entered once for each.
         same = np.append(False, (shingle[1:] == shingle[:-1]) & (owner[1:] == owner[:-1]))
         shingle, owner, size, place = (c[~same] for c in (shingle, owner, size, place))
-        # A set has a partner of a possible size only if one of its neighbours in the list is one.
-        near = (shingle[1:] == shingle[:-1]) & (100 * size[:-1].astype(np.int64) >= percent * size[1:].astype(np.int64))
-        kept = np.append(near, False) | np.append(False, near) if len(shingle) else np.zeros(0, bool)
+        kept = _with_partner(shingle, size, place, percent)
         columns = [shingle[kept].view(np.int64), owner[kept].view(np.int64), size[kept].astype(np.int32), place[kept].astype(np.int32)]
         for at in range(0, len(columns[0]), 200_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 200_000]) for c in columns], ["shingle", "set", "size", "place"])
@@ -258,39 +285,156 @@ def _columns_by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndar
             yield columns
 
 
-def _open_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different clusters that sizes, places and distances to a shared leader leave open.
+def _open(group: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each posting of a list with the later ones that sizes, places and known distances leave open.
 
-    ``lists`` has ``shingle, size, set, place, cluster, leader, distance`` sorted by shingle and size.
+    ``group``: size, set, place, cluster, leader and distance of each posting, by size.
     """
+    size, owner, place, cluster, leader, distance = group
+    sizes, far = size.astype(np.int64), 1 - percent / 100 + 1e-9
+    # For each set the block of larger ones that may be its partners.
+    until = np.searchsorted(sizes, 100 * sizes // percent, "right")
+    for i in range(len(sizes) - 1):
+        j = np.arange(i + 1, until[i])
+        j = j[cluster[j] != cluster[i]]
+        j = j[_possible(sizes[i], sizes[j], place[i], place[j], percent)]
+        answered = (leader[j] == owner[i]) | (leader[i] == owner[j])
+        ruled_out = (leader[j] == leader[i]) & (np.abs(distance[j] - distance[i]) > far)
+        j = j[~(answered | ruled_out)]
+        if len(j):
+            yield i, j
+
+
+def _open_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The lists that several clusters share, one at a time."""
+    for shingle, *columns in _columns_by_list(batches):
+        starts, lengths = runs(shingle)
+        for s, many in zip(starts.tolist(), lengths.tolist(), strict=True):
+            cluster = columns[3][s : s + many]
+            if (cluster != cluster[0]).any():
+                yield [c[s : s + many] for c in columns]
+
+
+def _gathered(rows: Iterator[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Distinct columns of the given blocks of rows, a million at a time."""
+    held, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in np.unique(np.concatenate(held, axis=1), axis=1)], names)
+
+    for block in rows:
+        held.append(block)
+        size += block.shape[1]
+        if size > 1_000_000:
+            yield out()
+            held, size = [], 0
+    if held:
+        yield out()
+
+
+def _single_pairs(lists: DataFrame, percent: int, step: int) -> DataFrame:
+    """Each set with one of its open partners in a list, preferably the same in all lists that have it;
+    which one depends on the step."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        far = 1 - percent / 100 + 1e-9
-        for shingle, size, owner, place, cluster, leader, distance in _columns_by_list(batches):
-            out = []
-            starts, lengths = runs(shingle)
-            for s, many in zip(starts.tolist(), lengths.tolist(), strict=True):
-                group = slice(s, s + many)
-                if (cluster[group] == cluster[s]).all():
-                    continue
-                sizes = size[group].astype(np.int64)
-                # For each set the block of larger ones that may be its partners.
-                until = np.searchsorted(sizes, 100 * sizes // percent, "right")
-                for i in range(many - 1):
-                    j = np.arange(i + 1, until[i])
-                    j = j[cluster[s + j] != cluster[s + i]]
-                    j = j[_possible(sizes[i], sizes[j], place[s + i], place[s + j], percent)]
-                    shared = (leader[s + j] == leader[s + i]) & (np.abs(distance[s + j] - distance[s + i]) > far)
-                    j = j[~shared]
-                    if len(j):
-                        a, b = np.full(len(j), owner[s + i]), owner[s + j]
-                        out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
-            if out:
-                pairs = np.unique(np.concatenate(out, axis=1), axis=1)
-                for at in range(0, pairs.shape[1], 200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0, at : at + 200_000]), pa.array(pairs[1, at : at + 200_000])], ["u", "v"])
-
-    return lists.mapInArrow(run, "u bigint, v bigint").distinct()
+        def pairs() -> Iterator[np.ndarray]:
+            for group in _open_lists(batches):
+                owner, chosen = group[1], {}
+                for i, j in _open(group, percent):
+                    draw = words.mix(owner[j].view(np.uint64) ^ owner[i : i + 1].view(np.uint64) * _U(2 * step + 1))
+                    least = int(np.argmin(draw))
+                    for k, other, d in [(i, int(j[least]), int(draw[least])), *zip(j.tolist(), [i] * len(j), draw.tolist(), strict=True)]:
+                        if k not in chosen or d < chosen[k][0]:
+                            chosen[k] = (d, other)
+                if chosen:
+                    ends = owner[np.array([(k, o) for k, (_, o) in chosen.items()]).T]
+                    yield np.stack([ends.min(0), ends.max(0)])
+
+        for batch in _gathered(pairs(), ["u", "v"]):
+            yield batch.append_column("shared", pa.array(np.ones(batch.num_rows, np.int64)))
+
+    return lists.mapInArrow(run, "u bigint, v bigint, shared bigint").groupBy("u", "v").agg(F.sum("shared").alias("shared"))
+
+
+def _participants(lists: DataFrame, percent: int) -> DataFrame:
+    """``job, set, cluster``: the sets with an open pair in some list, under the list's largest cluster."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[np.ndarray]:
+            for group in _open_lists(batches):
+                owner, cluster = group[1], group[3]
+                taken = np.zeros(len(owner), bool)
+                for i, j in _open(group, percent):
+                    taken[i] = taken[j] = True
+                if taken.any():
+                    names, counts = np.unique(cluster, return_counts=True)
+                    yield np.stack([np.full(taken.sum(), names[np.argmax(counts)]), owner[taken], cluster[taken]])
+
+        yield from _gathered(rows(), ["job", "set", "cluster"])
+
+    return lists.mapInArrow(run, "job bigint, set bigint, cluster bigint").distinct()
+
+
+def _settled(parts: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between different clusters among the participants of each job.
+
+    A job's sets are cut into blocks, those of its own cluster apart from the others, and every two
+    blocks that may hold a pair of different clusters meet in one task. So a set is copied once per
+    block and never once per partner. Each set yields one link to each other cluster, which is enough.
+    """
+    parts = frozen(parts, "participants")
+    inside = (F.col("cluster") == F.col("job")).cast("int")
+    jobs = parts.groupBy("job").agg(F.ceil(F.sum(inside) / BLOCK).alias("own"), F.ceil(F.sum(1 - inside) / BLOCK).alias("other"))
+    placed = parts.join(jobs, "job").withColumn("inside", inside == 1)
+    block = F.pmod(F.xxhash64("set"), F.when(F.col("inside"), F.col("own")).otherwise(F.col("other")))
+    # Blocks of the job's cluster are numbered from 0, the others from -1 downwards.
+    mine = placed.withColumn("block", F.when(F.col("inside"), block).otherwise(-1 - block))
+    meets = F.expr(
+        "if(inside, transform(sequence(1, greatest(other, 1)), o -> named_struct('x', block, 'y', -o)),"
+        " concat(if(own > 0, transform(sequence(0, own - 1), i -> named_struct('x', i, 'y', block)), array()),"
+        " transform(sequence(1, other), o -> named_struct('x', greatest(block, -o), 'y', least(block, -o)))))"
+    )
+    spread = mine.join(texts, "set").select("job", "set", "cluster", "block", "text", F.explode(meets).alias("meet")).select("job", "meet.x", "meet.y", "block", "set", "cluster", "text")
+    partitions = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = spread.repartition(partitions, "job", "x", "y").sortWithinPartitions("job", "x", "y")
+
+    def settle(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        """All pairs of different clusters of one task's sets; within one block only if it meets itself."""
+        _, x, y = rows[0][:3]
+        block, owner, cluster = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5))
+        if (cluster == cluster[0]).all():
+            return
+        sets = words.shingles(*words.word_hashes(*words.joined([r[6].encode() for r in rows])), shingle)
+        sizes = np.array([len(s) for s in sets])
+        queries = np.flatnonzero(block == y)
+        against = np.flatnonzero(block == x)
+        everything = np.concatenate([sets[k] for k in against])
+        whose = np.repeat(np.arange(len(against)), sizes[against])
+        for q in queries.tolist():
+            at = np.minimum(np.searchsorted(sets[q], everything), max(sizes[q] - 1, 0))
+            common = np.bincount(whose[sets[q][at] == everything], minlength=len(against))
+            union = sizes[q] + sizes[against] - common
+            hit = against[(100 * common >= percent * union) & (cluster[against] != cluster[q])]
+            _, one = np.unique(cluster[hit], return_index=True)
+            for h in hit[one].tolist():
+                yield int(owner[q]), int(owner[h])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            if pairs := list(settle(rows)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], ["u", "v"])
+
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][:3] != row[:3]:
+                    yield from found(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from found(held)
+
+    return ordered.mapInArrow(run, "u bigint, v bigint")
 
 
 def _measured(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -317,36 +461,46 @@ def _measured(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return beside.mapInArrow(run, "u bigint, v bigint, distance double, linked boolean")
 
 
+def _best(pairs: DataFrame) -> DataFrame:
+    """For each set the partner that most lists suggest; ties go to the smaller."""
+    both = pairs.select("u", "v", "shared").union(pairs.select("v", "u", "shared").toDF("u", "v", "shared"))
+    best = both.groupBy("u").agg(F.max_by("v", F.struct("shared", -F.col("v"))).alias("v"))
+    return best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def links_between(lists: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Verified links ``u, v`` that connect all similar sets which meet in some list.
 
     ``lists`` has ``shingle, set, size, place``, where size and place only serve to rule pairs out;
-    ``texts`` has the text of every ``set`` in them.
+    ``texts`` has the text of every ``set`` in them. Rounds that ask one question a set come first and
+    make the clusters large; then all that is left open between clusters is settled in blocks.
     """
     partitions = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = lists.repartition(partitions, "shingle").sortWithinPartitions("shingle", "size", "set")
-    first = frozen(_first_pairs(ordered, percent), "first-pairs")
-    # A set is compared with the partner that most lists suggest; ties go to the smaller.
-    suggested = first.select("u", "v", "shared").union(first.select("v", "u", "shared").toDF("u", "v", "shared"))
-    best = suggested.groupBy("u").agg(F.max_by("v", F.struct("shared", -F.col("v"))).alias("v"))
-    chosen = best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    answers = frozen(_measured(chosen, texts, shingle, percent), "answers")
-    near = answers.where("linked").select("u", "v")
-    clusters = frozen(components(near), "clusters")
-
-    # What is known of each set: its cluster, and its distance from one leader (itself at 0 if none).
-    leaders = answers.select(F.col("u").alias("set"), F.col("v").alias("leader"), "distance").union(answers.select("v", "u", "distance"))
-    known = leaders.groupBy("set").agg(F.min(F.struct("distance", "leader")).alias("by"))
-    placed = (
-        lists.join(clusters.withColumnRenamed("node", "set"), "set", "left")
-        .join(known, "set", "left")
-        .select("shingle", "size", "set", "place", F.coalesce("component", "set").alias("cluster"), F.coalesce("by.leader", "set").alias("leader"), F.coalesce("by.distance", F.lit(0.0)).alias("distance"))
-    )
-    split = placed.groupBy("shingle").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b")).where("a != b").select("shingle")
-    left_open = placed.join(split, "shingle", "left_semi").repartition(partitions, "shingle").sortWithinPartitions("shingle", "size")
-    open_pairs = _open_pairs(left_open, percent)
-    more = frozen(_measured(open_pairs.join(answers.select("u", "v"), ["u", "v"], "left_anti"), texts, shingle, percent), "more-answers")
-    return near.union(more.where("linked").select("u", "v"))
+    pairs = _best(frozen(_first_pairs(ordered, percent), "first-pairs"))
+    answers = None
+    for step in range(SINGLE_ROUNDS + 1):
+        new = frozen(_measured(pairs, texts, shingle, percent), "answers")
+        answers = new if answers is None else answers.union(new)
+        linked = answers.where("linked").select("u", "v")
+        clusters = components(linked).withColumnRenamed("node", "set")
+        # What is known of each set: its cluster, and its distance from one leader (itself at 0 if none).
+        leaders = answers.select(F.col("u").alias("set"), F.col("v").alias("leader"), "distance").union(answers.select("v", "u", "distance"))
+        known = leaders.groupBy("set").agg(F.min(F.struct("distance", "leader")).alias("by"))
+        states = clusters.join(known, "set", "full").select("set", F.coalesce("component", "set").alias("cluster"), F.coalesce("by.leader", "set").alias("leader"), F.coalesce("by.distance", F.lit(0.0)).alias("distance"))
+        placed = lists.join(states, "set", "left").select(
+            "shingle", "size", "set", "place", F.coalesce("cluster", "set").alias("cluster"), F.coalesce("leader", "set").alias("leader"), F.coalesce("distance", F.lit(0.0)).alias("distance")
+        )
+        split = placed.groupBy("shingle").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b")).where("a != b").select("shingle")
+        divided = placed.join(split, "shingle", "left_semi")
+        if step == 0:
+            # Lists within one cluster have no more to say; clusters only grow.
+            divided = frozen(divided, "open-lists")
+            lists = divided.select("shingle", "set", "size", "place")
+        left_open = divided.repartition(partitions, "shingle").sortWithinPartitions("shingle", "size", "set")
+        if step < SINGLE_ROUNDS:
+            pairs = _best(_single_pairs(left_open, percent, step)).join(answers.select("u", "v"), ["u", "v"], "left_anti")
+    return linked.union(frozen(_settled(_participants(left_open, percent), texts, shingle, percent), "settled"))
 
 
 def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
