@@ -32,6 +32,9 @@ from freshet.llm import words
 from freshet.session import frozen
 
 LEAST_WORDS = 5
+#: The Bloom filter's bits (8 MB), and where in a hash the bits' numbers are read.
+GATE_BITS = 1 << 26
+GATE_SHIFTS = (0, 32)
 _U = np.uint64
 _FIRST = -(1 << 63)
 
@@ -110,28 +113,45 @@ def _occurrences(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(run, "id bigint, sum bigint, number bigint, a bigint, b bigint, h0 bigint, h1 bigint, h2 bigint, h3 bigint")
 
 
-def _with_numbers(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Documents that have some of the lines ``id, sum, number``, with their numbers (bounded by the document's lines)."""
-    numbers = lines.groupBy("id", "sum").agg(F.collect_set("number").alias("numbers"))
-    return docs.join(numbers, ["id", "sum"])
+def _gate(chosen: DataFrame) -> np.ndarray:
+    """A Bloom filter of the hashes ``a``, of a fixed size whatever their number.
 
+    A line that it lets through by mistake costs its variants and changes no result.
+    """
+    bits = chosen.select(F.explode(F.array(*(F.shiftrightunsigned("a", k).bitwiseAND(GATE_BITS - 1) for k in GATE_SHIFTS))).alias("bit"))
+    cells = bits.groupBy(F.shiftright("bit", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
+    gate = np.zeros(GATE_BITS // 64, np.int64)
+    gate[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64)
+    return gate
 
-def _neighbourhoods(chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The variants' keys of the numbered lines, and the lines' words as text."""
+
+def _neighbourhoods(docs: DataFrame, chosen: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The keys of all variants of the lines with hashes ``a``, and the lines themselves.
+
+    The texts are read once more rather than shuffled to meet the chosen lines: the gate is broadcast.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_gate(chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "sum", "number", "size", "place", "key", "line"]
+        gate = shared.value
         for batch in batches:
-            wanted = batch.column(3)
-            for at, until, raw, offsets in words.blocks(batch.column(2)):
+            ids, sums = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for at, _, raw, offsets in words.blocks(batch.column(2)):
                 lines = Lines(raw, offsets)
-                base = int(lines.number.max()) + 1 if len(lines.number) else 1
-                numbers = [np.array(wanted[r].as_py(), np.int64) + (r - at) * base for r in range(at, until)]
-                picked = np.flatnonzero(np.isin(lines.text * base + lines.number, np.concatenate(numbers)))
+                a = lines.ids()[0]
+                passed = lines.size >= least
+                for k in GATE_SHIFTS:
+                    bit = ((a >> _U(k)) & _U(GATE_BITS - 1)).astype(np.int64)
+                    passed &= (gate[bit >> 6] >> (bit & 63)) & 1 > 0
+                picked = np.flatnonzero(passed)
+                # Of equal lines in a block the earliest stands for all.
+                order = np.lexsort((lines.number[picked], sums[at + lines.text[picked]], ids[at + lines.text[picked]], a[picked]))
+                picked = picked[order]
+                picked = np.sort(picked[np.append(True, a[picked][1:] != a[picked][:-1])] if len(picked) else picked)
                 line, place, key = lines.variants(picked)
                 row = pa.array(at + lines.text[line])
-                content = []
-                texts: dict[int, list[str]] = {}
+                content, texts = [], {}
                 for i in picked.tolist():
                     t = int(lines.text[i])
                     if t not in texts:
@@ -143,7 +163,7 @@ def _neighbourhoods(chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
                 )
 
     schema = "id bigint, sum bigint, number bigint, size bigint, place bigint, key bigint, line string"
-    table = frozen(chosen.select("id", "sum", "text", "numbers").mapInArrow(run, schema), "variants")
+    table = frozen(docs.mapInArrow(run, schema), "variants")
     return table.select("key", "size", "place", F.struct("id", "sum", "number").alias("at")), table.where("place = -1").select(F.struct("id", "sum", "number").alias("at"), "line")
 
 
@@ -200,10 +220,10 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     distinct = frozen(distinct, "distinct-lines")
     firsts = distinct.select("a", "b", "first")
     exact = found.join(firsts, ["a", "b"]).where(at > F.col("first")).select("id", "sum", "number")
-    halves = distinct.select("first", F.explode(F.array_distinct(F.array(*(f"h{k}" for k in range(4))))).alias("half"))
-    shared = halves.groupBy("half").agg(F.min("first").alias("least"), F.max("first").alias("most")).where("least < most").select("half")
-    chosen = halves.join(shared, "half", "left_semi").select("first.id", "first.sum", "first.number").distinct()
-    variants, contents = _neighbourhoods(_with_numbers(docs, chosen))
+    halves = distinct.select("a", F.explode(F.array_distinct(F.array(*(f"h{k}" for k in range(4))))).alias("half"))
+    shared = halves.groupBy("half").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least < most").select("half")
+    chosen = halves.join(shared, "half", "left_semi").select("a")
+    variants, contents = _neighbourhoods(docs, chosen, least)
     near = frozen(_verified(_candidates(variants), contents), "near-lines")
     # Every copy of a near line's text has the same fate as its first occurrence.
     goes = near.join(firsts.select("a", "b", "first.*"), ["id", "sum", "number"]).select("a", "b")
