@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import bpe, fingerprints, lines, passages, secrets, setjoin, sharding, toxicity, warc
+from freshet.llm import bpe, decontamination, fingerprints, lines, passages, secrets, setjoin, sharding, toxicity, warc
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,38 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+DECONTAMINATION_SQL = f"""
+with docs as (
+    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{decontamination.UPPER}', '{decontamination.LOWER}'), '{_SEPARATORS}'), x -> x <> '') as w
+    from documents
+), items as (
+    select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{decontamination.UPPER}', '{decontamination.LOWER}'), '{_SEPARATORS}'), x -> x <> '') as w
+    from benchmark where item_id is not null
+), starts as (
+    select item_id, w, least({decontamination.WINDOW}, len(w)) as k, unnest(generate_series(1, greatest(len(w) - {decontamination.WINDOW}, 0) + 1)) as s
+    from items where len(w) > 0
+), windows as (select distinct item_id, k, array_to_string(w[s:s + k - 1], ' ') as gram from starts),
+places as (
+    select doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) as s from docs, (select distinct k from windows) where len(w) >= k
+), found as (
+    select doc_id, item_id, s, windows.k from places join windows on places.k = windows.k and array_to_string(w[s:s + places.k - 1], ' ') = gram
+), hits as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(generate_series(s, s + k - 1)) as p from found) group by doc_id),
+names as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct doc_id, item_id::varchar as item from found) group by doc_id
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hits using (doc_id) left join names using (doc_id)
+"""
+
+
+@query(DECONTAMINATION_SQL)
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.report(table(spark, sf_dir, "documents"))
