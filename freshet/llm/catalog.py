@@ -72,10 +72,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 DECONTAMINATION_SQL = f"""
 with docs as (
-    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{decontamination.UPPER}', '{decontamination.LOWER}'), '{_SEPARATORS}'), x -> x <> '') as w
+    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{decontamination.UPPER}', '{decontamination.LOWER}'), '{_SEPARATORS}'), lambda x: x <> '') as w
     from documents
 ), items as (
-    select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{decontamination.UPPER}', '{decontamination.LOWER}'), '{_SEPARATORS}'), x -> x <> '') as w
+    select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{decontamination.UPPER}', '{decontamination.LOWER}'), '{_SEPARATORS}'), lambda x: x <> '') as w
     from benchmark where item_id is not null
 ), starts as (
     select item_id, w, least({decontamination.WINDOW}, len(w)) as k, unnest(generate_series(1, greatest(len(w) - {decontamination.WINDOW}, 0) + 1)) as s

@@ -30,11 +30,12 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(rounds):
         both = stars.union(stars.select("v", "u").toDF("u", "v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written, so that the join reads both sides by plain exchanges and can split a hot node.
+        least = frozen(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
+        large = frozen(large.where("u != v").distinct(), "large")
         # All links now go from a node to a smaller one.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = frozen(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m"))
         stars = frozen(small.where("u != v").distinct(), "stars")
         after = _state(stars)

@@ -193,7 +193,7 @@ def _candidates(variants: DataFrame) -> DataFrame:
         F.min("first").alias("first"),
         F.max("last").alias("last"),
     )
-    shared = keys.where("first < last").select("key", "whole", "shortened")
+    shared = frozen(keys.where("first < last").select("key", "whole", "shortened"), "shared-keys")
     rows = variants.join(shared, "key").join(same.where("place >= 0 and first < last").select("key", "size", "place", "first"), ["key", "size", "place"], "left")
     other = F.when(F.col("place") == -1, F.col("shortened")).otherwise(F.col("whole"))
     pairs = rows.select("at", F.explode(F.array("first", other)).alias("earlier"))
@@ -221,7 +221,8 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     firsts = distinct.select("a", "b", "first")
     exact = found.join(firsts, ["a", "b"]).where(at > F.col("first")).select("id", "sum", "number")
     halves = distinct.select("a", F.explode(F.array_distinct(F.array(*(f"h{k}" for k in range(4))))).alias("half"))
-    shared = halves.groupBy("half").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least < most").select("half")
+    # Written, so that the join reads both sides by plain exchanges and can split a hot half.
+    shared = frozen(halves.groupBy("half").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least < most").select("half"), "shared-halves")
     chosen = halves.join(shared, "half", "left_semi").select("a")
     variants, contents = _neighbourhoods(docs, chosen, least)
     near = frozen(_verified(_candidates(variants), contents), "near-lines")

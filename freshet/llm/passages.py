@@ -131,7 +131,8 @@ def _passages(docs: DataFrame, length: int, gap: int) -> DataFrame:
     """``id, begin, end, cluster, first_id``: windows that several documents share, joined where they
     overlap and come from the same first document."""
     table = frozen(_windows(docs, length, gap), "windows")
-    shared = table.groupBy("key").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("key", "first_id")
+    # Written, so that the join reads both sides by plain exchanges and can split a hot key.
+    shared = frozen(table.groupBy("key").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("key", "first_id"), "shared-windows")
     found = table.join(shared, "key").select("id", "begin", "first_id", "key")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = found.repartition(partitions, "id").sortWithinPartitions("id", "first_id", "begin")
@@ -170,13 +171,13 @@ def _near_paragraphs(docs: DataFrame, percent: int, recall: float, least: int) -
     found = frozen(_paragraphs(docs, bands, rows, least), "paragraphs")
     classes = frozen(found.groupBy("set").agg(F.min(F.struct("id", "number")).alias("at"), F.first("bands").alias("bands")), "paragraph-classes")
     keys = classes.select("set", F.explode("bands").alias("shingle"))
-    shared = keys.groupBy("shingle").agg(F.min("set").alias("a"), F.max("set").alias("b")).where("a < b").select("shingle")
+    shared = frozen(keys.groupBy("shingle").agg(F.min("set").alias("a"), F.max("set").alias("b")).where("a < b").select("shingle"), "shared-bands")
     lists = frozen(keys.join(shared, "shingle").select("shingle", "set", F.lit(1).alias("size"), F.lit(0).alias("place")), "bands")
     wanted = classes.join(lists.select("set").distinct(), "set").select("at.id", "at.number", "set")
     texts = frozen(_line_texts(docs, wanted), "paragraph-texts")
     linked = frozen(components(setjoin.links_between(lists, texts, SHINGLE, percent)), "paragraph-components")
     member = found.join(linked.withColumnRenamed("node", "set"), "set", "left").select("id", "begin", "end", F.coalesce("component", "set").alias("cluster"))
-    firsts = member.groupBy("cluster").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("cluster", "first_id")
+    firsts = frozen(member.groupBy("cluster").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("cluster", "first_id"), "first-paragraphs")
     return member.join(firsts, "cluster").select("id", "begin", "end", "cluster", "first_id")
 
 

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.session import working_dir
+from freshet.session import frozen, working_dir
 
 
 @dataclass(frozen=True)
@@ -137,6 +137,8 @@ def scan_history(history: DataFrame, ledger_path: str, path: str = "path", versi
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("findings")))).alias("__all"))
         .select("blob", F.filter("__all", lambda s: F.array_contains(kinds, s["kind"])).alias("findings"))
     )
+    # Written, so that the join reads both sides by plain exchanges and can split a hot blob.
+    findings = frozen(findings, "findings")
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
     return versions.select("path", "version", "blob").join(findings, "blob", "left").select("path", "version", "blob", F.coalesce("findings", none).alias("findings"))
 

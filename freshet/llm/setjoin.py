@@ -491,7 +491,9 @@ def links_between(lists: DataFrame, texts: DataFrame, shingle: int = SHINGLE, pe
         placed = lists.join(states, "set", "left").select(
             "shingle", "size", "set", "place", F.coalesce("cluster", "set").alias("cluster"), F.coalesce("leader", "set").alias("leader"), F.coalesce("distance", F.lit(0.0)).alias("distance")
         )
-        split = placed.groupBy("shingle").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b")).where("a != b").select("shingle")
+        # Written, so that the join reads both sides by plain exchanges and can split a hot list.
+        placed = frozen(placed, "placed")
+        split = frozen(placed.groupBy("shingle").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b")).where("a != b").select("shingle"), "split")
         divided = placed.join(split, "shingle", "left_semi")
         if step == 0:
             # Lists within one cluster have no more to say; clusters only grow.
@@ -527,7 +529,7 @@ def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "t
     found = components(links_between(lists, texts, shingle, percent))
 
     member = sets.join(found.withColumnRenamed("node", "set"), "set", "left").select("key", "n", F.coalesce("component", "set").alias("group"))
-    names = member.where("n > 0").groupBy("group").agg(F.min("key").alias("least"))
+    names = frozen(member.where("n > 0").groupBy("group").agg(F.min("key").alias("least")), "components")
     full = member.where("n > 0").join(names, "group").select("key", "n", "least")
     empty = member.where("n = 0").select("key", "n", F.col("key").alias("least"))
     return full.union(empty).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))

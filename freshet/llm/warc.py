@@ -158,7 +158,8 @@ def write_archives(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, sh
     rows = pages.select(F.coalesce(F.col("page_id").cast("bigint"), F.lit(_FIRST)).alias("id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     # What decides on revisits travels without the payloads.
     heads = frozen(rows.select("id", F.octet_length("html").cast("bigint").alias("size"), F.sha1("html").alias("digest")), "page-heads")
-    owners = heads.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("id").alias("owner"), F.min("id").alias("other")).where("owner > other")
+    # Written, so that the join reads both sides by plain exchanges and can split a hot payload.
+    owners = frozen(heads.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("id").alias("owner"), F.min("id").alias("other")).where("owner > other"), "page-owners")
     revisits = heads.join(owners, ["digest", "size"]).where("id < owner").select("id", "digest", "owner").distinct()
     starts = shard_starts(heads.select("id", (F.col("size") + 512).alias("bytes")), shard_bytes)
 
