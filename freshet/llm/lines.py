@@ -231,13 +231,16 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     return exact.union(found.join(goes, ["a", "b"]).select("id", "sum", "number")).distinct()
 
 
-def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, counts: bool = False) -> DataFrame:
+def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, counts: bool = False, drop_emptied: bool = False) -> DataFrame:
     """The documents without their repeated lines; with ``counts`` also ``n_lines`` and ``n_removed``
-    (columns of these names give way)."""
+    (columns of these names give way); with ``drop_emptied`` without those that keep no word. A column
+    ``n_chars`` follows a text that changes."""
     names = [c for c in documents.columns if not (counts and c in ("n_lines", "n_removed"))]
     # Inside, columns go by their place, so that no name can clash.
     renamed = documents.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
     inner, place = renamed.columns, names.index(text)
+    numeric = {n for n, kind in documents.dtypes if kind in ("int", "bigint")}
+    length = names.index("n_chars") if "n_chars" in names and "n_chars" in numeric else None
     docs = _identified(documents, key, text)
     goes = repeated_lines(docs, least).groupBy("id", "sum").agg(F.collect_set("number").alias("numbers"))
     body = F.coalesce(F.col(f"c{place}").cast("string"), F.lit(""))
@@ -246,17 +249,23 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, total, gone = [], [], []
+            texts, total, gone, stays = [], [], [], []
             for value, numbers in zip(batch.column(place), batch.column(len(names)), strict=True):
                 value, drop = value.as_py(), set(numbers.as_py() or ())
                 split = (value or "").split("\n") if counts or drop else []
-                texts.append("\n".join(x for i, x in enumerate(split) if i not in drop) if drop else value)
+                left = "\n".join(x for i, x in enumerate(split) if i not in drop) if drop else value
+                stays.append(not (drop_emptied and drop and not left.split()))
+                texts.append(left)
                 total.append(len(split))
                 gone.append(len(drop))
             columns = batch.columns[: len(names)]
             columns[place] = pa.array(texts, pa.string())
+            if length is not None:
+                sizes = zip(columns[length].to_pylist(), texts, gone, strict=True)
+                columns[length] = pa.array([len(t) if g else n for n, t, g in sizes], columns[length].type)
             extra = [pa.array(total, pa.int64()), pa.array(gone, pa.int64())] if counts else []
-            yield pa.RecordBatch.from_arrays([*columns, *extra], [*inner, *(["n_lines", "n_removed"] if counts else [])])
+            out = pa.RecordBatch.from_arrays([*columns, *extra], [*inner, *(["n_lines", "n_removed"] if counts else [])])
+            yield out.filter(pa.array(stays, pa.bool_())) if drop_emptied else out
 
     fields = [T.StructField(f.name, T.StringType() if i == place else f.dataType) for i, f in enumerate(renamed.schema.fields)]
     if counts:

@@ -85,23 +85,23 @@ def _unpack(data: bytes) -> list[np.ndarray]:
 
 
 def _sets(documents: DataFrame, shingle: int) -> DataFrame:
-    """Rows of kind 0: ``key, set, n`` of every text; of kind 1: a shingle in ``set`` and its count in one batch."""
+    """Rows of kind 0: ``key, sum, set, n`` of every text; of kind 1: a shingle in ``set`` and its count in one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "key", "set", "n"]
+        names = ["kind", "key", "sum", "set", "n"]
         for batch in batches:
             seen: dict[int, np.ndarray] = {}
             for at, sets in words.shingle_sets(batch.column(1), shingle):
                 ids = [set_id(s) for s in sets]
                 seen.update(zip(ids, sets, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int8)), batch.column(0).slice(at, len(sets)), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64())], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int8)), batch.column(0).slice(at, len(sets)), batch.column(2).slice(at, len(sets)), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64())], names)
             if seen:
                 shared, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
                 often = counts >= REPORTED
                 shared, counts = shared[often].view(np.int64), counts[often].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(shared), np.int8)), pa.nulls(len(shared), pa.int64()), pa.array(shared), pa.array(counts)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(shared), np.int8)), *[pa.nulls(len(shared), pa.int64())] * 2, pa.array(shared), pa.array(counts)], names)
 
-    return documents.mapInArrow(run, "kind tinyint, key bigint, set bigint, n bigint")
+    return documents.mapInArrow(run, "kind tinyint, key bigint, sum bigint, set bigint, n bigint")
 
 
 def _frequent(reports: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -506,30 +506,58 @@ def links_between(lists: DataFrame, texts: DataFrame, shingle: int = SHINGLE, pe
 
 
 def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
-    return documents.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return documents.select(F.col(key).cast("bigint").alias("key"), body.alias("text"), F.xxhash64(body).alias("sum"))
 
 
-def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``key, n_shingles, component_id`` for every row."""
-    spark = documents.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = _keyed(documents, key, text)
+def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``key, sum, n, least`` of every row: the size of its set and the smallest key of its component."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = frozen(_sets(docs, shingle), "sets")
-    sets = table.where("kind = 0").select("key", "set", "n")
-    classes = sets.where("n > 0").groupBy("set", "n").agg(F.min("key").alias("key"))
+    sets = table.where("kind = 0").select("key", "sum", "set", "n")
+    classes = sets.where("n > 0").groupBy("set", "n").agg(F.min(F.struct("key", "sum")).alias("one"))
     postings = classes.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
     buckets = max(4 * partitions, int(postings / BUCKET_POSTINGS))
     index = _index(docs, _frequent(table.where("kind = 1"), FREQUENT), buckets, shingle, percent)
     lists = frozen(_lists(index, partitions, percent), "lists")
 
-    # One row of each class that is in some list carries its text on.
-    wanted = lists.select("set").distinct().join(classes.select("set", "key"), "set")
-    texts = frozen(docs.join(wanted, docs["key"].eqNullSafe(wanted["key"])).groupBy("set").agg(F.first("text").alias("text")), "texts")
+    # One text of each class that is in some list is carried on.
+    wanted = lists.select("set").distinct().join(classes.select("set", "one.key", "one.sum"), "set")
+    met = docs.join(wanted, docs["key"].eqNullSafe(wanted["key"]) & (docs["sum"] == wanted["sum"]))
+    texts = frozen(met.groupBy("set").agg(F.first("text").alias("text")), "texts")
 
     found = components(links_between(lists, texts, shingle, percent))
-
-    member = sets.join(found.withColumnRenamed("node", "set"), "set", "left").select("key", "n", F.coalesce("component", "set").alias("group"))
+    member = sets.join(found.withColumnRenamed("node", "set"), "set", "left").select("key", "sum", "n", F.coalesce("component", "set").alias("group"))
     names = frozen(member.where("n > 0").groupBy("group").agg(F.min("key").alias("least")), "components")
-    full = member.where("n > 0").join(names, "group").select("key", "n", "least")
-    empty = member.where("n = 0").select("key", "n", F.col("key").alias("least"))
-    return full.union(empty).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
+    full = member.where("n > 0").join(names, "group").select("key", "sum", "n", "least")
+    return full.union(member.where("n = 0").select("key", "sum", "n", F.col("key").alias("least")))
+
+
+def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``key, n_shingles, component_id`` for every row."""
+    found = _components(_keyed(documents, key, text), shingle, percent)
+    return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
+
+
+def representatives(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, with all its columns, and all rows whose set is empty.
+
+    That is the row whose key names the component; of several with that key, and of rows without any
+    key, the one whose text hashes least; of rows that repeat both, any one.
+    """
+    names = documents.columns
+    found = frozen(_components(_keyed(documents, key, text), shingle, percent), "document-components")
+    inner = documents.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
+    body = F.coalesce(F.col(f"c{names.index(text)}").cast("string"), F.lit(""))
+    tagged = inner.withColumn("key", F.col(f"c{names.index(key)}").cast("bigint")).withColumn("sum", F.xxhash64(body))
+    # Rows that do not name their component go; ties are rare and settled among themselves.
+    named = found.where("n > 0 and key <=> least").groupBy(F.col("least").alias("its_key")).agg(F.min("sum").alias("its_sum"))
+    goes = found.where("n > 0").join(named, F.col("key").eqNullSafe(F.col("its_key")) & (F.col("sum") == F.col("its_sum")), "left_anti")
+    goes = frozen(goes.select("key", "sum").distinct(), "copies")
+    match = F.col("key").eqNullSafe(F.col("its_key")) & (F.col("sum") == F.col("its_sum"))
+    kept = tagged.join(goes.toDF("its_key", "its_sum"), match, "left_anti")
+    again = frozen(found.where("n > 0 and key <=> least").groupBy("key", "sum").agg(F.count("*").alias("rows")).where("rows > 1").select("key", "sum").toDF("its_key", "its_sum"), "repeated-rows")
+    if again.isEmpty():
+        return kept.select(*inner.columns).toDF(*names)
+    once = kept.join(again, match, "left_semi").dropDuplicates(["key", "sum"])
+    return kept.join(again, match, "left_anti").union(once).select(*inner.columns).toDF(*names)
