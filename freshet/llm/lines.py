@@ -9,8 +9,8 @@ The near ones come from a deletion-neighbourhood join: every variant of a line w
 a hashed key. Two lines are within one edit exactly if they share a variant with the word deleted at
 the same place, or a variant of one is the other. Groups of a key are folded to their earliest lines by
 aggregation, so a key that millions of lines share costs one row a line. Variants are emitted only for
-lines that share a half with another: of two lines within one edit, the first or the second half is the
-same. The edit distance is then verified on the words themselves.
+lines that share with another what an edit in one of their parts (halves, or quarters of short lines)
+would leave: lines within one edit always do. The edit distance is then verified on the words.
 
 Defined results: a NULL or empty text has one line without words and stays as it is; a NULL id sorts
 first; rows that repeat both id and text are one document, and each gets that document's result; a
@@ -32,6 +32,8 @@ from freshet.llm import words
 from freshet.session import frozen
 
 LEAST_WORDS = 5
+#: Lines of fewer words are cut into quarters, longer ones into halves.
+SHORT = 24
 #: The Bloom filter's bits (8 MB), and where in a hash the bits' numbers are read.
 GATE_BITS = 1 << 26
 GATE_SHIFTS = (0, 32)
@@ -67,15 +69,25 @@ class Lines:
     def ids(self) -> list[np.ndarray]:
         return [words.mix(self.part(self.start, self.end, k) + self.size.astype(np.uint64)) for k in (0, 1)]
 
-    def halves(self) -> np.ndarray:
-        """Four keys a line: its beginning and end, for a partner as long or longer and for a shorter one."""
-        keys = []
-        for shorter in (self.size, self.size - 1):
-            half = shorter // 2  # what one edit must leave whole at one end: ceil((shorter - 1) / 2)
-            salt = shorter.astype(np.uint64) * _U(4)
-            keys.append(words.mix(self.part(self.start, self.start + half) + salt))
-            keys.append(words.mix(self.part(self.end - half, self.end) + salt + _U(1)))
-        return np.stack(keys, axis=1)
+    def remains(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``line, key`` of what an edit in each part of the chosen lines would leave the same.
+
+        Of two lines within one edit, the shorter of n words, some k gives the same first k and last
+        n - 1 - k words. With places cut every t words, the first j t and the last n - (j + 1) t words
+        are the same for the part j that k is in. A line is the shorter of a pair or one word longer.
+        """
+        lines, keys = [], []
+        for shorter in (self.size[chosen], self.size[chosen] - 1):
+            step = -(-shorter // np.where(shorter < SHORT, 4, 2))
+            for j in range(4):
+                some = np.flatnonzero(j * step < shorter)
+                line, n, t = chosen[some], shorter[some], step[some]
+                start, end = self.start[line], self.end[line]
+                front = self.part(start, start + j * t)
+                back = self.part(end - np.maximum(n - (j + 1) * t, 0), end)
+                lines.append(line)
+                keys.append(words.mix(words.mix(front + n.astype(np.uint64)) + back * _U(3) + _U(j)))
+        return np.concatenate(lines), np.concatenate(keys)
 
     def variants(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``line, deleted place, key`` of every variant of the chosen lines; place -1 is the line itself."""
@@ -95,7 +107,7 @@ def _identified(documents: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame, least: int) -> DataFrame:
-    """A row per line of enough words: where it stands, its identity, and its half keys."""
+    """A row per line of enough words: where it stands, and its identity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,13 +116,70 @@ def _occurrences(docs: DataFrame, least: int) -> DataFrame:
                 long = np.flatnonzero(lines.size >= least)
                 row = pa.array(at + lines.text[long])
                 a, b = (i[long].view(np.int64) for i in lines.ids())
-                halves = lines.halves()[long].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.number[long]), pa.array(a), pa.array(b), *(pa.array(np.ascontiguousarray(halves[:, k])) for k in range(4))],
-                    ["id", "sum", "number", "a", "b", "h0", "h1", "h2", "h3"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.number[long]), pa.array(a), pa.array(b)], ["id", "sum", "number", "a", "b"])
+
+    return docs.mapInArrow(run, "id bigint, sum bigint, number bigint, a bigint, b bigint")
+
+
+def _chosen(docs: DataFrame, least: int) -> DataFrame:
+    """``a`` of the lines that share what an edit would leave with another line.
+
+    Each Arrow batch settles the keys that several of its lines have, and hands on one line per key,
+    packed by range of key, so that a key costs at most a posting per batch however many lines have it.
+    """
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * partitions
+
+    def several(key: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct pairs by key, and which of them have a key that another line has."""
+        order = np.lexsort((a, key))
+        key, a = key[order], a[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (a[1:] != a[:-1])) if len(key) else np.zeros(0, bool)
+        key, a = key[new], a[new]
+        same = key[1:] == key[:-1]
+        return key, a, np.append(same, False) | np.append(False, same) if len(key) else np.zeros(0, bool)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, owners = [], []
+            for _, _, raw, offsets in words.blocks(batch.column(0)):
+                lines = Lines(raw, offsets)
+                line, key = lines.remains(np.flatnonzero(lines.size >= least))
+                keys.append(key)
+                owners.append(lines.ids()[0][line])
+            if not keys:
+                continue
+            key, a, shared = several(np.concatenate(keys), np.concatenate(owners))
+            settled = np.unique(a[shared])
+            first = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
+            key, a = key[first], a[first]
+            bucket = ((key >> _U(32)) * _U(buckets)) >> _U(32)
+            cuts, parts = np.searchsorted(bucket, np.arange(buckets + 1)), np.searchsorted(settled, (np.arange(buckets + 1) * ((1 << 64) // buckets)).astype(object).clip(0, (1 << 64) - 1).astype(np.uint64))
+            parts[-1] = len(settled)
+            rows = [(i, key[cuts[i] : cuts[i + 1]].tobytes(), a[cuts[i] : cuts[i + 1]].tobytes(), settled[parts[i] : parts[i + 1]].tobytes()) for i in range(buckets)]
+            rows = [x for x in rows if x[1] or x[3]]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["bucket", "keys", "lines", "settled"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(parts: list[tuple]) -> pa.RecordBatch:
+            key, a, settled = (np.frombuffer(b"".join(c), np.uint64) for c in zip(*parts, strict=True))
+            _, a, shared = several(key, a)
+            return pa.RecordBatch.from_arrays([pa.array(np.unique(np.append(a[shared], settled)).view(np.int64))], ["a"])
+
+        at, held = None, []
+        for batch in batches:
+            for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != at and held:
+                    yield out(held)
+                    held = []
+                at = bucket
+                held.append(tuple(row))
+        if held:
+            yield out(held)
 
-    return docs.mapInArrow(run, "id bigint, sum bigint, number bigint, a bigint, b bigint, h0 bigint, h1 bigint, h2 bigint, h3 bigint")
+    packed = docs.select("text").mapInArrow(pack, "bucket int, keys binary, lines binary, settled binary")
+    return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "a bigint")
 
 
 def _gate(chosen: DataFrame) -> np.ndarray:
@@ -216,14 +285,9 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """``id, sum, number`` of every line that an earlier one makes superfluous."""
     found = frozen(_occurrences(docs, least), "lines")
     at = F.struct("id", "sum", "number")
-    distinct = found.groupBy("a", "b").agg(F.min(at).alias("first"), *(F.first(f"h{k}").alias(f"h{k}") for k in range(4)))
-    distinct = frozen(distinct, "distinct-lines")
-    firsts = distinct.select("a", "b", "first")
+    firsts = frozen(found.groupBy("a", "b").agg(F.min(at).alias("first")), "distinct-lines")
     exact = found.join(firsts, ["a", "b"]).where(at > F.col("first")).select("id", "sum", "number")
-    halves = distinct.select("a", F.explode(F.array_distinct(F.array(*(f"h{k}" for k in range(4))))).alias("half"))
-    # Written, so that the join reads both sides by plain exchanges and can split a hot half.
-    shared = frozen(halves.groupBy("half").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least < most").select("half"), "shared-halves")
-    chosen = halves.join(shared, "half", "left_semi").select("a")
+    chosen = frozen(_chosen(docs, least), "chosen-lines")
     variants, contents = _neighbourhoods(docs, chosen, least)
     near = frozen(_verified(_candidates(variants), contents), "near-lines")
     # Every copy of a near line's text has the same fate as its first occurrence.
