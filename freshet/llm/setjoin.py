@@ -39,9 +39,9 @@ from freshet.session import frozen
 SHINGLE = 5
 PERCENT = 80
 #: Shingles that go to the end of the order by their count, at most; only speed depends on it.
-FREQUENT = 200_000
+FREQUENT = 1_000_000
 #: A shingle's count in one Arrow batch from which the batch reports it.
-REPORTED = 4
+REPORTED = 2
 #: Rounds in which each set is compared with one more partner before all open questions are settled.
 SINGLE_ROUNDS = 1
 #: Sets in a block when open questions are settled.
