@@ -49,7 +49,11 @@ BLOCK = 256
 #: Postings in one bucket of the index, about.
 BUCKET_POSTINGS = 150_000
 
+#: Bits by which texts are kept from a shuffle when a round does not ask for them, 64 a row.
+GATE_BITS = 1 << 24
+
 _U = np.uint64
+_FIRST = -(1 << 63)
 _POSTING = (("shingle", np.uint64), ("set", np.uint64), ("size", np.uint32), ("place", np.uint32))
 
 
@@ -394,7 +398,7 @@ def _settled(parts: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
         " concat(if(own > 0, transform(sequence(0, own - 1), i -> named_struct('x', i, 'y', block)), array()),"
         " transform(sequence(1, other), o -> named_struct('x', greatest(block, -o), 'y', least(block, -o)))))"
     )
-    spread = mine.join(texts, "set").select("job", "set", "cluster", "block", "text", F.explode(meets).alias("meet")).select("job", "meet.x", "meet.y", "block", "set", "cluster", "text")
+    spread = mine.join(_gated(texts, parts), "set").select("job", "set", "cluster", "block", "text", F.explode(meets).alias("meet")).select("job", "meet.x", "meet.y", "block", "set", "cluster", "text")
     partitions = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = spread.repartition(partitions, "job", "x", "y").sortWithinPartitions("job", "x", "y")
 
@@ -437,8 +441,19 @@ def _settled(parts: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return ordered.mapInArrow(run, "u bigint, v bigint")
 
 
+def _gated(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """The texts of the sets asked for, and few others, without a shuffle of the texts: a bitmap of a
+    fixed size, at most ``GATE_BITS / 64`` rows, is broadcast."""
+    bit = F.pmod(F.xxhash64("set"), F.lit(GATE_BITS))
+    cell, mask = F.shiftright(bit, 6).alias("cell"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(set), {GATE_BITS}) & 63 as int))")
+    cells = asked.select(cell, mask.alias("mask")).groupBy("cell").agg(F.bit_or("mask").alias("bits"))
+    return texts.withColumn("cell", cell).join(F.broadcast(cells), "cell").where(F.col("bits").bitwiseAND(mask) != 0).select("set", "text")
+
+
 def _measured(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``u, v, distance, linked`` of every pair, from the whole texts."""
+    pairs = frozen(pairs.select("u", "v"), "pairs")
+    texts = _gated(texts, pairs.select(F.explode(F.array("u", "v")).alias("set")))
     left = texts.select(F.col("set").alias("u"), F.col("text").alias("text_u"))
     right = texts.select(F.col("set").alias("v"), F.col("text").alias("text_v"))
     beside = pairs.select("u", "v").join(left, "u").join(right, "v").select("u", "v", "text_u", "text_v")
@@ -523,8 +538,9 @@ def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     # One text of each class that is in some list is carried on.
     wanted = lists.select("set").distinct().join(classes.select("set", "one.key", "one.sum"), "set")
-    met = docs.join(wanted, docs["key"].eqNullSafe(wanted["key"]) & (docs["sum"] == wanted["sum"]))
-    texts = frozen(met.groupBy("set").agg(F.first("text").alias("text")), "texts")
+    known = F.coalesce("key", F.lit(_FIRST)).alias("id")
+    met = docs.select(known, "sum", "text").join(wanted.select(known, "sum", "set"), ["id", "sum"])
+    texts = frozen(met.groupBy("id", "sum", "set").agg(F.first("text").alias("text")).select("set", "text"), "texts")
 
     found = components(links_between(lists, texts, shingle, percent))
     member = sets.join(found.withColumnRenamed("node", "set"), "set", "left").select("key", "sum", "n", F.coalesce("component", "set").alias("group"))
