@@ -176,9 +176,15 @@ def _near_paragraphs(docs: DataFrame, percent: int, recall: float, least: int) -
     wanted = classes.join(lists.select("set").distinct(), "set").select("at.id", "at.number", "set")
     texts = frozen(_line_texts(docs, wanted), "paragraph-texts")
     linked = frozen(components(setjoin.links_between(lists, texts, SHINGLE, percent)), "paragraph-components")
-    member = found.join(linked.withColumnRenamed("node", "set"), "set", "left").select("id", "begin", "end", F.coalesce("component", "set").alias("cluster"))
-    firsts = frozen(member.groupBy("cluster").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("cluster", "first_id"), "first-paragraphs")
-    return member.join(firsts, "cluster").select("id", "begin", "end", "cluster", "first_id")
+    # Per class first: only those that several documents have, alone or with linked ones, matter.
+    spread = frozen(found.groupBy("set").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")), "paragraph-spread")
+    joint = linked.select(F.col("node").alias("set"), F.col("component").alias("cluster"))
+    in_clusters = spread.join(joint, "set")
+    firsts = in_clusters.groupBy("cluster").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id")).where("first_id < last_id").select("cluster", "first_id")
+    together = joint.join(firsts, "cluster").select("set", "cluster", "first_id")
+    alone = spread.where("first_id < last_id").join(joint, "set", "left_anti").select("set", F.col("set").alias("cluster"), "first_id")
+    places = frozen(together.union(alone), "paragraph-clusters")
+    return found.join(places, "set").select("id", "begin", "end", "cluster", "first_id")
 
 
 def repeated(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, recall: float = RECALL, least: int = LEAST_PARAGRAPH, passage: int = PASSAGE, gap: int = GAP) -> DataFrame:

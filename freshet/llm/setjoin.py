@@ -42,8 +42,6 @@ PERCENT = 80
 FREQUENT = 1_000_000
 #: A shingle's count in one Arrow batch from which the batch reports it.
 REPORTED = 2
-#: Rounds in which each set is compared with one more partner before all open questions are settled.
-SINGLE_ROUNDS = 1
 #: Sets in a block when open questions are settled.
 BLOCK = 256
 #: Postings in one bucket of the index, about.
@@ -336,30 +334,6 @@ def _gathered(rows: Iterator[np.ndarray], names: list[str]) -> Iterator[pa.Recor
         yield out()
 
 
-def _single_pairs(lists: DataFrame, percent: int, step: int) -> DataFrame:
-    """Each set with one of its open partners in a list, preferably the same in all lists that have it;
-    which one depends on the step."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs() -> Iterator[np.ndarray]:
-            for group in _open_lists(batches):
-                owner, chosen = group[1], {}
-                for i, j in _open(group, percent):
-                    draw = words.mix(owner[j].view(np.uint64) ^ owner[i : i + 1].view(np.uint64) * _U(2 * step + 1))
-                    least = int(np.argmin(draw))
-                    for k, other, d in [(i, int(j[least]), int(draw[least])), *zip(j.tolist(), [i] * len(j), draw.tolist(), strict=True)]:
-                        if k not in chosen or d < chosen[k][0]:
-                            chosen[k] = (d, other)
-                if chosen:
-                    ends = owner[np.array([(k, o) for k, (_, o) in chosen.items()]).T]
-                    yield np.stack([ends.min(0), ends.max(0)])
-
-        for batch in _gathered(pairs(), ["u", "v"]):
-            yield batch.append_column("shared", pa.array(np.ones(batch.num_rows, np.int64)))
-
-    return lists.mapInArrow(run, "u bigint, v bigint, shared bigint").groupBy("u", "v").agg(F.sum("shared").alias("shared"))
-
-
 def _participants(lists: DataFrame, percent: int) -> DataFrame:
     """``job, set, cluster``: the sets with an open pair in some list, under the list's largest cluster."""
 
@@ -487,36 +461,25 @@ def links_between(lists: DataFrame, texts: DataFrame, shingle: int = SHINGLE, pe
     """Verified links ``u, v`` that connect all similar sets which meet in some list.
 
     ``lists`` has ``shingle, set, size, place``, where size and place only serve to rule pairs out;
-    ``texts`` has the text of every ``set`` in them. Rounds that ask one question a set come first and
-    make the clusters large; then all that is left open between clusters is settled in blocks.
+    ``texts`` has the text of every ``set`` in them. One question a set comes first and makes the
+    clusters; then all that is left open between clusters is settled in blocks.
     """
     partitions = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = lists.repartition(partitions, "shingle").sortWithinPartitions("shingle", "size", "set")
-    pairs = _best(frozen(_first_pairs(ordered, percent), "first-pairs"))
-    answers = None
-    for step in range(SINGLE_ROUNDS + 1):
-        new = frozen(_measured(pairs, texts, shingle, percent), "answers")
-        answers = new if answers is None else answers.union(new)
-        linked = answers.where("linked").select("u", "v")
-        clusters = components(linked).withColumnRenamed("node", "set")
-        # What is known of each set: its cluster, and its distance from one leader (itself at 0 if none).
-        leaders = answers.select(F.col("u").alias("set"), F.col("v").alias("leader"), "distance").union(answers.select("v", "u", "distance"))
-        known = leaders.groupBy("set").agg(F.min(F.struct("distance", "leader")).alias("by"))
-        states = clusters.join(known, "set", "full").select("set", F.coalesce("component", "set").alias("cluster"), F.coalesce("by.leader", "set").alias("leader"), F.coalesce("by.distance", F.lit(0.0)).alias("distance"))
-        placed = lists.join(states, "set", "left").select(
-            "shingle", "size", "set", "place", F.coalesce("cluster", "set").alias("cluster"), F.coalesce("leader", "set").alias("leader"), F.coalesce("distance", F.lit(0.0)).alias("distance")
-        )
-        # Written, so that the join reads both sides by plain exchanges and can split a hot list.
-        placed = frozen(placed, "placed")
-        split = frozen(placed.groupBy("shingle").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b")).where("a != b").select("shingle"), "split")
-        divided = placed.join(split, "shingle", "left_semi")
-        if step == 0:
-            # Lists within one cluster have no more to say; clusters only grow.
-            divided = frozen(divided, "open-lists")
-            lists = divided.select("shingle", "set", "size", "place")
-        left_open = divided.repartition(partitions, "shingle").sortWithinPartitions("shingle", "size", "set")
-        if step < SINGLE_ROUNDS:
-            pairs = _best(_single_pairs(left_open, percent, step)).join(answers.select("u", "v"), ["u", "v"], "left_anti")
+    by_list = lambda df: df.repartition(partitions, "shingle").sortWithinPartitions("shingle", "size", "set")
+    answers = frozen(_measured(_best(frozen(_first_pairs(by_list(lists), percent), "first-pairs")), texts, shingle, percent), "answers")
+    linked = answers.where("linked").select("u", "v")
+    clusters = components(linked).withColumnRenamed("node", "set")
+    # What is known of each set: its cluster, and its distance from one leader (itself at 0 if none).
+    leaders = answers.select(F.col("u").alias("set"), F.col("v").alias("leader"), "distance").union(answers.select("v", "u", "distance"))
+    known = leaders.groupBy("set").agg(F.min(F.struct("distance", "leader")).alias("by"))
+    states = clusters.join(known, "set", "full").select("set", F.coalesce("component", "set").alias("cluster"), F.coalesce("by.leader", "set").alias("leader"), F.coalesce("by.distance", F.lit(0.0)).alias("distance"))
+    # Written, so that the join reads both sides by plain exchanges and can split a hot list.
+    placed = frozen(
+        lists.join(states, "set", "left").select("shingle", "size", "set", "place", F.coalesce("cluster", "set").alias("cluster"), F.coalesce("leader", "set").alias("leader"), F.coalesce("distance", F.lit(0.0)).alias("distance")),
+        "placed",
+    )
+    split = frozen(placed.groupBy("shingle").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b")).where("a != b").select("shingle"), "split")
+    left_open = by_list(placed.join(split, "shingle", "left_semi"))
     return linked.union(frozen(_settled(_participants(left_open, percent), texts, shingle, percent), "settled"))
 
 
