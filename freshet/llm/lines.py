@@ -183,11 +183,12 @@ def _chosen(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _gate(chosen: DataFrame) -> np.ndarray:
-    """A Bloom filter of the hashes ``a``, of a fixed size whatever their number.
+    """A Bloom filter of occurrences ``id, sum, a``, of a fixed size whatever their number.
 
     A line that it lets through by mistake costs its variants and changes no result.
     """
-    bits = chosen.select(F.explode(F.array(*(F.shiftrightunsigned("a", k).bitwiseAND(GATE_BITS - 1) for k in GATE_SHIFTS))).alias("bit"))
+    here = F.col("a").bitwiseXOR(F.col("sum"))
+    bits = chosen.select(F.explode(F.array(*(F.shiftrightunsigned(here, k).bitwiseXOR(F.col("id")).bitwiseAND(GATE_BITS - 1) for k in GATE_SHIFTS))).alias("bit"))
     cells = bits.groupBy(F.shiftright("bit", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
     gate = np.zeros(GATE_BITS // 64, np.int64)
     gate[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64)
@@ -195,23 +196,24 @@ def _gate(chosen: DataFrame) -> np.ndarray:
 
 
 def _neighbourhoods(docs: DataFrame, chosen: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """The keys of all variants of the lines with hashes ``a``, and the lines themselves.
+    """The keys of all variants of the lines first seen at ``id, sum, a``, and the lines themselves.
 
     The texts are read once more rather than shuffled to meet the chosen lines: the gate is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_gate(chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "sum", "number", "size", "place", "key", "line"]
+        names = ["id", "sum", "number", "size", "place", "key", "a", "line"]
         gate = shared.value
         for batch in batches:
             ids, sums = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for at, _, raw, offsets in words.blocks(batch.column(2)):
                 lines = Lines(raw, offsets)
                 a = lines.ids()[0]
+                owner, text_sum = ids[at + lines.text].view(np.uint64), sums[at + lines.text].view(np.uint64)
                 passed = lines.size >= least
                 for k in GATE_SHIFTS:
-                    bit = ((a >> _U(k)) & _U(GATE_BITS - 1)).astype(np.int64)
+                    bit = ((((a ^ text_sum) >> _U(k)) ^ owner) & _U(GATE_BITS - 1)).astype(np.int64)
                     passed &= (gate[bit >> 6] >> (bit & 63)) & 1 > 0
                 picked = np.flatnonzero(passed)
                 # Of equal lines in a block the earliest stands for all.
@@ -228,12 +230,12 @@ def _neighbourhoods(docs: DataFrame, chosen: DataFrame, least: int) -> tuple[Dat
                     content.append(texts[t][int(lines.number[i])])
                 shown = pa.array([None] * (len(line) - len(picked)) + content, pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.number[line]), pa.array(lines.size[line]), pa.array(place), pa.array(key.view(np.int64)), shown], names
+                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.number[line]), pa.array(lines.size[line]), pa.array(place), pa.array(key.view(np.int64)), pa.array(a[line].view(np.int64)), shown], names
                 )
 
-    schema = "id bigint, sum bigint, number bigint, size bigint, place bigint, key bigint, line string"
+    schema = "id bigint, sum bigint, number bigint, size bigint, place bigint, key bigint, a bigint, line string"
     table = frozen(docs.mapInArrow(run, schema), "variants")
-    return table.select("key", "size", "place", F.struct("id", "sum", "number").alias("at")), table.where("place = -1").select(F.struct("id", "sum", "number").alias("at"), "line")
+    return table.select("key", "size", "place", "a", F.struct("id", "sum", "number").alias("at")), table.where("place = -1").select(F.struct("id", "sum", "number").alias("at"), "line")
 
 
 def within_one_edit(a: list, b: list) -> bool:
@@ -253,6 +255,9 @@ def _split(line: str) -> list[bytes]:
 
 def _candidates(variants: DataFrame) -> DataFrame:
     """``at, earlier``: lines with the earliest line that shares each kind of key, if that is earlier."""
+    # Most keys have one line; only the others' rows go on.
+    meeting = frozen(variants.groupBy("key").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least < most").select("key"), "meeting-keys")
+    variants = frozen(variants.join(meeting, "key", "left_semi").select("key", "size", "place", "at"), "meeting-variants")
     # Lines that lack the word at one place, and among all: the lines that are the variant, and the rest.
     same = variants.groupBy("key", "size", "place").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     same = frozen(same, "same-place")
@@ -287,7 +292,7 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     at = F.struct("id", "sum", "number")
     firsts = frozen(found.groupBy("a", "b").agg(F.min(at).alias("first")), "distinct-lines")
     exact = found.join(firsts, ["a", "b"]).where(at > F.col("first")).select("id", "sum", "number")
-    chosen = frozen(_chosen(docs, least), "chosen-lines")
+    chosen = frozen(_chosen(docs, least).distinct().join(firsts, "a").select("first.id", "first.sum", "a"), "chosen-lines")
     variants, contents = _neighbourhoods(docs, chosen, least)
     near = frozen(_verified(_candidates(variants), contents), "near-lines")
     # Every copy of a near line's text has the same fate as its first occurrence.
