@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from freshet.catalog.base import CUTOFF_SQL, DURATION_SQL, K_SQL, earlier, events, query, table
-from freshet.catalog.landed import channel_envelopes, land, search_envelopes, video_envelopes
+from freshet.catalog.landed import channel_envelopes, empty_answers, land, search_envelopes, video_envelopes
 from freshet.plans.ingest import RunConf, run_job
+from freshet.plans.store import RunStore
 from freshet.session import working_dir
 from freshet.sinks.writers import write_csv
 
@@ -34,22 +36,23 @@ def _videos_sql(source: str) -> str:
         from {source} join customer on c_custkey = user_id"""
 
 
-def _land(spark, sf, base, df):
-    land(channel_envelopes(table(spark, sf, "customer")), f"{base}/channels")
-    land(search_envelopes(df), f"{base}/search")
+def _land(spark, sf, base, df, spoil=None):
+    customers = table(spark, sf, "customer")
+    land(channel_envelopes(customers), f"{base}/channels")
+    pages = search_envelopes(df).unionByName(empty_answers(customers, df))
+    land(spoil(pages) if spoil else pages, f"{base}/search")
     land(video_envelopes(df.where("event_type != 'error'")), f"{base}/videos")
 
 
-def _runs(spark, sf, runs):
+def _runs(spark, sf, runs, spoil=None, **options):
     base = working_dir(spark, "ingest")
     listed = table(spark, sf, "customer").select(F.col("c_name").alias("channel_name"), F.col("c_custkey").alias("channel_id"))
     write_csv(listed, f"{base}/list")
     result = None
-    for name, (run_ts, df) in runs.items():
-        _land(spark, sf, f"{base}/{name}", df)
-        result = run_job(
-            spark, RunConf(f"{base}/{name}", f"{base}/store", f"{base}/list", run_ts, cap=CAP)
-        )
+    for step, (name, (run_ts, df)) in enumerate(runs.items()):
+        _land(spark, sf, f"{base}/{name}", df, None if step else spoil)
+        conf = RunConf(f"{base}/{name}", f"{base}/store", f"{base}/list", run_ts, **{"cap": CAP, **options})
+        result = run_job(spark, conf)
     return result
 
 
@@ -89,3 +92,55 @@ def ingest_second_run(spark, sf):
 )
 def ingest_audit(spark, sf):
     return _second(spark, sf).audit.drop("run_ts", "error")
+
+
+def _spoiled(pages):
+    """Search answers that are not whole: of every fourth user no page at all; of the next the last page
+    announces another; of the next the first page is lost."""
+    user = F.col("channel_id").cast("bigint")
+    last = F.max("page_no").over(Window.partitionBy("channel_id"))
+    promised = F.when((user % 4 == 1) & (F.col("page_no") == last), F.lit("next")).alias("nextPageToken")
+    marked = pages.select("channel_id", "page_no", "items", promised)
+    lost = (user % 4 == 0) | ((user % 4 == 2) & (F.col("page_no") == 0))
+    return marked.where(~lost)
+
+
+@query(
+    "ingest_incomplete_pages",
+    f"""with offered as (select * from events where ts < {CUTOFF_SQL} and event_type != 'error' and user_id % 4 != 3)
+        {_videos_sql('offered')}""",
+)
+def ingest_incomplete_pages(spark, sf):
+    """What the run after spoiled answers takes: everything of the users whose answers were not whole."""
+    df = earlier(events(spark, sf))
+    runs = {"first": (FIRST, df), "second": (SECOND, df)}
+    return _shown(_runs(spark, sf, runs, _spoiled, cap=1_000_000))
+
+
+@query(
+    "ingest_three_runs",
+    f"""with {_SECOND}, every as (select * from taken1 union all select event_id, ts, user_id, event_type, value, props, rn from taken2)
+        {_videos_sql('every')}""",
+)
+def ingest_three_runs(spark, sf):
+    """All videos the store holds after two runs, the second of them twice."""
+    df, base = events(spark, sf), working_dir(spark, "ingest")
+    customers = table(spark, sf, "customer")
+    write_csv(customers.select(F.col("c_name").alias("channel_name"), F.col("c_custkey").alias("channel_id")), f"{base}/list")
+    for name, run_ts, rows in (("first", FIRST, earlier(df)), ("second", SECOND, df), ("second", SECOND, df)):
+        _land(spark, sf, f"{base}/{name}", rows)
+        run_job(spark, RunConf(f"{base}/{name}", f"{base}/store", f"{base}/list", run_ts, cap=CAP))
+    videos = RunStore(f"{base}/store").table(spark, "video_details")
+    return videos.select("video_id", "channel_id", "channel_name", "view_count", "duration", "tags", "language")
+
+
+@query(
+    "ingest_given_up",
+    f"""select cast(event_id as varchar) as video_id, cast(user_id as varchar) as channel_id, 2 as attempts
+        from events join customer on c_custkey = user_id where ts < {CUTOFF_SQL} and event_type = 'error'""",
+)
+def ingest_given_up(spark, sf):
+    """Ids whose details never came back are reported when they are given up."""
+    df = earlier(events(spark, sf))
+    result = _runs(spark, sf, {"first": (FIRST, df), "second": (SECOND, df)}, cap=1_000_000, max_attempts=2)
+    return result.given_up.select("video_id", "channel_id", "attempts")

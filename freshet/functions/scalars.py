@@ -10,12 +10,12 @@ LAKE_PREFIX = "youtube-raw-data"
 LOOKBACK_MINUTES = 10
 BATCH_SIZE = 50
 DURATION_PATTERN = (
-    r"^P(?=.)(?:\d+W)?(?:\d+D)?(?:T(?=\d)(?:\d+H)?(?:\d+M)?(?:\d+(?:[.,]\d+)?S)?)?$"
+    r"^P(?=.)(?:\d+W)?(?:\d+D)?(?:T(?=\d)(?:\d+H)?(?:\d+M)?(?:\d+(?:[.,]\d+)?S)?)?\z"
 )
 DURATION_WEIGHTS = (604800, 86400, 3600, 60, 1)
-STAMP_PATTERN = r"^.*_(\d{8}_\d{6})\.csv$"
+STAMP_PATTERN = r"^.*_(\d{8}_\d{6})\.csv\z"
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
-DATE_STAMP_PATTERN = r"^.*_(\d{8})\.csv$"
+DATE_STAMP_PATTERN = r"^.*_(\d{8})\.csv\z"
 
 
 def _col(value: Column | str) -> Column:
@@ -142,7 +142,8 @@ def run_file_name(table: str, run_ts: Column | str) -> Column:
 
 def parse_iso_lenient(text: Column | str) -> Column:
     """ISO timestamp, also with the legacy ``+00:00Z`` ending; NULL when unusable."""
-    return F.try_to_timestamp(F.regexp_replace(_col(text), r"([+-]\d\d:\d\d)Z$", "$1"))
+    whole = F.when(_col(text).rlike(r"\A\d{4}-\d{2}-\d{2}"), _col(text))
+    return F.try_to_timestamp(F.regexp_replace(whole, r"([+-]\d\d:\d\d)Z$", "$1"))
 
 
 def lookback(ts: Column | str, minutes: int = LOOKBACK_MINUTES) -> Column:

@@ -6,9 +6,9 @@ range-partitioned and sorted by (key, order) into segments, which gives every ro
 segment, and a small table with one row per (key, segment) carries the totals or the last row over
 to the next segment.
 
-The segment table has at most ``segments + hot keys`` rows, because range partitions hold
-contiguous keys; the hot-key table has at most ``MAX_HOT_KEYS`` rows. Both bounds hold for any
-input, so both may be broadcast.
+Both limits are rows a task can hold, whatever the size of the table. The segment table has at most
+``segments + hot keys`` rows, because range partitions hold contiguous keys. It and the hot keys are
+broadcast up to ``BROADCAST_ROWS`` rows and joined by shuffle beyond.
 """
 
 from __future__ import annotations
@@ -25,12 +25,8 @@ from freshet.session import frozen
 
 # A group below this many rows is always fine for one task.
 HOT_ROWS = 1_000_000
-# Groups are hot only above 1/MAX_HOT_KEYS of all rows, so there are at most that many.
-MAX_HOT_KEYS = 10_000
 # Spark limits groups before the shuffle only up to this rank (its default setting).
 GROUP_LIMIT = 1_000
-# Bounds the range partitions of one shuffle, and with them the broadcast segment table.
-MAX_SEGMENTS = 20_000
 # Broadcast checks: a side may be broadcast below both.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -49,6 +45,7 @@ class HotKeys:
     keys: tuple[str, ...]
     frame: DataFrame | None
     rows: int
+    many: int = 0
 
     def settled(self, df: DataFrame) -> DataFrame:
         """``df`` written out if it is about to be split again, so that its lineage runs once."""
@@ -58,7 +55,7 @@ class HotKeys:
         """(rows of hot keys or None, all other rows)"""
         if self.frame is None:
             return None, df
-        hot = F.broadcast(self.frame)
+        hot = F.broadcast(self.frame) if self.many <= BROADCAST_ROWS else self.frame
         return df.join(hot, list(self.keys), "left_semi"), df.join(hot, list(self.keys), "left_anti")
 
 
@@ -66,15 +63,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
     """Find the keys whose group does not fit one task; key columns must not be NULL."""
     floor = HOT_ROWS if hot_rows is None else hot_rows
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
-    if not top["total"]:
+    largest = sizes.agg(F.max("n")).first()[0]
+    if not largest or largest < floor:
         return HotKeys(tuple(keys), None, 0)
-    limit = max(floor, math.ceil(top["total"] / MAX_HOT_KEYS))
-    if top["largest"] < limit:
-        return HotKeys(tuple(keys), None, 0)
-    large = frozen(sizes.where(F.col("n") >= limit))
-    rows = large.agg(F.sum("n")).first()[0]
-    return HotKeys(tuple(keys), large.select(*keys), rows)
+    large = frozen(sizes.where(F.col("n") >= floor))
+    found = large.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("many")).first()
+    return HotKeys(tuple(keys), large.select(*keys), found["rows"], found["many"])
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -89,8 +83,17 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
+def _segment_count(hot: HotKeys, segment_rows: int) -> int:
+    return max(2, math.ceil(hot.rows / segment_rows))
+
+
+def _beside(df: DataFrame, hot: HotKeys, segment_rows: int) -> DataFrame:
+    """A table of one row per key and segment, with a broadcast hint if it is small enough."""
+    return F.broadcast(df) if _segment_count(hot, segment_rows) + hot.many <= BROADCAST_ROWS else df
+
+
 def _segments(df: DataFrame, hot: HotKeys, order: Sequence[Column], segment_rows: int) -> DataFrame:
-    count = min(MAX_SEGMENTS, max(2, math.ceil(hot.rows / segment_rows)))
+    count = _segment_count(hot, segment_rows)
     by = [*[F.col(k).asc() for k in hot.keys], *order]
     ranged = df.repartitionByRange(count, *by).sortWithinPartitions(*by)
     # The row id counts up within a partition, so it holds the segment and the place in it. Both are
@@ -132,7 +135,7 @@ def sequence_number(
     before = Window.partitionBy(*keys).orderBy(_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum("__n").over(before), F.lit(0))
     starts = sizes.select(*keys, _SEGMENT, (earlier - F.col("__low") + 1).alias("__start"))
-    placed = cut.join(F.broadcast(starts), [*keys, _SEGMENT]).withColumn(name, F.col(_PLACE) + F.col("__start"))
+    placed = cut.join(_beside(starts, hot, segment_rows), [*keys, _SEGMENT]).withColumn(name, F.col(_PLACE) + F.col("__start"))
     return numbered.unionByName(placed.select(*numbered.columns))
 
 
@@ -164,7 +167,7 @@ def with_previous(
     heads = tails.select(
         *keys, _SEGMENT, F.lag("__tail").over(Window.partitionBy(*keys).orderBy(_SEGMENT)).alias("__carry")
     )
-    joined = local.join(F.broadcast(heads), [*keys, _SEGMENT])
+    joined = local.join(_beside(heads, hot, segment_rows), [*keys, _SEGMENT])
     for name in previous:
         joined = joined.withColumn(name, F.when(F.col("__first"), F.col("__carry")[name]).otherwise(F.col(name)))
     return out.unionByName(joined.select(*out.columns))

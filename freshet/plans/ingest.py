@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 from datetime import datetime
 from functools import partial, reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +27,7 @@ from freshet.operators.selection import (
 )
 from freshet.operators.skew import fits_broadcast
 from freshet.operators.state import FETCHED, MISSING, PENDING
-from freshet.plans.store import RunStore, State, stamp_of
+from freshet.plans.store import RunStore, State, instant, stamp_of, utc
 from freshet.schemas import CHANNEL_STATS, LEDGER, QUARANTINE, RUN_AUDIT, VIDEO_DETAILS
 from freshet.session import together, tune
 from freshet.sinks.writers import SAVE_FORMATS, write_csv
@@ -34,6 +37,7 @@ from freshet.sources.landing import (
     blocking,
     channel_rows,
     channel_stats,
+    complete_answers,
     read_envelopes,
     rejected,
     search_items,
@@ -56,7 +60,10 @@ class RunConf:
     incremental: bool = True
     cap: int = CAP
     lookback_minutes: int = LOOKBACK_MINUTES
-    max_attempts: int = 3
+    # Runs after which an id without details is given up and reported; None asks for it for ever.
+    max_attempts: int | None = None
+    # Take the newest page of the search as the whole answer.
+    first_page_only: bool = False
     save: str = "table"
     upload: bool = True
     export: str | None = None
@@ -75,12 +82,13 @@ class RunResult:
     audit: DataFrame
     quarantine: DataFrame
     late: DataFrame
+    given_up: DataFrame
     ran: bool
     export: str
 
 
 def _no_run(spark: SparkSession) -> RunResult:
-    schemas = (CHANNEL_STATS, VIDEO_DETAILS, RUN_AUDIT, QUARANTINE, LEDGER)
+    schemas = (CHANNEL_STATS, VIDEO_DETAILS, RUN_AUDIT, QUARANTINE, LEDGER, LEDGER)
     return RunResult(*[empty(spark, s) for s in schemas], ran=False, export="skipped")
 
 
@@ -88,7 +96,7 @@ def _turn(df: DataFrame, turn: int, **known) -> DataFrame:
     """Candidate rows of one source; columns the source does not know are NULL or defaults."""
     columns = {
         "published_ts": F.lit(None).cast("timestamp"),
-        "place": F.lit(None).cast("bigint"),
+        "place": F.lit(None).cast("struct<page_no:bigint,pos:bigint>"),
         "first_seen_run": F.lit(None).cast("timestamp"),
         "status": F.lit(PENDING),
         "attempts": F.lit(0).cast("bigint"),
@@ -122,7 +130,7 @@ def _offered(store: RunStore, items: DataFrame, small: bool, state: State, conf:
     """
     bounded = with_bound(items, state.watermark, "channel_id", "last_fetch_ts", conf.lookback_minutes)
     inside = after_bound("published_ts") if conf.incremental else F.lit(True)
-    placed = bounded.withColumn("place", F.col("page_no") * 1_000_000 + F.col("pos")).withColumn("inside", inside)
+    placed = bounded.withColumn("place", F.struct("page_no", "pos")).withColumn("inside", inside)
     ids = placed.groupBy(*ID).agg(
         F.min("published_ts").alias("published_ts"), F.min("place").alias("place"), F.max("inside").alias("inside")
     )
@@ -132,15 +140,16 @@ def _offered(store: RunStore, items: DataFrame, small: bool, state: State, conf:
         F.bool_or("taken").alias("cached"), F.bool_or(~F.col("taken")).alias("waiting")
     )
     absent = {name: F.coalesce(name, F.lit(False)) for name in ("cached", "waiting")}
-    return store.stage(ids.join(marks, ID, "left").withColumns(absent), "offered")
+    return store.stage(ids.join(marks, ID, "left").withColumns(absent), "offered", conf.run_ts)
 
 
 def _state(conf, state, active, selected, retrieved, pending) -> dict[str, DataFrame]:
     """The state tables after this run."""
-    run = F.lit(conf.run_ts).cast("timestamp")
+    run = instant(conf.run_ts)
     taken = flagged(selected, retrieved, ID, "retrieved").withColumn("attempts", F.col("attempts") + 1)
     outcome = taken.withColumn("status", F.when(F.col("retrieved"), FETCHED).otherwise(MISSING))
-    closed = F.col("retrieved") | (F.col("attempts") >= conf.max_attempts)
+    tried = F.lit(False) if conf.max_attempts is None else F.col("attempts") >= conf.max_attempts
+    closed = F.col("retrieved") | tried
     seen_first = F.coalesce("first_seen_run", run).alias("first_seen_run")
     columns = [*ID, "published_ts", seen_first, "status", "attempts"]
     waiting = outcome.where(~closed).select(*columns).unionByName(pending.select(*columns))
@@ -149,6 +158,7 @@ def _state(conf, state, active, selected, retrieved, pending) -> dict[str, DataF
     kept = state.watermark.join(active, "channel_id", "left_anti")
     return {
         "done": outcome.where(closed).select(*columns),
+        "given_up": outcome.where(closed & ~F.col("retrieved")).select(*columns),
         "open": waiting.unionByName(untouched),
         "watermark": advanced.unionByName(kept),
     }
@@ -169,7 +179,7 @@ def _audit(listed, active, blocked, found, selected, retrieved, conf) -> DataFra
         return F.coalesce(F.col(name), F.lit(0)).alias(name)
 
     return rows.select(
-        F.lit(conf.run_ts).cast("timestamp").alias("run_ts"),
+        instant(conf.run_ts).alias("run_ts"),
         "channel_id",
         number("found"),
         number("cached"),
@@ -182,16 +192,22 @@ def _audit(listed, active, blocked, found, selected, retrieved, conf) -> DataFra
 
 
 def _export(store: RunStore, spark: SparkSession, conf: RunConf) -> str:
-    """CSV snapshot of both tables below the hour of the run; skipped when not asked for."""
+    """CSV snapshot of both tables below the hour of the run, whatever becomes of it afterwards;
+    ``upload`` only decides whether it counts as handed on."""
     if conf.save == "table":
         return upload_status(False, None)
-    if not conf.upload or not conf.export:
+    if not conf.export:
         return upload_status(conf.upload, conf.export)
-    hour = conf.run_ts.strftime("year=%Y/month=%m/day=%d/hour=%H")
-    for table in ("channel_stats", "video_details"):
-        rows = store.run(spark, table, conf.run_ts)
-        write_csv(rows, f"{conf.export}/{table}/{hour}/run={stamp_of(conf.run_ts)}")
-    return upload_status(True, conf.export)
+    hour = utc(conf.run_ts).strftime("year=%Y/month=%m/day=%d/hour=%H")
+    try:
+        for table in ("channel_stats", "video_details"):
+            rows = store.run(spark, table, conf.run_ts)
+            write_csv(rows, f"{conf.export}/{table}/{hour}/run={stamp_of(conf.run_ts)}")
+    except (PySparkException, Py4JError) as error:
+        # The rows are in the store: a failed copy must not cost the run its state.
+        warnings.warn(f"export to {conf.export} failed: {error}", stacklevel=2)
+        return upload_status(True, conf.export, succeeded=False)
+    return upload_status(conf.upload, conf.export)
 
 
 def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None) -> RunResult:
@@ -202,16 +218,18 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
         return _no_run(spark)
     listed = listing.where(F.col("channel_id").isNotNull()).select("channel_id").distinct()
     store = RunStore(conf.root, conf.fmt)
-    state = store.load(spark, conf.run_ts)
+    state = store.admit(spark, conf.run_ts)
     if state.repeated:
         store.withdraw(spark, conf.run_ts)
 
     pages = {name: read_envelopes(spark, f"{conf.landing}/{name}", item, conf.multi_line) for name, item in ITEMS.items()}
     flatten = {"channels": channel_rows, "search": search_rows, "videos": video_rows}
-    staged = together(spark, *[partial(store.stage, flatten[kind](pages[kind]), f"{kind}_rows") for kind in flatten])
+    staged = together(spark, *[partial(store.stage, flatten[kind](pages[kind]), f"{kind}_rows", conf.run_ts) for kind in flatten])
     rows = dict(zip(flatten, staged))
     rejects = reduce(DataFrame.unionByName, [rejected(frame, name) for name, frame in rows.items()])
-    blocked = blocking(rejects)
+    incomplete = listed.join(complete_answers(rows["search"], conf.first_page_only), "channel_id", "left_anti")
+    whole = incomplete.withColumn("incomplete", F.lit("incomplete answer"))
+    blocked = blocking(rejects).join(whole, "channel_id", "full").select("channel_id", F.coalesce("error", "incomplete").alias("error"))
     stats = channel_stats(rows["channels"]).join(blocked, "channel_id", "left_anti")
     store.write(driven_by(stats, listed, "channel_id"), "channel_stats", conf.run_ts)
     channels = store.run(spark, "channel_stats", conf.run_ts)
@@ -225,23 +243,22 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     asked = None if refresh is None else driven_by(refresh.select(*ID).distinct(), active, "channel_id")
     # Filters over written tables, unless refreshes had to be merged in.
     candidates = _candidates(found, backlog, asked, conf.incremental)
-    candidates = candidates if asked is None else store.stage(candidates, "candidates")
-    selected = store.stage(cap_per_key(candidates, "channel_id", "video_id", _order(), conf.cap).drop("rn"), "selected")
+    candidates = candidates if asked is None else store.stage(candidates, "candidates", conf.run_ts)
+    selected = store.stage(cap_per_key(candidates, "channel_id", "video_id", _order(), conf.cap).drop("rn"), "selected", conf.run_ts)
     pending = beyond_cap(candidates, selected, ID)
 
-    details = one_per_key(video_details(rows["videos"]), ["video_id"], [])
-    owned = details.join(selected.select(*ID), "video_id")
+    # Only the wanted details are put in order and reduced to one row each.
+    wanted = video_details(rows["videos"]).join(selected.select("video_id").distinct(), "video_id", "left_semi")
+    owned = one_per_key(wanted, ["video_id"], []).join(selected.select(*ID), "video_id")
     videos = enrich(owned, channels, "channel_id", ["channel_name"])
     store.write(videos, "video_details", conf.run_ts)
     retrieved = store.run(spark, "video_details", conf.run_ts).select(*ID)
 
     exported = _export(store, spark, conf)
 
-    only_new = conf.incremental and refresh is None
     tables = _state(conf, state, active, selected, retrieved, pending)
-    finished = tables.pop("done")
-    if not only_new:
-        finished = anti_seen(finished, state.done, ID, fits_broadcast(selected.select(*ID)))
+    # A refresh, a full run, or the backlog such a run has left may hold ids that are done already.
+    finished = anti_seen(tables.pop("done"), state.done, ID, fits_broadcast(selected.select(*ID)))
     tables["quarantine"] = rejects
     tables["late"] = _late_rows(late)
     tables["audit"] = _audit(listed, active, blocked, found, selected, retrieved, conf)
@@ -251,10 +268,11 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
         *[partial(store.write, df, table, conf.run_ts) for table, df in tables.items()],
     )
     store.commit(spark, state.epoch, conf.run_ts)
+    store.unstage(spark, conf.run_ts)
 
-    written = {t: store.run(spark, t, conf.run_ts) for t in ("video_details", "audit", "quarantine", "late")}
+    written = {t: store.run(spark, t, conf.run_ts) for t in ("video_details", "audit", "quarantine", "late", "given_up")}
     return RunResult(
-        channels, written["video_details"], written["audit"], written["quarantine"], written["late"], True, exported
+        channels, written["video_details"], written["audit"], written["quarantine"], written["late"], written["given_up"], True, exported
     )
 
 

@@ -61,8 +61,11 @@ def name_history(
     hot = hot or hot_keys(snapshots, [key])
     ascending = [F.col(c).asc() for c in (ts, *tie)]
     descending = [F.col(c).desc() for c in (ts, *tie)]
-    marked = with_previous(snapshots, [key], ascending, {"__name": name}, hot)
-    starts = marked.where(F.col("__name").isNull() | (F.col("__name") != F.col(name))).drop("__name")
+    shown = snapshots.withColumn("__one", F.lit(True))
+    marked = with_previous(shown, [key], ascending, {"__name": name, "__before": "__one"}, hot)
+    # A change to or from NULL is a change; only the first row has nothing before it.
+    changed = F.col("__before").isNull() | ~F.col("__name").eqNullSafe(F.col(name))
+    starts = marked.where(changed).drop("__name", "__before", "__one")
     ended = with_previous(hot.settled(starts), [key], descending, {"valid_to": ts}, hot)
     numbered = sequence_number(hot.settled(ended), [key], ascending, "version", hot)
     return numbered.select(key, "version", name, F.col(ts).alias("valid_from"), "valid_to")

@@ -15,9 +15,9 @@ Clearing state starts a new ``epoch`` of ``done`` without the cleared channels.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,19 @@ from freshet.sinks.writers import write_table
 from freshet.sources.files import empty, read_or_empty
 
 
+def utc(run_ts: datetime) -> datetime:
+    """The instant as a plain UTC time: a time without a zone is UTC, wherever the driver runs."""
+    return run_ts.astimezone(UTC).replace(tzinfo=None) if run_ts.tzinfo else run_ts
+
+
 def stamp_of(run_ts: datetime) -> str:
-    return run_ts.strftime("%Y%m%d_%H%M%S")
+    return utc(run_ts).strftime("%Y%m%d_%H%M%S")
+
+
+def instant(run_ts: datetime) -> Column:
+    """The same instant as a timestamp column, whatever the driver's and the session's zones."""
+    since = utc(run_ts) - datetime(1970, 1, 1)
+    return F.timestamp_micros(F.lit((since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds))
 
 
 @dataclass(frozen=True)
@@ -66,6 +77,7 @@ class RunStore:
         "video_details": VIDEO_DETAILS,
         "quarantine": QUARANTINE,
         "late": LEDGER,
+        "given_up": LEDGER,
         "audit": RUN_AUDIT,
         "open": LEDGER,
         "watermark": WATERMARK,
@@ -86,16 +98,22 @@ class RunStore:
         ordered = df.select(*LEDGER.names)
         write_table(ordered, f"{self._done_path(epoch)}/run={stamp_of(run_ts)}", "overwrite", self.fmt)
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
+    def stage(self, df: DataFrame, name: str, run_ts: datetime) -> DataFrame:
         """Write an intermediate result of the current run and read it back: later steps scan only
-        the columns they need, and a lost executor costs no recomputation. Each run replaces the
-        staging tables of the run before it."""
-        path = f"{self.root}/staging/{name}"
+        the columns they need, and a lost executor costs no recomputation. Every run has staging
+        tables of its own, which go when it is committed."""
+        path = f"{self.root}/staging/run={stamp_of(run_ts)}/{name}"
         write_table(df, path, "overwrite", self.fmt)
         return df.sparkSession.read.schema(df.schema).format(self.fmt).load(path)
 
     def commit(self, spark: SparkSession, epoch: int, run_ts: datetime) -> None:
-        self.write(spark.createDataFrame([(run_ts, epoch)], COMMIT), "commits", run_ts)
+        row = spark.range(1).select(instant(run_ts).alias("run_ts"), F.lit(epoch).cast("bigint").alias("epoch"))
+        self.write(row, "commits", run_ts)
+
+    def unstage(self, spark: SparkSession, run_ts: datetime) -> None:
+        """Drop the staging tables of a committed run."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/staging/run={stamp_of(run_ts)}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def withdraw(self, spark: SparkSession, run_ts: datetime) -> None:
         """Before a committed run is repeated: hide it until it is whole again."""
@@ -134,6 +152,20 @@ class RunStore:
 
         return State(last["epoch"], repeated, snapshot("watermark"), done, snapshot("open"))
 
+    def admit(self, spark: SparkSession, run_ts: datetime) -> State:
+        """The state for a run at ``run_ts``, which must not come before the last commit.
+
+        Only the last committed run may be repeated: an older one would build on a backlog that later
+        runs have worked off, and their rows would be lost. Two runs within a second have one stamp.
+        """
+        newest = self._read(spark, f"{self.root}/commits", COMMIT).agg(F.max_by(F.struct("run", F.unix_micros("run_ts").alias("at")), "run").alias("last")).first()["last"]
+        if newest and newest["run"] > stamp_of(run_ts):
+            raise ValueError(f"run {newest['run']} is committed; {stamp_of(run_ts)} comes before it")
+        since = utc(run_ts) - datetime(1970, 1, 1)
+        if newest and newest["run"] == stamp_of(run_ts) and newest["at"] != (since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds:
+            raise ValueError(f"another run within the second {stamp_of(run_ts)} is committed")
+        return self.load(spark, run_ts)
+
     def clear(self, spark: SparkSession, run_ts: datetime, channels: DataFrame | None = None) -> bool:
         """Forget the listed channels, or everything; False when there is no state to clear."""
         state = self._load_unused(spark, run_ts)
@@ -151,22 +183,24 @@ class RunStore:
         return self.clear(spark, run_ts, empty(spark, CHANNEL_LIST))
 
     def _load_unused(self, spark: SparkSession, run_ts: datetime) -> State:
-        state = self.load(spark, run_ts)
+        state = self.admit(spark, run_ts)
         if state.repeated:
             raise ValueError(f"a committed run already has the stamp {stamp_of(run_ts)}")
         return state
 
     def seed(self, spark: SparkSession, run_ts: datetime, ids: DataFrame, watermark: DataFrame) -> None:
-        """Start from imported state documents: every id counts as fetched."""
+        """Start an empty store from imported state documents: every id counts as fetched."""
         ledger = ids.select(
             "channel_id",
             "video_id",
             F.lit(None).cast("timestamp").alias("published_ts"),
-            F.lit(run_ts).cast("timestamp").alias("first_seen_run"),
+            instant(run_ts).alias("first_seen_run"),
             F.lit("fetched").alias("status"),
             F.lit(1).cast("bigint").alias("attempts"),
         )
         state = self._load_unused(spark, run_ts)
+        if not (state.watermark.isEmpty() and state.ledger.isEmpty()):
+            raise ValueError("the store has state of its own; clear it before seeding")
         self.write_done(ledger, state.epoch + 1, run_ts)
         self.write(empty(spark, LEDGER), "open", run_ts)
         self.write(watermark, "watermark", run_ts)

@@ -52,6 +52,7 @@ CHANNEL_ITEM = _struct(
 SEARCH_ITEM = _struct(
     ("id", _struct(("kind", _S), ("videoId", _S))),
     ("publishedAt", _S),
+    ("snippet", _struct(("publishedAt", _S))),
 )
 
 VIDEO_ITEM = _struct(

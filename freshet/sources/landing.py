@@ -69,6 +69,7 @@ def _judged(pages: DataFrame) -> DataFrame:
         reason.alias("reason"),
         detail.alias("detail"),
         F.when(reason.isNull(), F.col("items")).alias("items"),
+        (F.coalesce("nextPageToken", F.lit("")) != "").alias("more"),
     )
 
 
@@ -124,27 +125,52 @@ def channel_stats(rows: DataFrame) -> DataFrame:
 
 
 def search_rows(pages: DataFrame) -> DataFrame:
-    """Search results of all pages with their position; videos only."""
+    """Search results of all pages with their position. Items that are no videos, and empty pages,
+    leave a row without an id, so that every accepted page can be seen."""
     items = _judged(pages).select(
-        "channel_id", "page_no", "reason", "detail", F.posexplode_outer("items").alias("pos", "item")
+        "channel_id", "page_no", "reason", "detail", "more", F.posexplode_outer("items").alias("pos", "item")
     )
     kind = F.coalesce(F.col("item.id.kind"), F.lit("video"))
-    videos = items.where(F.col("reason").isNotNull() | (F.col("item").isNotNull() & is_kind(kind)))
-    lost = F.when(F.col("item.id.videoId").isNull(), INCOMPLETE_ITEM)
-    return videos.select(
+    is_video = F.col("item").isNotNull() & is_kind(kind)
+    lost = F.when(is_video & F.col("item.id.videoId").isNull(), INCOMPLETE_ITEM)
+    return items.select(
         F.col("channel_id").alias(REQUESTED),
         "channel_id",
         "page_no",
         F.col("pos").cast("bigint").alias("pos"),
         F.coalesce(F.col("reason"), lost).alias("reason"),
         "detail",
-        F.col("item.id.videoId").alias("video_id"),
-        F.try_to_timestamp(F.col("item.publishedAt")).alias("published_ts"),
+        F.when(is_video, F.col("item.id.videoId")).alias("video_id"),
+        F.try_to_timestamp(F.coalesce("item.publishedAt", "item.snippet.publishedAt")).alias("published_ts"),
+        "more",
     )
 
 
 def search_items(rows: DataFrame) -> DataFrame:
-    return accepted(rows).select("channel_id", "video_id", "published_ts", "page_no", "pos")
+    found = accepted(rows).where(F.col("video_id").isNotNull())
+    return found.select("channel_id", "video_id", "published_ts", "page_no", "pos")
+
+
+def complete_answers(rows: DataFrame, first_page_only: bool = False) -> DataFrame:
+    """Channels whose whole search answer is there: pages 0, 1, 2, ... without a gap, none rejected, and
+    no further page announced by the last. ``first_page_only`` asks for an accepted page 0 alone.
+
+    A response that cannot be attributed to a channel leaves a gap, or no page at all, in its own.
+    """
+    usable = F.col("reason").isNull() | (F.col("reason") == INCOMPLETE_ITEM)
+    asked = rows.where(F.col(REQUESTED).isNotNull())
+    pages = asked.groupBy(REQUESTED, "page_no").agg(F.bool_and(usable).alias("ok"), F.bool_or("more").alias("more"))
+    if first_page_only:
+        return pages.where("page_no = 0 and ok").select(F.col(REQUESTED).alias("channel_id"))
+    answers = pages.groupBy(REQUESTED).agg(
+        F.min("page_no").alias("first"),
+        F.max("page_no").alias("last"),
+        F.count(F.lit(1)).alias("pages"),
+        F.bool_and("ok").alias("ok"),
+        F.max_by("more", "page_no").alias("more"),
+    )
+    whole = answers.where("first = 0 and pages = last + 1 and ok and not more")
+    return whole.select(F.col(REQUESTED).alias("channel_id"))
 
 
 def video_rows(pages: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ class World:
             stats = {"subscriberCount": "7", "viewCount": "8"}
             self._put(root, "channels", channel, 0, [{"id": channel, "snippet": {"title": name}, "statistics": stats}])
             newest = sorted(self.videos.get(channel, {}).items(), key=lambda v: (v[1], v[0]), reverse=True)
-            for page in range(0, len(newest), 50):
+            for page in range(0, max(1, len(newest)), 50):  # a channel without videos answers an empty page
                 found = [
                     {"id": {"kind": "s#video", "videoId": v}, "publishedAt": f"{t.isoformat()}Z"} for v, t in newest[page : page + 50]
                 ]
@@ -354,3 +354,117 @@ def test_no_id_is_lost_or_taken_twice(spark, tmp_path_factory, plan, cap):
         assert len(done + waiting) == len(set(done + waiting))
         # Everything ever offered inside its bound is either taken or waiting; nothing else is.
         assert set(done + waiting) == offered and fetched == set(done) - world.hidden
+
+
+def _page(landing, channel, page):
+    return Path(landing) / "search" / f"search__{channel}__p{page}.json"
+
+
+def test_no_search_answer_moves_nothing(world):
+    world.publish("A", ["v1", "v2"])
+    landing = world.land()
+    _page(landing, "A", 0).unlink()
+    first = world.run(R1, landing=landing)
+    assert ids(first) == [] and (audit(first)["status"], audit(first)["error"]) == ("failed", "incomplete answer")
+    second = world.run(R2)
+    assert ids(second) == ["v1", "v2"] and rows(second.late) == []
+
+
+def test_missing_page_moves_nothing(world):
+    world.publish("A", [f"v{i:02}" for i in range(70)])
+    landing = world.land()
+    _page(landing, "A", 1).unlink()
+    first = _page(landing, "A", 0)
+    first.write_text(json.dumps(json.loads(first.read_text()) | {"nextPageToken": "x"}))
+    assert ids(world.run(R1, landing=landing)) == []
+    assert len(ids(world.run(R2))) == 70
+
+
+def test_gap_in_pages_moves_nothing_unless_the_first_is_all(world):
+    world.publish("A", [f"v{i:03}" for i in range(120)])
+    landing = world.land()
+    _page(landing, "A", 1).unlink()
+    assert ids(world.run(R1, landing=landing)) == []
+    assert len(ids(world.run(R2, landing=landing, first_page_only=True))) == 70  # two pages are there
+
+
+def test_response_of_nobody_blocks_who_lacks_an_answer(world):
+    world.publish("A", ["v1"])
+    world.publish("B", ["w1"])
+    landing = world.land()
+    page = _page(landing, "B", 0)
+    page.unlink()
+    (page.parent / "nobody.json").write_text('{"items": [{"id"')
+    first = world.run(R1, landing=landing)
+    assert ids(first) == ["v1"] and audit(first, "A")["status"] == "ok" and audit(first, "B")["status"] == "failed"
+    assert ids(world.run(R2)) == ["w1"]
+
+
+def test_runs_come_in_order(world):
+    world.publish("A", [f"v{i}" for i in range(4)])
+    world.run(R1, cap=2)
+    world.run(R2, cap=1)
+    with pytest.raises(ValueError, match="comes before"):
+        world.run(R1, cap=2)
+    with pytest.raises(ValueError, match="within the second"):
+        world.run(R2 + timedelta(microseconds=5))
+    assert ids(world.run(R2, cap=1)) == ["v1"]
+    assert ids(world.run(R3)) == ["v0"]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_run_time_is_utc_wherever_the_driver_runs(world, monkeypatch, zone):
+    import time
+
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        world.publish("A", ["v1"])
+        world.run(R1)
+        marks = world.store.run(world.spark, "watermark", R1)
+        assert [r[0] for r in marks.selectExpr("date_format(last_fetch_ts, 'yyyyMMdd_HHmmss')").collect()] == ["20260102_000000"]
+        world.publish("A", ["v2"], start=R1 + timedelta(hours=1))
+        assert ids(world.run(R2)) == ["v2"]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_seeding_needs_an_empty_store(world):
+    world.publish("A", ["v1"])
+    world.run(R1)
+    taken = world.spark.createDataFrame([("A", "v1")], "channel_id string, video_id string")
+    marks = world.store.run(world.spark, "watermark", R1)
+    with pytest.raises(ValueError, match="state of its own"):
+        world.store.seed(world.spark, R2, taken, marks)
+
+
+def test_given_up_ids_are_reported_and_can_be_asked_for(world):
+    world.publish("A", ["v1", "gone"])
+    world.hidden.add("gone")
+    world.run(R1, max_attempts=2)
+    assert rows(world.run(R2, max_attempts=2).given_up, "video_id", "attempts") == [("gone", 2)]
+    world.hidden.clear()
+    asked = world.spark.createDataFrame([("A", "gone")], "channel_id string, video_id string")
+    assert ids(world.run(R3, refresh=asked)) == ["gone"]
+
+
+def test_full_run_with_a_cap_leaves_no_duplicates(world):
+    world.publish("A", [f"v{i}" for i in range(4)])
+    world.run(R1)
+    world.run(R2, incremental=False, cap=2)
+    world.run(R3)
+    done = [v for (v,) in rows(world.store.load(world.spark, R4).done, "video_id")]
+    assert done == [f"v{i}" for i in range(4)]
+
+
+def test_export_without_upload_and_failed_export(world, tmp_path):
+    world.publish("A", ["v1"])
+    export = tmp_path / "export"
+    assert world.run(R1, save="csv", upload=False, export=str(export)).export == "skipped"
+    assert list(export.rglob("part-*.csv"))
+    (tmp_path / "file").write_text("x")
+    with pytest.warns(UserWarning):
+        assert world.run(R2, save="csv", export=str(tmp_path / "file" / "below")).export == "failed"
+    assert rows(world.store.run(world.spark, "watermark", R2), "last_fetch_ts") == [(R2,)]
+    assert not list((tmp_path / "store" / "staging").glob("*/*"))
