@@ -24,6 +24,9 @@ SAVE_FORMATS = ("csv", "table", "both")
 # Quoted newlines make a CSV file unsplittable for its readers, so no file may grow without bound.
 CSV_FILE_ROWS = 1_000_000
 
+# A partition of up to so many rows is written by one task.
+TASK_ROWS = 1_000_000
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", file_rows: int = CSV_FILE_ROWS) -> None:
     df.write.mode(mode).options(**CSV_WRITE, maxRecordsPerFile=str(file_rows)).csv(path)
@@ -49,12 +52,18 @@ def overwrite_partitions(
 ) -> None:
     """Replace exactly the partitions present in ``df``; writing the same run twice changes nothing.
 
-    Rows are rebalanced by partition first: small partitions share a task and become one file each,
-    a partition holding much of the data is split over several.
+    Opening a folder costs more than writing few rows, so that folders of ordinary size are dealt out
+    over the tasks by their number, one file each. If some folder is too large for one task, rows are
+    rebalanced by folder instead, which splits it over several.
     """
+    folders = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("many"), F.max("n").alias("largest")).first()
+    if (folders["largest"] or 0) <= TASK_ROWS:
+        tasks = min(max(folders["many"], 1), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        dealt = df.repartition(tasks, *partition_by)
+    else:
+        dealt = df.hint("rebalance", *[F.col(c) for c in partition_by])
     (
-        df.hint("rebalance", *[F.col(c) for c in partition_by])
-        .write.format(fmt)
+        dealt.write.format(fmt)
         .mode("overwrite")
         .options(partitionOverwriteMode="dynamic", **(options or {}))
         .partitionBy(*partition_by)
