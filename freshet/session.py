@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     # A hot channel is worth an extra exchange: split it even when the next operator
     # would have reused the join's partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows that a Python worker and the Arrow buffers of its JVM hold at once.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 def tune(spark: SparkSession) -> SparkSession:
