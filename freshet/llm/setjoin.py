@@ -40,7 +40,8 @@ SHINGLE = 5
 PERCENT = 80
 #: Shingles that go to the end of the order by their count, at most; only speed depends on it.
 FREQUENT = 1_000_000
-#: A shingle's count in one Arrow batch from which the batch reports it.
+#: Shingles that are counted together, and the count from which one of them is reported.
+COUNTED = 4_000_000
 REPORTED = 2
 #: Sets in a block when open questions are settled.
 BLOCK = 256
@@ -87,21 +88,32 @@ def _unpack(data: bytes) -> list[np.ndarray]:
 
 
 def _sets(documents: DataFrame, shingle: int) -> DataFrame:
-    """Rows of kind 0: ``key, sum, set, n`` of every text; of kind 1: a shingle in ``set`` and its count in one batch."""
+    """Rows of kind 0: ``key, sum, set, n`` of every text; of kind 1: a shingle in ``set`` and its count among some millions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["kind", "key", "sum", "set", "n"]
+        seen: dict[int, np.ndarray] = {}
+        size = 0
+
+        def reported() -> pa.RecordBatch:
+            shared, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
+            often = counts >= REPORTED
+            shared, counts = shared[often].view(np.int64), counts[often].astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(shared), np.int8)), *[pa.nulls(len(shared), pa.int64())] * 2, pa.array(shared), pa.array(counts)], names)
+
         for batch in batches:
-            seen: dict[int, np.ndarray] = {}
             for at, sets in words.shingle_sets(batch.column(1), shingle):
                 ids = [set_id(s) for s in sets]
-                seen.update(zip(ids, sets, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int8)), batch.column(0).slice(at, len(sets)), batch.column(2).slice(at, len(sets)), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64())], names)
-            if seen:
-                shared, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
-                often = counts >= REPORTED
-                shared, counts = shared[often].view(np.int64), counts[often].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(shared), np.int8)), *[pa.nulls(len(shared), pa.int64())] * 2, pa.array(shared), pa.array(counts)], names)
+                for i, one in zip(ids, sets, strict=True):
+                    if i not in seen:
+                        seen[i] = one
+                        size += len(one)
+            if size >= COUNTED:
+                yield reported()
+                seen, size = {}, 0
+        if seen:
+            yield reported()
 
     return documents.mapInArrow(run, "kind tinyint, key bigint, sum bigint, set bigint, n bigint")
 
