@@ -152,7 +152,8 @@ def contaminated_words(documents: DataFrame, items: DataFrame, window: int = WIN
     candidates = exact_alignments(postings, picked).join(small(entries), "entry")
     # A document's alignments are bounded by its length and the number of items.
     aligned = candidates.groupBy("id", "sum").agg(F.collect_list(F.struct("item", F.col("shift").cast("int").alias("shift"), "words")).alias("aligned"))
-    met = docs.join(aligned, ["id", "sum"], "left").select("id", "sum", words_of(F.col("text")).alias("words"), "aligned")
+    # The generator keeps the split from being copied into the search, where it would run once a word.
+    met = docs.join(aligned, ["id", "sum"], "left").select("id", "sum", "aligned", F.explode(F.array(words_of(F.col("text")))).alias("words"))
     hits = F.filter(_hits(window), lambda h: F.size(h["hit"]) > 0)
     none = F.array().cast("array<struct<item:bigint,hit:array<int>>>")
     return met.select("id", "sum", F.size("words").cast("bigint").alias("n_words"), F.when(F.col("aligned").isNotNull(), hits).otherwise(none).alias("found"))
