@@ -370,7 +370,8 @@ def _settled(parts: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 
     A job's sets are cut into blocks, those of its own cluster apart from the others, and every two
     blocks that may hold a pair of different clusters meet in one task. So a set is copied once per
-    block and never once per partner. Each set yields one link to each other cluster, which is enough.
+    block and never once per partner. A task yields the links that join two of its clusters, one for each
+    join, which is enough.
     """
     parts = frozen(parts, "participants")
     inside = (F.col("cluster") == F.col("job")).cast("int")
@@ -400,14 +401,23 @@ def _settled(parts: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
         against = np.flatnonzero(block == x)
         everything = np.concatenate([sets[k] for k in against])
         whose = np.repeat(np.arange(len(against)), sizes[against])
+        joined = {c: c for c in cluster.tolist()}
+
+        def root(c: int) -> int:
+            while joined[c] != c:
+                joined[c] = c = joined[joined[c]]
+            return c
+
         for q in queries.tolist():
             at = np.minimum(np.searchsorted(sets[q], everything), max(sizes[q] - 1, 0))
             common = np.bincount(whose[sets[q][at] == everything], minlength=len(against))
             union = sizes[q] + sizes[against] - common
             hit = against[(100 * common >= percent * union) & (cluster[against] != cluster[q])]
-            _, one = np.unique(cluster[hit], return_index=True)
-            for h in hit[one].tolist():
-                yield int(owner[q]), int(owner[h])
+            for h in hit.tolist():
+                a, b = root(int(cluster[q])), root(int(cluster[h]))
+                if a != b:
+                    joined[a] = b
+                    yield int(owner[q]), int(owner[h])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
