@@ -35,7 +35,8 @@ from freshet.session import frozen
 SHINGLE = 5
 PERCENT = 80
 RECALL = 0.998
-LEAST_PARAGRAPH = 20
+#: Every paragraph that has a shingle.
+LEAST_PARAGRAPH = SHINGLE
 PASSAGE = 32
 GAP = 16
 MOST_HASHES = 32

@@ -72,3 +72,10 @@ def test_neighbouring_windows_always_choose_one():
     chosen = set(passages.chosen_windows(hashes, 16).tolist())
     assert all(chosen & set(range(a, a + 16)) for a in range(485))
     assert passages.chosen_windows(hashes[:3], 16).tolist() == [int(np.argmin(hashes[:3]))]
+
+
+def test_short_paragraphs(spark):
+    equal, near = "all rights reserved by us", [f"n{i}" for i in range(19)]
+    rows = [(1, f"{equal}\n{' '.join(near)}\nx y z w"), (2, f"own text here\n{equal.title()}"), (3, f"x y z w\n{' '.join(near[:-1])}")]
+    found = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.begin_word, r.end_word, r.first_doc_id, r.stays) for r in found) == [(1, 0, 5, 1, True), (1, 5, 24, 1, True), (2, 3, 8, 1, False), (3, 4, 22, 1, False)]
