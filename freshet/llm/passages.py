@@ -13,8 +13,9 @@ signature of a single band, and equal windows are equal texts.
 Of each component the occurrences in its first document stay; the others are marked for removal.
 
 Defined results: words are cut at ASCII white space, A-Z lower-cased; a NULL or empty text has neither
-paragraphs nor passages; a NULL id sorts first and is returned as NULL; rows of one id are one
-document; repeats within one document are not reported; an empty table gives an empty result. Extra
+paragraphs nor passages; a NULL id sorts first and is returned as NULL; rows that repeat both
+id and text are one document, rows of one id with different texts (or of no id) are several; repeats
+within one document are not reported; an empty table gives an empty result. Extra
 columns are not read.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm import setjoin, words
 from freshet.llm.components import components
-from freshet.llm.lines import Lines
+from freshet.llm.lines import Lines, _identified
 from freshet.session import frozen
 
 SHINGLE = 5
@@ -43,6 +44,8 @@ MOST_HASHES = 32
 
 _U = np.uint64
 _FIRST = -(1 << 63)
+#: What tells documents apart, and their order.
+DOCUMENT = ("id", "sum")
 
 
 def tuned(percent: int = PERCENT, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -77,7 +80,7 @@ def _paragraphs(docs: DataFrame, bands: int, rows: int, least: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, _, raw, offsets in words.blocks(batch.column(1)):
+            for at, _, raw, offsets in words.blocks(batch.column(2)):
                 lines = Lines(raw, offsets)
                 chosen = np.flatnonzero(lines.size >= least)
                 if not len(chosen):
@@ -85,19 +88,21 @@ def _paragraphs(docs: DataFrame, bands: int, rows: int, least: int) -> DataFrame
                 first = np.searchsorted(lines.text, lines.text[chosen])
                 base = lines.start[first]
                 keys = band_keys(lines, chosen, bands, rows).view(np.int64)
+                row = pa.array(at + lines.text[chosen])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(at + lines.text[chosen])),
+                        batch.column(0).take(row),
+                        batch.column(1).take(row),
                         pa.array(lines.number[chosen]),
                         pa.array(lines.start[chosen] - base),
                         pa.array(lines.end[chosen] - base),
                         pa.array((lines.ids()[0][chosen] >> _U(1)).astype(np.int64)),
                         pa.array(list(keys), pa.list_(pa.int64())),
                     ],
-                    ["id", "number", "begin", "end", "set", "bands"],
+                    ["id", "sum", "number", "begin", "end", "set", "bands"],
                 )
 
-    return docs.mapInArrow(run, "id bigint, number bigint, begin bigint, end bigint, set bigint, bands array<bigint>")
+    return docs.mapInArrow(run, "id bigint, sum bigint, number bigint, begin bigint, end bigint, set bigint, bands array<bigint>")
 
 
 def chosen_windows(hashes: np.ndarray, gap: int = GAP) -> np.ndarray:
@@ -110,11 +115,11 @@ def chosen_windows(hashes: np.ndarray, gap: int = GAP) -> np.ndarray:
 
 
 def _windows(docs: DataFrame, length: int, gap: int) -> DataFrame:
-    """``key, id, begin`` of the windows that the texts choose."""
+    """``key, id, sum, begin`` of the windows that the texts choose."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, until, raw, offsets in words.blocks(batch.column(1)):
+            for at, until, raw, offsets in words.blocks(batch.column(2)):
                 hashes, first = words.word_hashes(raw, offsets)
                 sums = np.append(_U(0), np.cumsum(hashes * words._power_tables(len(hashes) + 1)[0][: len(hashes)], dtype=np.uint64))
                 n = max(0, len(hashes) - length + 1)
@@ -123,87 +128,92 @@ def _windows(docs: DataFrame, length: int, gap: int) -> DataFrame:
                 many = np.array([len(p) for p in places])
                 place = np.concatenate(places) if until > at else np.zeros(0, np.int64)
                 row = np.repeat(np.arange(until - at), many)
-                yield pa.RecordBatch.from_arrays([pa.array(spans[place].view(np.int64)), batch.column(0).take(pa.array(at + row)), pa.array(place - first[row])], ["key", "id", "begin"])
+                owner = pa.array(at + row)
+                yield pa.RecordBatch.from_arrays([pa.array(spans[place].view(np.int64)), batch.column(0).take(owner), batch.column(1).take(owner), pa.array(place - first[row])], ["key", "id", "sum", "begin"])
 
-    return docs.mapInArrow(run, "key bigint, id bigint, begin bigint")
+    return docs.mapInArrow(run, "key bigint, id bigint, sum bigint, begin bigint")
 
 
 def _passages(docs: DataFrame, length: int, gap: int) -> DataFrame:
-    """``id, begin, end, cluster, first_id``: windows that several documents share, joined where they
+    """``id, sum, begin, end, cluster, first_id, first_sum``: windows that several documents share, joined where they
     overlap and come from the same first document."""
     table = frozen(_windows(docs, length, gap), "windows")
     # Written, so that the join reads both sides by plain exchanges and can split a hot key.
-    shared = frozen(table.groupBy("key").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("key", "first_id"), "shared-windows")
-    found = table.join(shared, "key").select("id", "begin", "first_id", "key")
+    shared = frozen(table.groupBy("key").agg(F.min(F.struct(*DOCUMENT)).alias("first"), F.max(F.struct(*DOCUMENT)).alias("last")).where("first < last").select("key", F.col("first.id").alias("first_id"), F.col("first.sum").alias("first_sum")), "shared-windows")
+    found = table.join(shared, "key").select("id", "sum", "begin", "first_id", "first_sum", "key")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = found.repartition(partitions, "id").sortWithinPartitions("id", "first_id", "begin")
+    ordered = found.repartition(partitions, "id", "sum").sortWithinPartitions("id", "sum", "first_id", "first_sum", "begin")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "begin", "end", "cluster", "first_id"]
-        kinds = [pa.int64()] * 5
+        names = ["id", "sum", "begin", "end", "cluster", "first_id", "first_sum"]
+        kinds = [pa.int64()] * 7
         open_: list[int] | None = None
         for batch in batches:
             rows = []
-            for i, begin, origin, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if open_ and open_[0] == i and open_[4] == origin and begin <= open_[2]:
-                    open_[2] = begin + length
-                    open_[3] = min(open_[3], key)
+            for i, body, begin, origin, origin_sum, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if open_ and (*open_[:2], *open_[5:]) == (i, body, origin, origin_sum) and begin <= open_[3]:
+                    open_[3] = begin + length
+                    open_[4] = min(open_[4], key)
                     continue
                 if open_:
                     rows.append(open_)
-                open_ = [i, begin, begin + length, key, origin]
+                open_ = [i, body, begin, begin + length, key, origin, origin_sum]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
         if open_:
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(open_, kinds, strict=True)], names)
 
-    return ordered.mapInArrow(run, "id bigint, begin bigint, end bigint, cluster bigint, first_id bigint")
+    return ordered.mapInArrow(run, "id bigint, sum bigint, begin bigint, end bigint, cluster bigint, first_id bigint, first_sum bigint")
 
 
 def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``set, text`` of the lines ``id, number, set``; a document's lines bound the lists."""
-    numbers = wanted.groupBy("id").agg(F.collect_list(F.struct("number", "set")).alias("lines"))
-    split = docs.join(numbers, "id").select(F.split("text", "\n", -1).alias("all"), F.explode("lines").alias("line"))
-    return split.select(F.col("line.set").alias("set"), F.col("all")[F.col("line.number").cast("int")].alias("text"))
+    """``set, text`` of the lines ``id, sum, number, set``; a document's lines bound the lists."""
+    numbers = wanted.groupBy("id", "sum").agg(F.collect_list(F.struct("number", "set")).alias("lines"))
+    split = docs.join(numbers, ["id", "sum"]).select(F.split("text", "\n", -1).alias("all"), F.explode("lines").alias("line"))
+    # Rows that repeat both id and text give a line more than once.
+    return split.select(F.col("line.set").alias("set"), F.col("all")[F.col("line.number").cast("int")].alias("text")).dropDuplicates(["set"])
 
 
 def _near_paragraphs(docs: DataFrame, percent: int, recall: float, least: int) -> DataFrame:
     bands, rows = tuned(percent, recall)
     found = frozen(_paragraphs(docs, bands, rows, least), "paragraphs")
-    classes = frozen(found.groupBy("set").agg(F.min(F.struct("id", "number")).alias("at"), F.first("bands").alias("bands")), "paragraph-classes")
+    classes = frozen(found.groupBy("set").agg(F.min(F.struct("id", "sum", "number")).alias("at"), F.first("bands").alias("bands")), "paragraph-classes")
     keys = classes.select("set", F.explode("bands").alias("shingle"))
     shared = frozen(keys.groupBy("shingle").agg(F.min("set").alias("a"), F.max("set").alias("b")).where("a < b").select("shingle"), "shared-bands")
     lists = frozen(keys.join(shared, "shingle").select("shingle", "set", F.lit(1).alias("size"), F.lit(0).alias("place")), "bands")
-    wanted = classes.join(lists.select("set").distinct(), "set").select("at.id", "at.number", "set")
+    wanted = classes.join(lists.select("set").distinct(), "set").select("at.id", "at.sum", "at.number", "set")
     texts = frozen(_line_texts(docs, wanted), "paragraph-texts")
     linked = frozen(components(setjoin.links_between(lists, texts, SHINGLE, percent)), "paragraph-components")
     # Per class first: only those that several documents have, alone or with linked ones, matter.
-    spread = frozen(found.groupBy("set").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")), "paragraph-spread")
+    spread = frozen(found.groupBy("set").agg(F.min(F.struct(*DOCUMENT)).alias("first"), F.max(F.struct(*DOCUMENT)).alias("last")), "paragraph-spread")
     joint = linked.select(F.col("node").alias("set"), F.col("component").alias("cluster"))
     in_clusters = spread.join(joint, "set")
-    firsts = in_clusters.groupBy("cluster").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id")).where("first_id < last_id").select("cluster", "first_id")
-    together = joint.join(firsts, "cluster").select("set", "cluster", "first_id")
-    alone = spread.where("first_id < last_id").join(joint, "set", "left_anti").select("set", F.col("set").alias("cluster"), "first_id")
+    firsts = in_clusters.groupBy("cluster").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last").select("cluster", "first")
+    together = joint.join(firsts, "cluster").select("set", "cluster", "first")
+    alone = spread.where("first < last").join(joint, "set", "left_anti").select("set", F.col("set").alias("cluster"), "first")
     places = frozen(together.union(alone), "paragraph-clusters")
-    return found.join(places, "set").select("id", "begin", "end", "cluster", "first_id")
+    return found.join(places, "set").select("id", "sum", "begin", "end", "cluster", F.col("first.id").alias("first_id"), F.col("first.sum").alias("first_sum"))
 
 
 def repeated(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, recall: float = RECALL, least: int = LEAST_PARAGRAPH, passage: int = PASSAGE, gap: int = GAP) -> DataFrame:
     """Every occurrence of a paragraph or passage that several documents have: where it is, in words,
-    its component, the component's first document, and whether it stays."""
-    docs = documents.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_FIRST)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    its component, the component's first document, and whether it stays. ``text_hash`` tells apart the
+    documents of one id, or of none."""
+    docs = _identified(documents, key, text)
     near = _near_paragraphs(docs, percent, recall, least).withColumn("kind", F.lit("paragraph"))
     exact = _passages(docs, passage, gap).withColumn("kind", F.lit("passage"))
     shown = lambda c: F.when(F.col(c) != _FIRST, F.col(c))
     return near.unionByName(exact).select(
-        shown("id").alias(key), "kind", F.col("begin").alias("begin_word"), F.col("end").alias("end_word"), F.col("cluster").alias("component"), shown("first_id").alias("first_doc_id"), (F.col("id") == F.col("first_id")).alias("stays")
+        shown("id").alias(key), "kind", F.col("begin").alias("begin_word"), F.col("end").alias("end_word"), F.col("cluster").alias("component"), shown("first_id").alias("first_doc_id"),
+        ((F.col("id") == F.col("first_id")) & (F.col("sum") == F.col("first_sum"))).alias("stays"), F.col("sum").alias("text_hash")
     )
 
 
 def without_repeats(documents: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, text`` with the words of all occurrences that do not stay taken out; other texts as they are."""
-    spans = found.where("not stays").groupBy(F.coalesce(F.col(key), F.lit(_FIRST)).alias("id")).agg(F.collect_list(F.struct("begin_word", "end_word")).alias("spans"))
-    docs = documents.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_FIRST)).alias("id"), F.col(text).cast("string").alias("text"))
+    spans = found.where("not stays").groupBy(F.coalesce(F.col(key), F.lit(_FIRST)).alias("id"), F.col("text_hash").alias("sum")).agg(F.collect_list(F.struct("begin_word", "end_word")).alias("spans"))
+    body = F.col(text).cast("string")
+    docs = documents.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_FIRST)).alias("id"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("sum"), body.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,5 +234,5 @@ def without_repeats(documents: DataFrame, found: DataFrame, key: str = "doc_id",
                 out.append(b"".join([*parts, data[at:]]).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["id", "text"])
 
-    cleaned = docs.join(spans, "id", "left").mapInArrow(run, "id bigint, text string")
+    cleaned = docs.join(spans, ["id", "sum"], "left").select("id", "text", "spans").mapInArrow(run, "id bigint, text string")
     return cleaned.select(F.when(F.col("id") != _FIRST, F.col("id")).alias(key), F.col("text").alias(text))

@@ -79,3 +79,19 @@ def test_short_paragraphs(spark):
     rows = [(1, f"{equal}\n{' '.join(near)}\nx y z w"), (2, f"own text here\n{equal.title()}"), (3, f"x y z w\n{' '.join(near[:-1])}")]
     found = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.begin_word, r.end_word, r.first_doc_id, r.stays) for r in found) == [(1, 0, 5, 1, True), (1, 5, 24, 1, True), (2, 3, 8, 1, False), (3, 4, 22, 1, False)]
+
+
+def test_rows_without_id_and_repeated_ids(spark):
+    line = [f"a{i}" for i in range(60)]
+    p, near, other = " ".join(line), " ".join(line[:-1]), " ".join(f"b{i}" for i in range(60))
+    rows = [(None, f"x\n{p}"), (None, ""), (None, None), (None, f"{p} z"), (1, near), (2, f"u\nv\n{other}"), (2, f"w {other}"), (2, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.repeated(df)
+    kept = found.collect()
+    for kind in ("paragraph", "passage"):
+        assert sorted((r.doc_id or -1, r.first_doc_id or -1) for r in kept if r.kind == kind) == [(-1, -1), (-1, -1), (1, -1), (2, 2), (2, 2)]
+        assert sorted(r.doc_id or -1 for r in kept if r.kind == kind and r.stays) == [-1, 2]
+    cleaned = passages.without_repeats(df, found).collect()
+    assert len(cleaned) == len(rows) and {r.text for r in cleaned if r.doc_id == 1} == {""}
+    whole = [r.text or "" for r in cleaned]
+    assert sum("a30" in t for t in whole) == 1 == sum("b30" in t for t in whole) and {"short"} < set(whole)
