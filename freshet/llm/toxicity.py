@@ -1,13 +1,14 @@
 """Toxicity by weak supervision.
 
-1. Words and word beginnings that mark toxic texts are mined from a bounded sample of labelled rows.
+1. Words and word beginnings that mark toxic texts are mined from all labelled rows.
    They make up the voters: some are lexicons of whole words, some are patterns of beginnings. A voter
    votes for toxic where any of its entries occurs.
 2. Every document's votes are counted by pattern (at most 2^voters rows). A generative model of the
    patterns, fitted by expectation maximisation with the labelled rows held to their labels, estimates
    each voter's accuracy and which voters depend on each other: given the class, a voter depends on its
    parent in a maximum spanning tree of conditional mutual information.
-3. A logistic regression on the mined entries learns the model's posterior labels.
+3. A logistic regression on the mined entries learns the model's posterior labels of a bounded sample of
+   labelled rows.
 
 Only rows whose crc32(doc_id as text) mod 3 is not 1 lend their labels.
 
@@ -31,11 +32,15 @@ from pyspark.sql import functions as F
 from freshet.llm import words
 from freshet.session import frozen
 
-#: Labelled rows that entries are mined from and the classifier is fitted on, at most.
+#: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 20_000
 #: Entries that are mined, at most, and what each must reach.
 ENTRIES = 4096
 LEAST_POSITIVES = 3
+#: Features that a task counts together before it hands them on, about.
+COUNTED = 1_000_000
+#: Bits by which the texts of unlabelled documents are kept from a shuffle, 64 a row.
+GATE_BITS = 1 << 24
 LEAST_LIFT = 4.0
 #: Log-likelihood ratio of an entry's counts against chance: of a million features that say nothing,
 #: a few dozen get here.
@@ -203,20 +208,49 @@ def training_labels(labels: DataFrame) -> DataFrame:
     return usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
-def _mine(sample: DataFrame, positives: int, negatives: int) -> np.ndarray:
-    """Entries by how much likelier they are in toxic texts of the sample ``text, toxic``."""
+def _labelled(docs: DataFrame, usable: DataFrame) -> DataFrame:
+    """``text, toxic`` of the labelled documents. A bitmap of a fixed size, at most ``GATE_BITS / 64``
+    rows, is broadcast, so that few other texts are shuffled."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(GATE_BITS))
+    cell, mask = F.shiftright(bit, 6), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {GATE_BITS}) & 63 as int))")
+    cells = usable.select(cell.alias("cell"), mask.alias("mask")).groupBy("cell").agg(F.bit_or("mask").alias("bits"))
+    likely = docs.withColumn("cell", cell).join(F.broadcast(cells), "cell").where(F.col("bits").bitwiseAND(mask) != 0)
+    return likely.select("doc_id", "text").join(usable, "doc_id").select("text", "toxic")
+
+
+def _mine(labelled: DataFrame, positives: int, negatives: int) -> np.ndarray:
+    """Entries by how much likelier they are in toxic texts of ``text, toxic``."""
+
+    def summed(held: list[tuple]) -> list[np.ndarray]:
+        names, bad, good = (np.concatenate(c) for c in zip(*held, strict=True))
+        names, place = np.unique(names, return_inverse=True)
+        return [names, *(np.bincount(place, c, minlength=len(names)).astype(np.int64) for c in (bad, good))]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            names, bad, good = summed(held)
+            return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(bad), pa.array(good)], ["feature", "bad", "good"])
+
         for batch in batches:
-            toxic = batch.column(1).to_numpy(zero_copy_only=False)
+            toxic = np.minimum(batch.column(1).to_numpy(zero_copy_only=False), 1)
             for at, _, raw, offsets in words.blocks(batch.column(0)):
                 for row, feature in features(raw, offsets):
-                    pairs = np.unique(np.rec.fromarrays([feature, row], names="f,r"))
-                    names, place = np.unique(pairs.f, return_inverse=True)
-                    bad = np.bincount(place, toxic[at + pairs.r], minlength=len(names)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(bad), pa.array(np.bincount(place, minlength=len(names)) - bad)], ["feature", "bad", "good"])
-
-    counts = sample.select("text", "toxic").mapInArrow(count, "feature bigint, bad bigint, good bigint").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+                    order = np.lexsort((row, feature))
+                    feature, row = feature[order], row[order]
+                    new = np.append(True, (feature[1:] != feature[:-1]) | (row[1:] != row[:-1])) if len(row) else np.zeros(0, bool)
+                    names, place = np.unique(feature[new], return_inverse=True)
+                    bad = np.bincount(place, toxic[at + row[new]], minlength=len(names)).astype(np.int64)
+                    held.append((names, bad, np.bincount(place, minlength=len(names)) - bad))
+                    size += len(names)
+                if size >= COUNTED:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+
+    counts = labelled.select("text", "toxic").mapInArrow(count, "feature bigint, bad bigint, good bigint").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     lift = ((F.col("bad") + 0.5) / (positives + 1)) / ((F.col("good") + 0.5) / (negatives + 1))
     seen, share = F.col("bad") + F.col("good"), positives / (positives + negatives)
     part = lambda n, p: F.when(n > 0, n * F.log(n / (seen * p))).otherwise(0.0)
@@ -233,14 +267,14 @@ def fit(documents: DataFrame, labels: DataFrame, sample_size: int = SAMPLE) -> M
     usable = frozen(training_labels(labels), "training-labels")
     n = usable.count()
     part = min(1.0, 0.95 * sample_size / max(1, n))
-    # The limit makes the bound certain, so that the sample may be broadcast.
+    # Only the classifier's rows are sampled. The limit makes the bound certain, so that they may be broadcast.
     sample = frozen(usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20)) + (n <= sample_size)).limit(sample_size), "sampled-labels")
-    tally = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    tally = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     positives, negatives = sum(v for k, v in tally.items() if k > 0), tally.get(0, 0)
     if not positives or not negatives:
         share = min(max(positives / max(1, positives + negatives), 1e-9), 1 - 1e-9)
         return Model(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
-    ranked = _mine(docs.join(F.broadcast(sample), "doc_id"), positives, negatives)
+    ranked = _mine(_labelled(docs, usable), positives, negatives)
     # Entries go round the voters of their kind in order of strength.
     voter = np.zeros(len(ranked), np.int64)
     for kind, start, many in ((False, 0, LEXICONS), (True, LEXICONS, PATTERNS)):

@@ -64,3 +64,11 @@ def test_very_long_text(spark):
     model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0), 0.0)
     df = spark.createDataFrame([(1, "a" * 3_000_000), (2, "b c " * 600_000), (3, "x")], "doc_id long, text string")
     assert [r.score for r in toxicity.scores(df, model).collect()] == [0.5] * 3
+
+
+def test_entries_are_counted_over_all_labels(spark):
+    made = [(i, f"friend{i % 7} {'loser' if i % 20 == 0 else 'word'} rest") for i in range(1500)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(1500)], "doc_id long, toxic int")
+    whole, sampled = toxicity.fit(docs, labels), toxicity.fit(docs, labels, sample_size=40)
+    assert len(whole.entries) and sampled.entries.tolist() == whole.entries.tolist()
