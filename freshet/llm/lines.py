@@ -121,6 +121,11 @@ def _occurrences(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(run, "id bigint, sum bigint, number bigint, a bigint, b bigint")
 
 
+def _bucket_cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket of sorted hashes begins, and the end of the last."""
+    return np.searchsorted(((hashes >> _U(32)) * _U(buckets)) >> _U(32), np.arange(buckets + 1).astype(np.uint64))
+
+
 def _chosen(docs: DataFrame, least: int) -> DataFrame:
     """``a`` of the lines that share what an edit would leave with another line.
 
@@ -153,9 +158,7 @@ def _chosen(docs: DataFrame, least: int) -> DataFrame:
             settled = np.unique(a[shared])
             first = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
             key, a = key[first], a[first]
-            bucket = ((key >> _U(32)) * _U(buckets)) >> _U(32)
-            cuts, parts = np.searchsorted(bucket, np.arange(buckets + 1)), np.searchsorted(settled, (np.arange(buckets + 1) * ((1 << 64) // buckets)).astype(object).clip(0, (1 << 64) - 1).astype(np.uint64))
-            parts[-1] = len(settled)
+            cuts, parts = _bucket_cuts(key, buckets), _bucket_cuts(settled, buckets)
             rows = [(i, key[cuts[i] : cuts[i + 1]].tobytes(), a[cuts[i] : cuts[i + 1]].tobytes(), settled[parts[i] : parts[i + 1]].tobytes()) for i in range(buckets)]
             rows = [x for x in rows if x[1] or x[3]]
             if rows:

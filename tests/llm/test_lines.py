@@ -1,6 +1,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,3 +83,11 @@ def test_edit_distance(a, b):
 def test_nothing_to_do(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert [tuple(r) for r in lines.deduplicated(df).collect()] == rows
+
+
+def test_buckets_share_hashes_out_once():
+    hashes = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 32_000, np.uint64, endpoint=False))
+    for buckets in (1, 12, 32, 844):
+        cuts = lines._bucket_cuts(hashes, buckets)
+        assert cuts[0] == 0 and cuts[-1] == len(hashes) and (np.diff(cuts) > 0).all()
+        assert np.diff(cuts).max() < 2 * len(hashes) / buckets + 10
