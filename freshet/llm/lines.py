@@ -3,7 +3,9 @@
 A line is what stands between newlines, as its words (cut at ASCII white space, A-Z lower-cased). It
 goes if an earlier line of the corpus equals it, or can be made equal by inserting, deleting or
 replacing one word. Earlier is by document, then place in it; whether the earlier line goes itself
-makes no difference. Lines of fewer than ``LEAST_WORDS`` words are too common to say anything and stay.
+makes no difference. Near lines have at least ``LEAST_WORDS`` words: one edit in fewer would be less than
+0.8 alike. Equal lines have a minimum of their own, ``exact``, which is that of the near ones unless
+given; with ``LEAST_EXACT`` every line that has a word takes part.
 
 The near ones come from a deletion-neighbourhood join: every variant of a line with one word deleted is
 a hashed key. Two lines are within one edit exactly if they share a variant with the word deleted at
@@ -32,6 +34,8 @@ from freshet.llm import words
 from freshet.session import frozen
 
 LEAST_WORDS = 5
+#: Words of equal lines, at least, where all copies are to go.
+LEAST_EXACT = 1
 #: Lines of fewer words are cut into quarters, longer ones into halves.
 SHORT = 24
 #: The Bloom filter's bits (8 MB), and where in a hash the bits' numbers are read.
@@ -289,21 +293,22 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return beside.mapInArrow(run, "id bigint, sum bigint, number bigint").distinct()
 
 
-def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """``id, sum, number`` of every line that an earlier one makes superfluous."""
-    found = frozen(_occurrences(docs, least), "lines")
+def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS, exact: int | None = None) -> DataFrame:
+    """``id, sum, number`` of every line that an earlier one makes superfluous: an equal one from ``exact``
+    words on, a near one from ``least`` words on."""
+    found = frozen(_occurrences(docs, least if exact is None else min(exact, least)), "lines")
     at = F.struct("id", "sum", "number")
     firsts = frozen(found.groupBy("a", "b").agg(F.min(at).alias("first")), "distinct-lines")
-    exact = found.join(firsts, ["a", "b"]).where(at > F.col("first")).select("id", "sum", "number")
+    copies = found.join(firsts, ["a", "b"]).where(at > F.col("first")).select("id", "sum", "number")
     chosen = frozen(_chosen(docs, least).distinct().join(firsts, "a").select("first.id", "first.sum", "a"), "chosen-lines")
     variants, contents = _neighbourhoods(docs, chosen, least)
     near = frozen(_verified(_candidates(variants), contents), "near-lines")
     # Every copy of a near line's text has the same fate as its first occurrence.
     goes = near.join(firsts.select("a", "b", "first.*"), ["id", "sum", "number"]).select("a", "b")
-    return exact.union(found.join(goes, ["a", "b"]).select("id", "sum", "number")).distinct()
+    return copies.union(found.join(goes, ["a", "b"]).select("id", "sum", "number")).distinct()
 
 
-def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, counts: bool = False, drop_emptied: bool = False) -> DataFrame:
+def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, counts: bool = False, drop_emptied: bool = False, exact: int | None = None) -> DataFrame:
     """The documents without their repeated lines; with ``counts`` also ``n_lines`` and ``n_removed``
     (columns of these names give way); with ``drop_emptied`` without those that keep no word. A column
     ``n_chars`` follows a text that changes."""
@@ -314,7 +319,7 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text",
     numeric = {n for n, kind in documents.dtypes if kind in ("int", "bigint")}
     length = names.index("n_chars") if "n_chars" in names and "n_chars" in numeric else None
     docs = _identified(documents, key, text)
-    goes = repeated_lines(docs, least).groupBy("id", "sum").agg(F.collect_set("number").alias("numbers"))
+    goes = repeated_lines(docs, least, exact).groupBy("id", "sum").agg(F.collect_set("number").alias("numbers"))
     body = F.coalesce(F.col(f"c{place}").cast("string"), F.lit(""))
     tagged = renamed.withColumn("id", F.coalesce(F.col(f"c{names.index(key)}").cast("bigint"), F.lit(_FIRST))).withColumn("sum", F.xxhash64(body))
     joined = tagged.join(goes, ["id", "sum"], "left").select(*inner, "numbers")

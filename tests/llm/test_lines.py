@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from freshet.llm import lines
+from freshet.llm import catalog, lines
 
 
 def check(spark, df, texts):
@@ -91,3 +91,11 @@ def test_buckets_share_hashes_out_once():
         cuts = lines._bucket_cuts(hashes, buckets)
         assert cuts[0] == 0 and cuts[-1] == len(hashes) and (np.diff(cuts) > 0).all()
         assert np.diff(cuts).max() < 2 * len(hashes) / buckets + 10
+
+
+def test_equal_short_lines_go_from_op10(spark, tmp_path):
+    rows = [(1, "All rights reserved.\nhome\na b c d"), (2, "all  rights reserved.\nown\nHome\n\n"), (3, "a b c x\nhome now"), (None, "home")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = catalog.QUERIES["op10_line_dedup"](spark, str(tmp_path)).collect()
+    want = [(1, "All rights reserved.\na b c d", 3, 1), (2, "own\n\n", 5, 2), (3, "a b c x\nhome now", 2, 0), (None, "home", 1, 0)]
+    assert sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in out), key=str) == sorted(want, key=str)
