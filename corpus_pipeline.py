@@ -2,7 +2,8 @@
 
 1. toxicity: documents with a score of at least 0.7 go.
 2. line dedup: lines that an earlier document has, exactly or within one word's edit, are taken out of
-   the later text. A document that is left without any word by this goes: it was a copy.
+   the later text. A document that is left without any word by this goes, whether its lines repeat
+   those of one document or of several.
 3. n-gram Jaccard join: of each component of near copies the document with the smallest id stays.
 4. decontamination: documents with any window of a benchmark item go.
 5. encoding: each document's tokens, ready for training.
