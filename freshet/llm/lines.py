@@ -196,9 +196,9 @@ def _gate(chosen: DataFrame) -> np.ndarray:
     """
     here = F.col("a").bitwiseXOR(F.col("sum"))
     bits = chosen.select(F.explode(F.array(*(F.shiftrightunsigned(here, k).bitwiseXOR(F.col("id")).bitwiseAND(GATE_BITS - 1) for k in GATE_SHIFTS))).alias("bit"))
-    cells = bits.groupBy(F.shiftright("bit", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
+    cells = bits.groupBy(F.shiftright("bit", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
     gate = np.zeros(GATE_BITS // 64, np.int64)
-    gate[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64)
+    gate[cells["cell"].to_numpy()] = cells["bits"].to_numpy()
     return gate
 
 
