@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import bpe, decontamination, fingerprints, lines, passages, secrets, setjoin, sharding, toxicity, warc
+from freshet.llm import bpe, decontamination, fingerprints, lines, passages, secrets, setjoin, sharding, toxicity, warc, whitening
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every occurrence of a paragraph or passage that several documents have."""
     return passages.repeated(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL has no eigenvectors; held against plain numpy in the tests."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
