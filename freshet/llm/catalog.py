@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import bpe, decontamination, fingerprints, lines, passages, secrets, setjoin, sharding, toxicity, warc, whitening
+from freshet.llm import bpe, decontamination, fingerprints, lines, passages, secrets, setjoin, sharding, toxicity, variants, warc, whitening
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +152,9 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL has no eigenvectors; held against plain numpy in the tests."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DuckDB has no CRC-32; held against brute force in the tests."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
