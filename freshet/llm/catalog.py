@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import bpe, decontamination, fingerprints, lines, passages, secrets, setjoin, sharding, toxicity, variants, warc, whitening
+from freshet.llm import bpe, decontamination, fingerprints, lines, lm, passages, secrets, setjoin, sharding, toxicity, variants, warc, whitening
 from freshet.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +154,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL cannot train; counts are held against brute force in the tests, scores against held-out texts."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DuckDB has no CRC-32; held against brute force in the tests."""
