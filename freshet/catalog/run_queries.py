@@ -40,7 +40,7 @@ def _land(spark, sf, base, df, spoil=None):
     customers = table(spark, sf, "customer")
     land(channel_envelopes(customers), f"{base}/channels")
     pages = search_envelopes(df).unionByName(empty_answers(customers, df))
-    land(spoil(pages) if spoil else pages, f"{base}/search")
+    land(spoil(pages) if spoil else pages, f"{base}/search/whole")
     land(video_envelopes(df.where("event_type != 'error'")), f"{base}/videos")
 
 
@@ -117,6 +117,60 @@ def ingest_incomplete_pages(spark, sf):
     return _shown(_runs(spark, sf, runs, _spoiled, cap=1_000_000))
 
 
+_NAMED = (5, 25, 45)
+
+
+def _unreadable(spark, pages, folder):
+    """Search answers in files that are no archives although their names say so: those of three users in
+    files named after them, those of every tenth user together."""
+    user = F.col("channel_id").cast("bigint")
+    land(pages.where(user % 10 == 0).coalesce(2), f"{folder}/mixed")
+    for named in _NAMED:
+        land(pages.where(user == named).coalesce(1), f"{folder}/user-{named}")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    top = path(folder)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in (p.getPath() for p in fs.globStatus(path(f"{folder}/*/part-*"))):
+        owner = part.getParent().getName().removeprefix("user-")
+        name = part.getName() if owner == "mixed" else f"answer__{owner}__p0.json"
+        fs.rename(part, path(part.getParent(), f"{name}.gz"))
+
+
+_LOST = f"user_id % 10 = 0 or user_id in {_NAMED}"
+
+
+@query(
+    "ingest_unreadable_files",
+    f"""with offered as (select * from events where ts < {CUTOFF_SQL} and event_type != 'error'),
+        first as (select user_id, count(*) as n from offered where not ({_LOST}) group by 1),
+        second as (select user_id, count(*) as n from offered where {_LOST} group by 1)
+        select cast(c_custkey as varchar) as channel_id, coalesce(first.n, 0) as first_run, coalesce(second.n, 0) as second_run,
+               case when c_custkey in {_NAMED} then 'unreadable file' when c_custkey % 10 = 0 then 'incomplete answer' end as error
+        from customer left join first on first.user_id = c_custkey left join second on second.user_id = c_custkey
+        union all select '', 2, 0, 'unreadable file' """,
+)
+def ingest_unreadable_files(spark, sf):
+    """Per channel what the run finds that cannot read some files, and the run after the files came whole;
+    and the files whose names say nothing of a channel."""
+    df, base = earlier(events(spark, sf)), working_dir(spark, "ingest")
+    customers = table(spark, sf, "customer")
+    write_csv(customers.select(F.col("c_name").alias("channel_name"), F.col("c_custkey").alias("channel_id")), f"{base}/list")
+    user = F.col("channel_id").cast("bigint")
+
+    def spoil(pages):
+        lost = (user % 10 == 0) | user.isin(*_NAMED)
+        _unreadable(spark, pages.where(lost), f"{base}/first/search")
+        return pages.where(~lost)
+
+    _land(spark, sf, f"{base}/first", df, spoil)
+    _land(spark, sf, f"{base}/second", df)
+    first, second = (run_job(spark, RunConf(f"{base}/{name}", f"{base}/store", f"{base}/list", run_ts, cap=1_000_000)) for name, run_ts in (("first", FIRST), ("second", SECOND)))
+    later = second.audit.select("channel_id", F.col("retrieved").alias("second_run"))
+    audit = first.audit.join(later, "channel_id").select("channel_id", F.col("retrieved").alias("first_run"), "second_run", "error")
+    unnamed = first.quarantine.where("channel_id is null").groupBy(F.lit("").alias("channel_id"), F.col("reason").alias("error")).agg(F.count("*").alias("first_run"))
+    return audit.unionByName(unnamed.withColumn("second_run", F.lit(0).cast("bigint")))
+
+
 @query(
     "ingest_three_runs",
     f"""with {_SECOND}, every as (select * from taken1 union all select event_id, ts, user_id, event_type, value, props, rn from taken2)

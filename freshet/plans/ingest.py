@@ -32,6 +32,7 @@ from freshet.schemas import CHANNEL_STATS, LEDGER, QUARANTINE, RUN_AUDIT, VIDEO_
 from freshet.session import together, tune
 from freshet.sinks.writers import SAVE_FORMATS, write_csv
 from freshet.sources.files import empty, read_channel_list
+from freshet.sources.isolation import isolated
 from freshet.sources.landing import (
     ITEMS,
     blocking,
@@ -49,6 +50,7 @@ from freshet.sources.landing import (
 # Fixed value: ids one channel may contribute to one run.
 CAP = 200
 ID = ["channel_id", "video_id"]
+FLATTEN = {"channels": channel_rows, "search": search_rows, "videos": video_rows}
 
 
 @dataclass(frozen=True)
@@ -210,6 +212,17 @@ def _export(store: RunStore, spark: SparkSession, conf: RunConf) -> str:
     return upload_status(conf.upload, conf.export)
 
 
+def _staged(spark: SparkSession, store: RunStore, conf: RunConf, kind: str) -> DataFrame:
+    """The flattened responses of one kind; files that cannot be read are rejected and cost no other."""
+    folder = f"{conf.landing}/{kind}"
+
+    def stage(unreadable: list[str]) -> DataFrame:
+        pages = read_envelopes(spark, folder, ITEMS[kind], conf.multi_line, unreadable)
+        return store.stage(FLATTEN[kind](pages), f"{kind}_rows", conf.run_ts)
+
+    return isolated(spark, folder, stage)
+
+
 def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None) -> RunResult:
     """Videos first, state and reports next, the commit row last: until then the run is invisible."""
     tune(spark)
@@ -222,10 +235,7 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     if state.repeated:
         store.withdraw(spark, conf.run_ts)
 
-    pages = {name: read_envelopes(spark, f"{conf.landing}/{name}", item, conf.multi_line) for name, item in ITEMS.items()}
-    flatten = {"channels": channel_rows, "search": search_rows, "videos": video_rows}
-    staged = together(spark, *[partial(store.stage, flatten[kind](pages[kind]), f"{kind}_rows", conf.run_ts) for kind in flatten])
-    rows = dict(zip(flatten, staged))
+    rows = dict(zip(FLATTEN, together(spark, *[partial(_staged, spark, store, conf, kind) for kind in FLATTEN])))
     rejects = reduce(DataFrame.unionByName, [rejected(frame, name) for name, frame in rows.items()])
     incomplete = listed.join(complete_answers(rows["search"], conf.first_page_only), "channel_id", "left_anti")
     whole = incomplete.withColumn("incomplete", F.lit("incomplete answer"))

@@ -5,11 +5,15 @@ Each response is parsed once: the flattened frames carry rejected rows next to a
 
 Landing layout: ``<root>/{channels,search,videos}/``. A file is one response (``multi_line``) or one
 response per line. The channel a response was fetched for is its ``channel_id`` field or, so that an
-unreadable file can still be blamed on its channel, the file name ``<anything>__<channel>__p<page>.json``.
+unreadable file can still be blamed on its channel, the file name ``<anything>__<channel>__p<page>.json``,
+which may go on with the ending of a compression.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,18 +29,26 @@ from freshet.functions.scalars import (
 from freshet.operators.selection import is_kind, one_per_key
 from freshet.schemas import CHANNEL_ITEM, CHANNEL_STATS, CORRUPT, SEARCH_ITEM, VIDEO_ITEM, envelope
 from freshet.sources.files import empty, is_missing_path
+from freshet.sources.isolation import not_among
 
-FILE_PATTERN = r"^.*__(.+)__p(\d+)\.json$"
+FILE_PATTERN = r"^.*__(.+)__p(\d+)\.json(?:\.\w+)?$"
 
 # The channel a response was asked for, as opposed to the one an item names.
 REQUESTED = "requested"
 INCOMPLETE_ITEM = "incomplete item"
+UNREADABLE_FILE = "unreadable file"
 
 ITEMS = {"channels": CHANNEL_ITEM, "search": SEARCH_ITEM, "videos": VIDEO_ITEM}
 
 
-def read_envelopes(spark: SparkSession, path: str, item: T.StructType, multi_line: bool = False) -> DataFrame:
-    """All responses below ``path``, at any depth, with the channel, page and file they belong to."""
+def read_envelopes(
+    spark: SparkSession, path: str, item: T.StructType, multi_line: bool = False, unreadable: Sequence[str] = ()
+) -> DataFrame:
+    """All responses below ``path``, at any depth, with the channel, page and file they belong to.
+
+    Files listed as ``unreadable`` are not opened; each stands as one response without content, so that
+    it is rejected and, if its name says so, blamed on its channel.
+    """
     schema = envelope(item)
     try:
         raw = (
@@ -44,11 +56,16 @@ def read_envelopes(spark: SparkSession, path: str, item: T.StructType, multi_lin
             .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, multiLine=str(multi_line).lower())
             .option("recursiveFileLookup", "true")
             .json(path)
+            .where(not_among(list(unreadable)))
         ).withColumn("source_file", F.col("_metadata.file_name"))
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
         raw = empty(spark, schema).withColumn("source_file", F.lit(""))
+    raw = raw.withColumn("unreadable", F.lit(False))
+    if unreadable:
+        names = [(unquote(name.rsplit("/", 1)[-1]), True) for name in unreadable]
+        raw = raw.unionByName(spark.createDataFrame(names, "source_file string, unreadable boolean"), allowMissingColumns=True)
     from_name = F.nullif(F.regexp_extract("source_file", FILE_PATTERN, 1), F.lit(""))
     page_from_name = F.regexp_extract("source_file", FILE_PATTERN, 2).try_cast("bigint")
     return raw.withColumn("channel_id", F.coalesce("channel_id", from_name)).withColumn(
@@ -58,10 +75,14 @@ def read_envelopes(spark: SparkSession, path: str, item: T.StructType, multi_lin
 
 def _judged(pages: DataFrame) -> DataFrame:
     """Pages with ``reason``/``detail`` set, and their items removed, when the page is unusable."""
-    reason = F.when(F.col(CORRUPT).isNotNull(), "corrupt response").when(
-        F.col("error").isNotNull(), "error response"
+    reason = (
+        F.when(F.col("unreadable"), UNREADABLE_FILE)
+        .when(F.col(CORRUPT).isNotNull(), "corrupt response")
+        .when(F.col("error").isNotNull(), "error response")
+    )
+    detail = F.when(F.col("unreadable"), F.col("source_file")).otherwise(
+        F.concat_ws(" ", F.col("error.code").cast("string"), F.col("error.message"))
     )
-    detail = F.concat_ws(" ", F.col("error.code").cast("string"), F.col("error.message"))
     return pages.select(
         "channel_id",
         "page_no",

@@ -1,13 +1,16 @@
 """Run scenarios over small landed folders, one test per behaviour."""
 
+import gzip
 import json
 from datetime import datetime, timedelta
 from pathlib import Path
+from urllib.parse import unquote
 
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
 
 from freshet.plans.ingest import RunConf, run_job
 from freshet.plans.layers import silver_videos
@@ -15,6 +18,7 @@ from freshet.plans.migrate import import_state
 from freshet.plans.publish import publish
 from freshet.plans.store import RunStore
 from freshet.schemas import CHANNEL_STATS, VIDEO_DETAILS
+from freshet.sources import isolation
 
 T0 = datetime(2026, 1, 1)
 R1, R2, R3, R4 = (datetime(2026, 1, 2) + timedelta(hours=3 * i) for i in range(4))
@@ -166,6 +170,55 @@ def test_bad_channel_is_isolated(world):
     assert ids(world.run(R2)) == ["B1"]
 
 
+@pytest.mark.parametrize("kind", ["channels", "search", "videos"])
+def test_unreadable_file_costs_its_channel_and_no_other(world, kind):
+    for channel in "ABCD":
+        world.publish(channel, [f"{channel}1"])
+    landing = world.land()
+    for channel in "BD":
+        whole = Path(landing) / kind / f"{kind}__{channel}__p0.json"
+        packed = gzip.compress(whole.read_bytes())
+        whole.with_name(f"a b%{whole.name}.gz").write_bytes(packed[: len(packed) // 2])
+        whole.unlink()
+    first = world.run(R1, landing=landing)
+    assert ids(first) == ["A1", "C1"]
+    assert (audit(first, "B")["status"], audit(first, "B")["error"]) == ("failed", "unreadable file")
+    assert rows(first.quarantine, "channel_id", "source", "reason") == [(c, kind, "unreadable file") for c in "BD"]
+    assert rows(world.store.run(world.spark, "watermark", R1), "channel_id") == [("A",), ("C",)]
+    assert ids(world.run(R2)) == ["B1", "D1"]
+
+
+def test_unreadable_file_of_nobody_blocks_who_lacks_an_answer(world):
+    for channel in "AB":
+        world.publish(channel, [f"{channel}1"])
+    landing = world.land()
+    lost = Path(landing) / "search" / "search__B__p0.json"
+    lost.with_name("many.json.gz").write_bytes(b"no archive")
+    lost.unlink()
+    first = world.run(R1, landing=landing)
+    assert ids(first) == ["A1"] and audit(first, "B")["error"] == "incomplete answer"
+    assert rows(first.quarantine, "channel_id", "reason", "detail") == [(None, "unreadable file", "many.json.gz")]
+
+
+def test_unreadable_files_are_all_found_and_other_errors_raised(spark, tmp_path, monkeypatch):
+    bad = set()
+    for i in range(30):
+        file = tmp_path / "in" / str(i % 3) / f"f {i}.json.gz"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(gzip.compress(b"{}\n" * 50)[: None if i % 4 else 12])
+        if i % 4 == 0:
+            bad.add(file.name)
+    folder = str(tmp_path / "in")
+    assert {Path(unquote(p)).name for p in isolation.unreadable_files(spark, folder)} == bad
+    read = lambda without: spark.read.schema("a int").option("recursiveFileLookup", "true").json(folder).where(isolation.not_among(without)).collect()
+    assert len(isolation.isolated(spark, folder, read)) == 22 * 50
+    monkeypatch.setattr(isolation, "MOST_UNREADABLE", 3)
+    with pytest.raises(RuntimeError, match="more than 3"):
+        isolation.unreadable_files(spark, folder)
+    with pytest.raises(AnalysisException):
+        isolation.isolated(spark, folder, lambda _: spark.range(1).select("nothing"))
+
+
 def test_failed_channel_keeps_its_state(world):
     world.publish("A", [f"v{i}" for i in range(3)])
     world.run(R1, cap=2)
