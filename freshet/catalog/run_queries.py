@@ -13,6 +13,7 @@ from freshet.plans.ingest import RunConf, run_job
 from freshet.plans.store import RunStore
 from freshet.session import working_dir
 from freshet.sinks.writers import write_csv
+from freshet.streaming.arrivals import READY, arrivals, run_arrivals
 
 CAP = 20
 FIRST, SECOND = datetime(2024, 1, 15), datetime(2024, 2, 1)
@@ -198,3 +199,34 @@ def ingest_given_up(spark, sf):
     df = earlier(events(spark, sf))
     result = _runs(spark, sf, {"first": (FIRST, df), "second": (SECOND, df)}, cap=1_000_000, max_attempts=2)
     return result.given_up.select("video_id", "channel_id", "attempts")
+
+
+@query(
+    "ingest_on_arrival",
+    f"""with {_SECOND}, every as (select 1 as batch, * from taken1 union all select 2, event_id, ts, user_id, event_type, value, props, rn from taken2)
+        select batch, cast(event_id as varchar) as video_id, cast(user_id as varchar) as channel_id, c_name as channel_name
+        from every join customer on c_custkey = user_id""",
+)
+def ingest_on_arrival(spark, sf):
+    """Two deliveries arrive, one while nothing listens; each is run once, also when the stream's own
+    checkpoint is lost in between. Each video with the number of its run."""
+    df, base = events(spark, sf), working_dir(spark, "ingest")
+    customers = table(spark, sf, "customer")
+    write_csv(customers.select(F.col("c_name").alias("channel_name"), F.col("c_custkey").alias("channel_id")), f"{base}/list")
+    conf = RunConf("", f"{base}/store", f"{base}/list", FIRST, cap=CAP)
+    for checkpoint, (name, run_ts, rows) in enumerate((("first", FIRST, earlier(df)), ("second", SECOND, df))):
+        _land(spark, sf, f"{base}/in/{name}", rows)
+        spark.range(1).select(F.lit(run_ts.isoformat()).alias("fetched_at")).coalesce(1).write.json(f"{base}/in/{name}/mark")
+        _renamed(spark, f"{base}/in/{name}/mark/part-*", f"{base}/in/{name}/{READY}")
+        run_arrivals(spark, f"{base}/in", f"{base}/checkpoint-{checkpoint}", conf)
+    store = RunStore(conf.root)
+    numbers = arrivals(spark, store).select("run", F.row_number().over(Window.orderBy("run")).alias("batch"))
+    videos = store.table(spark, "video_details").join(F.broadcast(numbers), "run")
+    return videos.select("batch", "video_id", "channel_id", "channel_name")
+
+
+def _renamed(spark, pattern, name):
+    """Give the one file that matches a name of its own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(name).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.rename(fs.globStatus(path(pattern))[0].getPath(), path(name))

@@ -15,7 +15,7 @@ Clearing state starts a new ``epoch`` of ``done`` without the cleared channels.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,14 +158,21 @@ class RunStore:
         Only the last committed run may be repeated: an older one would build on a backlog that later
         runs have worked off, and their rows would be lost. Two runs within a second have one stamp.
         """
-        newest = self._read(spark, f"{self.root}/commits", COMMIT).agg(F.max_by(F.struct("run", F.unix_micros("run_ts").alias("at")), "run").alias("last")).first()["last"]
-        if newest and newest["run"] > stamp_of(run_ts):
-            raise ValueError(f"run {newest['run']} is committed; {stamp_of(run_ts)} comes before it")
-        since = utc(run_ts) - datetime(1970, 1, 1)
-        if newest and newest["run"] == stamp_of(run_ts) and newest["at"] != (since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds:
+        newest = self.newest(spark)
+        if newest and stamp_of(newest) > stamp_of(run_ts):
+            raise ValueError(f"run {stamp_of(newest)} is committed; {stamp_of(run_ts)} comes before it")
+        if newest and stamp_of(newest) == stamp_of(run_ts) and newest != utc(run_ts):
             raise ValueError(f"another run within the second {stamp_of(run_ts)} is committed")
         return self.load(spark, run_ts)
 
+    def committed(self, spark: SparkSession, run_ts: datetime) -> bool:
+        return not self._read(spark, f"{self.root}/commits", COMMIT).where(F.col("run") == stamp_of(run_ts)).isEmpty()
+
+    def newest(self, spark: SparkSession) -> datetime | None:
+        """The time of the last committed run, plain UTC."""
+        at = self._read(spark, f"{self.root}/commits", COMMIT).agg(F.max(F.unix_micros("run_ts")).alias("at")).first()["at"]
+        return None if at is None else datetime(1970, 1, 1) + timedelta(microseconds=at)
+
     def clear(self, spark: SparkSession, run_ts: datetime, channels: DataFrame | None = None) -> bool:
         """Forget the listed channels, or everything; False when there is no state to clear."""
         state = self._load_unused(spark, run_ts)

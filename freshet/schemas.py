@@ -120,4 +120,6 @@ RUN_AUDIT = _struct(
 
 COMMIT = _struct(("run_ts", _TS), ("epoch", _L))
 
+ARRIVAL = _struct(("delivery", _S), ("batch", _L), ("run_ts", _TS))
+
 QUARANTINE = _struct(("channel_id", _S), ("source", _S), ("reason", _S), ("detail", _S))
