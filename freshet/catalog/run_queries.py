@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from freshet.catalog.base import CUTOFF_SQL, DURATION_SQL, K_SQL, earlier, events, query, table
 from freshet.catalog.landed import channel_envelopes, empty_answers, land, search_envelopes, video_envelopes
 from freshet.plans.ingest import RunConf, run_job
+from freshet.plans.publish import publish
 from freshet.plans.store import RunStore
 from freshet.session import working_dir
 from freshet.sinks.writers import write_csv
@@ -225,6 +226,41 @@ def ingest_on_arrival(spark, sf):
     return videos.select("batch", "video_id", "channel_id", "channel_name")
 
 
+_ONCE = f"""videos as (select e.*, c_name, {K_SQL} as views, cast({DURATION_SQL} as bigint) as seconds,
+        case when ts >= {CUTOFF_SQL} or event_id % 7 = 0 then '20240201_000000' else '20240115_000000' end as run
+        from events e join customer on c_custkey = user_id where event_type != 'error')"""
+
+
+def _published(spark, sf):
+    """Both runs, each followed by a publish; the second run refreshes every seventh id of the first."""
+    df, base = events(spark, sf), working_dir(spark, "ingest")
+    customers = table(spark, sf, "customer")
+    write_csv(customers.select(F.col("c_name").alias("channel_name"), F.col("c_custkey").alias("channel_id")), f"{base}/list")
+    again = earlier(df).where("event_id % 7 = 0 and event_type != 'error'")
+    asked = again.select(F.col("user_id").cast("string").alias("channel_id"), F.col("event_id").cast("string").alias("video_id"))
+    for name, run_ts, rows, refresh in (("first", FIRST, earlier(df), None), ("second", SECOND, df, asked)):
+        _land(spark, sf, f"{base}/{name}", rows)
+        run_job(spark, RunConf(f"{base}/{name}", f"{base}/store", f"{base}/list", run_ts, cap=1_000_000), refresh)
+        publish(spark, RunStore(f"{base}/store"), f"{base}/out")
+    return lambda name: spark.read.parquet(f"{base}/out/{name}")
+
+
+@query("publish_silver", f"with {_ONCE} select cast(event_id as varchar) as video_id, c_name as channel_name, views as view_count, seconds as duration, run from videos")
+def publish_silver(spark, sf):
+    """Silver after two publishes: refreshed rows have replaced their first form."""
+    return _published(spark, sf)("silver_videos").select("video_id", "channel_name", "view_count", "duration", "run")
+
+
+@query(
+    "publish_gold",
+    f"""with {_ONCE} select cast(user_id as varchar) as channel_id, count(*) as videos, cast(sum(views) as bigint) as views,
+        avg(seconds) as avg_duration, 0.0 as engagement from videos group by user_id""",
+)
+def publish_gold(spark, sf):
+    """Gold by channel after two publishes, by sums added and taken off."""
+    return _published(spark, sf)("gold_by_channel").select("channel_id", "videos", "views", "avg_duration", "engagement")
+
+
 def _renamed(spark, pattern, name):
     """Give the one file that matches a name of its own."""
     path = spark._jvm.org.apache.hadoop.fs.Path

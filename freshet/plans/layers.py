@@ -35,6 +35,27 @@ def engagement(likes: Column, comments: Column, views: Column) -> Column:
     return F.when(views > 0, (likes + comments) / views).otherwise(F.lit(0.0))
 
 
+#: What a gold table sums; sums of disjoint parts can be added and taken off.
+GOLD_SUMS = ("videos", "views", "likes", "comments", "duration")
+
+
+def gold_sums(silver: DataFrame, key: str) -> DataFrame:
+    """The sums that a gold row is made of, per value of the key."""
+    columns = {"views": "view_count", "likes": "like_count", "comments": "comment_count", "duration": "duration"}
+    return silver.groupBy(key).agg(F.count(F.lit(1)).alias("videos"), *[F.sum(c).alias(name) for name, c in columns.items()])
+
+
+def gold_of(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Gold rows from their sums."""
+    return sums.select(
+        *keys,
+        "videos",
+        "views",
+        (F.col("duration") / F.col("videos")).alias("avg_duration"),
+        engagement(F.col("likes"), F.col("comments"), F.col("views")).alias("engagement"),
+    )
+
+
 def gold_by(df: DataFrame, keys: Sequence[str | Column], views: str, likes: str, comments: str, duration: str) -> DataFrame:
     """Per group: videos, views, mean duration and engagement; partial sums before the shuffle."""
     return df.groupBy(*keys).agg(

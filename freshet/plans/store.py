@@ -125,10 +125,21 @@ class RunStore:
             F.col("run") == stamp_of(run_ts)
         ).drop("run")
 
-    def table(self, spark: SparkSession, table: str) -> DataFrame:
-        """All committed rows of a table with their ``run`` stamp."""
-        commits = self._read(spark, f"{self.root}/commits", COMMIT).select("run")
-        return self._read(spark, f"{self.root}/{table}", self.TABLES[table]).join(commits, "run", "left_semi")
+    def table(self, spark: SparkSession, table: str, after: str = "", until: str | None = None) -> DataFrame:
+        """All committed rows of a table with their ``run`` stamp; only the folders of runs later than
+        ``after`` and up to ``until``, where given, are listed."""
+        asked = F.col("run") > after
+        asked = asked if until is None else asked & (F.col("run") <= until)
+        commits = self._read(spark, f"{self.root}/commits", COMMIT).where(asked).select("run")
+        return self._read(spark, f"{self.root}/{table}", self.TABLES[table]).where(asked).join(commits, "run", "left_semi")
+
+    def commits(self, spark: SparkSession) -> DataFrame:
+        """``run, written`` of the committed runs: the stamp, and when its commit row was written in
+        microseconds, which tells a repeated run from its first form."""
+        rows = self._read(spark, f"{self.root}/commits", COMMIT)
+        # An empty table has no files that could be asked for their time.
+        written = F.unix_micros("_metadata.file_modification_time") if rows.inputFiles() else F.lit(0).cast("bigint")
+        return rows.select("run", written.alias("written"))
 
     def load(self, spark: SparkSession, before: datetime) -> State:
         """State as of the last commit before ``before``."""

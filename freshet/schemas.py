@@ -120,6 +120,24 @@ RUN_AUDIT = _struct(
 
 COMMIT = _struct(("run_ts", _TS), ("epoch", _L))
 
+PUBLISHED = _struct(("version", _L), ("base", _L), ("after", _S), ("until", _S), ("commit", _L), ("buckets", _L))
+
+SILVER_VIDEOS = _struct(
+    ("video_id", _S),
+    ("title", _S),
+    ("published_ts", _TS),
+    ("view_count", _L),
+    ("like_count", _L),
+    ("comment_count", _L),
+    ("duration", _L),
+    ("tags", T.ArrayType(_S)),
+    ("category_id", _S),
+    ("language", _S),
+    ("channel_id", _S),
+    ("channel_name", _S),
+    ("run", _S),
+)
+
 ARRIVAL = _struct(("delivery", _S), ("batch", _L), ("run_ts", _TS))
 
 QUARANTINE = _struct(("channel_id", _S), ("source", _S), ("reason", _S), ("detail", _S))
