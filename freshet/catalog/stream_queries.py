@@ -8,17 +8,21 @@ from freshet.catalog.base import EVENTS, events, query
 from freshet.session import working_dir
 from freshet.sinks.writers import write_table
 from freshet.sources.files import read_or_empty
-from freshet.streaming.feed import drain, drain_new, file_stream
+from freshet.streaming.feed import drain, drain_new, file_stream, known_keys
 
 
-@query("stream_dedup", "select event_id, user_id, event_type from events")
+@query("stream_dedup", "select event_id, user_id, event_type, 1 as times from events")
 def stream_dedup(spark, sf):
-    """The same feed delivered twice under different checkpoints: the second delivery adds nothing."""
-    target = working_dir(spark, "stream")
+    """Two feeds with the same events, the second after the first has been drained: it adds nothing. The
+    keys that the stream knows are those of the events, each once."""
+    base, keys = working_dir(spark, "stream"), ["user_id", "event_id"]
     for feed in ("first", "second"):
-        stream = file_stream(spark, sf, EVENTS, "events.parquet").select("event_id", "user_id", "event_type")
-        drain_new(stream, f"{target}/taken", f"{target}/checkpoint-{feed}", ["user_id", "event_id"], feed)
-    return spark.read.schema(stream.schema).parquet(f"{target}/taken").select("event_id", "user_id", "event_type")
+        write_table(events(spark, sf), f"{base}/in/{feed}")
+        stream = file_stream(spark, f"{base}/in/*", EVENTS).select("event_id", "user_id", "event_type")
+        drain_new(stream, f"{base}/taken", f"{base}/checkpoint", keys)
+    taken = spark.read.schema(stream.schema).parquet(f"{base}/taken").select("event_id", "user_id", "event_type")
+    times = known_keys(spark, f"{base}/checkpoint").groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("times"))
+    return taken.join(times, keys, "left").select("event_id", "user_id", "event_type", "times")
 
 
 @query("stream_available_now", "select event_id, event_type, date_trunc('hour', ts) as hour from events")

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.operators.selection import anti_seen, one_per_key
-from freshet.operators.skew import fits_broadcast
-from freshet.schemas import extended
 from freshet.sinks.writers import write_table
-from freshet.sources.files import read_or_empty
+
+# Keys live on disk, and a batch saves its changes instead of all of them.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def file_stream(
@@ -38,26 +39,38 @@ def drain(stream: DataFrame, target: str, checkpoint: str, fmt: str = "parquet")
     query.awaitTermination()
 
 
-def drain_new(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], feed: str) -> None:
-    """Append the rows whose key no earlier batch of any feed has written.
+def drain_new(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], fmt: str = "parquet") -> None:
+    """Append the rows whose key has not come before, at whatever time, then stop.
 
-    Each batch owns one folder ``feed=/batch=`` and looks at all others, so a repeated batch writes
-    the same rows again and an id re-delivered at any later time stays out. State-store dedup would
-    forget ids once a watermark passes them.
+    The keys are state of the stream: a batch looks its own up in the state store and reads nothing that
+    was written earlier. There is no watermark, so no key is ever forgotten; RocksDB keeps them on the
+    executors' disks, and each batch adds its own to the checkpoint. Feeds that must know of each other
+    are folders of one stream. Each batch owns one folder ``batch=``, which a repeated batch replaces.
+    Of copies within one batch any may be kept; rows with a NULL in the key are rejected.
     """
-    schema = extended(stream.schema, ("feed", T.StringType()), ("batch", T.LongType()))
+    spark = stream.sparkSession
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        taken = read_or_empty(batch.sparkSession, target, schema)
-        others = taken.where((F.col("feed") != feed) | (F.col("batch") != batch_id))
-        small = fits_broadcast(batch.select(*keys))
-        fresh = anti_seen(one_per_key(batch, keys, []), others, keys, small)
-        write_table(fresh, f"{target}/feed={feed}/batch={batch_id}", "overwrite")
+        write_table(batch, f"{target}/batch={batch_id}", "overwrite", fmt)
 
-    query = (
-        stream.writeStream.foreachBatch(take)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    before = {name: spark.conf.get(name, None) for name in STATE_CONF}
+    for name, value in STATE_CONF.items():
+        spark.conf.set(name, value)
+    try:
+        query = (
+            stream.dropna(subset=list(keys))
+            .dropDuplicates(list(keys))
+            .writeStream.foreachBatch(take)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:  # the query has taken its copy
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     query.awaitTermination()
+
+
+def known_keys(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The keys that a ``drain_new`` stream knows, from the state of its last finished batch."""
+    return spark.read.format("statestore").load(checkpoint).select("key.*")

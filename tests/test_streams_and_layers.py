@@ -1,6 +1,8 @@
 from datetime import datetime
 
+import pytest
 from conftest import SF, rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from freshet.catalog.base import EVENTS, events
@@ -9,25 +11,50 @@ from freshet.operators import state as St
 from freshet.plans.layers import gold_by, growth, name_history, silver_videos
 from freshet.plans.quality import rule_report, unstable_names
 from freshet.sinks.writers import write_table
-from freshet.streaming.feed import drain, drain_new, file_stream
+from freshet.streaming import feed
+from freshet.streaming.feed import drain, drain_new, file_stream, known_keys
 
 
 def test_stream_never_repeats_an_id(spark, tmp_path):
-    df = events(spark, SF)
-    path, keys = str(tmp_path / "in"), ["user_id", "event_id"]
-    write_table(df.where("event_type = 'click'").repartition(3), path, "append")
-    for feed in ("a", "b"):
-        drain_new(file_stream(spark, path, EVENTS, files_per_batch=1), str(tmp_path / "out"), str(tmp_path / f"c-{feed}"), keys, feed)
-        write_table(df.where("event_type in ('click', 'view')"), path, "append")
-    taken = spark.read.schema(EVENTS).parquet(str(tmp_path / "out"))
-    assert rows(taken, "event_id") == rows(df.where("event_type in ('click', 'view')"), "event_id")
+    """What was written is gone before the keys come again: the state alone knows them."""
+    df, keys, known = events(spark, SF), ["user_id", "event_id"], set()
+    for n, kinds in enumerate((["click"], ["click", "view"], ["view"])):
+        write_table(df.where(F.col("event_type").isin(kinds)).repartition(3), str(tmp_path / "in" / f"feed{n}"))
+        out = tmp_path / f"out{n}"
+        drain_new(file_stream(spark, str(tmp_path / "in" / "*"), EVENTS, files_per_batch=2), str(out), str(tmp_path / "c"), keys)
+        wanted = set(rows(df.where(F.col("event_type").isin(kinds)), "event_id")) - known
+        taken = rows(spark.read.schema(EVENTS).parquet(str(out)), "event_id") if out.exists() else []
+        assert taken == sorted(wanted)
+        known |= wanted
+    assert rows(known_keys(spark, str(tmp_path / "c")), "event_id") == sorted(known)
+
+
+def test_repeated_batch_replaces_its_rows(spark, tmp_path, monkeypatch):
+    """The driver dies after the rows were written and before the batch counts as done."""
+    write_table(spark.range(20).repartition(2), str(tmp_path / "in"))
+    stream = file_stream(spark, str(tmp_path / "in"), spark.range(1).schema)
+    args = (stream, str(tmp_path / "out"), str(tmp_path / "c"), ["id"])
+    with monkeypatch.context() as patch:
+
+        def dying(*written):
+            write_table(*written)
+            raise RuntimeError("lost driver")
+
+        patch.setattr(feed, "write_table", dying)
+        with pytest.raises(StreamingQueryException, match="lost driver"):
+            drain_new(*args)
+    write_table(spark.range(15, 25), str(tmp_path / "in"))
+    drain_new(*args)
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "id") == [(i,) for i in range(25)]
 
 
 def test_stream_drops_copies_within_a_batch(spark, tmp_path):
-    write_table(spark.sql("select 1 as id, 'x' as v union all select 1, 'x' union all select 2, 'y'"), str(tmp_path / "in"))
+    write_table(spark.sql("select 1 as id, 'x' as v union all select 1, 'x' union all select 2, 'y' union all select null, 'z'"), str(tmp_path / "in"))
     stream = file_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
-    drain_new(stream, str(tmp_path / "out"), str(tmp_path / "c"), ["id"], "f")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    drain_new(stream, str(tmp_path / "out"), str(tmp_path / "c"), ["id"])
     assert rows(spark.read.parquet(str(tmp_path / "out")), "id") == [(1,), (2,)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 
 
 def test_drain_takes_only_new_files(spark, tmp_path):
