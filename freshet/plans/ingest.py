@@ -27,7 +27,7 @@ from freshet.operators.selection import (
 )
 from freshet.operators.skew import fits_broadcast
 from freshet.operators.state import FETCHED, MISSING, PENDING
-from freshet.plans.store import RunStore, State, instant, stamp_of, utc
+from freshet.plans.store import BASE_RUNS, RunStore, State, instant, stamp_of, utc
 from freshet.schemas import CHANNEL_STATS, LEDGER, QUARANTINE, RUN_AUDIT, VIDEO_DETAILS
 from freshet.session import together, tune
 from freshet.sinks.writers import SAVE_FORMATS, write_csv
@@ -50,6 +50,8 @@ from freshet.sources.landing import (
 # Fixed value: ids one channel may contribute to one run.
 CAP = 200
 ID = ["channel_id", "video_id"]
+# The turn of candidates that earlier runs left open.
+BACKLOG = 0
 FLATTEN = {"channels": channel_rows, "search": search_rows, "videos": video_rows}
 
 
@@ -71,6 +73,8 @@ class RunConf:
     export: str | None = None
     fmt: str = "parquet"
     multi_line: bool = False
+    # Runs from one snapshot of the state to the next.
+    base_runs: int = BASE_RUNS
 
     def __post_init__(self):
         if self.save not in SAVE_FORMATS:
@@ -112,7 +116,7 @@ def _candidates(found: DataFrame, backlog: DataFrame, refresh: DataFrame | None,
     fresh = found.where("not waiting and not cached" if incremental else "not waiting")
     carried = {name: F.col(name) for name in ("published_ts", "first_seen_run", "status", "attempts")}
     parts = [
-        _turn(backlog, 0, **carried),
+        _turn(backlog, BACKLOG, **carried),
         _turn(fresh, 2, published_ts=F.col("published_ts"), place=F.col("place")),
     ]
     if refresh is None:
@@ -145,8 +149,8 @@ def _offered(store: RunStore, items: DataFrame, small: bool, state: State, conf:
     return store.stage(ids.join(marks, ID, "left").withColumns(absent), "offered", conf.run_ts)
 
 
-def _state(conf, state, active, selected, retrieved, pending) -> dict[str, DataFrame]:
-    """The state tables after this run."""
+def _changes(conf, active, selected, retrieved, pending) -> dict[str, DataFrame]:
+    """What this run does to the state: ids finished, ids that open, stay open or close, channels moved."""
     run = instant(conf.run_ts)
     taken = flagged(selected, retrieved, ID, "retrieved").withColumn("attempts", F.col("attempts") + 1)
     outcome = taken.withColumn("status", F.when(F.col("retrieved"), FETCHED).otherwise(MISSING))
@@ -154,15 +158,14 @@ def _state(conf, state, active, selected, retrieved, pending) -> dict[str, DataF
     closed = F.col("retrieved") | tried
     seen_first = F.coalesce("first_seen_run", run).alias("first_seen_run")
     columns = [*ID, "published_ts", seen_first, "status", "attempts"]
-    waiting = outcome.where(~closed).select(*columns).unionByName(pending.select(*columns))
-    untouched = state.open.join(active, "channel_id", "left_anti")
-    advanced = active.select("channel_id", run.alias("last_fetch_ts"), run.alias("updated_at"))
-    kept = state.watermark.join(active, "channel_id", "left_anti")
+    # Of the selected ids those of the backlog may close; what was in it and still waits has not changed.
+    tried_ids = outcome.where(~closed | (F.col("turn") == BACKLOG)).select(*columns, closed.alias("closed"))
+    waiting = pending.where(F.col("turn") != BACKLOG).select(*columns, F.lit(False).alias("closed"))
     return {
         "done": outcome.where(closed).select(*columns),
         "given_up": outcome.where(closed & ~F.col("retrieved")).select(*columns),
-        "open": waiting.unionByName(untouched),
-        "watermark": advanced.unionByName(kept),
+        "open": tried_ids.unionByName(waiting),
+        "watermark": active.select("channel_id", run.alias("last_fetch_ts"), run.alias("updated_at")),
     }
 
 
@@ -230,7 +233,7 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     if listing is None:
         return _no_run(spark)
     listed = listing.where(F.col("channel_id").isNotNull()).select("channel_id").distinct()
-    store = RunStore(conf.root, conf.fmt)
+    store = RunStore(conf.root, conf.fmt, conf.base_runs)
     state = store.admit(spark, conf.run_ts)
     if state.repeated:
         store.withdraw(spark, conf.run_ts)
@@ -266,7 +269,7 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
 
     exported = _export(store, spark, conf)
 
-    tables = _state(conf, state, active, selected, retrieved, pending)
+    tables = _changes(conf, active, selected, retrieved, pending)
     # A refresh, a full run, or the backlog such a run has left may hold ids that are done already.
     finished = anti_seen(tables.pop("done"), state.done, ID, fits_broadcast(selected.select(*ID)))
     tables["quarantine"] = rejects
@@ -277,7 +280,7 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
         partial(store.write_done, finished, state.epoch, conf.run_ts),
         *[partial(store.write, df, table, conf.run_ts) for table, df in tables.items()],
     )
-    store.commit(spark, state.epoch, conf.run_ts)
+    store.finish(spark, state, conf.run_ts)
     store.unstage(spark, conf.run_ts)
 
     written = {t: store.run(spark, t, conf.run_ts) for t in ("video_details", "audit", "quarantine", "late", "given_up")}

@@ -5,11 +5,14 @@ runs with a commit row, so a run that died half-way is invisible and re-running
 exactly what it wrote before.
 
 * ``done``: ids that need no further work. Append-only, never rewritten; every reader treats it as a set.
-* ``open``: capped or unanswered ids. A full snapshot per run, so the backlog is read without
-  touching the large ``done`` table.
-* ``watermark``: one row per channel, a full snapshot per run.
-
-Clearing state starts a new ``epoch`` of ``done`` without the cleared channels.
+* ``open``: changes of the backlog. A run writes the ids it adds, tries or closes, and nothing for those
+  that merely wait, so the backlog costs its size only when it is read.
+* ``watermark``: the channels a run has moved.
+* ``open_base``, ``watermark_base``: snapshots that ``BASE_RUNS`` runs write once, so that readers merge
+  the changes of a bounded number of runs.
+* ``cleared``: channels whose state ends with a run; a NULL channel stands for all. What earlier runs wrote
+  about them is left out when state is read, and dropped for good when the store is compacted into a new
+  ``epoch`` of ``done``.
 """
 
 from __future__ import annotations
@@ -21,12 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.operators.state import without_channels
+from freshet.operators.skew import fits_broadcast
 from freshet.schemas import (
-    CHANNEL_LIST,
     CHANNEL_STATS,
+    CLEARED,
     COMMIT,
     LEDGER,
+    OPEN_CHANGE,
     QUARANTINE,
     RUN_AUDIT,
     VIDEO_DETAILS,
@@ -52,6 +56,9 @@ def instant(run_ts: datetime) -> Column:
     return F.timestamp_micros(F.lit((since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds))
 
 
+BASE_RUNS = 24
+
+
 @dataclass(frozen=True)
 class State:
     """What the runs before this one left behind."""
@@ -61,6 +68,9 @@ class State:
     watermark: DataFrame
     done: DataFrame
     open: DataFrame
+    # The run whose snapshots this builds on ('' for none), and the runs committed since.
+    base: str = ""
+    since: int = 0
 
     @property
     def ledger(self) -> DataFrame:
@@ -71,6 +81,8 @@ class State:
 class RunStore:
     root: str
     fmt: str = "parquet"
+    # Runs whose changes a reader of the state merges, at most.
+    base_runs: int = BASE_RUNS
 
     TABLES = {
         "channel_stats": CHANNEL_STATS,
@@ -79,8 +91,11 @@ class RunStore:
         "late": LEDGER,
         "given_up": LEDGER,
         "audit": RUN_AUDIT,
-        "open": LEDGER,
+        "open": OPEN_CHANGE,
+        "open_base": LEDGER,
         "watermark": WATERMARK,
+        "watermark_base": WATERMARK,
+        "cleared": CLEARED,
         "commits": COMMIT,
     }
 
@@ -106,10 +121,25 @@ class RunStore:
         write_table(df, path, "overwrite", self.fmt)
         return df.sparkSession.read.schema(df.schema).format(self.fmt).load(path)
 
-    def commit(self, spark: SparkSession, epoch: int, run_ts: datetime) -> None:
-        row = spark.range(1).select(instant(run_ts).alias("run_ts"), F.lit(epoch).cast("bigint").alias("epoch"))
+    def commit(self, spark: SparkSession, epoch: int, run_ts: datetime, base: str = "") -> None:
+        row = spark.range(1).select(instant(run_ts).alias("run_ts"), F.lit(epoch).cast("bigint").alias("epoch"), F.lit(base).alias("base"))
         self.write(row, "commits", run_ts)
 
+    def snapshot(self, state: State, run_ts: datetime) -> str:
+        """Write the whole backlog and all watermarks, for the commit of this run to name."""
+        self.write(state.open, "open_base", run_ts)
+        self.write(state.watermark, "watermark_base", run_ts)
+        return stamp_of(run_ts)
+
+    def finish(self, spark: SparkSession, state: State, run_ts: datetime) -> None:
+        """Commit a run that found ``state``; its changes are written. Once in ``base_runs`` runs it also
+        writes the snapshots that later runs build on."""
+        base = state.base
+        if state.since + 1 >= self.base_runs:
+            epoch = {"run": stamp_of(run_ts), "epoch": state.epoch, "base": state.base}
+            base = self.snapshot(self._state(spark, epoch, state.repeated, with_run=True), run_ts)
+        self.commit(spark, state.epoch, run_ts, base)
+
     def unstage(self, spark: SparkSession, run_ts: datetime) -> None:
         """Drop the staging tables of a committed run."""
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/staging/run={stamp_of(run_ts)}")
@@ -144,24 +174,64 @@ class RunStore:
     def load(self, spark: SparkSession, before: datetime) -> State:
         """State as of the last commit before ``before``."""
         every = self._read(spark, f"{self.root}/commits", COMMIT)
-        commits = every.where(F.col("run") < stamp_of(before))
         is_before, is_this = F.col("run") < stamp_of(before), F.col("run") == stamp_of(before)
         found = every.agg(
-            F.max(F.when(is_before, F.struct("run", "epoch"))).alias("last"), F.bool_or(is_this).alias("repeated")
+            F.max(F.when(is_before, F.struct("run", "epoch", "base"))).alias("last"), F.bool_or(is_this).alias("repeated")
         ).first()
         last, repeated = found["last"], bool(found["repeated"])
         if last is None:
             return State(0, repeated, *[empty(spark, schema) for schema in (WATERMARK, LEDGER, LEDGER)])
-        of_epoch = commits.where(F.col("epoch") == last["epoch"]).select("run")
-        # The plain filter prunes folders before the plan runs: a repeated run may replace its own.
-        earlier = self._read(spark, self._done_path(last["epoch"]), LEDGER).where(F.col("run") <= last["run"])
-        done = earlier.join(of_epoch, "run", "left_semi").drop("run")
-
-        def snapshot(table: str) -> DataFrame:
-            rows = self._read(spark, f"{self.root}/{table}", self.TABLES[table])
-            return rows.where(F.col("run") == last["run"]).drop("run")
+        return self._state(spark, last.asDict(), repeated)
 
-        return State(last["epoch"], repeated, snapshot("watermark"), done, snapshot("open"))
+    def _state(self, spark: SparkSession, last: dict, repeated: bool, with_run: bool = False) -> State:
+        """The state after the run ``last``; ``with_run`` if that run itself is not committed yet."""
+        run, base = F.col("run"), last["base"]
+        # The plain filter prunes folders before the plan runs: a repeated run may replace its own.
+        commits = self._read(spark, f"{self.root}/commits", COMMIT).where(run < last["run"] if with_run else run <= last["run"])
+        known = commits.select("run", "epoch")
+        if with_run:
+            own = spark.range(1).select(F.lit(last["run"]).alias("run"), F.lit(last["epoch"]).cast("bigint").alias("epoch"))
+            known = known.unionByName(own)
+        ended = self._ended(spark, known, last["run"])
+
+        def alive(rows: DataFrame) -> DataFrame:
+            for_all, channels = ended
+            if for_all:
+                rows = rows.where(run >= for_all)
+            if channels is not None:
+                cut = rows.join(channels, "channel_id", "left")
+                rows = cut.where(F.col("ended").isNull() | (run >= F.col("ended"))).drop("ended")
+            return rows
+
+        def changes(table: str) -> DataFrame:
+            since = self._read(spark, f"{self.root}/{table}", self.TABLES[table]).where((run > base) & (run <= last["run"]))
+            return since.join(known.select("run"), "run", "left_semi")
+
+        def kept(table: str) -> DataFrame:
+            return self._read(spark, f"{self.root}/{table}_base", self.TABLES[f"{table}_base"]).where(run == base)
+
+        def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+            rest = [name for name in rows.columns if name not in (*keys, "run")]
+            newest = rows.groupBy(*keys).agg(F.max(F.struct("run", *rest)).alias("newest"))
+            return newest.select(*keys, *[F.col(f"newest.{name}").alias(name) for name in rest])
+
+        backlog = kept("open").withColumn("closed", F.lit(False)).unionByName(changes("open"))
+        opened = latest(alive(backlog), ["channel_id", "video_id"]).where(~F.col("closed")).select(*LEDGER.names)
+        marks = latest(alive(kept("watermark").unionByName(changes("watermark"))), ["channel_id"]).select(*WATERMARK.names)
+        of_epoch = known.where(F.col("epoch") == last["epoch"]).select("run")
+        earlier = self._read(spark, self._done_path(last["epoch"]), LEDGER).where(run <= last["run"])
+        done = alive(earlier.join(of_epoch, "run", "left_semi")).drop("run")
+        since = known.where(run > base).count()
+        return State(last["epoch"], repeated, marks, done, opened, base, since)
+
+    def _ended(self, spark: SparkSession, known: DataFrame, until: str) -> tuple[str | None, DataFrame | None]:
+        """The run with which all state ended, if any, and the runs with which that of single channels did."""
+        cleared = self._read(spark, f"{self.root}/cleared", CLEARED).where(F.col("run") <= until).join(known.select("run"), "run", "left_semi")
+        found = cleared.agg(F.max(F.when(F.col("channel_id").isNull(), F.col("run"))).alias("all"), F.count("channel_id").alias("n")).first()
+        if not found["n"]:
+            return found["all"], None
+        single = cleared.where("channel_id is not null").groupBy("channel_id").agg(F.max("run").alias("ended"))
+        return found["all"], F.broadcast(single) if fits_broadcast(cleared) else single
 
     def admit(self, spark: SparkSession, run_ts: datetime) -> State:
         """The state for a run at ``run_ts``, which must not come before the last commit.
@@ -185,20 +255,25 @@ class RunStore:
         return None if at is None else datetime(1970, 1, 1) + timedelta(microseconds=at)
 
     def clear(self, spark: SparkSession, run_ts: datetime, channels: DataFrame | None = None) -> bool:
-        """Forget the listed channels, or everything; False when there is no state to clear."""
+        """Forget the listed channels, or everything; False when there is no state to clear. A row for
+        each channel is written and nothing else."""
         state = self._load_unused(spark, run_ts)
         if state.watermark.isEmpty() and state.ledger.isEmpty():
             return False
-        epoch = state.epoch + 1
-        self.write_done(without_channels(state.done, channels, "channel_id"), epoch, run_ts)
-        self.write(without_channels(state.open, channels, "channel_id"), "open", run_ts)
-        self.write(without_channels(state.watermark, channels, "channel_id"), "watermark", run_ts)
-        self.commit(spark, epoch, run_ts)
+        named = spark.range(1).select(F.lit(None).cast("string").alias("channel_id")) if channels is None else channels.where("channel_id is not null")
+        self.write(named.select("channel_id").distinct(), "cleared", run_ts)
+        self.commit(spark, state.epoch, run_ts, state.base)
         return True
 
     def compact(self, spark: SparkSession, run_ts: datetime) -> bool:
-        """Rewrite ``done`` as one folder once many runs have appended to it; earlier epochs may go."""
-        return self.clear(spark, run_ts, empty(spark, CHANNEL_LIST))
+        """Rewrite the state as one folder a table, without what was cleared, once many runs have added to
+        it; False when there is none. Earlier epochs and snapshots may go."""
+        state = self._load_unused(spark, run_ts)
+        if state.watermark.isEmpty() and state.ledger.isEmpty():
+            return False
+        self.write_done(state.done, state.epoch + 1, run_ts)
+        self.commit(spark, state.epoch + 1, run_ts, self.snapshot(state, run_ts))
+        return True
 
     def _load_unused(self, spark: SparkSession, run_ts: datetime) -> State:
         state = self.admit(spark, run_ts)
@@ -220,6 +295,5 @@ class RunStore:
         if not (state.watermark.isEmpty() and state.ledger.isEmpty()):
             raise ValueError("the store has state of its own; clear it before seeding")
         self.write_done(ledger, state.epoch + 1, run_ts)
-        self.write(empty(spark, LEDGER), "open", run_ts)
         self.write(watermark, "watermark", run_ts)
-        self.commit(spark, state.epoch + 1, run_ts)
+        self.commit(spark, state.epoch + 1, run_ts, state.base)

@@ -118,7 +118,12 @@ RUN_AUDIT = _struct(
     ("error", _S),
 )
 
-COMMIT = _struct(("run_ts", _TS), ("epoch", _L))
+# ``base``: the stamp of the run whose snapshots the changes of later runs build on.
+COMMIT = _struct(("run_ts", _TS), ("epoch", _L), ("base", _S))
+
+OPEN_CHANGE = extended(LEDGER, ("closed", T.BooleanType()))
+
+CLEARED = _struct(("channel_id", _S))
 
 PUBLISHED = _struct(("version", _L), ("base", _L), ("after", _S), ("until", _S), ("commit", _L), ("buckets", _L))
 

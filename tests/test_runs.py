@@ -89,8 +89,16 @@ def audit(result, channel="A"):
     return result.audit.where(f"channel_id = '{channel}'").first().asDict()
 
 
+def state_after(world, run_ts):
+    return world.store.load(world.spark, run_ts + timedelta(seconds=1))
+
+
 def open_rows(world, run_ts):
-    return rows(world.store.run(world.spark, "open", run_ts), "video_id", "status", "attempts")
+    return rows(state_after(world, run_ts).open, "video_id", "status", "attempts")
+
+
+def marks(world, run_ts, *columns):
+    return rows(state_after(world, run_ts).watermark, *columns)
 
 
 def test_first_and_second_run(world):
@@ -103,7 +111,7 @@ def test_first_and_second_run(world):
     second = world.run(R2)
     assert ids(second) == [] and second.videos.columns == VIDEO_DETAILS.names
     assert rows(second.channels, "channel_id", "subscribers", "total_views", "video_count") == [("A", 7, 8, 0)]
-    assert rows(world.store.run(world.spark, "watermark", R2), "channel_id", "last_fetch_ts") == [("A", R2)]
+    assert marks(world, R2, "channel_id", "last_fetch_ts") == [("A", R2)]
 
 
 def test_time_boundary(world):
@@ -165,7 +173,7 @@ def test_bad_channel_is_isolated(world):
     assert (audit(first, "B")["status"], audit(first, "B")["error"]) == ("failed", "corrupt response")
     assert audit(first, "A")["status"] == "ok"
     assert rows(first.quarantine, "channel_id", "source") == [("B", "search")]
-    assert rows(world.store.run(world.spark, "watermark", R1), "channel_id") == [("A",), ("C",)]
+    assert marks(world, R1, "channel_id") == [("A",), ("C",)]
     world.broken.clear()
     assert ids(world.run(R2)) == ["B1"]
 
@@ -184,7 +192,7 @@ def test_unreadable_file_costs_its_channel_and_no_other(world, kind):
     assert ids(first) == ["A1", "C1"]
     assert (audit(first, "B")["status"], audit(first, "B")["error"]) == ("failed", "unreadable file")
     assert rows(first.quarantine, "channel_id", "source", "reason") == [(c, kind, "unreadable file") for c in "BD"]
-    assert rows(world.store.run(world.spark, "watermark", R1), "channel_id") == [("A",), ("C",)]
+    assert marks(world, R1, "channel_id") == [("A",), ("C",)]
     assert ids(world.run(R2)) == ["B1", "D1"]
 
 
@@ -225,7 +233,7 @@ def test_failed_channel_keeps_its_state(world):
     world.broken.add("A")
     assert ids(world.run(R2, cap=2)) == []
     assert open_rows(world, R2) == [("v0", "pending", 0)]
-    assert rows(world.store.run(world.spark, "watermark", R2), "last_fetch_ts") == [(R1,)]
+    assert marks(world, R2, "last_fetch_ts") == [(R1,)]
     world.broken.clear()
     assert ids(world.run(R3, cap=2)) == ["v0"]
 
@@ -296,6 +304,58 @@ def test_compacted_state_is_the_same_state(world):
     assert ids(world.run(R4)) == ["v0"]
 
 
+def written(world, table, run_ts):
+    return world.store.run(world.spark, table, run_ts).count()
+
+
+@pytest.mark.parametrize("base_runs", [1, 2, 100])
+def test_a_run_writes_what_it_changes(world, base_runs):
+    world.publish("A", [f"v{i:03}" for i in range(30)])
+    world.publish("B", ["w"])
+    world.hidden.add("v029")
+    options = {"cap": 10, "base_runs": base_runs}
+    world.run(R1, **options)
+    assert written(world, "open", R1) == 21  # 20 that wait and the one without details
+    world.broken.add("A")
+    world.run(R2, **options)
+    assert (written(world, "open", R2), written(world, "watermark", R2)) == (0, 1)
+    assert len(open_rows(world, R2)) == 21
+    world.broken.clear()
+    world.run(R3, **options)
+    assert written(world, "open", R3) == 10  # nine leave the backlog, one is tried again
+    assert len(open_rows(world, R3)) == 12 and ("v029", "missing", 2) in open_rows(world, R3)
+    snapshots = [r for r in (R1, R2, R3) if written(world, "open_base", r)]
+    assert snapshots == {1: [R1, R2, R3], 2: [R2], 100: []}[base_runs]
+    assert state_after(world, R3).since == {1: 0, 2: 1, 100: 3}[base_runs]
+    # A repeated run builds on the state before it, whichever snapshot that has.
+    before = open_rows(world, R3)
+    world.run(R3, **options)
+    assert open_rows(world, R3) == before and marks(world, R3, "channel_id", "last_fetch_ts") == [("A", R3), ("B", R3)]
+
+
+def test_clearing_writes_a_row_a_channel_and_compacting_drops_what_it_hides(world):
+    for channel in "ABC":
+        world.publish(channel, [f"{channel}{i}" for i in range(4)])
+    world.run(R1, cap=2)
+    folders = sorted(p.name for p in (world.base / "store" / "done").rglob("run=*"))
+    named = world.spark.createDataFrame([("A",), ("A",), ("C",), (None,)], "channel_id string")
+    assert world.store.clear(world.spark, R2, named) is True
+    assert rows(world.store.run(world.spark, "cleared", R2)) == [("A",), ("C",)]
+    assert sorted(p.name for p in (world.base / "store" / "done").rglob("run=*")) == folders
+    left = state_after(world, R2)
+    assert rows(left.done, "video_id") == [("B2",), ("B3",)] and rows(left.open, "video_id") == [("B0",), ("B1",)]
+    assert rows(left.watermark, "channel_id") == [("B",)]
+    world.publish("C", ["C9"], start=R1)
+    assert ids(world.run(R3, cap=2)) == ["A2", "A3", "B0", "B1", "C3", "C9"]
+    assert world.store.compact(world.spark, R4) is True
+    kept = state_after(world, R4)
+    assert [v for (v,) in rows(kept.done, "video_id")] == ["A2", "A3", "B0", "B1", "B2", "B3", "C3", "C9"]
+    assert kept.since == 0 and rows(kept.open, "video_id") == [("A0",), ("A1",), ("C0",), ("C1",), ("C2",)]
+    assert world.store.clear(world.spark, R4 + timedelta(hours=1)) is True
+    empty = state_after(world, R4 + timedelta(hours=1))
+    assert [rows(empty.done), rows(empty.open), rows(empty.watermark)] == [[], [], []]
+
+
 def test_imported_documents(world, tmp_path):
     world.publish("A", ["v1"])
     world.publish("A", ["v2"], start=R1 + timedelta(minutes=1))
@@ -474,7 +534,7 @@ def test_run_time_is_utc_wherever_the_driver_runs(world, monkeypatch, zone):
     try:
         world.publish("A", ["v1"])
         world.run(R1)
-        marks = world.store.run(world.spark, "watermark", R1)
+        marks = state_after(world, R1).watermark
         assert [r[0] for r in marks.selectExpr("date_format(last_fetch_ts, 'yyyyMMdd_HHmmss')").collect()] == ["20260102_000000"]
         world.publish("A", ["v2"], start=R1 + timedelta(hours=1))
         assert ids(world.run(R2)) == ["v2"]
@@ -487,7 +547,7 @@ def test_seeding_needs_an_empty_store(world):
     world.publish("A", ["v1"])
     world.run(R1)
     taken = world.spark.createDataFrame([("A", "v1")], "channel_id string, video_id string")
-    marks = world.store.run(world.spark, "watermark", R1)
+    marks = state_after(world, R1).watermark
     with pytest.raises(ValueError, match="state of its own"):
         world.store.seed(world.spark, R2, taken, marks)
 
@@ -519,5 +579,5 @@ def test_export_without_upload_and_failed_export(world, tmp_path):
     (tmp_path / "file").write_text("x")
     with pytest.warns(UserWarning):
         assert world.run(R2, save="csv", export=str(tmp_path / "file" / "below")).export == "failed"
-    assert rows(world.store.run(world.spark, "watermark", R2), "last_fetch_ts") == [(R2,)]
+    assert marks(world, R2, "last_fetch_ts") == [(R2,)]
     assert not list((tmp_path / "store" / "staging").glob("*/*"))
