@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.functions.scalars import quota_units
+from freshet.functions.scalars import calls_saved, quota_units
 
 
 def flagged(df: DataFrame, marks: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
@@ -52,9 +52,29 @@ def quota_estimate(counters: DataFrame, videos: str) -> DataFrame:
     )
 
 
+def alert_reason(min_videos: int = 1) -> Column:
+    """Why somebody should look at an audit row, or NULL."""
+    return F.when(F.col("status") == "failed", "failed channel").when(F.col("retrieved") < min_videos, "too few videos")
+
+
 def audit_alerts(audit: DataFrame, key: str, min_videos: int = 1) -> DataFrame:
     """Audit rows somebody should look at, with the reason."""
-    reason = F.when(F.col("status") == "failed", "failed channel").when(
-        F.col("retrieved") < min_videos, "too few videos"
-    )
-    return audit.withColumn("alert", reason).where(F.col("alert").isNotNull()).select(key, "status", "retrieved", "alert")
+    return audit.withColumn("alert", alert_reason(min_videos)).where(F.col("alert").isNotNull()).select(key, "status", "retrieved", "alert")
+
+
+def summary_metrics(min_videos: int = 1) -> dict[str, Column]:
+    """Totals of an audit table, to be observed while it is written or aggregated afterwards."""
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0))
+
+    ok = F.count_if(F.col("status") == "ok")
+    return {
+        "channels": ok,
+        "failed_channels": F.count_if(F.col("status") != "ok"),
+        **{name: total(name) for name in ("found", "cached", "selected")},
+        "videos": total("retrieved"),
+        "alerts": F.count(alert_reason(min_videos)),
+        "calls_saved": F.coalesce(F.sum(calls_saved("cached")), F.lit(0)),
+        "quota_units": quota_units(ok, total("retrieved")),
+    }

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import warnings
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 from functools import partial, reduce
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.functions.scalars import LOOKBACK_MINUTES
-from freshet.operators.counters import flagged, upload_status
+from freshet.operators.counters import flagged, summary_metrics, upload_status
 from freshet.operators.selection import (
     after_bound,
     anti_seen,
@@ -73,6 +73,8 @@ class RunConf:
     export: str | None = None
     fmt: str = "parquet"
     multi_line: bool = False
+    # Channels with fewer videos in a run count as alerts.
+    min_videos: int = 1
     # Runs from one snapshot of the state to the next.
     base_runs: int = BASE_RUNS
 
@@ -91,6 +93,8 @@ class RunResult:
     given_up: DataFrame
     ran: bool
     export: str
+    # Totals of the run, see RUN_SUMMARY.
+    summary: dict[str, int] = field(default_factory=dict)
 
 
 def _no_run(spark: SparkSession) -> RunResult:
@@ -274,18 +278,22 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     finished = anti_seen(tables.pop("done"), state.done, ID, fits_broadcast(selected.select(*ID)))
     tables["quarantine"] = rejects
     tables["late"] = _late_rows(late)
-    tables["audit"] = _audit(listed, active, blocked, found, selected, retrieved, conf)
+    # The totals are counted on the way, while the audit is written.
+    totals = Observation()
+    audit = _audit(listed, active, blocked, found, selected, retrieved, conf)
+    tables["audit"] = audit.observe(totals, *[c.alias(name) for name, c in summary_metrics(conf.min_videos).items()])
     together(
         spark,
         partial(store.write_done, finished, state.epoch, conf.run_ts),
         *[partial(store.write, df, table, conf.run_ts) for table, df in tables.items()],
     )
-    store.finish(spark, state, conf.run_ts)
+    summary = dict(totals.get)
+    store.finish(spark, state, conf.run_ts, summary)
     store.unstage(spark, conf.run_ts)
 
     written = {t: store.run(spark, t, conf.run_ts) for t in ("video_details", "audit", "quarantine", "late", "given_up")}
     return RunResult(
-        channels, written["video_details"], written["audit"], written["quarantine"], written["late"], written["given_up"], True, exported
+        channels, written["video_details"], written["audit"], written["quarantine"], written["late"], written["given_up"], True, exported, summary
     )
 
 

@@ -17,7 +17,7 @@ exactly what it wrote before.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +33,7 @@ from freshet.schemas import (
     OPEN_CHANGE,
     QUARANTINE,
     RUN_AUDIT,
+    RUN_SUMMARY,
     VIDEO_DETAILS,
     WATERMARK,
     extended,
@@ -56,6 +57,11 @@ def instant(run_ts: datetime) -> Column:
     return F.timestamp_micros(F.lit((since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds))
 
 
+def plain(micros: int | None) -> datetime | None:
+    """Microseconds as a plain UTC time."""
+    return None if micros is None else datetime(1970, 1, 1) + timedelta(microseconds=micros)
+
+
 BASE_RUNS = 24
 
 
@@ -71,6 +77,10 @@ class State:
     # The run whose snapshots this builds on ('' for none), and the runs committed since.
     base: str = ""
     since: int = 0
+    # The last run that cleared channels.
+    cleared: str = ""
+    # The last committed run of all, which may be this one.
+    newest: datetime | None = None
 
     @property
     def ledger(self) -> DataFrame:
@@ -121,9 +131,10 @@ class RunStore:
         write_table(df, path, "overwrite", self.fmt)
         return df.sparkSession.read.schema(df.schema).format(self.fmt).load(path)
 
-    def commit(self, spark: SparkSession, epoch: int, run_ts: datetime, base: str = "") -> None:
-        row = spark.range(1).select(instant(run_ts).alias("run_ts"), F.lit(epoch).cast("bigint").alias("epoch"), F.lit(base).alias("base"))
-        self.write(row, "commits", run_ts)
+    def commit(self, spark: SparkSession, epoch: int, run_ts: datetime, base: str = "", since: int = 0, cleared: str = "", summary: dict | None = None) -> None:
+        totals = F.struct(*[F.lit(summary[name]).cast("bigint").alias(name) for name in RUN_SUMMARY.names]) if summary else F.lit(None).cast(RUN_SUMMARY)
+        columns = {"epoch": F.lit(epoch).cast("bigint"), "base": F.lit(base), "since": F.lit(since).cast("bigint"), "cleared": F.lit(cleared), "summary": totals}
+        self.write(spark.range(1).select(instant(run_ts).alias("run_ts"), *[c.alias(name) for name, c in columns.items()]), "commits", run_ts)
 
     def snapshot(self, state: State, run_ts: datetime) -> str:
         """Write the whole backlog and all watermarks, for the commit of this run to name."""
@@ -131,14 +142,19 @@ class RunStore:
         self.write(state.watermark, "watermark_base", run_ts)
         return stamp_of(run_ts)
 
-    def finish(self, spark: SparkSession, state: State, run_ts: datetime) -> None:
+    def summaries(self, spark: SparkSession) -> DataFrame:
+        """The totals of every committed run."""
+        rows = self._read(spark, f"{self.root}/commits", COMMIT).where("summary is not null")
+        return rows.select("run", "run_ts", "summary.*")
+
+    def finish(self, spark: SparkSession, state: State, run_ts: datetime, summary: dict | None = None) -> None:
         """Commit a run that found ``state``; its changes are written. Once in ``base_runs`` runs it also
         writes the snapshots that later runs build on."""
-        base = state.base
-        if state.since + 1 >= self.base_runs:
-            epoch = {"run": stamp_of(run_ts), "epoch": state.epoch, "base": state.base}
-            base = self.snapshot(self._state(spark, epoch, state.repeated, with_run=True), run_ts)
-        self.commit(spark, state.epoch, run_ts, base)
+        base, since = state.base, state.since + 1
+        if since >= self.base_runs:
+            own = {"run": stamp_of(run_ts), "epoch": state.epoch, "base": state.base, "since": since, "cleared": state.cleared}
+            base, since = self.snapshot(self._state(spark, own, state.repeated, committed=False), run_ts), 0
+        self.commit(spark, state.epoch, run_ts, base, since, state.cleared, summary)
 
     def unstage(self, spark: SparkSession, run_ts: datetime) -> None:
         """Drop the staging tables of a committed run."""
@@ -175,24 +191,27 @@ class RunStore:
         """State as of the last commit before ``before``."""
         every = self._read(spark, f"{self.root}/commits", COMMIT)
         is_before, is_this = F.col("run") < stamp_of(before), F.col("run") == stamp_of(before)
+        names = ("run", "epoch", "base", "since", "cleared")
         found = every.agg(
-            F.max(F.when(is_before, F.struct("run", "epoch", "base"))).alias("last"), F.bool_or(is_this).alias("repeated")
+            F.max(F.when(is_before, F.struct(*names))).alias("last"),
+            F.bool_or(is_this).alias("repeated"),
+            F.max(F.unix_micros("run_ts")).alias("newest"),
         ).first()
-        last, repeated = found["last"], bool(found["repeated"])
+        last, repeated, newest = found["last"], bool(found["repeated"]), plain(found["newest"])
         if last is None:
-            return State(0, repeated, *[empty(spark, schema) for schema in (WATERMARK, LEDGER, LEDGER)])
-        return self._state(spark, last.asDict(), repeated)
+            return State(0, repeated, *[empty(spark, schema) for schema in (WATERMARK, LEDGER, LEDGER)], newest=newest)
+        return replace(self._state(spark, last.asDict(), repeated), newest=newest)
 
-    def _state(self, spark: SparkSession, last: dict, repeated: bool, with_run: bool = False) -> State:
-        """The state after the run ``last``; ``with_run`` if that run itself is not committed yet."""
+    def _state(self, spark: SparkSession, last: dict, repeated: bool, committed: bool = True) -> State:
+        """The state after the run ``last``, whether it is committed already or about to be."""
         run, base = F.col("run"), last["base"]
         # The plain filter prunes folders before the plan runs: a repeated run may replace its own.
-        commits = self._read(spark, f"{self.root}/commits", COMMIT).where(run < last["run"] if with_run else run <= last["run"])
+        commits = self._read(spark, f"{self.root}/commits", COMMIT).where(run <= last["run"] if committed else run < last["run"])
         known = commits.select("run", "epoch")
-        if with_run:
+        if not committed:
             own = spark.range(1).select(F.lit(last["run"]).alias("run"), F.lit(last["epoch"]).cast("bigint").alias("epoch"))
             known = known.unionByName(own)
-        ended = self._ended(spark, known, last["run"])
+        ended = self._ended(spark, known, last["cleared"]) if last["cleared"] else (None, None)
 
         def alive(rows: DataFrame) -> DataFrame:
             for_all, channels = ended
@@ -221,8 +240,7 @@ class RunStore:
         of_epoch = known.where(F.col("epoch") == last["epoch"]).select("run")
         earlier = self._read(spark, self._done_path(last["epoch"]), LEDGER).where(run <= last["run"])
         done = alive(earlier.join(of_epoch, "run", "left_semi")).drop("run")
-        since = known.where(run > base).count()
-        return State(last["epoch"], repeated, marks, done, opened, base, since)
+        return State(last["epoch"], repeated, marks, done, opened, base, last["since"], last["cleared"])
 
     def _ended(self, spark: SparkSession, known: DataFrame, until: str) -> tuple[str | None, DataFrame | None]:
         """The run with which all state ended, if any, and the runs with which that of single channels did."""
@@ -239,20 +257,20 @@ class RunStore:
         Only the last committed run may be repeated: an older one would build on a backlog that later
         runs have worked off, and their rows would be lost. Two runs within a second have one stamp.
         """
-        newest = self.newest(spark)
+        state = self.load(spark, run_ts)
+        newest = state.newest
         if newest and stamp_of(newest) > stamp_of(run_ts):
             raise ValueError(f"run {stamp_of(newest)} is committed; {stamp_of(run_ts)} comes before it")
         if newest and stamp_of(newest) == stamp_of(run_ts) and newest != utc(run_ts):
             raise ValueError(f"another run within the second {stamp_of(run_ts)} is committed")
-        return self.load(spark, run_ts)
+        return state
 
     def committed(self, spark: SparkSession, run_ts: datetime) -> bool:
         return not self._read(spark, f"{self.root}/commits", COMMIT).where(F.col("run") == stamp_of(run_ts)).isEmpty()
 
     def newest(self, spark: SparkSession) -> datetime | None:
         """The time of the last committed run, plain UTC."""
-        at = self._read(spark, f"{self.root}/commits", COMMIT).agg(F.max(F.unix_micros("run_ts")).alias("at")).first()["at"]
-        return None if at is None else datetime(1970, 1, 1) + timedelta(microseconds=at)
+        return plain(self._read(spark, f"{self.root}/commits", COMMIT).agg(F.max(F.unix_micros("run_ts"))).first()[0])
 
     def clear(self, spark: SparkSession, run_ts: datetime, channels: DataFrame | None = None) -> bool:
         """Forget the listed channels, or everything; False when there is no state to clear. A row for
@@ -262,7 +280,7 @@ class RunStore:
             return False
         named = spark.range(1).select(F.lit(None).cast("string").alias("channel_id")) if channels is None else channels.where("channel_id is not null")
         self.write(named.select("channel_id").distinct(), "cleared", run_ts)
-        self.commit(spark, state.epoch, run_ts, state.base)
+        self.commit(spark, state.epoch, run_ts, state.base, state.since + 1, stamp_of(run_ts))
         return True
 
     def compact(self, spark: SparkSession, run_ts: datetime) -> bool:
@@ -296,4 +314,4 @@ class RunStore:
             raise ValueError("the store has state of its own; clear it before seeding")
         self.write_done(ledger, state.epoch + 1, run_ts)
         self.write(watermark, "watermark", run_ts)
-        self.commit(spark, state.epoch + 1, run_ts, state.base)
+        self.commit(spark, state.epoch + 1, run_ts, state.base, state.since + 1, state.cleared)

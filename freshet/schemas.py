@@ -118,8 +118,22 @@ RUN_AUDIT = _struct(
     ("error", _S),
 )
 
-# ``base``: the stamp of the run whose snapshots the changes of later runs build on.
-COMMIT = _struct(("run_ts", _TS), ("epoch", _L), ("base", _S))
+# Totals of one run; ``calls_saved`` and ``quota_units`` in the units of the remote service.
+RUN_SUMMARY = _struct(
+    ("channels", _L),
+    ("failed_channels", _L),
+    ("found", _L),
+    ("cached", _L),
+    ("selected", _L),
+    ("videos", _L),
+    ("alerts", _L),
+    ("calls_saved", _L),
+    ("quota_units", _L),
+)
+
+# ``base``: the run whose snapshots the changes of later runs build on, ``since``: how many runs these are;
+# ``cleared``: the last run that cleared channels. Stamps, '' for none. ``summary`` is NULL where nothing ran.
+COMMIT = _struct(("run_ts", _TS), ("epoch", _L), ("base", _S), ("since", _L), ("cleared", _S), ("summary", RUN_SUMMARY))
 
 OPEN_CHANGE = extended(LEDGER, ("closed", T.BooleanType()))
 

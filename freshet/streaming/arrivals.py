@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from freshet.functions.scalars import parse_iso_lenient
 from freshet.plans.ingest import RunConf, run_job
-from freshet.plans.store import RunStore, instant, stamp_of
+from freshet.plans.store import RunStore, instant, plain, stamp_of
 from freshet.schemas import ARRIVAL, extended
 from freshet.session import tune
 from freshet.sinks.writers import write_table
@@ -39,24 +39,20 @@ def arrivals(spark: SparkSession, store: RunStore) -> DataFrame:
     return read_or_empty(spark, f"{store.root}/arrivals", extended(ARRIVAL, ("run", T.StringType())), store.fmt)
 
 
-def _plain(at) -> datetime | None:
-    return None if at is None else datetime(1970, 1, 1) + timedelta(microseconds=at)
-
-
 def _run_time(spark: SparkSession, store: RunStore, delivery: str, batch: int, fetched: int) -> datetime | None:
     """The time of the run that the delivery still needs: what was written down, or else its own time,
     moved behind the runs before it, which is then written down."""
     micros = F.unix_micros("run_ts")
     known = arrivals(spark, store).agg(F.max(F.when(F.col("delivery") == delivery, micros)).alias("own"), F.max(micros).alias("last")).first()
-    own, newest = _plain(known["own"]), store.newest(spark)
+    own, newest = plain(known["own"]), store.newest(spark)
     if own and store.committed(spark, own):
         return None
     # Unless another run has been committed meanwhile.
     if own and not (newest and newest > own):
         return own
     # A stamp names a second, so two runs need different ones.
-    earlier = [t.replace(microsecond=0) + timedelta(seconds=1) for t in (_plain(known["last"]), newest) if t]
-    run_ts = max([_plain(fetched), *earlier])
+    earlier = [t.replace(microsecond=0) + timedelta(seconds=1) for t in (plain(known["last"]), newest) if t]
+    run_ts = max([plain(fetched), *earlier])
     row = spark.range(1).select(F.lit(delivery).alias("delivery"), F.lit(batch).cast("bigint").alias("batch"), instant(run_ts).alias("run_ts"))
     write_table(row, f"{store.root}/arrivals/run={stamp_of(run_ts)}", "overwrite", store.fmt)
     return run_ts

@@ -12,6 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 
+from freshet.operators.counters import summary_metrics
 from freshet.plans.ingest import RunConf, run_job
 from freshet.plans.layers import silver_videos
 from freshet.plans.migrate import import_state
@@ -356,6 +357,25 @@ def test_clearing_writes_a_row_a_channel_and_compacting_drops_what_it_hides(worl
     assert [rows(empty.done), rows(empty.open), rows(empty.watermark)] == [[], [], []]
 
 
+def test_summary_of_a_run(world):
+    """The totals observed while the audit is written are those of the audit, and stay with the commit."""
+    world.publish("A", [f"v{i}" for i in range(60)])
+    for channel in "BC":
+        world.publish(channel, [channel])
+    world.broken.add("C")
+    first = world.run(R1, cap=50)
+    assert first.summary == {
+        "channels": 2, "failed_channels": 1, "found": 61, "cached": 0, "selected": 51, "videos": 51, "alerts": 1, "calls_saved": 0, "quota_units": 257,
+    }
+    second = world.run(R2, cap=50, min_videos=5, lookback_minutes=10**6)
+    assert (second.summary["cached"], second.summary["videos"], second.summary["alerts"], second.summary["calls_saved"]) == (61, 10, 2, 3)
+    assert world.store.clear(world.spark, R3) is True
+    kept = world.store.summaries(world.spark)
+    assert rows(kept, "run_ts", "videos", "alerts") == [(R1, 51, 1), (R2, 10, 2)]
+    from_audit = second.audit.agg(*[c.alias(n) for n, c in summary_metrics(5).items()]).first().asDict()
+    assert from_audit == second.summary
+
+
 def test_imported_documents(world, tmp_path):
     world.publish("A", ["v1"])
     world.publish("A", ["v2"], start=R1 + timedelta(minutes=1))
