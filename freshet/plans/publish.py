@@ -10,8 +10,9 @@ Every publish takes the runs committed since the last one and nothing older:
 
 A publish first writes down what it will do (``published/version=<n>``: the rows that come and go, and the
 carried state after them), then does it, then logs it. One that died is finished from what it wrote down
-before the next begins, so that nothing is added or taken off twice. When a run that has been published
-is repeated, everything is built anew.
+before the next begins, so that nothing is added or taken off twice. Only the last run can be repeated;
+if it had been published, its publish is undone from what it wrote down and done again. So no publish ever
+reads a run older than the last publish again, and those may be swept.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ from freshet.plans.layers import GOLD_SUMS, gold_of, gold_sums, growth, name_his
 from freshet.plans.quality import rule_report
 from freshet.plans.store import RunStore
 from freshet.schemas import CHANNEL_STATS, PUBLISHED, SILVER_VIDEOS, extended
-from freshet.session import together, tune
+from freshet.session import frozen, together, tune
 from freshet.sinks.writers import overwrite_partitions, write_table
-from freshet.sources.files import empty, read_or_empty
+from freshet.sources.files import delete, empty, folders, read_or_empty
 
 GOLD_KEYS = {
     "gold_by_channel": "channel_id",
@@ -45,6 +46,7 @@ MEASURES = ["subscribers", "total_views", "video_count"]
 BUCKETS = 64
 _RUN = ("run", T.StringType())
 _SPELL = T.StructType([T.StructField(n, k) for n, k in (("channel_id", T.StringType()), ("version", T.LongType()), ("channel_name", T.StringType()), ("valid_from", T.StringType()), ("valid_to", T.StringType()))])
+_UNDONE = T.StructType([T.StructField("video_id", T.StringType()), T.StructField("bucket", T.IntegerType())])
 _GROWTH = extended(CHANNEL_STATS, _RUN, *[(f"{m}_delta", T.LongType()) for m in MEASURES])
 
 
@@ -66,7 +68,8 @@ _STATE = {**{name: _sum_schema(key) for name, key in GOLD_KEYS.items()}, "rules"
 
 @dataclass(frozen=True)
 class Step:
-    """One publish: the runs after ``after`` up to ``until``, on top of the state of version ``base``."""
+    """One publish: the runs after ``after`` up to ``until``, on top of the state of version ``base``, in
+    place of version ``undo`` if that is not 0."""
 
     version: int
     base: int
@@ -74,6 +77,7 @@ class Step:
     until: str
     commit: int
     buckets: int
+    undo: int = 0
 
 
 class Published:
@@ -116,7 +120,9 @@ class Published:
         last = {"until": found["last"]["run"], "commit": found["last"]["written"]}
         if done and found["same"] == done.commit:
             return Step(version, done.version, done.until, buckets=done.buckets, **last) if done.until < last["until"] else None
-        # Never published, or built on a run that is another one by now.
+        if done:
+            # Its last run is another one by now.
+            return Step(version, done.base, done.after, buckets=done.buckets, undo=done.version, **last)
         return Step(version, 0, "", buckets=self.buckets, **last)
 
     def fresh(self, step: Step) -> DataFrame:
@@ -128,9 +134,10 @@ class Published:
         """The rows of silver whose ids come again. Only the buckets of these ids are read."""
         if not step.base:
             return self.silver().where(F.lit(False))
-        ids = fresh.select("video_id")
-        ids = F.broadcast(ids) if fits_broadcast(ids) else ids
-        return self.silver().where(F.col("bucket").isin(_buckets(fresh))).join(ids, "video_id", "left_semi")
+        before = self.silver().where(F.col("bucket").isin(_buckets(fresh)))
+        if step.undo:
+            before = before.join(_ids(self._staged(step.undo, "fresh")), "video_id", "left_anti").unionByName(self._staged(step.undo, "replaced"))
+        return before.join(_ids(fresh), "video_id", "left_semi")
 
     def begin(self, step: Step) -> None:
         """Write down the rows that come and go and the state after them, and then that this is so."""
@@ -139,6 +146,11 @@ class Published:
         fresh = self._staged(step, "fresh")
         self._write(self.replaced(step, fresh), self._path(step, "replaced"))
         replaced = self._staged(step, "replaced")
+        if step.undo:
+            # Rows that the undone publish had replaced and this one does not.
+            back = self._staged(step.undo, "replaced").join(_ids(fresh), "video_id", "left_anti")
+            self._write(back, self._path(step, "restored"))
+            self._write(self._staged(step.undo, "fresh").select("video_id", "bucket"), self._path(step, "undone"))
 
         out: dict[str, DataFrame] = {}
         for name, key in GOLD_KEYS.items():
@@ -164,7 +176,7 @@ class Published:
         self._write(named.where("valid_to is null"), self._path(step, "open_spells"))
         self._note("begun", step)
 
-    def _staged(self, step: Step, name: str) -> DataFrame:
+    def _staged(self, step: Step | int, name: str) -> DataFrame:
         return self._read(self._path(step, name), extended(SILVER_VIDEOS, ("bucket", T.IntegerType())))
 
     def _note(self, table: str, step: Step) -> None:
@@ -173,6 +185,8 @@ class Published:
 
     def finish(self, step: Step, resumed: bool) -> None:
         """Show readers what was written down; doing it again changes nothing."""
+        if step.undo and step.base:
+            self._undo_appended(step)
         jobs: list[Callable[[], None]] = [partial(self._apply_silver, step, resumed), partial(self._apply_names, step)]
         grown = self._read(self._path(step, "growth"), _GROWTH)
         jobs.append(partial(self._replace if not step.base else overwrite_partitions, grown, f"{self.target}/channel_growth", ["run"], self.store.fmt))
@@ -193,15 +207,35 @@ class Published:
             self._replace(fresh, path, ["bucket"], self.store.fmt)
             return
         # After a lost driver some buckets may hold their new rows already.
-        touched = _buckets(fresh if resumed else self._staged(step, "replaced"))
+        touched, gone, back = set(_buckets(fresh if resumed else self._staged(step, "replaced"))), _ids(fresh), fresh
+        if step.undo:
+            undone = self._read(self._path(step, "undone"), _UNDONE)
+            touched |= set(_buckets(undone))
+            gone = _ids(fresh.select("video_id").unionByName(undone.select("video_id")))
+            back = fresh.unionByName(self._staged(step, "restored"))
         if touched:
-            ids = fresh.select("video_id")
-            ids = F.broadcast(ids) if fits_broadcast(ids) else ids
-            kept = self.silver().where(F.col("bucket").isin(touched)).join(ids, "video_id", "left_anti")
-            overwrite_partitions(kept.unionByName(fresh.where(F.col("bucket").isin(touched))), path, ["bucket"], self.store.fmt)
-        rest = fresh.where(~F.col("bucket").isin(touched)) if touched else fresh
+            kept = self.silver().where(F.col("bucket").isin(sorted(touched))).join(gone, "video_id", "left_anti")
+            self._rewrite(kept.unionByName(back.where(F.col("bucket").isin(sorted(touched)))), path, sorted(touched))
+        rest = fresh.where(~F.col("bucket").isin(sorted(touched))) if touched else fresh
         write_table(rest.hint("rebalance", F.col("bucket")), path, "append", self.store.fmt, ("bucket",))
 
+    def _rewrite(self, rows: DataFrame, path: str, buckets: list[int]) -> None:
+        """Replace these buckets; one that is left without rows goes."""
+        rows = frozen(rows, "buckets")
+        overwrite_partitions(rows, path, ["bucket"], self.store.fmt)
+        empty = set(buckets) - set(_buckets(rows))
+        self._delete(*[f"{path}/bucket={b}" for b in empty])
+
+    def _undo_appended(self, step: Step) -> None:
+        """Take back what the undone publish had appended: its runs' growth and the spells it finished."""
+        path = f"{self.target}/channel_growth"
+        runs = [name for name in folders(self.spark, path, "run=") if name > step.after]
+        self._delete(*[f"{path}/run={name}" for name in runs], f"{self.target}/channel_names/current=false/publish={step.undo}")
+
+    def _delete(self, *paths: str) -> None:
+        for path in paths:
+            delete(self.spark, path)
+
     def _apply_names(self, step: Step) -> None:
         """Finished spells stay below ``current=false``; the open ones are all below ``current=true``."""
         spells = self._read(self._path(step, "spells"), _SPELL)
@@ -220,11 +254,15 @@ class Published:
         self._write(self.state(step.version, "rules").unionByName(unique), f"{self.target}/dq_report")
 
     def _forget(self, step: Step) -> None:
-        """The state before this step, and the rows it moved, are not needed any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        fs = path(self.target).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        for old in (self._path(step.version - 1, ""), *(self._path(step, name) for name in ("fresh", "replaced", "growth"))):
-            fs.delete(path(old), True)
+        """Only this step and the state it builds on are needed, in case it must be undone."""
+        top = f"{self.target}/published"
+        kept = {str(step.version), str(step.base)}
+        self._delete(*[f"{top}/version={v}" for v in folders(self.spark, top, "version=") if v not in kept], self._path(step, "growth"))
+
+
+def _ids(df: DataFrame) -> DataFrame:
+    ids = df.select("video_id").distinct()
+    return F.broadcast(ids) if fits_broadcast(ids) else ids
 
 
 def _buckets(df: DataFrame) -> list[int]:

@@ -39,7 +39,7 @@ from freshet.schemas import (
     extended,
 )
 from freshet.sinks.writers import write_table
-from freshet.sources.files import empty, read_or_empty
+from freshet.sources.files import delete, empty, read_or_empty
 
 
 def utc(run_ts: datetime) -> datetime:
@@ -158,8 +158,7 @@ class RunStore:
 
     def unstage(self, spark: SparkSession, run_ts: datetime) -> None:
         """Drop the staging tables of a committed run."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/staging/run={stamp_of(run_ts)}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, f"{self.root}/staging/run={stamp_of(run_ts)}")
 
     def withdraw(self, spark: SparkSession, run_ts: datetime) -> None:
         """Before a committed run is repeated: hide it until it is whole again."""

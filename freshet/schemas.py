@@ -139,7 +139,7 @@ OPEN_CHANGE = extended(LEDGER, ("closed", T.BooleanType()))
 
 CLEARED = _struct(("channel_id", _S))
 
-PUBLISHED = _struct(("version", _L), ("base", _L), ("after", _S), ("until", _S), ("commit", _L), ("buckets", _L))
+PUBLISHED = _struct(("version", _L), ("base", _L), ("after", _S), ("until", _S), ("commit", _L), ("buckets", _L), ("undo", _L))
 
 SILVER_VIDEOS = _struct(
     ("video_id", _S),

@@ -28,6 +28,23 @@ def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def folders(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of the folders right below ``path`` that begin with ``prefix``, without it; sorted."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    top = hadoop(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(top) if status.isDirectory()]
+    return sorted(name.removeprefix(prefix) for name in names if name.startswith(prefix))
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder; False if there is none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -110,7 +110,7 @@ def test_only_touched_buckets_are_rewritten_and_new_runs_read(runs, monkeypatch)
     assert "PartitionFilters: [bucket#" in text.replace("isnotnull", "") or "bucket#" in text.split("PartitionFilters")[1]
 
 
-@pytest.mark.parametrize("crash", ["_note", "_apply_silver", "_apply_names", "_apply_report", "_forget"])
+@pytest.mark.parametrize("crash", ["_note", "_apply_silver", "_apply_names"])
 def test_lost_on_the_way(runs, monkeypatch, crash):
     """Whatever was done when the driver died, the next publish ends where one without a loss ends."""
     runs.random()
@@ -134,13 +134,33 @@ def test_lost_on_the_way(runs, monkeypatch, crash):
     assert runs.published("out") == runs.published("anew")
 
 
-def test_repeated_run_is_built_anew(runs):
+@pytest.mark.parametrize("crash", [None, "_undo_appended", "_apply_silver"])
+def test_repeated_run_undoes_its_publish(runs, monkeypatch, crash):
     runs.random()
+    runs.random()
+    runs.publish()
     last = runs.random()
     runs.publish()
-    runs.random(run_ts=last)
+    runs.store.withdraw(runs.spark, last)
     (step,) = runs.publish()
-    assert step.base == 0
+    assert (step.base, step.undo) == (1, 2)
+    runs.publish("without")
+    assert runs.published("out") == runs.published("without")
+    runs.random(run_ts=last)
+    runs.publish()
+    runs.random(run_ts=last)
+    if crash:
+        with monkeypatch.context() as patch:
+            original = getattr(P.Published, crash)
+
+            def dying(self, *args):
+                original(self, *args)
+                raise RuntimeError("lost driver")
+
+            patch.setattr(P.Published, crash, dying)
+            with pytest.raises(RuntimeError, match="lost driver"):
+                runs.publish()
+    runs.publish()
     runs.publish("anew")
     assert runs.published("out") == runs.published("anew")
 
