@@ -14,6 +14,7 @@ from freshet.catalog.base import DURATION_SQL, EVENTS, K_SQL, by_type, events, q
 from freshet.catalog.landed import channel_envelopes, land, search_envelopes, video_envelopes
 from freshet.plans.layers import in_hours, since_month
 from freshet.plans.quality import violations, with_corrupt
+from freshet.plans.retention import sweep_months
 from freshet.session import frozen, working_dir
 from freshet.sinks.writers import hour_columns, overwrite_partitions, write_csv, write_lake, write_table
 from freshet.sources.files import read_bronze, read_channel_list, read_csv, read_lake
@@ -230,6 +231,21 @@ def retention_filter(spark, sf):
     return since_month(lake, datetime(1997, 6, 1)).select("o_orderkey", "year", "month")
 
 
+@query(
+    "retention_sweep",
+    """select o_orderkey, strftime(o_orderdate, '%Y') as year, strftime(o_orderdate, '%m') as month
+       from orders where o_orderdate >= timestamp '1997-06-01'""",
+)
+def retention_sweep(spark, sf):
+    """The months before the cutoff are removed; all that is left is read, by a plain scan."""
+    path = working_dir(spark, "months")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    months = {name: column for name, column in hour_columns(F.col("o_orderdate")).items() if name in ("year", "month")}
+    overwrite_partitions(orders.withColumns(months), path, list(months))
+    sweep_months(spark, path, datetime(1997, 6, 15))
+    return read_lake(spark, path, T.StructType([T.StructField("o_orderkey", T.LongType())]), tuple(months))
+
+
 @query(
     "schema_violations",
     """select event_id, 'corrupt' as violation from events where false

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -261,6 +261,36 @@ def publish_gold(spark, sf):
     return _published(spark, sf)("gold_by_channel").select("channel_id", "videos", "views", "avg_duration", "engagement")
 
 
+@query("ingest_full_mode", f"{_videos_sql('events')} where event_type != 'error'")
+def ingest_full_mode(spark, sf):
+    """A run that takes everything again, whatever the ledger holds from the run before it."""
+    df, base = events(spark, sf), working_dir(spark, "ingest")
+    customers = table(spark, sf, "customer")
+    write_csv(customers.select(F.col("c_name").alias("channel_name"), F.col("c_custkey").alias("channel_id")), f"{base}/list")
+    _land(spark, sf, f"{base}/all", df)
+    for run_ts, incremental in ((FIRST, True), (SECOND, False)):
+        result = run_job(spark, RunConf(f"{base}/all", f"{base}/store", f"{base}/list", run_ts, cap=1_000_000, incremental=incremental))
+    return _shown(result)
+
+
+@query(
+    "store_clear",
+    f"""select cast(event_id as varchar) as video_id, cast(user_id as varchar) as channel_id from events where ts < {CUTOFF_SQL}
+        and user_id not in (select c_custkey from customer where c_mktsegment = 'MACHINERY')""",
+)
+def store_clear(spark, sf):
+    """The ledger of a store that was filled, partly cleared and compacted."""
+    store = RunStore(f"{working_dir(spark, 'ingest')}/store")
+    ids = earlier(events(spark, sf)).select(F.col("user_id").cast("string").alias("channel_id"), F.col("event_id").cast("string").alias("video_id"))
+    marks = ids.select("channel_id").distinct().select("channel_id", *[F.lit(FIRST).alias(name) for name in ("last_fetch_ts", "updated_at")])
+    store.seed(spark, FIRST, ids, marks)
+    cleared = table(spark, sf, "customer").where("c_mktsegment = 'MACHINERY'")
+    store.clear(spark, FIRST + timedelta(days=1), cleared.select(F.col("c_custkey").cast("string").alias("channel_id")))
+    before = store.load(spark, SECOND).done
+    store.compact(spark, FIRST + timedelta(days=2))
+    return before.select("video_id", "channel_id").intersectAll(store.load(spark, SECOND).done.select("video_id", "channel_id"))
+
+
 def _renamed(spark, pattern, name):
     """Give the one file that matches a name of its own."""
     path = spark._jvm.org.apache.hadoop.fs.Path

@@ -107,6 +107,10 @@ class Published:
         found = rows.agg(F.max(F.struct(*PUBLISHED.names)).alias("last")).first()["last"]
         return Step(**found.asDict()) if found else None
 
+    def last(self) -> Step | None:
+        """The last publish that readers have."""
+        return self._last("log")
+
     def next_step(self) -> Step | None:
         """The step to do now, or None if readers have all committed runs."""
         done, begun = self._last("log"), self._last("begun")

@@ -142,6 +142,10 @@ class RunStore:
         self.write(state.watermark, "watermark_base", run_ts)
         return stamp_of(run_ts)
 
+    def committed_runs(self, spark: SparkSession) -> DataFrame:
+        """What every commit names: its run, epoch, snapshots and last clearing."""
+        return self._read(spark, f"{self.root}/commits", COMMIT).select("run", "epoch", "base", "cleared")
+
     def summaries(self, spark: SparkSession) -> DataFrame:
         """The totals of every committed run."""
         rows = self._read(spark, f"{self.root}/commits", COMMIT).where("summary is not null")
