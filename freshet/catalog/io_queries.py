@@ -16,7 +16,7 @@ from freshet.plans.layers import in_hours, since_month
 from freshet.plans.quality import violations, with_corrupt
 from freshet.plans.retention import sweep_months
 from freshet.session import frozen, working_dir
-from freshet.sinks.writers import hour_columns, overwrite_partitions, write_csv, write_lake, write_table
+from freshet.sinks.writers import hour_columns, overwrite_partitions, write_csv, write_lake, write_snapshot, write_table
 from freshet.sources.files import read_bronze, read_channel_list, read_csv, read_lake
 from freshet.sources.landing import (
     ITEMS,
@@ -144,15 +144,24 @@ def csv_roundtrip(spark, sf):
     return read.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), "lang", "source", "n_chars")
 
 
-@query("bronze_scan", "select event_id, user_id, event_type, case when event_type = 'view' then '' else props end as props from events")
+@query(
+    "bronze_scan",
+    """select event_id, user_id, event_type, case when event_type = 'view' then '' else props end as props,
+              case when event_type = 'click' then timestamp '2024-01-15 00:00:00' else timestamp '2024-02-01 12:30:00' end as run_ts
+       from events""",
+)
 def bronze_scan(spark, sf):
-    """CSV in hour folders, read at any depth; empty text comes back as ''."""
+    """Snapshots of two runs in hour folders, read at any depth with the run that their names carry;
+    empty text comes back as ''."""
     path = working_dir(spark, "bronze")
     props = F.when(F.col("event_type") != "view", F.col("props")).alias("props")
     flat = events(spark, sf).select("event_id", "user_id", "event_type", props, "ts")
-    write_lake(flat, path, F.col("ts"), "csv")
+    for clicks, hour, stamp in ((True, "day=15/hour=00", "20240115_000000"), (False, "day=01/hour=12", "20240201_123000")):
+        rows = flat.where((F.col("event_type") == "click") == F.lit(clicks))
+        write_snapshot(rows, f"{path}/events/year=2024/{hour}", "events", stamp, file_rows=2000)
     schema = T.StructType([EVENTS[name] for name in ("event_id", "user_id", "event_type", "props", "ts")])
-    return read_bronze(spark, path, schema).select("event_id", "user_id", "event_type", "props")
+    read = read_bronze(spark, path, schema, "events_*.csv")
+    return read.select("event_id", "user_id", "event_type", "props", F.col("run_ts").cast("timestamp_ntz").alias("run_ts"))
 
 
 @query(

@@ -30,8 +30,8 @@ from freshet.operators.state import FETCHED, MISSING, PENDING
 from freshet.plans.store import BASE_RUNS, RunStore, State, instant, stamp_of, utc
 from freshet.schemas import CHANNEL_STATS, LEDGER, QUARANTINE, RUN_AUDIT, VIDEO_DETAILS
 from freshet.session import together, tune
-from freshet.sinks.writers import SAVE_FORMATS, write_csv
-from freshet.sources.files import empty, read_channel_list
+from freshet.sinks.writers import MODES, SAVE_FORMATS, save_run, save_table, write_snapshot
+from freshet.sources.files import empty, read_channel_list, read_csv
 from freshet.sources.isolation import isolated
 from freshet.sources.landing import (
     ITEMS,
@@ -68,9 +68,14 @@ class RunConf:
     max_attempts: int | None = None
     # Take the newest page of the search as the whole answer.
     first_page_only: bool = False
+    # "table" keeps the run's tables in the store, "csv" writes them below ``export`` instead, "both" does both.
     save: str = "table"
     upload: bool = True
     export: str | None = None
+    # Beginning of the names of two catalog tables that get the run's rows too, for instance "media.daily_".
+    # "append" adds the run as a partition, once however often it is repeated; the other modes are plain.
+    catalog: str | None = None
+    catalog_mode: str = "append"
     fmt: str = "parquet"
     multi_line: bool = False
     # Channels with fewer videos in a run count as alerts.
@@ -81,6 +86,8 @@ class RunConf:
     def __post_init__(self):
         if self.save not in SAVE_FORMATS:
             raise ValueError(f"save must be one of {SAVE_FORMATS}")
+        if self.catalog_mode not in MODES:
+            raise ValueError(f"catalog_mode must be one of {MODES}")
 
 
 @dataclass(frozen=True)
@@ -200,23 +207,36 @@ def _audit(listed, active, blocked, found, selected, retrieved, conf) -> DataFra
     )
 
 
-def _export(store: RunStore, spark: SparkSession, conf: RunConf) -> str:
-    """CSV snapshot of both tables below the hour of the run, whatever becomes of it afterwards;
-    ``upload`` only decides whether it counts as handed on."""
+SNAPSHOTS = {"channel_stats": CHANNEL_STATS, "video_details": VIDEO_DETAILS}
+
+
+def _export(store: RunStore, spark: SparkSession, conf: RunConf) -> tuple[str, dict[str, list[str]]]:
+    """CSV snapshot of both tables in the hour of the run, whatever becomes of it afterwards; ``upload``
+    only decides whether it counts as handed on. The outcome, and the files of each table."""
     if conf.save == "table":
-        return upload_status(False, None)
+        return upload_status(False, None), {}
     if not conf.export:
-        return upload_status(conf.upload, conf.export)
-    hour = utc(conf.run_ts).strftime("year=%Y/month=%m/day=%d/hour=%H")
+        return upload_status(conf.upload, conf.export), {}
+    hour, files = utc(conf.run_ts).strftime("year=%Y/month=%m/day=%d/hour=%H"), {}
     try:
-        for table in ("channel_stats", "video_details"):
+        for table in SNAPSHOTS:
             rows = store.run(spark, table, conf.run_ts)
-            write_csv(rows, f"{conf.export}/{table}/{hour}/run={stamp_of(conf.run_ts)}")
-    except (PySparkException, Py4JError) as error:
+            files[table] = write_snapshot(rows, f"{conf.export}/{table}/{hour}", table, stamp_of(conf.run_ts))
+    except (PySparkException, Py4JError, OSError) as error:
         # The rows are in the store: a failed copy must not cost the run its state.
         warnings.warn(f"export to {conf.export} failed: {error}", stacklevel=2)
-        return upload_status(True, conf.export, succeeded=False)
-    return upload_status(conf.upload, conf.export)
+        return upload_status(True, conf.export, succeeded=False), {}
+    return upload_status(conf.upload, conf.export), files
+
+
+def _save(store: RunStore, spark: SparkSession, conf: RunConf) -> None:
+    """Both tables of the run in the session's catalog, if asked for."""
+    for table in SNAPSHOTS if conf.catalog is not None else ():
+        rows, name = store.run(spark, table, conf.run_ts), f"{conf.catalog}{table}"
+        if conf.catalog_mode == "append":
+            save_run(rows, name, stamp_of(conf.run_ts), conf.fmt)
+        else:
+            save_table(rows, name, conf.catalog_mode, conf.fmt)
 
 
 def _staged(spark: SparkSession, store: RunStore, conf: RunConf, kind: str) -> DataFrame:
@@ -271,7 +291,8 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     store.write(videos, "video_details", conf.run_ts)
     retrieved = store.run(spark, "video_details", conf.run_ts).select(*ID)
 
-    exported = _export(store, spark, conf)
+    exported, files = _export(store, spark, conf)
+    _save(store, spark, conf)
 
     tables = _changes(conf, active, selected, retrieved, pending)
     # A refresh, a full run, or the backlog such a run has left may hold ids that are done already.
@@ -291,7 +312,14 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     store.finish(spark, state, conf.run_ts, summary)
     store.unstage(spark, conf.run_ts)
 
+    if conf.save == "csv" and files:
+        # The files are the only copy; nothing that comes later reads the tables of a run.
+        for table in SNAPSHOTS:
+            store.drop(spark, table, conf.run_ts)
+        channels = read_csv(spark, files["channel_stats"], CHANNEL_STATS)
     written = {t: store.run(spark, t, conf.run_ts) for t in ("video_details", "audit", "quarantine", "late", "given_up")}
+    if conf.save == "csv" and files:
+        written["video_details"] = read_csv(spark, files["video_details"], VIDEO_DETAILS)
     return RunResult(
         channels, written["video_details"], written["audit"], written["quarantine"], written["late"], written["given_up"], True, exported, summary
     )

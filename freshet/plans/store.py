@@ -164,6 +164,10 @@ class RunStore:
         """Drop the staging tables of a committed run."""
         delete(spark, f"{self.root}/staging/run={stamp_of(run_ts)}")
 
+    def drop(self, spark: SparkSession, table: str, run_ts: datetime) -> None:
+        """Remove what one run wrote to a table."""
+        delete(spark, f"{self.root}/{table}/run={stamp_of(run_ts)}")
+
     def withdraw(self, spark: SparkSession, run_ts: datetime) -> None:
         """Before a committed run is repeated: hide it until it is whole again."""
         self.write(empty(spark, COMMIT), "commits", run_ts)

@@ -32,6 +32,31 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", file_rows: int
     df.write.mode(mode).options(**CSV_WRITE, maxRecordsPerFile=str(file_rows)).csv(path)
 
 
+def write_snapshot(df: DataFrame, folder: str, name: str, stamp: str, file_rows: int = CSV_FILE_ROWS) -> list[str]:
+    """CSV files that carry the run in their names, ``<name>_<stamp>.csv``, so that whoever moves them
+    keeps it; rows beyond one file go to ``<name>_part<n>_<stamp>.csv``. The files written are returned.
+
+    They are written below a name that readers pass over and appear whole, and again only, if the run
+    is written again.
+    """
+    spark, hidden = df.sparkSession, f"{folder}/_writing_{name}_{stamp}"
+    # Few rows make one file.
+    write_csv(df.hint("rebalance"), hidden, file_rows=file_rows)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for pattern in (f"{name}_{stamp}.csv", f"{name}_part[0-9]*_{stamp}.csv"):
+        for status in fs.globStatus(path(f"{folder}/{pattern}")) or ():
+            fs.delete(status.getPath(), False)
+    parts = sorted((status.getPath() for status in fs.globStatus(path(f"{hidden}/part-*"))), key=lambda p: p.getName())
+    written = []
+    for n, part in enumerate(parts):
+        written.append(f"{folder}/{name}_{stamp}.csv" if len(parts) == 1 else f"{folder}/{name}_part{n:05}_{stamp}.csv")
+        if not fs.rename(part, path(written[-1])):
+            raise OSError(f"{part} could not be renamed")
+    fs.delete(path(hidden), True)
+    return written
+
+
 def write_table(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet", partition_by: tuple = ()) -> None:
     """Failures are raised: a run only counts as done once its tables are written."""
     if mode not in MODES:
@@ -40,6 +65,20 @@ def write_table(df: DataFrame, path: str, mode: str = "append", fmt: str = "parq
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
+def save_run(df: DataFrame, name: str, run: str, fmt: str = "parquet") -> None:
+    """The rows of one run in a catalog table partitioned by ``run``; a repeated run replaces its own."""
+    spark, rows, setting = df.sparkSession, df.withColumn("run", F.lit(run)), "spark.sql.sources.partitionOverwriteMode"
+    if not spark.catalog.tableExists(name):
+        rows.write.format(fmt).partitionBy("run").saveAsTable(name)
+        return
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:  # columns go by place
+        rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def save_table(df: DataFrame, name: str, mode: str = "append", fmt: str = "parquet") -> None:
     """The same four modes for a table of the session's catalog."""
     if mode not in MODES:

@@ -59,7 +59,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         return empty(spark, schema)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, **options) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_READ, **options).csv(path)
 
 

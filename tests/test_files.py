@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -10,7 +11,7 @@ from freshet.operators.state import ids_of_documents, state_documents, watermark
 from freshet.plans.layers import in_hours, since_month
 from freshet.plans.migrate import migrate_snapshots
 from freshet.schemas import CHANNEL_STATS, VIDEO_DETAILS
-from freshet.sinks.writers import overwrite_partitions, save_table, write_csv, write_lake, write_table
+from freshet.sinks.writers import overwrite_partitions, save_table, write_csv, write_lake, write_snapshot, write_table
 from freshet.sources.files import read_bronze, read_channel_list, read_csv, read_lake, read_state_documents
 from freshet.sources.landing import (
     ITEMS,
@@ -229,3 +230,13 @@ def test_search_pages(spark, tmp_path):
     flat = search_rows(read_envelopes(spark, str(tmp_path), ITEMS["search"], multi_line=True))
     assert rows(search_items(flat), "channel_id", "page_no", "pos", "video_id") == [("UC1", 1, 0, "v1"), ("UC1", 2, 0, "v3")]
     assert rows(rejected(flat, "search"), "channel_id", "reason") == [("UC1", "incomplete item")]
+
+
+def test_snapshot_of_many_rows_is_numbered(spark, tmp_path):
+    df = spark.range(25).select(F.col("id").cast("string").alias("video_id"))
+    for n, last in ((10, 3), (100, 1)):
+        names = [Path(p).name for p in write_snapshot(df, str(tmp_path / "x"), "video_details", "20260102_030405", n)]
+        assert len(names) == last == len(list((tmp_path / "x").glob("video_details_*.csv")))
+    read = read_bronze(spark, str(tmp_path), df.schema, "video_details_*.csv")
+    assert sorted(int(r["video_id"]) for r in read.collect()) == list(range(25))
+    assert rows(read.select("run_ts").distinct()) == [(datetime(2026, 1, 2, 3, 4, 5),)]

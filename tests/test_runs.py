@@ -20,6 +20,7 @@ from freshet.plans.publish import publish
 from freshet.plans.store import RunStore
 from freshet.schemas import CHANNEL_STATS, VIDEO_DETAILS
 from freshet.sources import isolation
+from freshet.sources.files import read_bronze
 
 T0 = datetime(2026, 1, 1)
 R1, R2, R3, R4 = (datetime(2026, 1, 2) + timedelta(hours=3 * i) for i in range(4))
@@ -441,12 +442,49 @@ def test_missing_channel_list_runs_nothing(world, spark, tmp_path):
 def test_export(world, tmp_path):
     world.publish("A", ["v1"])
     export = tmp_path / "export"
-    assert world.run(R1, save="both", export=str(export)).export == "ok"
-    assert list((export / "video_details/year=2026/month=01/day=02/hour=00/run=20260102_000000").glob("part-*.csv"))
+    for _ in range(2):
+        assert world.run(R1, save="both", export=str(export)).export == "ok"
+    hour = export / "video_details/year=2026/month=01/day=02/hour=00"
+    assert [p.name for p in hour.iterdir() if p.suffix != ".crc"] == ["video_details_20260102_000000.csv"]
+    exported = read_bronze(world.spark, str(export), VIDEO_DETAILS, "video_details_*.csv")
+    assert rows(exported, "video_id", "run_ts") == [("v1", R1)]
+    assert rows(world.store.table(world.spark, "video_details"), "video_id") == [("v1",)]
     assert world.run(R2, save="both").export == "skipped"
     assert world.run(R3, save="csv", upload=False, export=str(export)).export == "skipped"
-    with pytest.raises(ValueError):
-        world.conf("x", R1, save="delta")
+    for wrong in ({"save": "delta"}, {"catalog_mode": "merge"}):
+        with pytest.raises(ValueError):
+            world.conf("x", R1, **wrong)
+
+
+def test_csv_alone_leaves_no_table(world, tmp_path):
+    world.publish("A", ["v1", "v2"])
+    export = str(tmp_path / "export")
+    for _ in range(2):
+        first = world.run(R1, save="csv", export=export)
+        assert ids(first) == ["v1", "v2"] and rows(first.channels, "channel_id", "subscribers") == [("A", 7)]
+        assert first.videos.schema == VIDEO_DETAILS and first.summary["videos"] == 2
+    for table in ("video_details", "channel_stats"):
+        assert rows(world.store.table(world.spark, table)) == []
+    world.publish("A", ["v3"], start=R1)
+    # Without a place for the files the tables are kept.
+    assert ids(world.run(R2, save="csv")) == ["v3"]
+    assert rows(world.store.table(world.spark, "video_details"), "video_id") == [("v3",)]
+
+
+def test_tables_of_the_catalog(world):
+    world.publish("A", ["v1"])
+    world.run(R1, catalog="of_runs_")
+    world.publish("A", ["v2"], start=R1)
+    for _ in range(2):
+        world.run(R2, catalog="of_runs_")
+    table = world.spark.table("of_runs_video_details")
+    assert rows(table, "video_id", "run") == [("v1", "20260102_000000"), ("v2", "20260102_030000")]
+    assert len(rows(world.spark.table("of_runs_channel_stats"))) == 2
+    world.run(R3, catalog="newest_", catalog_mode="overwrite")
+    assert world.spark.table("newest_channel_stats").columns == CHANNEL_STATS.names
+    with pytest.raises(AnalysisException):
+        world.run(R4, catalog="newest_", catalog_mode="error")
+    assert marks(world, R4, "last_fetch_ts") == [(R3,)]
 
 
 def test_duplicate_results_count_once(world):
@@ -595,7 +633,7 @@ def test_export_without_upload_and_failed_export(world, tmp_path):
     world.publish("A", ["v1"])
     export = tmp_path / "export"
     assert world.run(R1, save="csv", upload=False, export=str(export)).export == "skipped"
-    assert list(export.rglob("part-*.csv"))
+    assert list(export.rglob("video_details_20260102_000000.csv"))
     (tmp_path / "file").write_text("x")
     with pytest.warns(UserWarning):
         assert world.run(R2, save="csv", export=str(tmp_path / "file" / "below")).export == "failed"
