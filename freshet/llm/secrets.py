@@ -50,7 +50,7 @@ RULES = (
     Rule("hex", "[0-9a-f]{24,}"),
 )
 
-LEDGER = "blob string, rules array<string>, findings array<struct<start:int,rank:int,kind:string,end:int>>"
+LEDGER = "blob string, rules array<string>, findings array<struct<start:int,rank:int,kind:string,end:int,rule:string>>"
 
 
 def _found(rule: Rule, rank: int) -> Column:
@@ -59,9 +59,9 @@ def _found(rule: Rule, rank: int) -> Column:
     return F.expr(
         f"""aggregate(
             transform({m}, (x, i) -> named_struct('gap', length({parts}[i]), 'len', length(x), 'ok', length({groups}[i]) >= {rule.least})),
-            named_struct('at', 0, 'out', cast(array() as array<struct<start:int,rank:int,kind:string,end:int>>)),
+            named_struct('at', 0, 'out', cast(array() as array<struct<start:int,rank:int,kind:string,end:int,rule:string>>)),
             (a, x) -> named_struct('at', a.at + x.gap + x.len, 'out', if(x.ok,
-                concat(a.out, array(named_struct('start', a.at + x.gap, 'rank', {rank}, 'kind', '{rule.kind}', 'end', a.at + x.gap + x.len))), a.out)),
+                concat(a.out, array(named_struct('start', a.at + x.gap, 'rank', {rank}, 'kind', '{rule.kind}', 'end', a.at + x.gap + x.len, 'rule', '{rule.key}'))), a.out)),
             a -> a.out)"""
     )
 
@@ -130,12 +130,15 @@ def scan_history(history: DataFrame, ledger_path: str, path: str = "path", versi
     versions = addressed(history, path, version, text)
     before = read_ledger(spark, ledger_path)
     scan(unseen(versions, before, rules), rules).write.mode("append").parquet(ledger_path)
-    kinds = F.array(*(F.lit(r.kind) for r in rules))
+    # Of a rule that has changed the ledger holds findings of each version.
+    keys = F.array(*(F.lit(r.key) for r in rules))
+    own = lambda s: F.array_contains(keys, s["rule"])
+    span = lambda s: F.struct(*(s[name].alias(name) for name in ("start", "rank", "kind", "end")))
     after = read_ledger(spark, ledger_path).where(F.size("findings") > 0)
     findings = (
         after.groupBy("blob")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("findings")))).alias("__all"))
-        .select("blob", F.filter("__all", lambda s: F.array_contains(kinds, s["kind"])).alias("findings"))
+        .agg(F.flatten(F.collect_list("findings")).alias("__all"))
+        .select("blob", F.array_sort(F.array_distinct(F.transform(F.filter("__all", own), span))).alias("findings"))
     )
     # Written, so that the join reads both sides by plain exchanges and can split a hot blob.
     findings = frozen(findings, "findings")

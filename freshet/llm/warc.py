@@ -204,6 +204,18 @@ def write_archives(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, sh
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
+class _Hashed:
+    """A stream that knows the digest of what was read from it."""
+
+    def __init__(self, stream):
+        self.stream, self.sha = stream, hashlib.sha256()
+
+    def read(self, size: int) -> bytes:
+        data = self.stream.read(size)
+        self.sha.update(data)
+        return data
+
+
 def _members(stream, size: int = 1 << 15) -> Iterator[tuple[int, bytes]]:
     """Offset and content of each gzip member, read as a stream."""
     rest, at, start, inflate, parts = b"", 0, 0, zlib.decompressobj(31), []
@@ -243,7 +255,8 @@ def read_archives(spark: SparkSession, root: str, payloads: bool = True) -> Data
         for batch in batches:
             for name, sha in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows, size = [], 0
-                for at, record in _members(files.open_input_stream(f"{path}/{name}", compression=None)):
+                archive = _Hashed(files.open_input_stream(f"{path}/{name}", compression=None))
+                for at, record in _members(archive):
                     fields, block = parse(record)
                     if fields["warc-type"] not in ("response", "revisit"):
                         continue
@@ -259,6 +272,9 @@ def read_archives(spark: SparkSession, root: str, payloads: bool = True) -> Data
                     if len(rows) == 5000 or size > 8 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                         rows, size = [], 0
+                # Also an archive that ends between two records.
+                if archive.sha.hexdigest() != sha:
+                    raise ValueError(f"{name} is not the file that the manifest lists")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 

@@ -60,6 +60,18 @@ def test_ledger_scans_only_what_is_new(spark):
     assert again[("a", 2)] == ["word", "hex"]
 
 
+def test_a_changed_rule_leaves_nothing_of_its_earlier_version(spark):
+    ledger = working_dir(spark, "ledger-test")
+    history = spark.createDataFrame([("a", 1, "word1 word22 word3"), ("b", 1, "none")], "path string, version long, text string")
+    spans = lambda *rules: {r.path: [(f.start, f.end) for f in r.findings] for r in secrets.scan_history(history, ledger, rules=rules).collect()}
+    first, second = secrets.Rule("w", "word[0-9]"), secrets.Rule("w", "word[0-9][0-9]", version=2)
+    assert spans(first) == {"a": [(0, 5), (6, 11), (13, 18)], "b": []}
+    assert spans(second) == {"a": [(6, 12)], "b": []}
+    # Findings of both are kept, and none is looked for again.
+    assert spans(first) == {"a": [(0, 5), (6, 11), (13, 18)], "b": []}
+    assert secrets.read_ledger(spark, ledger).count() == 4
+
+
 @pytest.mark.parametrize("rows", [[], [("a", 1, "x"), ("a", 1, "x"), (None, None, "x")]])
 def test_empty_and_repeated(spark, rows):
     df = spark.createDataFrame(rows, "path string, version long, text string")

@@ -85,3 +85,9 @@ def test_unlisted_files_do_not_count_and_damage_is_found(spark):
         file.write(data[:-9])
     with pytest.raises(Exception, match="ends within"):
         warc.read_archives(spark, root).collect()
+    # Cut between two records every record left is whole, and yet one is missing.
+    ends = [i for i in range(1, len(data)) if data[i : i + 3] == b"\x1f\x8b\x08"]
+    with open(f"{folder}/{name}", "wb") as file:
+        file.write(data[: ends[-1]])
+    with pytest.raises(Exception, match="not the file that the manifest lists"):
+        warc.read_archives(spark, root).collect()
