@@ -39,6 +39,8 @@ FOLDS, HELD = 5, 1
 FREQUENT = 1 << 19
 #: Words that are counted together before they are handed on; symbols that a task trains on or scores together.
 COUNTED, TOGETHER = 4_000_000, 4_000_000
+#: Documents side by side, and symbols in a window, while scoring; the results do not depend on them.
+SCORING = (256, 64)
 #: Pieces in which weights are averaged.
 PIECES = 16
 
@@ -54,8 +56,8 @@ class Settings:
     listed: int = 1024
     classes: int = 16
     hidden: int = 16
-    lanes: int = 256
-    window: int = 16
+    lanes: int = 64
+    window: int = 32
     rounds: int = 2
     rate: float = 0.15
 
@@ -289,7 +291,7 @@ def fit(texts: DataFrame, lex: Lexicon, settings: Settings) -> tuple[gru.Shape,
     return shape, flat
 
 
-def likelihoods(texts: DataFrame, shape: gru.Shape, flat: np.ndarray, settings: Settings) -> DataFrame:
+def likelihoods(texts: DataFrame, shape: gru.Shape, flat: np.ndarray) -> DataFrame:
     """The columns of an ``encoded`` table without its lists, with ``model_log``: the natural logarithm of the list's symbols."""
     shared = texts.sparkSession.sparkContext.broadcast(flat)
     kept = [c for c in texts.columns if c not in ("symbols", "rare", "times")]
@@ -298,7 +300,7 @@ def likelihoods(texts: DataFrame, shape: gru.Shape, flat: np.ndarray, settings:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _together(batches, "symbols", TOGETHER):
             docs = [d for b in some for d in _lists(b.column("symbols"))]
-            logs, at = gru.log_likelihoods(shape, shared.value, docs, settings.lanes, 4 * settings.window), 0
+            logs, at = gru.log_likelihoods(shape, shared.value, docs, *SCORING), 0
             for b in some:
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(logs[at : at + b.num_rows])], [*kept, "model_log"])
                 at += b.num_rows
@@ -326,7 +328,7 @@ def score(documents: DataFrame, key: str = "doc_id", text: str = "text", setting
     )
 
     shape, flat = fit(texts, lex, settings)
-    scored = frozen(likelihoods(texts, shape, flat, settings), "likelihoods")
+    scored = frozen(likelihoods(texts, shape, flat), "likelihoods")
     # Repeated rows have their rare words counted together; each gets its share.
     share = F.col("n_rare") / F.col("rare_tokens")
     others = F.col("other_log") + F.coalesce(F.col("rare_log") * share, F.lit(0.0))

@@ -40,7 +40,7 @@ def test_whole_table(spark, texts, monkeypatch, frequent):
     check(got, list(texts.items()))
     if frequent > 1000:
         held = [r for r in got if r.held_out]
-        assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.02 * sum(r.n_tokens for r in held)
+        assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.05 * sum(r.n_tokens for r in held)
 
 
 def test_nulls_repeats_and_clashing_names(spark):
