@@ -56,8 +56,8 @@ class Settings:
     listed: int = 1024
     classes: int = 16
     hidden: int = 16
-    lanes: int = 64
-    window: int = 32
+    lanes: int = 96
+    window: int = 24
     rounds: int = 2
     rate: float = 0.15
 
