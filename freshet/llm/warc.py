@@ -1,19 +1,23 @@
 """Web archives: a deterministic, sharded writer and a reader.
 
-Rows are put in order of page id and cut into shards of about equally many payload bytes, by exact
-running sums over the sorted ids. One task writes a shard, record by record, each its own gzip member,
-and begins a new file before the compressed size would pass ``file_bytes``. A file is written under a
-temporary name, moved to its final one, and listed in the manifest, which Spark commits last: a retried
-task replaces its files with the same bytes, and files that the manifest does not list do not count.
-The same rows and parameters give the same files, however the rows were dealt out before.
+Rows are put in order of page id (then payload digest, then url) and cut into shards of about
+``shard_bytes`` payload bytes, by exact running sums over the sorted rows. One task writes a shard, record
+by record, each its own gzip member, and begins a new file before the compressed size would pass
+``file_bytes``; a shard is meant to be several files. A file is written under a temporary name, moved to
+its final one, and listed in the manifest, which Spark commits last: a retried task replaces its files
+with the same bytes, and files that the manifest does not list do not count. The same rows and parameters
+give the same files, however the rows were dealt out before.
 
 Of records with equal payloads of at least ``least`` bytes, that with the largest page id is the
-response and the others are revisits of it.
+response and the others are revisits of it. Rows that repeat id, url and payload are counted before
+anything is dealt out, and come as pieces of at most ``copies`` records, so that neither a page id nor a
+page that a large part of all rows repeats makes a large shard.
 
 Defined results: a NULL html is an empty payload; a NULL page id sorts first, and may be revisited or
-revisit like any other (``refers_to`` is then NULL); a NULL url leaves its header out; rows repeated
-with one page id and payload are all responses if theirs is the largest id; an empty table gives an
-empty manifest. Extra columns are not read.
+revisit like any other (``refers_to`` is then NULL); a NULL url leaves its header out; of rows that repeat
+the largest page id one is the response and the others revisit it; every record has an id of its own;
+a payload is read whole, whatever its length (one at a time is held); an empty table gives an empty
+manifest. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -30,15 +34,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.session import frozen, working_dir
 
-FILE_BYTES = 256 << 20
-SHARD_BYTES = 1 << 20
-#: The driver holds one id per shard; with more data shards grow instead.
-MOST_SHARDS = 20_000
+#: The driver holds one key of 36 bytes a shard.
+SHARD_BYTES = 64 << 20
+FILE_BYTES = 8 << 20
+#: Records of one page, url and payload that come as one piece.
+COPIES = 10_000
+#: Keys whose payloads a task knows to have sent; a payload sent twice is written once all the same.
+REMEMBERED = 50_000
 LEAST = 0
 #: All records carry one date, a parameter, so that files do not depend on the clock.
 DATE = "2024-01-01T00:00:00Z"
@@ -49,10 +56,17 @@ RECORDS = "page_id bigint, url string, record_type string, payload_bytes bigint,
 _FIRST = -(1 << 63)
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark itself reads and writes it by."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def _place(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a Spark path and the path within it, in a driver or a task."""
-    if "://" not in path:
-        path = "file://" + path.removeprefix("file:")
+    """The file system of a qualified path and the path within it, in a driver or a task."""
+    if path.startswith("file:"):
+        path = "file:///" + path.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(path)
 
 
@@ -60,8 +74,8 @@ def sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{digest}')}>"
+def record_id(*parts: object) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ':'.join(map(repr, parts)))}>"
 
 
 def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
@@ -69,11 +83,14 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return gzip.compress(b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n", LEVEL, mtime=0)
 
 
-def page_record(page_id: int | None, url: str | None, payload: bytes, owner: int | None, revisit: bool) -> bytes:
-    digest = sha1(payload)
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+def page_record(page_id: int | None, url: str | None, digest: str, size: int, payload: bytes | None, owner: int | None, copy: int | None = None) -> bytes:
+    """A response with this payload, or without one a revisit of ``owner``'s. ``copy`` numbers records that
+    may have others of the same page and payload beside them."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+    revisit = payload is None
     block = http if revisit else http + payload
-    fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(page_id, digest + "r" * revisit)), ("WARC-Date", DATE)]
+    own = record_id(page_id, digest) if copy is None else record_id(page_id, digest, url, copy)
+    fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", own), ("WARC-Date", DATE)]
     if url is not None:
         fields.append(("WARC-Target-URI", quote(url, safe="!#$%&'()*+,/:;=?@[]~")))
     if page_id is not None:
@@ -100,7 +117,7 @@ class _Files:
             self.temporary = f"{self.root}/.{self.name}.{uuid.uuid4().hex}.tmp"
             self.out = self.fs.open_output_stream(self.temporary, compression=None)
             self.size, self.records, self.sha = 0, 0, hashlib.sha256()
-            self._put(_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(None, self.name)), ("WARC-Date", DATE), ("WARC-Filename", self.name), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
+            self._put(_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(self.name)), ("WARC-Date", DATE), ("WARC-Filename", self.name), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
         self._put(record)
         self.records += 1
         return done
@@ -125,77 +142,119 @@ class _Files:
         return self.name, self.shard, self.records, self.size, self.sha.hexdigest()
 
 
-def shard_starts(sizes: DataFrame, shard_bytes: int = SHARD_BYTES, most: int = MOST_SHARDS) -> np.ndarray:
-    """The first id of every shard but the first, from ``id, bytes`` rows.
-
-    The ids are dealt out by range and summed up within; every range then adds what stands before it.
-    Where the ranges were cut does not matter, and all rows of an id are in one shard.
-    """
-    ordered = frozen(
-        sizes.groupBy("id").agg(F.sum("bytes").alias("bytes")).repartitionByRange("id").withColumn("part", F.spark_partition_id()),
-        "page-sizes",
-    )
-    totals = ordered.groupBy("part").agg(F.sum("bytes").alias("bytes")).orderBy("part").collect()
-    total = sum(r["bytes"] for r in totals)
-    step = max(shard_bytes, -(-total // most))
-    spark = sizes.sparkSession
+def shard_starts(pieces: DataFrame, shard_bytes: int = SHARD_BYTES) -> np.ndarray:
+    """The first key of every shard but the first, from frozen ``part, key, bytes`` rows, whose parts are
+    ranges of keys: sums within a part, on top of what stands before it."""
+    totals = pieces.groupBy("part").agg(F.sum("bytes").alias("bytes")).orderBy("part").collect()
     before, at = [], 0
     for r in totals:
         before.append((r["part"], at))
         at += r["bytes"]
-    offsets = spark.createDataFrame(before, "part int, offset bigint")
-    ahead = Window.partitionBy("part").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    running = ordered.withColumn("ahead", F.coalesce(F.sum("bytes").over(ahead), F.lit(0))).join(F.broadcast(offsets), "part")
-    starts = running.groupBy(F.floor((F.col("ahead") + F.col("offset")) / F.lit(step)).alias("shard")).agg(F.min("id").alias("first"))
-    return np.array(sorted(r["first"] for r in starts.collect())[1:], np.int64)
-
-
-def write_archives(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, shard_bytes: int = SHARD_BYTES, least: int = LEAST) -> DataFrame:
+    offsets = pieces.sparkSession.createDataFrame(before, "part int, offset bigint")
+    ahead = Window.partitionBy("part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    sums = pieces.groupBy("part", "key").agg(F.sum("bytes").alias("bytes"))
+    running = sums.withColumn("ahead", F.coalesce(F.sum("bytes").over(ahead), F.lit(0))).join(F.broadcast(offsets), "part")
+    starts = running.groupBy(F.floor((F.col("ahead") + F.col("offset")) / F.lit(shard_bytes)).alias("shard")).agg(F.min("key").alias("first"))
+    return np.array(sorted(bytes(r["first"]) for r in starts.collect())[1:], "S40")
+
+
+def _key(piece: Column) -> Column:
+    """Page id, payload, url and piece as 36 bytes that sort in this order."""
+    whole = lambda c, n: F.lpad(F.hex(c), n, "0")
+    return F.unhex(F.concat(whole(F.col("id").bitwiseXOR(F.lit(_FIRST)), 16), "digest", whole(F.xxhash64("url"), 16), whole(piece, 8)))
+
+
+def _pieces(rows: DataFrame, least: int, copies: int) -> DataFrame:
+    """What is to be written, without the payloads: a row per page, url, payload and run of copies, in
+    ranges of keys. The payloads below ``least`` bytes, of which nothing is revisited, are carried along."""
+    heads = rows.select("id", "url", F.octet_length("html").cast("bigint").alias("size"), F.sha1("html").alias("digest"), "html")
+    small = F.first(F.when(F.col("size") < least, F.col("html"))) if least > 0 else F.lit(None).cast("string")
+    units = frozen(heads.groupBy("id", "url", "size", "digest").agg(F.count("*").alias("n"), small.alias("small")), "page-units")
+    # Written, so that the join reads both sides by plain exchanges and can split a hot payload.
+    mark = F.struct("id", F.xxhash64("url").alias("h"), "url")
+    owners = units.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max(mark).alias("owner"), F.min(mark).alias("other")).where("owner != other")
+    owned = units.join(frozen(owners.select("digest", "size", "owner"), "page-owners"), ["digest", "size"], "left")
+    response = (F.col("size") >= least) & (F.col("owner").isNull() | ((F.col("owner.id") == F.col("id")) & F.col("owner.url").eqNullSafe(F.col("url"))))
+    cut = owned.select("*", response.alias("leads"), F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / copies).cast("int"))).alias("piece"))
+    many = F.least(F.col("n") - F.col("piece") * F.lit(copies).cast("bigint"), F.lit(copies).cast("bigint"))
+    leads = F.col("leads") & (F.col("piece") == 0)
+    size = F.when(F.col("size") < least, F.col("size") * many).when(leads, F.col("size")).otherwise(0) + 512 * many
+    owner = F.when(F.col("size") >= least, F.coalesce("owner.id", "id"))
+    named = cut.select(_key(F.col("piece")).alias("key"), "id", "url", "size", "digest", "small", leads.alias("leads"), owner.alias("owner"), (F.col("piece") * F.lit(copies).cast("bigint")).alias("begin"), many.alias("many"), size.alias("bytes"))
+    return frozen(frozen(named, "page-pieces").repartitionByRange("key").withColumn("part", F.spark_partition_id()), "page-order")
+
+
+def write_archives(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, shard_bytes: int = SHARD_BYTES, least: int = LEAST, copies: int = COPIES) -> DataFrame:
     """Write ``page_id, url, html`` rows below ``root`` and return the committed manifest."""
     spark = pages.sparkSession
+    root = _qualified(spark, root)
     files, path = _place(root)
     files.create_dir(path, recursive=True)
     rows = pages.select(F.coalesce(F.col("page_id").cast("bigint"), F.lit(_FIRST)).alias("id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    # What decides on revisits travels without the payloads.
-    heads = frozen(rows.select("id", F.octet_length("html").cast("bigint").alias("size"), F.sha1("html").alias("digest")), "page-heads")
-    # Written, so that the join reads both sides by plain exchanges and can split a hot payload.
-    owners = frozen(heads.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("id").alias("owner"), F.min("id").alias("other")).where("owner > other"), "page-owners")
-    revisits = heads.join(owners, ["digest", "size"]).where("id < owner").select("id", "digest", "owner").distinct()
-    starts = shard_starts(heads.select("id", (F.col("size") + 512).alias("bytes")), shard_bytes)
+    pieces = _pieces(rows, least, copies)
+    starts = shard_starts(pieces, shard_bytes)
 
     @F.pandas_udf("int")
-    def shard_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(starts, ids.to_numpy(), "right").astype(np.int32))
+    def shard_of(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(starts, keys.to_numpy().astype("S40"), "right").astype(np.int32))
 
-    none = F.lit(None)
-    both = revisits.select(shard_of("id").alias("shard"), "id", F.lit(0).alias("kind"), "digest", none.cast("string").alias("url"), none.cast("string").alias("html"), "owner").unionByName(
-        rows.select(shard_of("id").alias("shard"), "id", F.lit(1).alias("kind"), F.sha1("html").alias("digest"), "url", "html", none.cast("bigint").alias("owner"))
+    @F.pandas_udf("int")
+    def shard_once(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """As above, and nothing for most of the rows whose payload this task has sent there already."""
+        sent: set[bytes] = set()
+        for keys in batches:
+            new = np.array([not (k in sent or sent.add(k)) for k in keys], bool)
+            yield pd.Series(np.searchsorted(starts, keys.to_numpy().astype("S40"), "right")).where(new).astype("Int32")
+            if len(sent) > REMEMBERED:
+                sent = set()
+
+    html = rows.withColumn("digest", F.sha1("html")).select(_key(F.lit(0)).alias("key"), "html").withColumn("shard", shard_once.asNondeterministic()("key")).where("shard is not null")
+    both = pieces.select(shard_of("key").alias("shard"), "key", F.lit(0).alias("kind"), "id", "url", "size", "digest", "leads", "owner", "begin", "many", F.col("small").alias("html")).unionByName(
+        html.withColumn("kind", F.lit(1)), allowMissingColumns=True
     )
     tasks = min(len(starts) + 1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = both.repartition(tasks, "shard").sortWithinPartitions("shard", "id", "kind", "digest", "url")
+    dealt = both.repartitionById(tasks, F.col("shard") % tasks).sortWithinPartitions("shard", "key", "kind", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def listed(entries: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pandas(pd.DataFrame(entries, columns=["file", "shard", "records", "bytes", "sha256"]).astype({"shard": "int32"}), preserve_index=False)
 
-        out, at, decided = None, None, {}
+        def records(row: dict, payload: bytes | None) -> Iterator[bytes]:
+            page, owner = (None if row[c] in (None, _FIRST) else row[c] for c in ("id", "owner"))
+            digest = base64.b32encode(bytes.fromhex(row["digest"])).decode()
+            for copy in range(row["begin"], row["begin"] + row["many"]):
+                if row["html"] is not None:
+                    yield page_record(page, row["url"], digest, row["size"], row["html"].encode(), None, copy)
+                elif row["leads"] and copy == 0:
+                    yield page_record(page, row["url"], digest, row["size"], payload, None)
+                else:
+                    yield page_record(page, row["url"], digest, row["size"], None, owner, copy)
+
+        out, waiting = None, None
         for batch in batches:
-            for shard, i, kind, digest, url, html, owner in zip(*batch.columns, strict=True):
-                shard, i = shard.as_py(), i.as_py()
+            # Payloads become Python objects one at a time.
+            for row, payload in zip(batch.drop_columns(["html"]).to_pylist(), batch.column("html"), strict=True):
+                shard, key = row["shard"], row["key"]
+                if row["kind"] == 0:
+                    row["html"] = payload.as_py()
+                    if row["leads"]:
+                        waiting = row
+                        continue
+                    ready = records(row, None)
+                elif waiting and waiting["key"] == key:
+                    ready, waiting = records(waiting, payload.as_buffer().to_pybytes()), None
+                else:
+                    continue
                 if out is None or out.shard != shard:
                     if out is not None and out.out:
                         yield listed([out.close()])
                     out = _Files(root, shard, file_bytes)
-                if i != at:
-                    at, decided = i, {}
-                if kind.as_py() == 0:
-                    decided[digest.as_py()] = owner.as_py()
-                    continue
-                target = decided.get(digest.as_py())
-                shown = lambda x: None if x == _FIRST else x
-                done = out.add(page_record(shown(i), url.as_py(), html.as_buffer().to_pybytes(), shown(target), target is not None))
-                if done:
-                    yield listed([done])
+                for record in ready:
+                    done = out.add(record)
+                    if done:
+                        yield listed([done])
+        if waiting:
+            raise ValueError(f"no payload came for page {waiting['id']}")
         if out is not None and out.out:
             yield listed([out.close()])
 
@@ -247,6 +306,7 @@ def read_archives(spark: SparkSession, root: str, payloads: bool = True) -> Data
     ``payload_bytes`` and ``payload_digest`` are those of the full payload, also for revisits, which
     carry none themselves.
     """
+    root = _qualified(spark, root)
     manifest = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
     tasks = max(1, min(manifest.count(), 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 

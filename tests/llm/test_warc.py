@@ -58,11 +58,44 @@ def test_nulls_repeats_and_revisits(spark):
     warc.write_archives(df, root)
     rows = sorted(((r.page_id or -1, r.record_type, r.refers_to, r.payload_bytes, r.payload) for r in warc.read_archives(spark, root).collect()), key=str)
     assert [r[:4] for r in rows] == sorted(
-        [(-1, "revisit", 2, 0), (1, "revisit", 5, 1), (2, "response", None, 0), (3, "revisit", 5, 1), (5, "response", None, 1), (5, "response", None, 1), (7, "response", None, 2), (8, "response", None, 6000)], key=str
+        [(-1, "revisit", 2, 0), (1, "revisit", 5, 1), (2, "response", None, 0), (3, "revisit", 5, 1), (5, "response", None, 1), (5, "revisit", 5, 1), (7, "response", None, 2), (8, "response", None, 6000)], key=str
     )
     assert [bytes(r[4]) for r in rows if r[0] == 8] == [("ü" * 3000).encode()]
 
 
+def record_ids(root):
+    return [line for data in files(root).values() for line in gzip.decompress(data).split(b"\r\n") if line.startswith(b"WARC-Record-ID")]
+
+
+def test_repeated_rows_come_in_pieces(spark):
+    """A page repeated 50 times, and 60 payloads without a page id: neither makes a large shard."""
+    rows = [(9, "u", "same")] * 50 + [(4, "u", "same")] * 3 + [(None, "u", f"payload {i % 40}") for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    root = working_dir(spark, "warc-test")
+    manifest = warc.write_archives(df, root, file_bytes=2000, shard_bytes=6000, copies=4).collect()
+    assert max(sum(m.records for m in manifest if m.shard == s) for s in {m.shard for m in manifest}) <= 16
+    assert max(m.bytes for m in manifest) <= 2000 and any(m.file.endswith("-0001.warc.gz") for m in manifest)
+    read = warc.read_archives(spark, root).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to or 0) for r in read) == sorted(
+        [(9, "response", 0)] + [(9, "revisit", 9)] * 49 + [(4, "revisit", 9)] * 3 + [(0, "response", 0)] * 40 + [(0, "revisit", 0)] * 20
+    )
+    ids = record_ids(root)
+    assert len(set(ids)) == len(ids) == len(rows) + len(manifest)
+    spread = warc.write_archives(df.repartition(7), working_dir(spark, "warc-test"), file_bytes=2000, shard_bytes=6000, copies=4)
+    assert sorted(spread.collect()) == sorted(manifest)
+
+
+def test_small_repeats_are_responses_and_a_long_payload_is_whole(spark):
+    long = "long " * 400_000
+    df = spark.createDataFrame([(1, "u", "s")] * 9 + [(2, "u", long), (3, "v", long)], "page_id long, url string, html string")
+    root = working_dir(spark, "warc-test")
+    warc.write_archives(df, root, least=2, copies=4)
+    read = warc.read_archives(spark, root).collect()
+    assert sorted((r.page_id, r.record_type, r.payload_bytes) for r in read) == [(1, "response", 1)] * 9 + [(2, "revisit", 2_000_000), (3, "response", 2_000_000)]
+    assert [bytes(r.payload) for r in read if r.page_id == 3] == [long.encode()]
+    assert len(set(record_ids(root))) == 12
+
+
 def test_smaller_payloads_are_all_responses(spark):
     df = spark.createDataFrame(ROWS, "page_id long, url string, html string")
     root = working_dir(spark, "warc-test")
