@@ -6,13 +6,16 @@ and merged in any order. With fewer than ``k`` values it is the whole set and al
 
 Defined results: a NULL text is an empty one; a text without words has the empty sketch, which is like
 itself (1) and like nothing else (0); texts of fewer words than a shingle are one shingle; equal texts
-have equal sketches; empty tables give empty results. Extra columns are not read.
+have equal sketches; texts are read whole, whatever their length; empty tables give empty results. Extra
+columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import struct
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +30,7 @@ from freshet.llm import words
 SIZE = 128
 SHINGLE = 5
 BITS = 48
+_FIRST = -(1 << 63)
 
 
 def of_set(shingles: np.ndarray, k: int = SIZE) -> np.ndarray:
@@ -103,21 +107,42 @@ def likeness(a: Column, b: Column, k: int = SIZE) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), (F.size(a) == F.size(b)).cast("double")).otherwise(shared / F.size(union))
 
 
-REPORT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+REPORT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, distinct_shingles double, in_edited double, in_next double"
 
 
-def _ranges(ids: DataFrame, n: int) -> tuple[np.ndarray, dict[int, int]]:
-    """Bounds of ``n`` ranges of equally many ids, and the range before each range's first id."""
-    bounds = np.unique(np.array(ids.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n)).first()[0] or [], np.int64))
-    number = _range_of(bounds)
-    starts = sorted((r["range"], r["first"]) for r in ids.groupBy(number("id").alias("range")).agg(F.min("id").alias("first")).collect())
-    return bounds, {first: starts[i - 1][0] for i, (_, first) in enumerate(starts)}
+def _key(key: Column, tie: Column) -> Column:
+    """Two whole numbers as 16 bytes that sort like them."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(c.bitwiseXOR(F.lit(_FIRST))), 16, "0") for c in (key, tie)]))
+
+
+def _ranges(rows: DataFrame, n: int) -> tuple[np.ndarray, dict[bytes, int], list[int]]:
+    """Bounds of about ``n`` ranges of equally many rows by ``id, tie``; for the first key of each range
+    the range before it; and the ids that hold several ranges.
+
+    Only those are cut by ``tie`` as well, and only their ties are read.
+    """
+    marks = [i / n for i in range(1, n)]
+    points = Counter(rows.agg(F.percentile_approx("id", marks, 10 * n)).first()[0] or [])
+    hot = [i for i, many in points.items() if many > 1]
+    bounds = {(i, _FIRST) for i in points}
+    if hot:
+        ties = rows.where(F.col("id").isin(hot)).groupBy("id").agg(F.percentile_approx("tie", marks, 10 * n)).collect()
+        bounds |= {(i, at[j * n // points[i] - 1]) for i, at in ties for j in range(1, points[i])}
+    cuts = np.array(sorted(struct.pack(">QQ", i - _FIRST, tie - _FIRST) for i, tie in bounds), "S16")
+    firsts = rows.select(_first_key(hot).alias("key")).groupBy(_range_of(cuts)("key").alias("range")).agg(F.min("key").alias("first"))
+    starts = sorted((r["range"], bytes(r["first"])) for r in firsts.collect())
+    return cuts, {first: starts[i - 1][0] for i, (_, first) in enumerate(starts)}, hot
+
+
+def _first_key(hot: list[int]) -> Column:
+    """The key by which a row may be its range's first: with its tie only if its id holds several ranges."""
+    return _key(F.col("id"), F.when(F.col("id").isin(hot), F.col("tie")).otherwise(F.lit(_FIRST)) if hot else F.lit(_FIRST))
 
 
 def _range_of(bounds: np.ndarray):
     @F.pandas_udf("int")
-    def number(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), "right").astype(np.int32))
+    def number(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, keys.to_numpy().astype("S16"), "right").astype(np.int32))
 
     return number
 
@@ -126,26 +151,28 @@ def with_next(documents: DataFrame, ranges: int) -> DataFrame:
     """Documents dealt out by range of id and sorted within; the first of each range is also the last
     row, with ``tail`` set, of the range before it, so that every document meets the next in one task.
 
-    The driver holds one bound and one id per range, whatever the number of documents.
+    Rows of one id (or none) are in order of a hash of their text, so that an id that many rows share is
+    several ranges. The driver holds one bound and one key per range, whatever the number of documents.
     """
-    least = F.lit(-(1 << 63))
-    rows = documents.select(F.coalesce(F.col("doc_id").cast("bigint"), least).alias("id"), F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bounds, before = _ranges(rows.select("id"), ranges)
+    rows = documents.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST)).alias("id"), F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    bounds, before, hot = _ranges(rows.select("id", "tie"), ranges)
 
     @F.pandas_udf("array<struct<range:int,tail:boolean>>")
-    def places(ids: pd.Series) -> pd.Series:
-        own = np.searchsorted(bounds, ids.to_numpy(), "right")
-        return pd.Series([[{"range": int(r), "tail": False}] + ([{"range": before[i], "tail": True}] if i in before else []) for i, r in zip(ids.tolist(), own, strict=True)])
+    def places(keys: pd.Series, firsts: pd.Series) -> pd.Series:
+        own = np.searchsorted(bounds, keys.to_numpy().astype("S16"), "right")
+        return pd.Series([[{"range": int(r), "tail": False}] + ([{"range": before[i], "tail": True}] if i in before else []) for i, r in zip(firsts, own, strict=True)])
 
-    dealt = rows.select("*", F.explode(places("id")).alias("place")).select("place.range", "place.tail", "id", "doc_id", "text")
-    return dealt.repartition(ranges, "range").sortWithinPartitions("range", "tail", "id", "text")
+    dealt = rows.select("*", F.explode(places(_key(F.col("id"), F.col("tie")), _first_key(hot))).alias("place")).select("place.range", "place.tail", "id", "tie", "doc_id", "text")
+    return dealt.repartition(ranges, "range").sortWithinPartitions("range", "tail", "id", "tie", "text")
 
 
 def report(documents: DataFrame, k: int = SIZE, shingle: int = SHINGLE) -> DataFrame:
     """Each document's sketch beside those of its edited text and of the next document.
 
-    The next document is the next row by doc_id (NULL first), then text; the first follows the last.
+    The next document is the next row by doc_id (NULL first), then by a hash of the text; the first follows the last.
     Edited: the last half of the code points gives way to the first as many of the next document.
+    ``distinct_shingles`` estimates how many different shingles the text has, ``in_edited`` and
+    ``in_next`` what share of them the other text contains.
     """
     spark = documents.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -166,8 +193,11 @@ def report(documents: DataFrame, k: int = SIZE, shingle: int = SHINGLE) -> DataF
                 pa.array([to_text(s) for s in changed]),
                 pa.array([resemblance(a, b, k) for a, b in zip(own, changed, strict=False)], pa.float64()),
                 pa.array([resemblance(a, b, k) for a, b in zip(own, own[1:], strict=False)], pa.float64()),
+                pa.array([float(distinct(a, k)) for a in own[:-1]], pa.float64()),
+                pa.array([containment(a, b, k) for a, b in zip(own, changed, strict=False)], pa.float64()),
+                pa.array([containment(a, b, k) for a, b in zip(own, own[1:], strict=False)], pa.float64()),
             ],
-            ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            [f.split(" ")[0] for f in REPORT.split(", ")],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,4 +221,4 @@ def report(documents: DataFrame, k: int = SIZE, shingle: int = SHINGLE) -> DataF
                 held.append((i.as_py(), body))
                 size += len(body)
 
-    return with_next(documents, ranges).drop("id").mapInArrow(run, REPORT)
+    return with_next(documents, ranges).drop("id", "tie").mapInArrow(run, REPORT)

@@ -18,7 +18,7 @@ def test_report_against_brute_force(docs, texts):
     order = sorted(texts)
     rows = {r.doc_id: r for r in fp.report(docs).collect()}
     assert sorted(rows) == order
-    errors = []
+    errors, contained = [], []
     for k, i in enumerate(order):
         text, after = texts[i] or "", texts[order[(k + 1) % len(order)]] or ""
         edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
@@ -28,6 +28,9 @@ def test_report_against_brute_force(docs, texts):
         errors += [abs(r.near_edited - jaccard(a, b)), abs(r.near_next - jaccard(a, c))]
         if len(a | b) <= fp.SIZE:
             assert r.near_edited == pytest.approx(jaccard(a, b))
+        assert r.distinct_shingles == pytest.approx(len(a), rel=0.4)
+        contained += [abs(x - (len(a & o) / len(a) if a else 1.0)) for x, o in ((r.in_edited, b), (r.in_next, c))]
+    assert max(contained) < 0.3 and sum(contained) / len(contained) < 0.05
     assert max(errors) < 0.2 and sum(errors) / len(errors) < 0.03
     prints = {}
     for i in order:
@@ -44,6 +47,22 @@ def test_nulls_short_repeated_and_empty(spark):
     assert fp.report(df.limit(0)).collect() == []
 
 
+def test_an_id_of_many_rows_is_several_ranges(spark):
+    texts = [f"t{i} " * (1 + i % 7) for i in range(2000)]
+    rows = [(None if i % 2 else i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    own = fp.with_next(df, 16).where("not tail").groupBy("range").count().collect()
+    assert sum(r["count"] for r in own) == 2000 and max(r["count"] for r in own) <= 300
+    assert fp.with_next(df, 16).where("tail").select("range").distinct().count() == len(own)
+    # The edited texts are those of one circle through all rows: NULL ids first.
+    order = [(r.doc_id, r.text) for r in df.selectExpr("*", "xxhash64(text) as h").orderBy("doc_id", "h", "text").collect()]
+    expected = []
+    for k, (i, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        expected.append((i or -1, hashlib.sha256((text[: len(text) - len(text) // 2] + after[: len(text) // 2]).encode()).hexdigest()))
+    assert sorted((r.doc_id or -1, r.edited_sha256) for r in fp.report(df).collect()) == sorted(expected)
+
+
 def test_parts_merge_to_the_sketch_of_the_whole(spark):
     parts = [[f"w{i}" for i in range(a, a + 400)] for a in (0, 200, 900)]
     df = spark.createDataFrame([(1, " ".join(p)) for p in parts] + [(2, None)], "doc_id long, text string")
