@@ -1,9 +1,11 @@
 """Substring deduplication: paragraphs that are nearly the same, and passages within them that are equal.
 
-Paragraphs are lines of at least ``LEAST_PARAGRAPH`` words. Their shingles' MinHash signature is cut
-into bands, tuned so that paragraphs at the similarity limit collide almost surely; paragraphs that
+Paragraphs are lines of at least ``LEAST_PARAGRAPH`` words, one shingle. Their shingles' MinHash signature
+is cut into bands, tuned so that paragraphs at the similarity limit collide almost surely; paragraphs that
 collide are joined, their exact Jaccard similarity is computed from the texts, and links make
-components. Equal paragraphs are one class before that.
+components. Equal paragraphs are one class before that; with ``exact`` words given, also those too short
+for a shingle, from so many words on (by default none: headings and sign-offs of a few words are shared by
+documents that have nothing else in common).
 
 A passage that repeats inside longer paragraphs is found by windows of ``PASSAGE`` words whose places
 the text itself chooses: of every ``GAP`` neighbouring places the one whose window has the least hash.
@@ -75,19 +77,22 @@ def band_keys(lines: Lines, chosen: np.ndarray, bands: int, rows: int, shingle:
     return keys
 
 
-def _paragraphs(docs: DataFrame, bands: int, rows: int, least: int) -> DataFrame:
+def _paragraphs(docs: DataFrame, bands: int, rows: int, least: int, exact: int) -> DataFrame:
     """A row per paragraph: document, line, first word and the one after the last, class, band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, _, raw, offsets in words.blocks(batch.column(2)):
                 lines = Lines(raw, offsets)
-                chosen = np.flatnonzero(lines.size >= least)
+                chosen = np.flatnonzero(lines.size >= min(least, exact))
                 if not len(chosen):
                     continue
+                near = lines.size[chosen] >= max(least, SHINGLE)
+                # Lines without a shingle have no band keys.
+                ends = np.append(0, np.cumsum(near * bands)).astype(np.int32)
+                keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(band_keys(lines, chosen[near], bands, rows).view(np.int64).ravel()))
                 first = np.searchsorted(lines.text, lines.text[chosen])
                 base = lines.start[first]
-                keys = band_keys(lines, chosen, bands, rows).view(np.int64)
                 row = pa.array(at + lines.text[chosen])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -97,7 +102,7 @@ def _paragraphs(docs: DataFrame, bands: int, rows: int, least: int) -> DataFrame
                         pa.array(lines.start[chosen] - base),
                         pa.array(lines.end[chosen] - base),
                         pa.array((lines.ids()[0][chosen] >> _U(1)).astype(np.int64)),
-                        pa.array(list(keys), pa.list_(pa.int64())),
+                        keys,
                     ],
                     ["id", "sum", "number", "begin", "end", "set", "bands"],
                 )
@@ -174,9 +179,9 @@ def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return split.select(F.col("line.set").alias("set"), F.col("all")[F.col("line.number").cast("int")].alias("text")).dropDuplicates(["set"])
 
 
-def _near_paragraphs(docs: DataFrame, percent: int, recall: float, least: int) -> DataFrame:
+def _near_paragraphs(docs: DataFrame, percent: int, recall: float, least: int, exact: int) -> DataFrame:
     bands, rows = tuned(percent, recall)
-    found = frozen(_paragraphs(docs, bands, rows, least), "paragraphs")
+    found = frozen(_paragraphs(docs, bands, rows, least, exact), "paragraphs")
     classes = frozen(found.groupBy("set").agg(F.min(F.struct("id", "sum", "number")).alias("at"), F.first("bands").alias("bands")), "paragraph-classes")
     keys = classes.select("set", F.explode("bands").alias("shingle"))
     shared = frozen(keys.groupBy("shingle").agg(F.min("set").alias("a"), F.max("set").alias("b")).where("a < b").select("shingle"), "shared-bands")
@@ -195,12 +200,13 @@ def _near_paragraphs(docs: DataFrame, percent: int, recall: float, least: int) -
     return found.join(places, "set").select("id", "sum", "begin", "end", "cluster", F.col("first.id").alias("first_id"), F.col("first.sum").alias("first_sum"))
 
 
-def repeated(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, recall: float = RECALL, least: int = LEAST_PARAGRAPH, passage: int = PASSAGE, gap: int = GAP) -> DataFrame:
+def repeated(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, recall: float = RECALL, least: int = LEAST_PARAGRAPH, passage: int = PASSAGE, gap: int = GAP, exact: int = LEAST_PARAGRAPH) -> DataFrame:
     """Every occurrence of a paragraph or passage that several documents have: where it is, in words,
     its component, the component's first document, and whether it stays. ``text_hash`` tells apart the
-    documents of one id, or of none."""
+    documents of one id, or of none. Near paragraphs have at least ``least`` words, equal ones at least
+    ``exact``."""
     docs = _identified(documents, key, text)
-    near = _near_paragraphs(docs, percent, recall, least).withColumn("kind", F.lit("paragraph"))
+    near = _near_paragraphs(docs, percent, recall, least, exact).withColumn("kind", F.lit("paragraph"))
     exact = _passages(docs, passage, gap).withColumn("kind", F.lit("passage"))
     shown = lambda c: F.when(F.col(c) != _FIRST, F.col(c))
     return near.unionByName(exact).select(

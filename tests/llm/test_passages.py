@@ -81,6 +81,30 @@ def test_short_paragraphs(spark):
     assert sorted((r.doc_id, r.begin_word, r.end_word, r.first_doc_id, r.stays) for r in found) == [(1, 0, 5, 1, True), (1, 5, 24, 1, True), (2, 3, 8, 1, False), (3, 4, 22, 1, False)]
 
 
+def test_equal_paragraphs_from_any_length_on(docs, texts, spark):
+    """Every line that two documents have, with its place, against brute force."""
+    places = defaultdict(set)
+    for i, t in texts.items():
+        at = 0
+        for line in (t or "").split("\n"):
+            w = tuple(brute.words(line))
+            if w:
+                places[w].add((i, at, at + len(w)))
+            at += len(w)
+    shared = {w: p for w, p in places.items() if len({i for i, _, _ in p}) > 1}
+    assert {len(w) for w in shared} >= {1, 2, 3, 4}
+    found = [r for r in passages.repeated(docs, exact=1).collect() if r.kind == "paragraph"]
+    rows = {(r.doc_id, r.begin_word, r.end_word): r for r in found}
+    assert {p for places in shared.values() for p in places} <= set(rows)
+    for w, p in shared.items():
+        assert len({rows[x].component for x in p}) == 1 and (len(w) >= 5 or {rows[x].first_doc_id for x in p} == {min(i for i, _, _ in p)})
+    short = {k for k in rows if k[2] - k[1] < 5}
+    assert short == {x for w, p in shared.items() if len(w) < 5 for x in p}
+    df = spark.createDataFrame([(1, "all rights reserved."), (2, "x\nAll  rights reserved."), (3, "all rights\nreserved.")], "doc_id long, text string")
+    assert passages.repeated(df).collect() == []
+    assert sorted((r.doc_id, r.begin_word, r.end_word, r.stays) for r in passages.repeated(df, exact=3).collect()) == [(1, 0, 3, True), (2, 1, 4, False)]
+
+
 def test_rows_without_id_and_repeated_ids(spark):
     line = [f"a{i}" for i in range(60)]
     p, near, other = " ".join(line), " ".join(line[:-1]), " ".join(f"b{i}" for i in range(60))
