@@ -42,7 +42,7 @@ def search_envelopes(events: DataFrame) -> DataFrame:
 
 def empty_answers(customers: DataFrame, events: DataFrame) -> DataFrame:
     """The one empty result page of every customer without events."""
-    ids = customers.select(F.col("c_custkey").alias("user_id")).join(events.select("user_id"), "user_id", "left_anti")
+    ids = customers.select(F.col("c_custkey").alias("user_id")).join(events.select("user_id").distinct(), "user_id", "left_anti")
     item = "array<struct<id:struct<kind:string,videoId:string>,publishedAt:string>>"
     return ids.select(F.col("user_id").cast("string").alias("channel_id"), F.lit(0).cast("bigint").alias("page_no"), F.array().cast(item).alias("items"))
 

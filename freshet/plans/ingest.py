@@ -50,6 +50,8 @@ from freshet.sources.landing import (
 # Fixed value: ids one channel may contribute to one run.
 CAP = 200
 ID = ["channel_id", "video_id"]
+# A search result's place as one number: the page, and the position in it.
+PAGE_ITEMS, PLACE = 1 << 31, "decimal(38,0)"
 # The turn of candidates that earlier runs left open.
 BACKLOG = 0
 FLATTEN = {"channels": channel_rows, "search": search_rows, "videos": video_rows}
@@ -140,31 +142,40 @@ def _order() -> list:
     return [F.col("turn"), F.col("published_ts").desc_nulls_last(), F.col("place").asc_nulls_last(), F.col("video_id")]
 
 
-def _offered(store: RunStore, items: DataFrame, small: bool, state: State, conf: RunConf) -> DataFrame:
+def _offered(store: RunStore, items: DataFrame, small: bool, state: State, backlog: DataFrame, conf: RunConf) -> DataFrame:
     """Distinct search results: ``inside`` the bound, already ``cached`` (taken) or ``waiting`` (open).
 
-    One pass and one look at the ledger serve the new ids, the counters and the late report.
+    One pass and one look at the ledger serve the new ids, the counters and the late report. Results and
+    ledger rows meet in one hash aggregation: all its values are fixed width, so nothing is sorted.
     """
     bounded = with_bound(items, state.watermark, "channel_id", "last_fetch_ts", conf.lookback_minutes)
     inside = after_bound("published_ts") if conf.incremental else F.lit(True)
-    placed = bounded.withColumn("place", F.struct("page_no", "pos")).withColumn("inside", inside)
-    ids = placed.groupBy(*ID).agg(
-        F.min("published_ts").alias("published_ts"), F.min("place").alias("place"), F.max("inside").alias("inside")
-    )
+    # A page holds fewer than PAGE_ITEMS items, so page and position make one number.
+    place = F.col("page_no").cast(PLACE) * PAGE_ITEMS + F.col("pos")
+    offers = bounded.select(*ID, "published_ts", place.cast(PLACE).alias("at"), inside.alias("inside"), F.lit(None).cast("boolean").alias("taken"))
     taken = state.done.select(*ID, F.lit(True).alias("taken"))
-    known = taken.unionByName(state.open.select(*ID, F.lit(False).alias("taken")))
-    marks = seen_among(items, known, ID, small, keep=["taken"]).groupBy(*ID).agg(
-        F.bool_or("taken").alias("cached"), F.bool_or(~F.col("taken")).alias("waiting")
+    known = seen_among(items, taken.unionByName(backlog.select(*ID, F.lit(False).alias("taken"))), ID, small, keep=["taken"])
+    met = offers.unionByName(known, allowMissingColumns=True).groupBy(*ID).agg(
+        F.min("published_ts").alias("published_ts"),
+        F.min("at").alias("at"),
+        F.max("inside").alias("inside"),
+        F.coalesce(F.bool_or("taken"), F.lit(False)).alias("cached"),
+        F.coalesce(F.bool_or(~F.col("taken")), F.lit(False)).alias("waiting"),
     )
-    absent = {name: F.coalesce(name, F.lit(False)) for name in ("cached", "waiting")}
-    return store.stage(ids.join(marks, ID, "left").withColumns(absent), "offered", conf.run_ts)
+    # What only the ledger has was not offered.
+    ids = met.where("inside is not null")
+    page = F.floor(F.col("at") / PAGE_ITEMS).cast("bigint")
+    spot = F.pmod("at", F.lit(PAGE_ITEMS).cast(PLACE)).cast("bigint")
+    placed = ids.select(*ID, "published_ts", F.struct(page.alias("page_no"), spot.alias("pos")).alias("place"), "inside", "cached", "waiting")
+    return store.stage(placed, "offered", conf.run_ts)
 
 
-def _changes(conf, active, selected, retrieved, pending) -> dict[str, DataFrame]:
+def _changes(store, conf, active, selected, retrieved, pending) -> dict[str, DataFrame]:
     """What this run does to the state: ids finished, ids that open, stay open or close, channels moved."""
     run = instant(conf.run_ts)
     taken = flagged(selected, retrieved, ID, "retrieved").withColumn("attempts", F.col("attempts") + 1)
-    outcome = taken.withColumn("status", F.when(F.col("retrieved"), FETCHED).otherwise(MISSING))
+    # Three tables are filters over what became of the selected ids.
+    outcome = store.stage(taken.withColumn("status", F.when(F.col("retrieved"), FETCHED).otherwise(MISSING)), "outcome", conf.run_ts)
     tried = F.lit(False) if conf.max_attempts is None else F.col("attempts") >= conf.max_attempts
     closed = F.col("retrieved") | tried
     seen_first = F.coalesce("first_seen_run", run).alias("first_seen_run")
@@ -256,27 +267,34 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     listing = read_channel_list(spark, conf.channel_list)
     if listing is None:
         return _no_run(spark)
-    listed = listing.where(F.col("channel_id").isNotNull()).select("channel_id").distinct()
     store = RunStore(conf.root, conf.fmt, conf.base_runs)
     state = store.admit(spark, conf.run_ts)
     if state.repeated:
         store.withdraw(spark, conf.run_ts)
 
-    rows = dict(zip(FLATTEN, together(spark, *[partial(_staged, spark, store, conf, kind) for kind in FLATTEN])))
+    # The list is parsed once, next to the responses.
+    known = listing.where(F.col("channel_id").isNotNull()).select("channel_id").distinct()
+    listed, *frames = together(
+        spark,
+        partial(store.stage, known, "listed", conf.run_ts),
+        *[partial(_staged, spark, store, conf, kind) for kind in FLATTEN],
+    )
+    rows = dict(zip(FLATTEN, frames))
     rejects = reduce(DataFrame.unionByName, [rejected(frame, name) for name, frame in rows.items()])
     incomplete = listed.join(complete_answers(rows["search"], conf.first_page_only), "channel_id", "left_anti")
     whole = incomplete.withColumn("incomplete", F.lit("incomplete answer"))
     blocked = blocking(rejects).join(whole, "channel_id", "full").select("channel_id", F.coalesce("error", "incomplete").alias("error"))
+    blocked = store.stage(blocked, "blocked", conf.run_ts)
     stats = channel_stats(rows["channels"]).join(blocked, "channel_id", "left_anti")
     store.write(driven_by(stats, listed, "channel_id"), "channel_stats", conf.run_ts)
     channels = store.run(spark, "channel_stats", conf.run_ts)
     active = channels.select("channel_id")
 
     items = driven_by(search_items(rows["search"]), active, "channel_id")
-    offered = _offered(store, items, fits_broadcast(rows["search"].select(*ID)), state, conf)
+    backlog = store.stage(driven_by(state.open, active, "channel_id"), "backlog", conf.run_ts)
+    offered = _offered(store, items, fits_broadcast(rows["search"].select(*ID)), state, backlog, conf)
     found = offered.where("inside")
     late = offered.where("not inside and not cached and not waiting")
-    backlog = driven_by(state.open, active, "channel_id")
     asked = None if refresh is None else driven_by(refresh.select(*ID).distinct(), active, "channel_id")
     # Filters over written tables, unless refreshes had to be merged in.
     candidates = _candidates(found, backlog, asked, conf.incremental)
@@ -284,17 +302,17 @@ def run_job(spark: SparkSession, conf: RunConf, refresh: DataFrame | None = None
     selected = store.stage(cap_per_key(candidates, "channel_id", "video_id", _order(), conf.cap).drop("rn"), "selected", conf.run_ts)
     pending = beyond_cap(candidates, selected, ID)
 
-    # Only the wanted details are put in order and reduced to one row each.
-    wanted = video_details(rows["videos"]).join(selected.select("video_id").distinct(), "video_id", "left_semi")
-    owned = one_per_key(wanted, ["video_id"], []).join(selected.select(*ID), "video_id")
-    videos = enrich(owned, channels, "channel_id", ["channel_name"])
+    # Names go to the ids, so that the wide rows are shuffled once, by their id. Only the wanted details
+    # are put in order and reduced to one row each.
+    owners = enrich(selected.select(*ID), channels, "channel_id", ["channel_name"])
+    videos = one_per_key(video_details(rows["videos"]).join(owners, "video_id"), ID, [])
     store.write(videos, "video_details", conf.run_ts)
     retrieved = store.run(spark, "video_details", conf.run_ts).select(*ID)
 
     exported, files = _export(store, spark, conf)
     _save(store, spark, conf)
 
-    tables = _changes(conf, active, selected, retrieved, pending)
+    tables = _changes(store, conf, active, selected, retrieved, pending)
     # A refresh, a full run, or the backlog such a run has left may hold ids that are done already.
     finished = anti_seen(tables.pop("done"), state.done, ID, fits_broadcast(selected.select(*ID)))
     tables["quarantine"] = rejects
