@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.llm import words
+from freshet.llm.decontamination import gated
 from freshet.session import frozen
 
 LEAST_WORDS = 5
@@ -296,6 +297,11 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS, exact: int | None = None) -> DataFrame:
     """``id, sum, number`` of every line that an earlier one makes superfluous: an equal one from ``exact``
     words on, a near one from ``least`` words on."""
+    return _superfluous(docs, least, exact).distinct()
+
+
+def _superfluous(docs: DataFrame, least: int, exact: int | None) -> DataFrame:
+    """The repeated lines; one for several reasons comes several times."""
     found = frozen(_occurrences(docs, least if exact is None else min(exact, least)), "lines")
     at = F.struct("id", "sum", "number")
     firsts = frozen(found.groupBy("a", "b").agg(F.min(at).alias("first")), "distinct-lines")
@@ -305,13 +311,14 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS, exact: int | None
     near = frozen(_verified(_candidates(variants), contents), "near-lines")
     # Every copy of a near line's text has the same fate as its first occurrence.
     goes = near.join(firsts.select("a", "b", "first.*"), ["id", "sum", "number"]).select("a", "b")
-    return copies.union(found.join(goes, ["a", "b"]).select("id", "sum", "number")).distinct()
+    return copies.union(found.join(goes, ["a", "b"]).select("id", "sum", "number"))
 
 
 def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, counts: bool = False, drop_emptied: bool = False, exact: int | None = None) -> DataFrame:
     """The documents without their repeated lines; with ``counts`` also ``n_lines`` and ``n_removed``
     (columns of these names give way); with ``drop_emptied`` without those that keep no word. A column
-    ``n_chars`` follows a text that changes."""
+    ``n_chars`` follows a text that changes. Only texts that lose lines, and a few that share their bit
+    in the gate, meet the lines' numbers by shuffle."""
     names = [c for c in documents.columns if not (counts and c in ("n_lines", "n_removed"))]
     # Inside, columns go by their place, so that no name can clash.
     renamed = documents.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
@@ -319,10 +326,14 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text",
     numeric = {n for n, kind in documents.dtypes if kind in ("int", "bigint")}
     length = names.index("n_chars") if "n_chars" in names and "n_chars" in numeric else None
     docs = _identified(documents, key, text)
-    goes = repeated_lines(docs, least, exact).groupBy("id", "sum").agg(F.collect_set("number").alias("numbers"))
+    goes = frozen(_superfluous(docs, least, exact).groupBy("id", "sum").agg(F.collect_set("number").alias("numbers")), "superfluous")
     body = F.coalesce(F.col(f"c{place}").cast("string"), F.lit(""))
     tagged = renamed.withColumn("id", F.coalesce(F.col(f"c{names.index(key)}").cast("bigint"), F.lit(_FIRST))).withColumn("sum", F.xxhash64(body))
-    joined = tagged.join(goes, ["id", "sum"], "left").select(*inner, "numbers")
+    marked = gated(tagged, goes)
+    clean = marked.where("not open").select(*inner)
+    joined = marked.where("open").join(goes, ["id", "sum"], "left").select(*inner, "numbers")
+    if counts:
+        joined = clean.withColumn("numbers", F.lit(None).cast("array<bigint>")).union(joined)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,4 +358,8 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text",
     fields = [T.StructField(f.name, T.StringType() if i == place else f.dataType) for i, f in enumerate(renamed.schema.fields)]
     if counts:
         fields += [T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())]
-    return joined.mapInArrow(run, T.StructType(fields)).toDF(*names, *(["n_lines", "n_removed"] if counts else []))
+    out = joined.mapInArrow(run, T.StructType(fields))
+    if not counts:
+        # These are handed on as they are.
+        out = clean.withColumn(f"c{place}", F.col(f"c{place}").cast("string")).union(out)
+    return out.toDF(*names, *(["n_lines", "n_removed"] if counts else []))

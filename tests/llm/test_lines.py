@@ -99,3 +99,16 @@ def test_equal_short_lines_go_from_op10(spark, tmp_path):
     out = catalog.QUERIES["op10_line_dedup"](spark, str(tmp_path)).collect()
     want = [(1, "All rights reserved.\na b c d", 3, 1), (2, "own\n\n", 5, 2), (3, "a b c x\nhome now", 2, 0), (None, "home", 1, 0)]
     assert sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in out), key=str) == sorted(want, key=str)
+
+
+def test_texts_that_lose_nothing_are_not_shuffled(spark, tmp_path):
+    rows = [(1, "a b c d e", "kept"), (2, "a b c d e", "kept"), (2, "a b c d e", "kept"), (3, "x", "kept"), (None, None, "kept"), (4, "v w\nx y", "kept")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "docs"))
+    df = spark.read.parquet(str(tmp_path / "docs"))
+    for counts in (False, True):
+        out = lines.deduplicated(df, counts=counts)
+        assert sorted(((r.doc_id or 0, r.text, r.source) for r in out.collect()), key=str) == sorted([(0, None, "kept"), (1, "a b c d e", "kept"), (2, "", "kept"), (2, "", "kept"), (3, "x", "kept"), (4, "v w\nx y", "kept")], key=str)
+        # All rows met the numbers by a join on the id before; now only those that the gate lets through.
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Union" in plan and "bit_or" in plan
+    assert [r.n_removed for r in out.where("doc_id = 3").collect()] == [0]
