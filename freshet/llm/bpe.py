@@ -1,11 +1,14 @@
 """Byte-level byte-pair encoding of whole texts with the files of a public tokenizer, and decoding.
 
-Texts are cut into words by the tokenizer's pattern. The distinct words of an Arrow batch that the
-worker has not met yet are laid end to end and encoded together: an index maps each mergeable pair to
-all its places in them; pairs are merged in ascending rank, each at all its places at once, and only
+Texts are cut into words by the tokenizer's pattern. The distinct words of some megabytes of text that
+the worker has not met yet are laid end to end and encoded together: an index maps each mergeable pair
+to all its places in them; pairs are merged in ascending rank, each at all its places at once, and only
 the neighbours' entries are updated. A merge never makes a pair of a lower rank than its own (checked
 when the vocabulary is read), so this equals merging word by word.
 
+Words stay slices of Arrow buffers and are told apart by Arrow's dictionaries. What a worker holds is
+bounded by bytes of text, or by the longest text if that is more, and not by the rows of a batch.
+
 Defined results: a NULL text is empty and has no ids; special tokens' strings in a text become their
 ids; unknown ids are refused when decoding; bytes that are no UTF-8 decode to U+FFFD. Rows are
 independent of each other. Extra columns are passed through by ``encode`` and ``decode``.
@@ -19,10 +22,11 @@ import itertools
 import json
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +37,18 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 DOUBLE = re.compile(r" \s").search
 
-#: Distinct words a worker remembers between batches; beyond, it forgets all and starts anew.
+#: Distinct words, and their bytes with their ids', that a worker remembers; beyond, it forgets all and starts anew.
 REMEMBERED = 300_000
-#: Rows handed back together.
+REMEMBERED_BYTES = 32 << 20
+#: Bytes of text that are cut together, and of distinct new words that are merged together.
+TOGETHER = 8 << 20
+MERGED = 2 << 20
+#: Places whose pairs are ranked at once, and texts cut by the pattern as Python strings at once.
+PLACES = 1 << 17
+STRINGS = 10_000
+#: Rows, and ids or characters, handed back together.
 ROWS = 500
+ENTRIES = 1 << 20
 
 
 def byte_names() -> dict[str, int]:
@@ -66,7 +78,7 @@ class Vocabulary:
         self.lengths = np.array([len(p) for p in pieces], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
-        self.byte_ids = np.zeros(256, np.int64)
+        self.byte_ids = np.zeros(256, np.int32)
         for name, b in names.items():
             self.byte_ids[b] = ids[name]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -83,7 +95,7 @@ class Vocabulary:
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair's merge, or -1."""
-        codes = left * self.size + right
+        codes = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
         return np.where(self.codes[at] == codes, self.ranks[at], -1)
 
@@ -91,14 +103,17 @@ class Vocabulary:
 class PairIndex:
     """All places of each mergeable pair in a run of words, by rank."""
 
-    def __init__(self, vocabulary: Vocabulary, words: list[bytes]):
+    def __init__(self, vocabulary: Vocabulary, data: np.ndarray, lengths: np.ndarray):
+        """``data``: the words' bytes end to end."""
         self.v = vocabulary
-        self.lengths = np.array([len(w) for w in words], np.int64)
-        n = int(self.lengths.sum())
-        self.symbols = vocabulary.byte_ids[np.frombuffer(b"".join(words), np.uint8)] if n else np.zeros(0, np.int64)
+        self.lengths = lengths
+        n = len(data)
+        if n >= 2**31 - 2:
+            raise ValueError("a word of two gigabytes")
+        self.symbols = np.append(vocabulary.byte_ids[data], np.int32(-1))
         #: The next and the previous place that still holds a token of the same word; n if none.
-        self.next = np.arange(1, n + 2, dtype=np.int64)
-        self.previous = np.arange(-1, n, dtype=np.int64)
+        self.next = np.arange(1, n + 2, dtype=np.int32)
+        self.previous = np.arange(-1, n, dtype=np.int32)
         ends = np.cumsum(self.lengths)
         self.next[ends[ends > 0] - 1] = n
         begins = ends - self.lengths
@@ -107,8 +122,8 @@ class PairIndex:
         self.alive[n] = False
         self.places: dict[int, list[np.ndarray]] = defaultdict(list)
         self.active: list[int] = []
-        self.symbols = np.append(self.symbols, -1)
-        self._add(np.flatnonzero(self.next[:n] < n))
+        for at in range(0, n, PLACES):
+            self._add((at + np.flatnonzero(self.next[at : min(at + PLACES, n)] < n)).astype(np.int32))
 
     def _add(self, at: np.ndarray) -> None:
         """Enter the pairs that begin at these places."""
@@ -142,7 +157,7 @@ class PairIndex:
                     taken = int(self.next[i])
                 else:
                     taken = -1
-            at = np.array(kept, np.int64)
+            at = np.array(kept, np.int32)
         if not len(at):
             return
         gone = self.next[at]
@@ -170,12 +185,70 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+def flat(strings: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all strings end to end, and how many each has. No string may be NULL."""
+    _, offsets, data = strings.buffers()
+    if not len(strings):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    offsets = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
+    return np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]], np.diff(offsets)
+
+
+def sliced(data: np.ndarray, cuts: np.ndarray) -> pa.StringArray:
+    """The strings between the cuts, the last of which is the end of ``data``."""
+    return pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
+
+
+def grouped(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """First and last (exclusive) of groups in a row that have ``most`` bytes together, or one member."""
+    ends, at = np.cumsum(lengths), 0
+    while at < len(lengths):
+        before = int(ends[at - 1]) if at else 0
+        until = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield at, until
+        at = until
+
+
+class Lookup:
+    """Distinct strings, numbered, and the ids of each."""
+
+    def __init__(self, strings: list[str], ids: list[int]):
+        """Each of the first strings has one id."""
+        self.strings = pa.array(strings, pa.string())
+        self.ids = np.array(ids, np.uint32)
+        self.starts = np.arange(len(ids), dtype=np.int64)
+        self.counts = np.ones(len(ids), np.int64)
+
+    @property
+    def nbytes(self) -> int:
+        return self.strings.nbytes + self.ids.nbytes + self.starts.nbytes + self.counts.nbytes
+
+    def numbers(self, strings: pa.StringArray, encode: Callable[[pa.StringArray], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The numbers of these strings, which may repeat; ``encode`` gives the new ones' ids end to end, and how many each has."""
+        coded = strings.dictionary_encode()
+        numbers = np.array(pc.fill_null(pc.index_in(coded.dictionary, value_set=self.strings), -1), np.int64)
+        unmet = numbers < 0
+        if unmet.any():
+            new = coded.dictionary.filter(pa.array(unmet))
+            ids, counts = encode(new)
+            numbers[unmet] = len(self.starts) + np.arange(len(new))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+            self.strings = pa.concat_arrays([self.strings, new])
+        return numbers[coded.indices.to_numpy()]
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of these numbers' strings end to end."""
+        return self.ids[ragged(self.starts[numbers], self.counts[numbers])]
+
+
 class Encoder:
     """Encodes and decodes texts; words met before are looked up.
 
     What stands between two single spaces is looked up as a whole, with the space before it: no word
     of the pattern reaches across such a space. Texts with more white space after a space are cut by the
-    pattern alone.
+    pattern alone, and so are those with special tokens, which are cut out first.
     """
 
     def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED):
@@ -186,64 +259,61 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        count = itertools.count()
-        #: Numbers of words, and of chunks that stand after a space; both count on.
-        self.words: defaultdict[str, int] = defaultdict(count.__next__)
-        self.chunks: defaultdict[str, int] = defaultdict(count.__next__)
-        self.special = {s: next(count) for s in self.v.special}
-        self.ids = np.array(list(self.v.special.values()), np.int64)
-        self.starts = np.arange(len(self.special))
-        self.counts = np.ones(len(self.special), np.int64)
-        self.known_words = self.known_chunks = 0
-
-    def _number(self, text: str) -> np.ndarray:
-        pieces = self.cut(text) if self.cut and any(s in text for s in self.special) else [text]
-        out: list[int] = []
-        for i, piece in enumerate(pieces):
-            if i % 2:
-                out.append(self.special[piece])
-                continue
-            if DOUBLE(piece):
-                out.extend(map(self.words.__getitem__, self.find(piece)))
-            else:
-                start, *chunks = piece.split(" ")
-                out.extend(map(self.words.__getitem__, self.find(start)))
-                out.extend(map(self.chunks.__getitem__, chunks))
-        return np.array(out, np.int64)
-
-    def _learn(self) -> None:
-        """Encode the words that are new, then put the new chunks' ids together from their words'."""
-        chunks = list(itertools.islice(self.chunks.items(), self.known_chunks, None))
-        parts = [[self.words[w] for w in self.find(" " + c)] for c, _ in chunks]
-        words = list(itertools.islice(self.words.items(), self.known_words, None))
-        if not words and not chunks:
-            return
-        total = len(self.special) + len(self.words) + len(self.chunks)
-        starts, counts = np.zeros(total, np.int64), np.zeros(total, np.int64)
-        starts[: len(self.starts)], counts[: len(self.counts)] = self.starts, self.counts
-
-        def append(numbers: list[int], ids: np.ndarray, lengths: np.ndarray) -> None:
-            starts[numbers] = len(self.ids) + np.cumsum(lengths) - lengths
-            counts[numbers] = lengths
-            self.ids = np.concatenate([self.ids, ids])
-
-        if words:
-            append([n for _, n in words], *PairIndex(self.v, [w.encode() for w, _ in words]).encode())
-        if chunks:
-            flat = np.fromiter(itertools.chain.from_iterable(parts), np.int64)
-            owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-            lengths = np.bincount(owner, counts[flat], minlength=len(parts)).astype(np.int64)
-            append([n for _, n in chunks], self.ids[ragged(starts[flat], counts[flat])], lengths)
-        self.starts, self.counts = starts, counts
-        self.known_words, self.known_chunks = len(self.words), len(self.chunks)
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text, after the words of all of them were encoded together."""
-        if len(self.words) + len(self.chunks) > self.remembered:
+        # No text in which special tokens were cut out has a word that equals one.
+        self.words = Lookup([*self.v.special], [*self.v.special.values()])
+        #: What stands between cuts of the texts; each consists of words.
+        self.chunks = Lookup([], [])
+
+    def _words(self, text: str) -> list[str]:
+        pieces = self.cut(text) if self.cut and any(s in text for s in self.v.special) else [text]
+        return [w for i, piece in enumerate(pieces) for w in ([piece] if i % 2 else self.find(piece))]
+
+    def _merged(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words."""
+        data, lengths = flat(words)
+        ends = np.cumsum(lengths)
+        parts = [PairIndex(self.v, data[ends[a] - lengths[a] : ends[b - 1]], lengths[a:b]).encode() for a, b in grouped(lengths, MERGED)]
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([counts for _, counts in parts])
+
+    def _joined(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct chunks, put together from their words'."""
+        sizes, owned = [], []
+        for at in range(0, len(chunks), STRINGS):
+            parts = [self._words(c) for c in chunks.slice(at, STRINGS).to_pylist()]
+            sizes.append(np.array([len(w.encode()) for words in parts for w in words], np.int64))
+            owned.append(np.array([len(words) for words in parts], np.int64))
+        data, _ = flat(chunks)
+        numbers = self.words.numbers(sliced(data, np.append(0, np.cumsum(np.concatenate(sizes)))), self._merged)
+        until = np.append(0, np.cumsum(self.words.counts[numbers]))[np.append(0, np.cumsum(np.concatenate(owned)))]
+        return self.words.of(numbers), np.diff(until)
+
+    def _encode(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        if len(self.words.strings) + len(self.chunks.strings) > self.remembered or self.words.nbytes + self.chunks.nbytes > REMEMBERED_BYTES:
             self._forget()
-        numbered = [self._number(t) if t else np.zeros(0, np.int64) for t in texts]
-        self._learn()
-        return (self.ids[ragged(self.starts[n], self.counts[n])].astype(np.uint32) for n in numbered)
+        data, lengths = flat(texts)
+        ends = np.cumsum(lengths)
+        begins = ends - lengths
+        cut = data == ord(" ")
+        cut[begins[lengths > 0]] = True
+        for begin, end in zip(begins.tolist(), ends.tolist(), strict=True):
+            text = data[begin:end].tobytes().decode()
+            if DOUBLE(text) or any(s in text for s in self.v.special):
+                cut[begin:end] = False
+                cut[begin + np.cumsum([0, *(len(w.encode()) for w in self._words(text)[:-1])])] = True
+        cuts = np.append(np.flatnonzero(cut), len(data))
+        numbers = self.chunks.numbers(sliced(data, cuts), self._joined)
+        for a, b in itertools.pairwise(np.searchsorted(cuts, np.append(begins, len(data))).tolist()):
+            yield self.chunks.of(numbers[a:b])
+
+    def encode(self, texts: pa.Array | list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text; the new words of ``TOGETHER`` bytes of text are encoded together."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        elif pa.types.is_null(texts.type):
+            texts = texts.cast(pa.string())
+        texts = pc.fill_null(texts, "")
+        for a, b in grouped(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64), TOGETHER):
+            yield from self._encode(texts.slice(a, b - a).cast(pa.string()))
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         if len(ids) and int(ids.max()) >= self.v.size:
@@ -275,6 +345,19 @@ def tokenizer(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast((hashlib.sha256(text.encode()).hexdigest(), text))
 
 
+def handed(results: Iterator) -> Iterator[list]:
+    """The results in lists of ``ROWS``, or fewer that have ``ENTRIES`` entries together."""
+    part, size = [], 0
+    for result in results:
+        part.append(result)
+        size += len(result)
+        if len(part) == ROWS or size >= ENTRIES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def _mapped(df: DataFrame, source, column: str, out: str, kind: T.DataType, arrow: pa.DataType, each) -> DataFrame:
     """``df`` with ``out`` computed from ``column`` by ``each(encoder, array)``, row by row; an older ``out`` gives way."""
     # Inside, columns go by their place, so that no name can clash.
@@ -285,10 +368,11 @@ def _mapped(df: DataFrame, source, column: str, out: str, kind: T.DataType, arro
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(source)
         for batch in batches:
-            results = each(encoder, batch.columns[-1])
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(itertools.islice(results, ROWS), arrow)], [*(f"c{i}" for i in range(len(kept))), "output"])
+            at = 0
+            for results in handed(each(encoder, batch.columns[-1])):
+                part = batch.slice(at, len(results))
+                at += len(results)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(results, arrow)], [*(f"c{i}" for i in range(len(kept))), "output"])
 
     return renamed.mapInArrow(run, schema).toDF(*kept, out)
 
@@ -297,7 +381,7 @@ def encode(df: DataFrame, source, text: str = "text", ids: str = "ids") -> DataF
     """``df`` with the ids of ``text`` as ``array<int>``."""
 
     def each(encoder: Encoder, texts: pa.Array) -> Iterator[np.ndarray]:
-        return (i.astype(np.int32) for i in encoder.encode(texts.to_pylist()))
+        return (i.astype(np.int32) for i in encoder.encode(texts))
 
     return _mapped(df, source, text, ids, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()), each)
 
@@ -326,7 +410,7 @@ def round_trip(documents: DataFrame, source) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = []
-            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
                 decoded = encoder.decode(ids).encode()
                 rows.append((key, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)

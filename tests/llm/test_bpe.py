@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tokenizers
 
@@ -72,3 +74,39 @@ def test_a_merge_of_later_tokens_is_refused():
     model["model"]["merges"] = model["model"]["merges"][::-1]
     with pytest.raises(ValueError):
         bpe.Vocabulary(json.dumps(model))
+
+
+def test_small_groups(reference, monkeypatch):
+    """Groups of a few bytes, a text larger than a group, words merged in several runs, and slices of a batch."""
+    for name, value in (("TOGETHER", 60), ("MERGED", 9), ("PLACES", 4), ("STRINGS", 3), ("ROWS", 4), ("ENTRIES", 50)):
+        monkeypatch.setattr(bpe, name, value, raising=False)
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        small = bpe.Encoder(bpe.Vocabulary(file.read()), remembered=40)
+    draw = random.Random(5)
+    texts = ["".join(draw.choice(ALPHABET) for _ in range(draw.randrange(40))) for _ in range(300)]
+    texts += ["foo  bar\n baz", None, "", " ", "  ", " a", "a ", "a  ", "\n", "漢字 かな" * 40, "<|endoftext|> a<|endoftext|>", " <|endoftext|>  b", "many words " * 50, None]
+    want = [e.ids for e in reference.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    column = pa.array(["left out", *texts], pa.string()).slice(1)
+    for given in (texts, column, column.cast(pa.large_string())):
+        assert [i.tolist() for i in small.encode(given)] == want
+    assert [i.tolist() for i in small.encode(pa.nulls(3))] == [[], [], []]
+    parts = list(bpe.handed(small.encode(column)))
+    assert [i.tolist() for part in parts for i in part] == want
+    assert all(len(part) <= 4 and sum(map(len, part[:-1])) < 50 for part in parts)
+
+
+def test_memory_does_not_follow_the_rows_of_a_batch(reference, monkeypatch):
+    """Only new words: two megabytes of them in one batch, and what a worker holds for it."""
+    monkeypatch.setattr(bpe, "TOGETHER", 1 << 16, raising=False)
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        fresh = bpe.Encoder(bpe.Vocabulary(file.read()), remembered=10_000)
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choices("abcdefghij", k=7)) for _ in range(200)) for _ in range(1200)]
+    tracemalloc.start()
+    try:
+        lengths = [len(ids) for ids in fresh.encode(texts)]
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert lengths[::100] == [len(reference.encode(t, add_special_tokens=False).ids) for t in texts[::100]]
+    assert peak < 24 << 20, peak
