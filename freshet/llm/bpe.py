@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freshet.llm import words
+
 # Fixed value: how the byte-level vocabularies cut texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -374,7 +376,7 @@ def _mapped(df: DataFrame, source, column: str, out: str, kind: T.DataType, arro
                 at += len(results)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(results, arrow)], [*(f"c{i}" for i in range(len(kept))), "output"])
 
-    return renamed.mapInArrow(run, schema).toDF(*kept, out)
+    return renamed.mapInArrow(words.frugal(run), schema).toDF(*kept, out)
 
 
 def encode(df: DataFrame, source, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -415,4 +417,4 @@ def round_trip(documents: DataFrame, source) -> DataFrame:
                 rows.append((key, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return narrow.mapInArrow(run, DIGESTS)
+    return narrow.mapInArrow(words.frugal(run), DIGESTS)

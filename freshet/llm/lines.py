@@ -123,7 +123,7 @@ def _occurrences(docs: DataFrame, least: int) -> DataFrame:
                 a, b = (i[long].view(np.int64) for i in lines.ids())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.number[long]), pa.array(a), pa.array(b)], ["id", "sum", "number", "a", "b"])
 
-    return docs.mapInArrow(run, "id bigint, sum bigint, number bigint, a bigint, b bigint")
+    return docs.mapInArrow(words.frugal(run), "id bigint, sum bigint, number bigint, a bigint, b bigint")
 
 
 def _bucket_cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -186,8 +186,8 @@ def _chosen(docs: DataFrame, least: int) -> DataFrame:
         if held:
             yield out(held)
 
-    packed = docs.select("text").mapInArrow(pack, "bucket int, keys binary, lines binary, settled binary")
-    return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "a bigint")
+    packed = docs.select("text").mapInArrow(words.frugal(pack), "bucket int, keys binary, lines binary, settled binary")
+    return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(words.frugal(meet), "a bigint")
 
 
 def _gate(chosen: DataFrame) -> np.ndarray:
@@ -242,7 +242,7 @@ def _neighbourhoods(docs: DataFrame, chosen: DataFrame, least: int) -> tuple[Dat
                 )
 
     schema = "id bigint, sum bigint, number bigint, size bigint, place bigint, key bigint, a bigint, line string"
-    table = frozen(docs.mapInArrow(run, schema), "variants")
+    table = frozen(docs.mapInArrow(words.frugal(run), schema), "variants")
     return table.select("key", "size", "place", "a", F.struct("id", "sum", "number").alias("at")), table.where("place = -1").select(F.struct("id", "sum", "number").alias("at"), "line")
 
 
@@ -291,7 +291,7 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
             near = [within_one_edit(_split(x), _split(y)) for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
             yield batch.select([0, 1, 2]).filter(pa.array(near, pa.bool_()))
 
-    return beside.mapInArrow(run, "id bigint, sum bigint, number bigint").distinct()
+    return beside.mapInArrow(words.frugal(run), "id bigint, sum bigint, number bigint").distinct()
 
 
 def repeated_lines(docs: DataFrame, least: int = LEAST_WORDS, exact: int | None = None) -> DataFrame:
@@ -306,7 +306,7 @@ def _superfluous(docs: DataFrame, least: int, exact: int | None) -> DataFrame:
     at = F.struct("id", "sum", "number")
     firsts = frozen(found.groupBy("a", "b").agg(F.min(at).alias("first")), "distinct-lines")
     copies = found.join(firsts, ["a", "b"]).where(at > F.col("first")).select("id", "sum", "number")
-    chosen = frozen(_chosen(docs, least).distinct().join(firsts, "a").select("first.id", "first.sum", "a"), "chosen-lines")
+    chosen = _chosen(docs, least).distinct().join(firsts, "a").select("first.id", "first.sum", "a")
     variants, contents = _neighbourhoods(docs, chosen, least)
     near = frozen(_verified(_candidates(variants), contents), "near-lines")
     # Every copy of a near line's text has the same fate as its first occurrence.
@@ -358,7 +358,7 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text",
     fields = [T.StructField(f.name, T.StringType() if i == place else f.dataType) for i, f in enumerate(renamed.schema.fields)]
     if counts:
         fields += [T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())]
-    out = joined.mapInArrow(run, T.StructType(fields))
+    out = joined.mapInArrow(words.frugal(run), T.StructType(fields))
     if not counts:
         # These are handed on as they are.
         out = clean.withColumn(f"c{place}", F.col(f"c{place}").cast("string")).union(out)

@@ -96,9 +96,13 @@ def _sets(documents: DataFrame, shingle: int) -> DataFrame:
         size = 0
 
         def reported() -> pa.RecordBatch:
-            shared, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
+            every = np.concatenate(list(seen.values()))
+            seen.clear()
+            every.sort()
+            starts, counts = runs(every)
             often = counts >= REPORTED
-            shared, counts = shared[often].view(np.int64), counts[often].astype(np.int64)
+            shared, counts = every[starts[often]].view(np.int64), counts[often].astype(np.int64)
+            del every, starts, often
             return pa.RecordBatch.from_arrays([pa.array(np.ones(len(shared), np.int8)), *[pa.nulls(len(shared), pa.int64())] * 2, pa.array(shared), pa.array(counts)], names)
 
         for batch in batches:
@@ -111,11 +115,11 @@ def _sets(documents: DataFrame, shingle: int) -> DataFrame:
                         size += len(one)
             if size >= COUNTED:
                 yield reported()
-                seen, size = {}, 0
+                size = 0
         if seen:
             yield reported()
 
-    return documents.mapInArrow(run, "kind tinyint, key bigint, sum bigint, set bigint, n bigint")
+    return documents.mapInArrow(words.frugal(run), "kind tinyint, key bigint, sum bigint, set bigint, n bigint")
 
 
 def _frequent(reports: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +180,7 @@ def _index(documents: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bucket
                 packed = [squeeze(_pack([c[cuts[b] : cuts[b + 1]] for c in columns])) for b in some]
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary())], ["bucket", "postings"])
 
-    return documents.mapInArrow(run, "bucket int, postings binary")
+    return documents.mapInArrow(words.frugal(run), "bucket int, postings binary")
 
 
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +249,7 @@ def _lists(index: DataFrame, partitions: int, percent: int) -> DataFrame:
         if parts:
             yield from finished(parts)
 
-    return index.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "shingle bigint, set bigint, size int, place int")
+    return index.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(words.frugal(run), "shingle bigint, set bigint, size int, place int")
 
 
 def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -291,7 +295,7 @@ def _first_pairs(lists: DataFrame, percent: int) -> DataFrame:
             pairs, counts = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(counts.astype(np.int64))], ["u", "v", "shared"])
 
-    return lists.mapInArrow(run, "u bigint, v bigint, shared bigint").groupBy("u", "v").agg(F.sum("shared").alias("shared"))
+    return lists.mapInArrow(words.frugal(run), "u bigint, v bigint, shared bigint").groupBy("u", "v").agg(F.sum("shared").alias("shared"))
 
 
 def _columns_by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -363,7 +367,7 @@ def _participants(lists: DataFrame, percent: int) -> DataFrame:
 
         yield from _gathered(rows(), ["job", "set", "cluster"])
 
-    return lists.mapInArrow(run, "job bigint, set bigint, cluster bigint").distinct()
+    return lists.mapInArrow(words.frugal(run), "job bigint, set bigint, cluster bigint").distinct()
 
 
 def _settled(parts: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -435,7 +439,7 @@ def _settled(parts: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
         if held:
             yield from found(held)
 
-    return ordered.mapInArrow(run, "u bigint, v bigint")
+    return ordered.mapInArrow(words.frugal(run), "u bigint, v bigint")
 
 
 def _gated(texts: DataFrame, asked: DataFrame) -> DataFrame:
@@ -470,7 +474,7 @@ def _measured(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
                 distance, linked = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), batch.column(1).slice(at, len(sets)), pa.array(distance), pa.array(linked)], ["u", "v", "distance", "linked"])
 
-    return beside.mapInArrow(run, "u bigint, v bigint, distance double, linked boolean")
+    return beside.mapInArrow(words.frugal(run), "u bigint, v bigint, distance double, linked boolean")
 
 
 def _best(pairs: DataFrame) -> DataFrame:

@@ -250,7 +250,7 @@ def _mine(labelled: DataFrame, positives: int, negatives: int) -> np.ndarray:
         if held:
             yield out()
 
-    counts = labelled.select("text", "toxic").mapInArrow(count, "feature bigint, bad bigint, good bigint").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counts = labelled.select("text", "toxic").mapInArrow(words.frugal(count), "feature bigint, bad bigint, good bigint").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     lift = ((F.col("bad") + 0.5) / (positives + 1)) / ((F.col("good") + 0.5) / (negatives + 1))
     seen, share = F.col("bad") + F.col("good"), positives / (positives + negatives)
     part = lambda n, p: F.when(n > 0, n * F.log(n / (seen * p))).otherwise(0.0)
@@ -292,7 +292,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_size: int = SAMPLE) -> M
                 cuts = np.searchsorted(row, np.arange(1, until - at))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, until - at), pa.array(mask), pa.array(np.split(entry, cuts), pa.list_(pa.int64()))], ["doc_id", "votes", "entries"])
 
-    votes = frozen(docs.mapInArrow(vote, "doc_id bigint, votes bigint, entries array<bigint>"), "votes")
+    votes = frozen(docs.mapInArrow(words.frugal(vote), "doc_id bigint, votes bigint, entries array<bigint>"), "votes")
     by_pattern = votes.join(usable, "doc_id", "left").groupBy("votes", F.coalesce("toxic", F.lit(-1)).alias("label")).agg(F.count("*").alias("n")).collect()
     patterns = np.array([r["votes"] for r in by_pattern], np.int64)
     bits = (patterns[:, None] >> np.arange(VOTERS)) & 1
@@ -314,7 +314,7 @@ def scores(documents: DataFrame, model: Model) -> DataFrame:
             for at, until, raw, offsets in words.blocks(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, until - at), pa.array(model.scores(raw, offsets))], ["doc_id", "score"])
 
-    scored = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, score double")
+    scored = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(words.frugal(run), "doc_id bigint, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
@@ -328,7 +328,7 @@ def accepted(documents: DataFrame, model: Model, text: str = "text", threshold:
             if kept:
                 yield batch.filter(pa.concat_arrays(kept))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(words.frugal(run), documents.schema)
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:

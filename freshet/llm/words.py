@@ -7,13 +7,16 @@ a few passes over the bytes whatever their number of words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Texts are taken together up to so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Bytes of batches after which a worker gives back to the system what it has freed.
+GIVEN_BACK = 32 << 20
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -37,6 +40,33 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def give_back() -> None:
+    """Hand memory that is free in the allocators of Arrow and C to the system. It changes no result."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, a function of batches, giving back what it has freed now and then, and at its end: the
+    worker that ran it is kept for other tasks, beside a JVM that may need the memory."""
+
+    def watched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 0
+        for batch in batches:
+            size += batch.nbytes
+            yield batch
+            if size >= GIVEN_BACK:
+                give_back()
+                size = 0
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(watched(batches))
+        give_back()
+
+    return whole
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose output bits all depend on all input bits."""
     x = x ^ (x >> _U(30))
